@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abode.functions.numbers import to_number
@@ -87,24 +87,19 @@ def pad_day_month(c: Column | str) -> Column:
     """Zero-pad a one-digit day, then a one-digit month.
 
     The month pad keeps characters 4-9 only, so a trailing time is cut for
-    padded rows (and kept for others).
+    padded rows (and kept for others). Each step reads its input once.
     """
-    c = _col(c)
-    day = F.when(
-        F.coalesce(F.substring(c, 1, 2).isin(_DAY_PADS), F.lit(False)), F.concat(F.lit("0"), c)
-    ).otherwise(c)
-    return F.when(
-        F.coalesce(F.substring(day, 3, 3).isin(_MONTH_PADS), F.lit(False)),
-        F.concat(F.substring(day, 1, 3), F.lit("0"), F.substring(day, 4, 6)),
-    ).otherwise(day)
+    day = F.regexp_replace(_col(c), r"^([1-9])/", "0$1/")
+    return F.regexp_replace(day, r"(?s)^(..)/([1-9])/(.{0,4}).*$", "$1/0$2/$3")
 
 
 def apply_literal_repairs(c: Column | str, repairs: dict[str, str] = DATE_LITERAL_REPAIRS) -> Column:
+    """Replace known hand-typed date texts (one map lookup)."""
     c = _col(c)
-    out = None
-    for bad, good in repairs.items():
-        out = (F.when(c == bad, F.lit(good)) if out is None else out.when(c == bad, F.lit(good)))
-    return out.otherwise(c) if out is not None else c
+    if not repairs:
+        return c
+    lookup = F.create_map(*[F.lit(x) for kv in repairs.items() for x in kv])
+    return F.coalesce(F.try_element_at(lookup, c), c)
 
 
 def normalise_date_text(c: Column | str, repairs: dict[str, str] = DATE_LITERAL_REPAIRS) -> Column:
@@ -173,6 +168,56 @@ def repair_iso_date(
     return clamped, year_text(parsed)
 
 
+def with_dmy_dates(
+    df: DataFrame,
+    col: str,
+    programme_date: Column | None = None,
+    ts_out: str = "TIMESTAMP",
+    year_out: str = "YEAR",
+    floor_year: int = FLOOR_YEAR,
+    floor_date=FLOOR_DATE,
+    serial_prefixes: tuple[str, ...] = SERIAL_PREFIXES,
+    serial_offset: int = SERIAL_OFFSET,
+    repairs: dict[str, str] = DATE_LITERAL_REPAIRS,
+) -> DataFrame:
+    """``repair_dmy_date`` as a DataFrame step.
+
+    The repaired text and the parsed date are staged as columns, so each
+    expression is evaluated once per row instead of being inlined into
+    every later reference.
+    """
+    text = normalise_date_text(decode_serial(F.col(col).cast("string"), serial_prefixes, serial_offset), repairs)
+    staged = df.withColumn("__date_text", text)
+    parsed = parse_dmy(F.col("__date_text"))
+    if programme_date is not None:
+        parsed = F.coalesce(parsed, programme_date)
+    staged = staged.withColumn("__date", parsed)
+    d = F.col("__date")
+    return staged.withColumns({ts_out: clamp_before(d, floor_year, floor_date), year_out: year_text(d)}) \
+        .drop("__date_text", "__date")
+
+
+def with_iso_dates(
+    df: DataFrame,
+    col: str,
+    ts_out: str = "TIMESTAMP",
+    year_out: str = "YEAR",
+    floor_year: int = FLOOR_YEAR,
+    floor_date=FLOOR_DATE,
+    repairs: dict[str, str] = DATE_LITERAL_REPAIRS,
+) -> DataFrame:
+    """``repair_iso_date`` as a DataFrame step (staged like ``with_dmy_dates``)."""
+    staged = df.withColumn("__date_text", normalise_date_text(F.col(col).cast("string"), repairs))
+    t = F.col("__date_text")
+    staged = staged.withColumn(
+        "__date", F.when(t.rlike(ISO_PATTERN), F.try_to_date(t, "yyyy-MM-dd")).otherwise(_date_lit(floor_date)))
+    d = F.col("__date")
+    return staged.withColumns({
+        ts_out: F.when(F.year(d) < floor_year, _date_lit(floor_date)).otherwise(d),
+        year_out: year_text(d),
+    }).drop("__date_text", "__date")
+
+
 def cap_year(d: Column | str, year: int, replacement) -> Column:
     """Dates in a year after ``year`` -> ``replacement`` (NULL stays NULL)."""
     d = _col(d)

@@ -115,8 +115,8 @@ def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame)
     both = J.lookup_join(both, lookup, "UPRN", null_safe=False, required=True) \
         .where(F.col("PCON_CODE").isNotNull())
 
-    ts, year = D.repair_dmy_date("TIMESTAMP", F.col("FYEAR_DATE"))
-    out = both.withColumns({"TIMESTAMP": ts, "YEAR": year, "SOURCE": F.lit(e1.SOURCE_FEED1),
+    out = D.with_dmy_dates(both, "TIMESTAMP", F.col("FYEAR_DATE"))
+    out = out.withColumns({"SOURCE": F.lit(e1.SOURCE_FEED1),
                             "PROPERTY_TYPE_NAME": F.lit(e1.UNKNOWN), "PROPERTY_AGE_NAME": F.lit(e1.UNKNOWN)})
     out = out.withColumns({name: classify(rules, default) for name, rules, default in FEED1_CLASSIFIERS})
     return out.select("UPRN", "PCON_CODE", "TIMESTAMP", "YEAR", "SOURCE", "seq", *CATEGORY_COLUMNS)
@@ -131,8 +131,7 @@ def clean_feed2(sheet: DataFrame) -> DataFrame:
     df = _with_seq(normalise_headers(sheet))
     df = FL.drop_junk_keys(df, "UPRN", e1.JUNK_KEYS)
     df = df.withColumn("UPRN", to_key("UPRN"))
-    ts, year = D.repair_iso_date(F.col("`Master Completion Date`"))
-    df = df.withColumns({"TIMESTAMP": ts, "YEAR": year})
+    df = D.with_iso_dates(df, "`Master Completion Date`")
     flags = {h: flag_col for h in e1.FEED2_FLAG_HEADERS if (flag_col := e1.flag_name(h))}
     text_cols = ["Tenure", *[h for h in e1.FEED2_FLAG_HEADERS if h in df.columns]]
     df = df.select(

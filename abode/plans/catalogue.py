@@ -147,11 +147,10 @@ FROM s7"""
 
 
 def _messy_date_repair(spark, sf_dir):
-    src = _messy_dates_spark(table(spark, sf_dir, "orders"))
-    programme = D.year_start("fyear")
-    ts, year = D.repair_dmy_date("raw_date", programme, floor_year=1996, floor_date="1996-01-01")
-    return src.select("o_orderkey", "raw_date", programme.alias("programme_date"),
-                      ts.alias("ts"), year.alias("year"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders")).withColumn("programme_date", D.year_start("fyear"))
+    out = D.with_dmy_dates(src, "raw_date", F.col("programme_date"), "ts", "year",
+                           floor_year=1996, floor_date="1996-01-01")
+    return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
 
 
 query("messy_date_repair", _repair_dmy_sql(_MESSY_DATES_DUCK, 1996, "1996-01-01"))(_messy_date_repair)
@@ -159,11 +158,9 @@ query("messy_date_repair", _repair_dmy_sql(_MESSY_DATES_DUCK, 1996, "1996-01-01"
 
 def _date_fallback_clamp(spark, sf_dir):
     """Programme-year fallback + clamp with the reference's own parameters."""
-    src = _messy_dates_spark(table(spark, sf_dir, "orders"))
-    programme = D.year_start("fyear")
-    ts, year = D.repair_dmy_date("raw_date", programme)
-    return src.select("o_orderkey", "raw_date", programme.alias("programme_date"),
-                      ts.alias("ts"), year.alias("year"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders")).withColumn("programme_date", D.year_start("fyear"))
+    out = D.with_dmy_dates(src, "raw_date", F.col("programme_date"), "ts", "year")
+    return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
 
 
 query("date_fallback_clamp", _repair_dmy_sql(_MESSY_DATES_DUCK, D.FLOOR_YEAR, D.FLOOR_DATE))(
@@ -192,8 +189,7 @@ _ISO_DUCK = (
 
 def _iso_date_gate(spark, sf_dir):
     ev = table(spark, sf_dir, "events").selectExpr("event_id", f"{_ISO_SPARK} AS raw_date")
-    ts, year = D.repair_iso_date("raw_date")
-    return ev.select("event_id", "raw_date", ts.alias("ts"), year.alias("year"))
+    return D.with_iso_dates(ev, "raw_date", "ts", "year").select("event_id", "raw_date", "ts", "year")
 
 
 def _iso_sql() -> str:
@@ -855,12 +851,18 @@ def _provenance_extract(spark, sf_dir):
     """K-09: master + per-attribute provenance tables, population semi join, first-wins dedup."""
     from abode.plans.provenance import provenance_extract
 
-    wide = master_wide(spark, sf_dir).withColumnRenamed("key", "UPRN")
-    master = R.assemble_master(master_wide(spark, sf_dir), _MASTER_VALUES)
-    # Provenance tables as stored: one (UPRN, TIMESTAMP, SOURCE) table per attribute.
-    tables = {a: wide.select("UPRN", F.col(f"TIMESTAMP_{a}").alias("TIMESTAMP"),
-                             F.col(f"SOURCE_{a}").alias("SOURCE")).where(F.col(f"SOURCE_{a}").isNotNull())
-              for a in _PROV_ATTRS}
+    obs = _master_obs(spark, sf_dir)
+    master = R.assemble_master(R.resolve_wide(obs, _MASTER_SPECS, _MASTER_TECHS), _MASTER_VALUES)
+    # Provenance tables as stored: one (UPRN, TIMESTAMP, SOURCE) table per
+    # attribute, each resolved from its own attribute's rows only.
+    specs = {s.name: s for s in _MASTER_SPECS}
+    tables = {}
+    for a in _PROV_ATTRS:
+        rows = obs.where(F.col("attr") == a)
+        picked = (W.resolve_latest(rows, "key", "value", "ts") if specs[a].policy == "latest"
+                  else W.resolve_first(rows, "key", "value"))
+        tables[a] = picked.select(F.col("key").alias("UPRN"), F.col("ts").alias("TIMESTAMP"),
+                                  F.col("source").alias("SOURCE"))
     population = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("UPRN"))
     contract = ["UPRN"]
     for a in _PROV_ATTRS:
