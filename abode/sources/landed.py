@@ -70,12 +70,13 @@ def read_landed(
         df = (spark.read.option("header", "false").option("sep", sep).option("encoding", encoding)
               .option("quote", '"').option("escape", '"').option("multiLine", "false")
               .schema(text_schema(header)).csv(path))
-        # Banner and header lines are dropped by value (bounded: banner_rows + 1 lines).
-        skip = [row[0] for row in spark.read.text(path).limit(banner_rows + 1).collect()]
+        # Banner and header lines are dropped by value (bounded: banner_rows + 1 lines),
+        # compared without quotes and trailing empty fields.
+        skip = [re.sub(re.escape(sep) + "+$", "", row[0].replace('"', ""))
+                for row in spark.read.text(path).limit(banner_rows + 1).collect()]
         raw = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
-        quoted = F.concat_ws(sep, *[F.concat(F.lit('"'), F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit('"'))
-                                    for c in header])
-        df = df.where(~(raw.isin(skip) | quoted.isin(skip)))
+        raw = F.regexp_replace(raw, re.escape(sep) + "+$", "")
+        df = df.where(~raw.isin(skip))
     if seq_col:
         df = df.withColumn(seq_col, F.monotonically_increasing_id())
     return df
