@@ -29,6 +29,7 @@ from abode.operators import quality as Q
 from abode.operators import reshape as R
 from abode.operators import resolve as W
 from abode.rules import e1, e2
+from abode.session import ensure_parallelism
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,17 +44,24 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """Whole driver table. ``spread_by`` names a key to hash-spread a narrow
+    scan on before row-wise CPU-heavy work (a no-op for wide scans)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df, [spread_by]) if spread_by else df
 
 
 def _case(key_sql: str, values: list) -> str:
-    """CASE <key> WHEN 0 THEN v0 ... END (same text in both dialects)."""
-    arms = []
-    for i, v in enumerate(values):
-        lit = "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
-        arms.append(f"WHEN {i} THEN {lit}")
-    return f"CASE {key_sql} " + " ".join(arms) + " END"
+    """Pick ``values[key]`` (same text in both dialects).
+
+    Written as one ``split_part`` over a literal list, which Spark folds to
+    an array lookup: a compact expression, so plans that substitute it into
+    pushed-down filters stay small. NULL is encoded as "~".
+    """
+    for v in values:
+        assert v is None or ("|" not in v and "~" not in v), v
+    packed = "|".join("~" if v is None else str(v) for v in values).replace("'", "''")
+    return f"nullif(split_part('{packed}', '|', CAST(({key_sql}) AS INT) + 1), '~')"
 
 
 _WS = X.WHITESPACE_CLASS
@@ -147,7 +155,7 @@ FROM s7"""
 
 
 def _messy_date_repair(spark, sf_dir):
-    src = _messy_dates_spark(table(spark, sf_dir, "orders")).withColumn("programme_date", D.year_start("fyear"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders", "o_orderkey")).withColumn("programme_date", D.year_start("fyear"))
     out = D.with_dmy_dates(src, "raw_date", F.col("programme_date"), "ts", "year",
                            floor_year=1996, floor_date="1996-01-01")
     return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
@@ -158,7 +166,7 @@ query("messy_date_repair", _repair_dmy_sql(_MESSY_DATES_DUCK, 1996, "1996-01-01"
 
 def _date_fallback_clamp(spark, sf_dir):
     """Programme-year fallback + clamp with the reference's own parameters."""
-    src = _messy_dates_spark(table(spark, sf_dir, "orders")).withColumn("programme_date", D.year_start("fyear"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders", "o_orderkey")).withColumn("programme_date", D.year_start("fyear"))
     out = D.with_dmy_dates(src, "raw_date", F.col("programme_date"), "ts", "year")
     return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
 
@@ -188,7 +196,7 @@ _ISO_DUCK = (
 
 
 def _iso_date_gate(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").selectExpr("event_id", f"{_ISO_SPARK} AS raw_date")
+    ev = table(spark, sf_dir, "events", "event_id").selectExpr("event_id", f"{_ISO_SPARK} AS raw_date")
     return D.with_iso_dates(ev, "raw_date", "ts", "year").select("event_id", "raw_date", "ts", "year")
 
 
@@ -230,7 +238,7 @@ WHERE raw_date IS NULL OR raw_date = '' OR substr(raw_date, 3, 1) <> '/'
 GROUP BY raw_date""")
 def _non_day_first_profile(spark, sf_dir):
     """D-12 + A-02: frequency of date texts not shaped dd/..., missing included."""
-    src = _messy_dates_spark(table(spark, sf_dir, "orders"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders", "o_orderkey"))
     odd = src.where(D.not_day_first("raw_date"))
     return odd.groupBy("raw_date").agg(F.count(F.lit(1)).alias("n"))
 
@@ -265,7 +273,7 @@ SELECT doc_id, {_squish_sql('lower(text)')} AS text, {_squish_sql('lower(lang)')
 FROM documents""")
 def _squish_lower_text(spark, sf_dir):
     """P-10 over every text column of whole documents: lower + squish."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", "doc_id")
     return P.map_text(docs, X.lower_squish)
 
 
@@ -285,7 +293,7 @@ LEFT JOIN c ON lower(replace(translate(o.noisy, ' ?"', ''), ' ', '')) = c.k
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def _postcode_key_join(spark, sf_dir):
     """X-04/X-05 keys + J-09 chained lookups (orders -> customer -> nation)."""
-    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_NOISY_REF} AS noisy")
+    o = table(spark, sf_dir, "orders", "o_orderkey").selectExpr("o_orderkey", f"{_NOISY_REF} AS noisy")
     o = o.withColumn("k", X.postcode_key(X.strip_postcode_noise("noisy")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", X.postcode_key("c_name").alias("k"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -444,7 +452,7 @@ _WALL_TYPES = ["Full fill", "REFILL", "partial", "solid", "External", "unknown",
 
 
 def _ages(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").selectExpr(
+    o = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(
         "o_orderkey", f"{_YEAR_SPARK} AS year_built",
         f"{_case('o_orderkey % 9', _WALL_CATS)} AS wall_category",
         f"{_case('o_orderkey % 10', _WALL_TYPES)} AS wall_type")
@@ -508,7 +516,7 @@ _E2_HEAT_TABLES = [
        f"{_FUEL_A_SRC} AS fuel_after, {_HEAT_SRC} AS heating_after FROM lineitem)")
 def _classify_heating_loft(spark, sf_dir):
     """T-38..T-42: exact loft lists (both bands), fuel before/after, heating system."""
-    li = table(spark, sf_dir, "lineitem").selectExpr(
+    li = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
         "l_orderkey", "l_linenumber", f"{_LOFT_SRC} AS loft_depth", f"{_FUEL_B_SRC} AS fuel_before",
         f"{_FUEL_A_SRC} AS fuel_after", f"{_HEAT_SRC} AS heating_after")
     return li.select("l_orderkey", "l_linenumber", "loft_depth", "fuel_before", "fuel_after", "heating_after",
@@ -543,7 +551,7 @@ _ADDON_SRC = [
        + " FROM (SELECT l_orderkey, l_linenumber, " + ", ".join(_ADDON_SRC) + " FROM lineitem)")
 def _addon_flags(spark, sf_dir):
     """T-43 / M-04: positive amount -> measure, otherwise (NULL too) unknown."""
-    li = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", *_ADDON_SRC)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr("l_orderkey", "l_linenumber", *_ADDON_SRC)
     return li.select("l_orderkey", "l_linenumber",
                      *[positive_flag(col, yes, no).alias(name) for name, (col, yes, no) in e2.ADDON_FLAGS.items()])
 
@@ -977,7 +985,7 @@ SELECT o_orderkey, FY, POSTCODE,
 FROM u""")
 def _append_and_sort(spark, sf_dir):
     """K-14 pieces: union by name (missing -> NULL), NA-pasting sort key, tidy, sort."""
-    h = table(spark, sf_dir, "orders").selectExpr(*_split_select(_HIST_SRC))
+    h = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(_HIST_SRC))
     prev = h.where("FY < 'FY1998'")
     new = P.blank_nulls(h.where("FY >= 'FY1998'").select("o_orderkey", "FY", "STREET", "POSTCODE"), ["STREET"])
     u = W.union_sources([("prev", prev), ("new", new)], source_col="_src", rank_col="_rank").drop("_src", "_rank")
@@ -1133,7 +1141,7 @@ def _annual_measure_rows(spark, sf_dir):
     """K-11 composed: claims -> geography -> constituency names -> unpivot -> group -> drop Unknown."""
     from abode.plans.measures import explode_claim_measures
 
-    claims = table(spark, sf_dir, "orders").selectExpr(*_split_select(_CLAIM_SRC))
+    claims = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(_CLAIM_SRC))
     claims = claims.select(
         "o_orderkey", "Postcode", "scheme_name",
         classify(e2.PROPERTY_TYPE, e2.ERROR).alias("PROPERTY_TYPE"),

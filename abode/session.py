@@ -25,8 +25,8 @@ _DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     # Rule tables compile to large generated methods; without this HotSpot
     # leaves methods over 8 KB interpreted (2-3x slower classifiers).
-    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
-    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods -XX:ReservedCodeCacheSize=1g",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods -XX:ReservedCodeCacheSize=1g",
 }
 
 
@@ -86,3 +86,22 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def ensure_parallelism(df: DataFrame, by: list[str] | None = None,
+                       min_partitions: int | None = None) -> DataFrame:
+    """Spread a narrow scan over the cluster when it has too few partitions.
+
+    A small input stored as one file with one row group is scanned by a
+    single task, so every row-wise expression after it runs on one core.
+    When the scan has fewer partitions than the default parallelism, rows
+    are hash-partitioned on ``by`` (deterministic, no sort; a later
+    aggregation on the same key reuses the partitioning), or round-robin
+    when no key is given. Large inputs already scan in many tasks and are
+    returned unchanged, so at scale this costs nothing.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *by) if by else df.repartition(target)
