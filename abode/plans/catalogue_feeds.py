@@ -202,3 +202,98 @@ FROM c"""
 query("feed2_cleaning", _feed2_sql())(_feed2)
 
 _ = (F, NUMBER_PATTERN)
+
+
+# -- the whole attribute-resolution programme --------------------------------
+_WH_REGION = ("BUILDING", "MACHINERY", "HOUSEHOLD")
+_WH_ATTRS = [("PROPERTY_TYPE", "PROPERTY_TYPE_CODE", "constant"), ("PROPERTY_TENURE", "TENURE_CODE", "capped")]
+
+
+def attribute_master(spark, sf_dir):
+    """Feeds 1 and 2 + warehouse -> one-aggregation resolve -> 20-column master."""
+    from abode.sources.warehouse import warehouse_observations
+
+    f1, f2 = _feed1(spark, sf_dir), _feed2(spark, sf_dir)
+    homes = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("HOME_ID"), F.col("c_mktsegment").alias("GOV_REG_CODE"),
+        F.col("c_nationkey").alias("PROPERTY_TYPE_CODE"), (F.col("c_custkey") % 25).alias("TENURE_CODE"))
+    dictionary = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("DETAIL_LOOKUP_CODE"), F.col("n_name").alias("DETAIL_LOOKUP_NAME"))
+    orders = table(spark, sf_dir, "orders")
+    details = orders.select(F.col("o_custkey").alias("HOMES_HOME_ID"),
+                            (F.col("o_orderkey") % 25).alias("DETS_LKP_DET_LKP_ID"),
+                            F.col("o_orderdate").alias("DETAIL_DATE"))
+    xref = orders.select(F.col("o_orderkey").alias("UPRN"), F.col("o_custkey").alias("HEED_HOME_ID"))
+    wh = warehouse_observations(homes, dictionary, details, xref, _WH_ATTRS, _WH_REGION,
+                                e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
+                                e1.SOURCE_WAREHOUSE)
+    return E1.master(E1.resolve_attributes(E1.observations(f1, f2, wh)))
+
+
+def _attribute_master_sql() -> str:
+    region = ", ".join(f"'{r}'" for r in _WH_REGION)
+    wh = f"""
+  SELECT x.o_orderkey AS k, nm.attr, nm.value AS v, CAST(NULL AS DOUBLE) AS num,
+         CASE WHEN nm.dated THEN (CASE WHEN year(dt.d) > {e1.WAREHOUSE_CAP_YEAR} THEN DATE '{e1.WAREHOUSE_CAP_DATE}'
+              ELSE dt.d END) ELSE DATE '{e1.WAREHOUSE_CONSTANT_DATE}' END AS ts,
+         '{e1.SOURCE_WAREHOUSE}' AS src, 0 AS rk, CAST(nm.home AS BIGINT) AS seq
+  FROM (SELECT c.home, c.attr, c.dated, n.n_name AS value FROM (
+          SELECT c_custkey AS home, 'PROPERTY_TYPE' AS attr, CAST(c_nationkey AS VARCHAR) AS code, false AS dated
+            FROM customer WHERE c_mktsegment IN ({region})
+          UNION ALL SELECT c_custkey, 'PROPERTY_TENURE', CAST(c_custkey % 25 AS VARCHAR), true
+            FROM customer WHERE c_mktsegment IN ({region})) c
+        JOIN nation n ON c.code = CAST(n.n_nationkey AS VARCHAR)) nm
+  LEFT JOIN (SELECT o_custkey AS home, CAST(o_orderkey % 25 AS VARCHAR) AS code, CAST(o_orderdate AS DATE) AS d
+             FROM orders) dt ON nm.dated AND nm.home = dt.home AND
+             (SELECT CAST(c_custkey % 25 AS VARCHAR) FROM customer WHERE c_custkey = nm.home) = dt.code
+  JOIN orders x ON x.o_custkey = nm.home
+  WHERE NOT nm.dated OR dt.home IS NOT NULL"""
+    feed_attrs = {a: c for a, c in E1._FEED_ATTRS.items()}
+    arms = []
+    for a, c in feed_attrs.items():
+        arms.append(f"SELECT UPRN AS k, '{a}' AS attr, {c} AS v, CAST(NULL AS DOUBLE) AS num, TIMESTAMP AS ts, "
+                    f"SOURCE AS src, 1 AS rk, seq FROM f1src")
+        arms.append(f"SELECT UPRN, '{a}', {c}, CAST(NULL AS DOUBLE), TIMESTAMP, SOURCE, 2, seq FROM f2src")
+    arms.append("SELECT UPRN, 'SAP_SCORE', NULL, coalesce(POST_SAP_SCORE, PRE_SAP_SCORE), TIMESTAMP, SOURCE, 2, seq "
+                "FROM f2src")
+    arms.append("SELECT UPRN, 'SAP_FUEL_BILL', NULL, coalesce(POST_FUEL_BILL, PRE_FUEL_BILL), TIMESTAMP, SOURCE, 2, "
+                "seq FROM f2src")
+    excl = []
+    for name, _out, _code, _rule, ex, _pol in e1.ATTRIBUTES:
+        if ex:
+            excl.append(f"(attr = '{name}' AND v IN ({', '.join(repr(x) for x in ex)}))")
+    excl.append(f"(attr = 'RENEWABLES' AND v IN ({', '.join(repr(x) for x in e1.TECHNOLOGY_EXCLUDED)}))")
+    first_attrs = ", ".join(f"'{n}'" for n, _o, _c, _r, _x, p in e1.ATTRIBUTES if p == "first")
+    pivots = []
+    for name, out, _code, _rule, _ex, _pol in e1.ATTRIBUTES:
+        val = "num" if name in ("SAP_SCORE", "SAP_FUEL_BILL") else "v"
+        pivots.append(f"max(CASE WHEN attr = '{name}' AND rn = 1 THEN {val} END) AS {out}")
+    pivots += [f"max(CASE WHEN attr = 'RENEWABLES' AND v = '{t}' THEN 1 ELSE 0 END) AS f_{t}" for t in e1.TECHNOLOGIES]
+
+    def num_text(c):
+        return (f"coalesce(CASE WHEN {c} = floor({c}) THEN CAST(CAST({c} AS BIGINT) AS VARCHAR) "
+                f"ELSE CAST({c} AS VARCHAR) END, '')")
+    texts = []
+    for name, out, *_ in e1.ATTRIBUTES:
+        texts.append(f"{num_text(out)} AS {out}" if name in ("SAP_SCORE", "SAP_FUEL_BILL")
+                     else f"coalesce({out}, '') AS {out}")
+    texts += [f"CASE WHEN f_{t} = 1 THEN 'Yes' ELSE '' END AS {t}" for t in e1.TECHNOLOGIES]
+    total = " + ".join(f"f_{t}" for t in e1.TECHNOLOGIES)
+    texts.append(f"CASE WHEN {total} > 0 THEN CAST({total} AS VARCHAR) ELSE '' END AS RENEWABLE_COUNT")
+    counted = [c for c in e1.MASTER_COLUMNS if c not in ("UPRN", "RENEWABLE_COUNT")]
+    data_count = " + ".join(f"CAST(\"{c}\" <> '' AS INTEGER)" for c in counted)
+    return f"""
+WITH f1src AS ({_feed1_sql()}),
+f2src AS ({_feed2_sql()}),
+allobs AS ({wh}
+  UNION ALL {' UNION ALL '.join(arms)}),
+keptobs AS (SELECT * FROM allobs WHERE k IS NOT NULL AND (v IS NOT NULL OR num IS NOT NULL)
+            AND NOT ({' OR '.join(excl)})),
+rankedobs AS (SELECT *, row_number() OVER (PARTITION BY k, attr ORDER BY
+    CASE WHEN attr IN ({first_attrs}) THEN NULL ELSE ts END DESC NULLS LAST, rk, seq) AS rn FROM keptobs),
+widem AS (SELECT k, {', '.join(pivots)} FROM rankedobs GROUP BY k),
+masterm AS (SELECT k AS UPRN, {', '.join(texts)} FROM widem)
+SELECT *, CAST({data_count} AS INTEGER) AS DATA_COUNT FROM masterm"""
+
+
+query("attribute_master", _attribute_master_sql())(attribute_master)

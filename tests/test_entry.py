@@ -13,8 +13,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 
 def test_entry_runs(spark):
+    from abode.rules import e1
+
     df = entry.entry(spark)
-    assert df.columns == ["UPRN", "TIMESTAMP", "VALUE", "SOURCE"]
+    assert df.columns == e1.MASTER_COLUMNS + ["DATA_COUNT"]
     assert df.count() > 0
 
 
