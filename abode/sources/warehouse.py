@@ -57,14 +57,18 @@ def warehouse_observations(
         names = F.broadcast(names)
     named = codes.join(names, "code", "inner")
 
-    dated = named.where("dated").join(
-        details.select(F.col(detail_home).alias("home"), F.col(detail_code).cast("string").alias("code"),
-                       F.col(detail_date).cast("date").alias("d")),
-        ["home", "code"], "inner",
-    ).withColumn("TIMESTAMP", cap_year(F.col("d"), cap_after_year, cap_date)).drop("d")
-    undated = named.where(~F.col("dated")).withColumn("TIMESTAMP", F.lit(constant_date).cast("date"))
+    # One pass: dated attributes must find their detail row (inner semantics),
+    # undated ones take the constant date; both branches share one scan.
+    detail = details.select(F.col(detail_home).alias("d_home"), F.col(detail_code).cast("string").alias("d_code"),
+                            F.col(detail_date).cast("date").alias("d"))
+    cond = (F.col("home") == F.col("d_home")) & (F.col("code") == F.col("d_code")) & F.col("dated")
+    joined = named.join(detail, cond, "left").where(~F.col("dated") | F.col("d_home").isNotNull())
+    stamped = joined.withColumn(
+        "TIMESTAMP",
+        F.when(F.col("dated"), cap_year(F.col("d"), cap_after_year, cap_date))
+        .otherwise(F.lit(constant_date).cast("date")))
 
-    obs = dated.unionByName(undated).join(
+    obs = stamped.join(
         xref.select(F.col(xref_home).alias("home"), F.col(xref_key).alias("UPRN")), "home", "inner"
     )
     return obs.select(
