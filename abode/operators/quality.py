@@ -99,12 +99,13 @@ def check_columns(df: DataFrame, expected: Sequence[str], strict: bool = True) -
 
 
 def unseen_values(df: DataFrame, col: str, known: DataFrame | Sequence[str]) -> DataFrame:
-    """Distinct non-missing values of ``col`` that are not in the known list."""
-    values = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    """Distinct non-missing values of ``col`` that are not in the known list.
+
+    A literal list is a plain ``NOT IN`` filter (no join); a known-values
+    DataFrame (data-sized) is an anti join left to the planner.
+    """
+    values = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull())
     if not isinstance(known, DataFrame):
-        spark = df.sparkSession
-        known = spark.createDataFrame([(v,) for v in known], "value string")
-        known = F.broadcast(known)  # a literal list: bounded by construction
-    else:
-        known = known.select(F.col(known.columns[0]).alias("value"))
-    return values.join(known, "value", "left_anti")
+        return values.where(~F.col("value").isin(list(known))).distinct()
+    known = known.select(F.col(known.columns[0]).alias("value"))
+    return values.distinct().join(known, "value", "left_anti")

@@ -1,5 +1,5 @@
-from abode.sources.landed import normalise_header, normalise_headers, peek_header, read_landed
+from abode.sources.landed import normalise_header, normalise_headers, peek_header, read_landed, read_lookup_csv
 from abode.sources.warehouse import warehouse_observations
 
-__all__ = ["normalise_header", "normalise_headers", "peek_header", "read_landed",
+__all__ = ["normalise_header", "normalise_headers", "peek_header", "read_landed", "read_lookup_csv",
            "warehouse_observations"]

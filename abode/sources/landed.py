@@ -80,3 +80,11 @@ def read_landed(
     if seq_col:
         df = df.withColumn(seq_col, F.monotonically_increasing_id())
     return df
+
+
+def read_lookup_csv(spark: SparkSession, path: str, columns: dict[str, str], sep: str = ",") -> DataFrame:
+    """Projected CSV lookup with per-column types, e.g. ``{"UPRN": "double",
+    "PCON24CD": "string"}``: only the named columns are kept, read as text
+    and cast explicitly (a bad cell becomes NULL instead of failing the job)."""
+    df = spark.read.option("header", "true").option("sep", sep).option("escape", '"').csv(path)
+    return df.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in columns.items()])

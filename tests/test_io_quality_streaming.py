@@ -139,3 +139,13 @@ def test_claims_stream(spark, scratch):
     q.awaitTermination(120)
     measures = spark.read.parquet(os.path.join(out, "measures"))
     assert measures.count() > first and measures.select("batch_id").distinct().count() == 2
+
+
+def test_read_lookup_csv(spark, scratch):
+    from abode.sources.landed import read_lookup_csv
+
+    path = os.path.join(scratch, "onsud.csv")
+    _write_csv(path, ["UPRN", "LAD", "PCON24CD"], [["100000000001", "x", "S14000001"], ["bad", "y", "S14000002"]])
+    df = read_lookup_csv(spark, path, {"UPRN": "double", "PCON24CD": "string"})
+    assert df.columns == ["UPRN", "PCON24CD"]
+    assert sorted(df.collect(), key=lambda r: r.PCON24CD) == [(100000000001.0, "S14000001"), (None, "S14000002")]
