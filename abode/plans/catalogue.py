@@ -48,7 +48,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = N
     """Whole driver table. ``spread_by`` names a key to hash-spread a narrow
     scan on before row-wise CPU-heavy work (a no-op for wide scans)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return ensure_parallelism(df, [spread_by]) if spread_by else df
+    if not spread_by:
+        return df
+    spread = ensure_parallelism(df, [spread_by])
+    # A narrow scan was spread: keep the spread rows so filters that Spark
+    # pushes toward the scan run on the spread partitions, not in one task.
+    return spread.cache() if spread is not df else df
 
 
 def _case(key_sql: str, values: list) -> str:
