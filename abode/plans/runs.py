@@ -62,19 +62,34 @@ def run_attribute_resolution(inputs: dict[str, DataFrame], out_root: str) -> dic
                                 inputs["address_xref"], attrs, e1.WAREHOUSE_REGION,
                                 e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
                                 e1.SOURCE_WAREHOUSE)
-    wide = stage_table(E1.resolve_attributes(E1.observations(f1, f2, wh)), "attribute-wide")
+    obs = E1.observations(f1, f2, wh)
+    wide = stage_table(E1.resolve_attributes(obs), "attribute-wide")
     root = out_root.rstrip("/")
     paths = {}
+    # Duplicate keys per attribute before resolution (one aggregation).
+    dupes = obs.where(F.col("key").isNotNull()).groupBy("attr").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")
+    ).withColumn("n_duplicates", F.col("n_rows") - F.col("n_keys"))
+    paths["duplicates"] = S.write_attribute_csv(dupes, f"{root}/HEED_duplicates")
     for name, stem in ATTRIBUTE_FILES.items():
         paths[name] = S.write_attribute_csv(E1.attribute_table(wide, name), f"{root}/{stem}")
     paths["RENEWABLES"] = S.write_attribute_csv(E1.renewables_table(wide), f"{root}/HEED_ren")
     master = E1.master(wide)
     Q.assert_unique(master, "UPRN")
     paths["master"] = S.write_tsv(master, f"{root}/HEED_s_master")
+    staged_master = spark_read_tsv(master.sparkSession, paths["master"])
+    paths["data_count_summary"] = S.write_attribute_csv(
+        Q.five_number(staged_master, "DATA_COUNT"), f"{root}/HEED_data_count_summary")
+    paths["data_count_frequency"] = S.write_attribute_csv(
+        Q.frequency(staged_master, ["DATA_COUNT"]), f"{root}/HEED_data_count_frequency")
     paths["master_timestamped"] = S.write_tsv(E1.timestamped_master(wide), f"{root}/HEED_s_master_safe_haven")
     return paths
 
 
+def spark_read_tsv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("header", "true").option("sep", "\t").option("escape", '"').csv(path)
+
+
 def load_listed_tables(spark: SparkSession, table_list: DataFrame | Sequence[str],
                        load: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
     """Metadata-driven scan: one table per listed name (the list is small and

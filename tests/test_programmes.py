@@ -286,6 +286,10 @@ def test_runners_end_to_end(spark, e1_inputs, scratch):
                   dictionary=dictionary, home_details=details, address_xref=xref)
     paths = runs.run_attribute_resolution(inputs, scratch)
     assert set(runs.ATTRIBUTE_FILES) <= set(paths) and "master" in paths
+    dupes = {r.attr: int(r.n_duplicates) for r in spark.read.option("header", "true").csv(paths["duplicates"]).collect()}
+    assert dupes["PROPERTY_TENURE"] >= 1  # K1 has several tenure observations
+    summary = spark.read.option("header", "true").csv(paths["data_count_summary"]).first()
+    assert float(summary["min"]) >= 0 and float(summary["max"]) <= 18
 
     def load(name):
         stem = runs.ATTRIBUTE_FILES.get(name, "HEED_ren")
