@@ -57,7 +57,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # e.g. Spark Connect: only the conf is visible
+            root = None
     if not root:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; set it to a shared folder "
@@ -101,7 +104,11 @@ def ensure_parallelism(df: DataFrame, by: list[str] | None = None,
     returned unchanged, so at scale this costs nothing.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # e.g. Spark Connect: no partition metadata; leave the plan as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *by) if by else df.repartition(target)
