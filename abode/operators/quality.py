@@ -42,15 +42,27 @@ def frequency(df: DataFrame, cols: Sequence[str], keep_null: bool = True) -> Dat
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def five_number(df: DataFrame, col: str) -> DataFrame:
-    """min, quartiles, median, max (exact, type-7 interpolation) and mean."""
+def five_number(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """min, quartiles, median, max and mean.
+
+    ``exact`` uses type-7 interpolation (Spark ``percentile``), whose state
+    is a value -> count map merged in one task: right for bounded columns
+    such as DATA_COUNT (at most 19 values). For unbounded columns pass
+    ``exact=False`` (``percentile_approx``, fixed-size sketches).
+    """
     c = F.col(col).cast("double")
+    if exact:
+        def q(p):
+            return F.percentile(c, F.lit(p))
+    else:
+        def q(p):
+            return F.percentile_approx(c, p, accuracy).cast("double")
     return df.agg(
         F.min(c).alias("min"),
-        F.percentile(c, F.lit(0.25)).alias("q1"),
-        F.percentile(c, F.lit(0.5)).alias("median"),
+        q(0.25).alias("q1"),
+        q(0.5).alias("median"),
         F.mean(c).alias("mean"),
-        F.percentile(c, F.lit(0.75)).alias("q3"),
+        q(0.75).alias("q3"),
         F.max(c).alias("max"),
     )
 

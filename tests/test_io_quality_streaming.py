@@ -149,3 +149,9 @@ def test_read_lookup_csv(spark, scratch):
     df = read_lookup_csv(spark, path, {"UPRN": "double", "PCON24CD": "string"})
     assert df.columns == ["UPRN", "PCON24CD"]
     assert sorted(df.collect(), key=lambda r: r.PCON24CD) == [(100000000001.0, "S14000001"), (None, "S14000002")]
+
+
+def test_five_number_approx(spark):
+    df = spark.range(0, 1001).selectExpr("CAST(id AS DOUBLE) AS x")
+    s = Q.five_number(df, "x", exact=False).first()
+    assert (s.min, s.median, s.max) == (0.0, 500.0, 1000.0) and abs(s.q1 - 250.0) <= 1
