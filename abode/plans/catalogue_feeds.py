@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from abode.functions import dates as D
-from abode.functions.numbers import NUMBER_PATTERN
 from abode.plans import attributes as E1
 from abode.plans.catalogue import (_LITERAL_PICK, _PHRASES, _WS, _case, _rules_sql, _squish_sql, _split_select,
                                    _tonum_sql, query, table)
@@ -201,7 +200,6 @@ FROM c"""
 
 query("feed2_cleaning", _feed2_sql())(_feed2)
 
-_ = (F, NUMBER_PATTERN)
 
 
 # -- the whole attribute-resolution programme --------------------------------

@@ -11,8 +11,7 @@ from abode.functions.numbers import to_key, to_number
 
 def _one_col(spark, values, fn, dtype="string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
-    return [r[0] for r in df.select(fn(F.col("v"))).orderBy(df.i).collect()] if False else \
-        [r["o"] for r in df.select("i", fn(F.col("v")).alias("o")).orderBy("i").collect()]
+    return [r["o"] for r in df.select("i", fn(F.col("v")).alias("o")).orderBy("i").collect()]
 
 
 def test_squish_unicode_whitespace(spark):
@@ -101,3 +100,13 @@ def test_warehouse_cap_and_labels(spark):
 def test_not_day_first(spark):
     out = _one_col(spark, ["05/06/2019", "2019-06-05", "", None, "5/6/2019"], D.not_day_first)
     assert out == [False, True, True, True, True]
+
+
+def test_staged_date_steps_match_column_versions(spark):
+    df = spark.createDataFrame([(i, t, p) for i, (t, p, _, _) in enumerate(FEED1_CASES)],
+                               "i int, t string, p string")
+    staged = D.with_dmy_dates(df.withColumn("pd", D.year_start("p")), "t", F.col("pd"), "ts", "y")
+    assert [(r.ts, r.y) for r in staged.orderBy("i").collect()] == [(d, y) for _, _, d, y in FEED1_CASES]
+    df2 = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(FEED2_CASES)], "i int, t string")
+    staged2 = D.with_iso_dates(df2, "t", "ts", "y")
+    assert [(r.ts, r.y) for r in staged2.orderBy("i").collect()] == [(d, y) for _, d, y in FEED2_CASES]
