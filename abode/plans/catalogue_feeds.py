@@ -295,3 +295,76 @@ SELECT *, CAST({data_count} AS INTEGER) AS DATA_COUNT FROM masterm"""
 
 
 query("attribute_master", _attribute_master_sql())(attribute_master)
+
+
+# -- annual claims cleaning (orders as one year's claims worksheet) -----------
+import datetime as _dt  # noqa: E402
+
+from abode.plans import catalogue as _C  # noqa: E402
+from abode.plans import measures as E2  # noqa: E402
+from abode.rules import e2  # noqa: E402
+
+_CLAIMS_AS_OF = _dt.date(2025, 4, 1)
+_CLAIM_OUT = ["o_orderkey", "dupe_check", *e2.GATED_COLUMNS, *e2.ADDON_FLAGS, "FY"]
+
+
+def _claims_select(dialect: str) -> str:
+    cast = "STRING" if dialect == "spark" else "VARCHAR"
+    return ", ".join([
+        "o_orderkey",
+        "CASE WHEN o_orderkey % 23 = 0 THEN 'x' END AS remove_marker",
+        f"CASE WHEN o_orderkey % 5 = 0 THEN concat('U', CAST(o_orderkey AS {cast})) "
+        f"ELSE concat('A', CAST(o_custkey AS {cast})) END AS duplicate_address",
+        f"CASE o_orderkey % 11 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' ' "
+        f"ELSE concat('BT', CAST(o_custkey % 50 AS {cast}), ' 1AA') END AS Postcode",
+        f"{_case('o_orderkey % 20', _C._HOUSE_TYPES)} AS house_type",
+        f"{_case('o_orderkey % 13', _C._TENURES)} AS tenure_raw",
+        f"{_C._YEAR_SPARK.replace('AS STRING', f'AS {cast}')} AS year_built",
+        f"{_case('o_custkey % 13', _C._BEDROOMS)} AS bedrooms_raw",
+        f"{_case('o_orderkey % 9', _C._WALL_CATS)} AS wall_category",
+        f"{_case('o_orderkey % 10', _C._WALL_TYPES)} AS wall_type",
+        f"{_case('o_custkey % 9', _C._LOFT_TEXTS)} AS loft_depth",
+        f"{_case('o_orderkey % 13', _C._FUELS)} AS fuel_before",
+        f"{_case('o_custkey % 13', _C._FUELS)} AS fuel_after",
+        f"{_case('o_orderkey % 9', _C._HEATING)} AS heating_after",
+        f"CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(round(o_totalprice / 1000, 2) AS {cast}) END "
+        f"AS cost_hot_water_jacket",
+        f"CASE WHEN o_orderkey % 4 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 7 - 3 AS {cast}) END AS cost_radiator_panels",
+        f"CAST(o_custkey % 6 AS {cast}) AS bulbs_installed",
+        f"CASE WHEN o_orderkey % 2 = 0 THEN '0' ELSE '12.5' END AS cost_smart_controls",
+        f"CAST(o_orderkey % 5 - 2 AS {cast}) AS cost_water_widget",
+    ])
+
+
+def _claims_cleaning(spark, sf_dir):
+    claims = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(
+        f"SELECT {_claims_select('spark')} FROM orders"))
+    cleaned, _quarantined, _offenders = E2.clean_claims(claims, _CLAIMS_AS_OF, strict=False)
+    return cleaned.select(*_CLAIM_OUT)
+
+
+def _claims_sql() -> str:
+    from abode.functions.dates import fiscal_label
+
+    first = [("PROPERTY_TYPE", e2.PROPERTY_TYPE, e2.ERROR), ("TENURE", e2.TENURE, e2.ERROR),
+             ("PROPERTY_AGE", e2.PROPERTY_AGE, e2.ERROR), ("BEDROOMS", e2.BEDROOMS, e2.ERROR),
+             ("EXTERNAL_WALL_TYPE", e2.EXTERNAL_WALL_TYPE, e2.EXTERNAL_WALL_TYPE_DEFAULT),
+             ("WALL_INS_FILL", e2.WALL_FILL, e2.ERROR), ("LOFT_INSULATION_NI", e2.LOFT_REGIONAL, e2.ERROR),
+             ("LOFT_INSULATION", e2.LOFT_NATIONAL, e2.ERROR), ("MAIN_HEATING_FUEL", e2.FUEL_BEFORE, e2.ERROR),
+             ("FS_FUEL_AFTER", e2.FUEL_AFTER, e2.ERROR), ("MAIN_HEATING_SYSTEM", e2.HEATING_SYSTEM, e2.ERROR)]
+    classes = ", ".join(f"{_rules_sql(r, d)} AS {n}" for n, r, d in first)
+    flags = ", ".join(f"CASE WHEN {_tonum_sql(col)} > 0 THEN '{yes}' ELSE '{no}' END AS {name}"
+                      for name, (col, yes, no) in e2.ADDON_FLAGS.items())
+    return f"""
+WITH src AS (SELECT {_claims_select('duck')} FROM orders),
+unmarked AS (SELECT * FROM src WHERE remove_marker IS NULL),
+sized AS (SELECT *, count(*) OVER (PARTITION BY duplicate_address) AS dupe_check FROM unmarked),
+kept AS (SELECT * FROM sized WHERE NOT (Postcode IS NULL OR coalesce(Postcode IN ('', ' '), false))),
+num AS (SELECT *, {_tonum_sql('year_built')} AS year_built_num FROM kept),
+c1 AS (SELECT *, {classes} FROM num),
+c2 AS (SELECT *, {_rules_sql(e2.WALL_INSULATION, e2.ERROR)} AS WALL_INS, {flags},
+              'FY{fiscal_label(_CLAIMS_AS_OF)}' AS FY FROM c1)
+SELECT {', '.join(_CLAIM_OUT)} FROM c2"""
+
+
+query("claims_cleaning", _claims_sql())(_claims_cleaning)

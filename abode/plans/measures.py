@@ -61,7 +61,7 @@ def clean_claims(claims: DataFrame, as_of: _dt.date, strict: bool = True) -> tup
         "MAIN_HEATING_SYSTEM": classify(e2.HEATING_SYSTEM, e2.ERROR),
     })
     df = df.withColumn("WALL_INS", classify(e2.WALL_INSULATION, e2.ERROR))
-    df = df.withColumns({name: positive_flag(F.col(col).cast("double"), yes, no)
+    df = df.withColumns({name: positive_flag(to_number(col), yes, no)
                          for name, (col, yes, no) in e2.ADDON_FLAGS.items()})
     df = df.withColumn("FY", F.lit("FY" + fiscal_label(as_of)))
     _, offenders = Q.gate(df, e2.GATED_COLUMNS, strict=strict)
