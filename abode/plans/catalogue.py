@@ -1128,7 +1128,8 @@ _CLAIM_SRC = ("SELECT o_orderkey, concat('Customer#', lpad(CAST(o_custkey AS STR
 @query("annual_measure_rows", f"""
 WITH src AS ({_CLAIM_SRC.replace('STRING', 'VARCHAR')}),
 geo AS ({_geo_sql()}),
-names AS (SELECT CAST(n_nationkey AS VARCHAR) AS PCON24CD, n_name AS PCON_NAME FROM nation),
+names AS (SELECT 'E140' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS PCON24CD, n_name AS PCON_NAME
+          FROM nation),
 cl AS (SELECT o_orderkey, Postcode, scheme_name,
          {_rules_sql(e2.PROPERTY_TYPE, e2.ERROR)} AS PROPERTY_TYPE, {_rules_sql(e2.TENURE, e2.ERROR)} AS TENURE,
          CASE WHEN cost_hot_water_jacket > 0 THEN 'Hot Water Tank Insulation'
@@ -1154,8 +1155,8 @@ def _annual_measure_rows(spark, sf_dir):
         positive_flag("cost_hot_water_jacket", *e2.ADDON_FLAGS["HOT_WATER_TANK_INSULATION"][1:])
         .alias("HOT_WATER_TANK_INSULATION"),
         positive_flag("cost_water_widget", *e2.ADDON_FLAGS["WATER_WIDGET"][1:]).alias("WATER_WIDGET"))
-    names = table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS STRING) AS PCON24CD",
-                                                      "n_name AS PCON24NM")
+    names = table(spark, sf_dir, "nation").selectExpr(
+        "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM")
     rows = explode_claim_measures(claims, _geo_spark(spark, sf_dir), names,
                                   measure_cols=["HOT_WATER_TANK_INSULATION", "WATER_WIDGET"])
     return rows.select("o_orderkey", "LAUA_NAME", "PCON_CODE", "PCON_NAME", "PROPERTY_TYPE", "TENURE", "MEASURE",

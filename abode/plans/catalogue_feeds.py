@@ -368,3 +368,77 @@ SELECT {', '.join(_CLAIM_OUT)} FROM c2"""
 
 
 query("claims_cleaning", _claims_sql())(_claims_cleaning)
+
+
+# -- cumulative master refresh ------------------------------------------------
+def _prev_master_select(dialect: str) -> str:
+    cast = "STRING" if dialect == "spark" else "VARCHAR"
+    return ", ".join([
+        "CAST(NULL AS {c}) AS SUB_BUILDING".format(c=cast),
+        f"CAST(o_orderkey % 200 AS {cast}) AS BUILDING_NUM",
+        f"concat(lower(o_orderpriority), ' road , ') AS STREET",
+        f"CAST(NULL AS {cast}) AS LOCALITY",
+        "CASE WHEN o_orderkey % 4 = 0 THEN 'N/A town' ELSE 'o''neill park' END AS TOWN",
+        f"CAST(NULL AS {cast}) AS COUNTY",
+        f"CASE WHEN o_orderkey % 6 = 0 THEN concat('XX', CAST(o_orderkey AS {cast})) "
+        f"ELSE concat('Customer#', lpad(CAST(o_custkey AS {cast}), 9, '0')) END AS POSTCODE",
+        "'OLD' AS PCON_CODE", "'Old name' AS PCON_NAME", "'OLDLA' AS LAUA_CODE", "'Old LA' AS LAUA_NAME",
+        "o_orderstatus AS PROPERTY_TYPE", f"CAST(NULL AS {cast}) AS TENURE", f"CAST(NULL AS {cast}) AS PROPERTY_AGE",
+        "o_orderpriority AS MEASURE", "'Other' AS MEASURE_GROUP",
+        f"concat('FY', CAST(year(o_orderdate) AS {cast})) AS FY", "'S' AS NISEP_SCHEME",
+    ])
+
+
+def _new_rows_select(dialect: str) -> str:
+    cast = "STRING" if dialect == "spark" else "VARCHAR"
+    return ", ".join([
+        "'' AS SUB_BUILDING", f"CAST(o_orderkey % 50 AS {cast}) AS BUILDING_NUM", "'HIGH-STREET , ,' AS STREET",
+        "'' AS LOCALITY", "'belfast' AS TOWN", "'' AS COUNTY",
+        f"concat('Customer#', lpad(CAST(o_custkey AS {cast}), 9, '0')) AS POSTCODE",
+        "'' AS PCON_CODE", "'' AS PCON_NAME", "'' AS LAUA_CODE", "'' AS LAUA_NAME",
+        "o_orderstatus AS PROPERTY_TYPE", "'' AS TENURE", "'' AS PROPERTY_AGE", "o_orderpriority AS MEASURE",
+        "'Heating' AS MEASURE_GROUP", "'FY2425' AS FY", "'S' AS NISEP_SCHEME",
+    ])
+
+
+def _master_refresh(spark, sf_dir):
+    """K-13/K-14: re-geocode the cumulative master (new lookup wins, old value
+    kept when unmatched), append the new year, tidy addresses, sort."""
+    orders = table(spark, sf_dir, "orders", "o_orderkey")
+    prev = orders.where("o_orderdate < DATE'1998-01-01'").selectExpr(
+        *_split_select(f"SELECT {_prev_master_select('spark')} FROM orders"))
+    new = orders.where("o_orderdate >= DATE'1998-01-01'").selectExpr(
+        *_split_select(f"SELECT {_new_rows_select('spark')} FROM orders"))
+    names = table(spark, sf_dir, "nation").selectExpr(
+        "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM")
+    return E2.refresh_master(prev, new, _C._geo_spark(spark, sf_dir), names)
+
+
+def _title_expr_sql(col: str) -> str:
+    from abode.functions.text import TITLE_WORD_PATTERN
+
+    word = TITLE_WORD_PATTERN.replace("'", "''")
+    inner = (f"array_to_string(list_transform(regexp_extract_all(lower(regexp_replace({col}, '[,\\s]*$', '')), "
+             f"'{word}', 1), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '')")
+    return _squish_sql(inner)
+
+
+def _master_refresh_sql() -> str:
+    cols = e2.MASTER_COLUMNS
+    geo_cols = ["LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME"]
+    prev_out = ", ".join(f"coalesce(g.{c}, p.{c}) AS {c}" if c in geo_cols else f"p.{c}" for c in cols)
+    tidy = ", ".join(f"{_title_expr_sql(c)} AS {c}" if c in e2.ADDRESS_COLUMNS else c for c in cols)
+    return f"""
+WITH geo AS ({_C._geo_sql()}),
+names AS (SELECT 'E140' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS PCON24CD, n_name AS PCON_NAME FROM nation),
+geon AS (SELECT g.pcds, g.LAUA_CODE, g.LAUA_NAME, g.PCON_CODE, n.PCON_NAME FROM geo g
+         LEFT JOIN names n ON g.PCON_CODE IS NOT DISTINCT FROM n.PCON24CD),
+prev AS (SELECT {_prev_master_select('duck')} FROM orders WHERE o_orderdate < DATE '1998-01-01'),
+newr AS (SELECT {_new_rows_select('duck')} FROM orders WHERE o_orderdate >= DATE '1998-01-01'),
+prevr AS (SELECT {prev_out} FROM prev p LEFT JOIN geon g
+          ON lower(replace(p.POSTCODE, ' ', '')) IS NOT DISTINCT FROM g.pcds),
+u AS (SELECT {', '.join(cols)} FROM prevr UNION ALL SELECT {', '.join(cols)} FROM newr)
+SELECT {tidy} FROM u"""
+
+
+query("master_refresh", _master_refresh_sql())(_master_refresh)
