@@ -325,3 +325,26 @@ def test_annual_runner(spark, claims, geo_inputs, scratch):
     master = spark.read.parquet(paths["master"])
     assert master.count() > 0 and master.columns == e2.MASTER_COLUMNS
     assert spark.read.option("header", "true").csv(paths["annual"]).count() == master.count()
+
+
+def test_claims_invariants_on_driver_tables(spark):
+    """Kept + blank-postcode rows = unmarked input; quarantine only holds singletons."""
+    from abode.plans import catalogue_feeds as CF
+    from abode.plans.catalogue import _split_select, table
+
+    sf = "/root/testdata/sf0.001"
+    claims = table(spark, sf, "orders").selectExpr(*_split_select(f"SELECT {CF._claims_select('spark')} FROM orders"))
+    cleaned, quarantined, offenders = E2.clean_claims(claims, dt.date(2025, 4, 1), strict=False)
+    unmarked = claims.where("remove_marker IS NULL")
+    blank = unmarked.where("Postcode IS NULL OR Postcode IN ('', ' ')")
+    assert cleaned.count() + blank.count() == unmarked.count()
+    assert quarantined.where("dupe_check <> 1").count() == 0 and quarantined.count() <= blank.count()
+    assert offenders.count() == cleaned.where(" OR ".join(f"{c} = 'ERROR'" for c in e2.GATED_COLUMNS)).count()
+
+
+def test_master_one_row_per_key_on_driver_tables(spark):
+    import __spark_entry__ as entry
+
+    master = entry.entry(spark)
+    assert master.count() == master.select("UPRN").distinct().count()
+    assert master.where("DATA_COUNT < 1 OR DATA_COUNT > 18").count() == 0
