@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abode.functions.numbers import to_number
-from abode.functions.text import WHITESPACE_CLASS
 
 # ---------------------------------------------------------------------------
 # Literal date repairs applied after padding (text -> text).
@@ -80,7 +79,7 @@ def decode_serial(
 
 def trim_ws(c: Column | str) -> Column:
     """Trim Unicode whitespace at both ends."""
-    return F.regexp_replace(_col(c), f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
 
 
 def pad_day_month(c: Column | str) -> Column:
