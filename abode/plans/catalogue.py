@@ -935,7 +935,7 @@ def _warehouse_attribute(spark, sf_dir):
     details = orders.select(F.col("o_custkey").alias("HOMES_HOME_ID"),
                             (F.col("o_orderkey") % 25).alias("DETS_LKP_DET_LKP_ID"),
                             F.col("o_orderdate").alias("DETAIL_DATE"))
-    xref = orders.select(F.col("o_orderkey").alias("UPRN"), F.col("o_custkey").alias("HEED_HOME_ID"))
+    xref = orders.select(F.col("o_orderkey").alias("UPRN"), F.col("o_custkey").alias(e1.XREF_HOME_COLUMN))
     return warehouse_observations(
         homes, dictionary, details, xref,
         [("NATION", "NATION_CODE", "capped"), ("SECOND", "SECOND_CODE", "constant")],
@@ -1141,7 +1141,7 @@ j AS (SELECT cl.*, g.LAUA_CODE, g.LAUA_NAME, g.PCON_CODE, nm.PCON_NAME FROM cl
       LEFT JOIN names nm ON g.PCON_CODE IS NOT DISTINCT FROM nm.PCON24CD),
 u AS (UNPIVOT j ON HOT_WATER_TANK_INSULATION, WATER_WIDGET INTO NAME "COLUMN" VALUE MEASURE)
 SELECT * FROM (SELECT o_orderkey, LAUA_NAME, PCON_CODE, PCON_NAME, PROPERTY_TYPE, TENURE, MEASURE,
-  {_rules_sql(e2.MEASURE_GROUP, e2.ERROR)} AS MEASURE_GROUP, scheme_name AS NISEP_SCHEME FROM u)
+  {_rules_sql(e2.MEASURE_GROUP, e2.ERROR)} AS MEASURE_GROUP, scheme_name AS {e2.SCHEME_COLUMN} FROM u)
 WHERE MEASURE_GROUP <> 'Unknown'""")
 def _annual_measure_rows(spark, sf_dir):
     """K-11 composed: claims -> geography -> constituency names -> unpivot -> group -> drop Unknown."""
@@ -1160,7 +1160,7 @@ def _annual_measure_rows(spark, sf_dir):
     rows = explode_claim_measures(claims, _geo_spark(spark, sf_dir), names,
                                   measure_cols=["HOT_WATER_TANK_INSULATION", "WATER_WIDGET"])
     return rows.select("o_orderkey", "LAUA_NAME", "PCON_CODE", "PCON_NAME", "PROPERTY_TYPE", "TENURE", "MEASURE",
-                       "MEASURE_GROUP", F.col("scheme_name").alias("NISEP_SCHEME"))
+                       "MEASURE_GROUP", F.col("scheme_name").alias(e2.SCHEME_COLUMN))
 
 
 def _split_select(sql: str) -> list[str]:

@@ -221,7 +221,7 @@ def attribute_master(spark, sf_dir):
     details = orders.select(F.col("o_custkey").alias("HOMES_HOME_ID"),
                             (F.col("o_orderkey") % 25).alias("DETS_LKP_DET_LKP_ID"),
                             F.col("o_orderdate").alias("DETAIL_DATE"))
-    xref = orders.select(F.col("o_orderkey").alias("UPRN"), F.col("o_custkey").alias("HEED_HOME_ID"))
+    xref = orders.select(F.col("o_orderkey").alias("UPRN"), F.col("o_custkey").alias(e1.XREF_HOME_COLUMN))
     wh = warehouse_observations(homes, dictionary, details, xref, _WH_ATTRS, _WH_REGION,
                                 e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
                                 e1.SOURCE_WAREHOUSE)
@@ -385,7 +385,7 @@ def _prev_master_select(dialect: str) -> str:
         "'OLD' AS PCON_CODE", "'Old name' AS PCON_NAME", "'OLDLA' AS LAUA_CODE", "'Old LA' AS LAUA_NAME",
         "o_orderstatus AS PROPERTY_TYPE", f"CAST(NULL AS {cast}) AS TENURE", f"CAST(NULL AS {cast}) AS PROPERTY_AGE",
         "o_orderpriority AS MEASURE", "'Other' AS MEASURE_GROUP",
-        f"concat('FY', CAST(year(o_orderdate) AS {cast})) AS FY", "'S' AS NISEP_SCHEME",
+        f"concat('FY', CAST(year(o_orderdate) AS {cast})) AS FY", f"'S' AS {e2.SCHEME_COLUMN}",
     ])
 
 
@@ -397,7 +397,7 @@ def _new_rows_select(dialect: str) -> str:
         f"concat('Customer#', lpad(CAST(o_custkey AS {cast}), 9, '0')) AS POSTCODE",
         "'' AS PCON_CODE", "'' AS PCON_NAME", "'' AS LAUA_CODE", "'' AS LAUA_NAME",
         "o_orderstatus AS PROPERTY_TYPE", "'' AS TENURE", "'' AS PROPERTY_AGE", "o_orderpriority AS MEASURE",
-        "'Heating' AS MEASURE_GROUP", "'FY2425' AS FY", "'S' AS NISEP_SCHEME",
+        "'Heating' AS MEASURE_GROUP", "'FY2425' AS FY", f"'S' AS {e2.SCHEME_COLUMN}",
     ])
 
 

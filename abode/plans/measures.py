@@ -130,8 +130,8 @@ def geography_gate(rows: DataFrame, strict: bool = True) -> DataFrame:
 
 def annual_extract(rows: DataFrame) -> DataFrame:
     """7-column yearly measure extract."""
-    return rows.select(*[c for c in e2.ANNUAL_COLUMNS if c != "NISEP_SCHEME"],
-                       F.col("scheme_name").alias("NISEP_SCHEME"))
+    return rows.select(*[c for c in e2.ANNUAL_COLUMNS if c != e2.SCHEME_COLUMN],
+                       F.col("scheme_name").alias(e2.SCHEME_COLUMN))
 
 
 def department_extract(rows: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def department_extract(rows: DataFrame) -> DataFrame:
         F.col("address_2").alias("LOCALITY"), F.col("address_3").alias("TOWN"), "COUNTY",
         F.col("Postcode").alias("POSTCODE"), "PCON_CODE", "PCON_NAME", "LAUA_CODE", "LAUA_NAME",
         "PROPERTY_TYPE", "TENURE", "PROPERTY_AGE", "MEASURE", "MEASURE_GROUP", "FY",
-        F.col("scheme_name").alias("NISEP_SCHEME"))
+        F.col("scheme_name").alias(e2.SCHEME_COLUMN))
     df = P.blank_nulls(df)
     return df.withColumns({"SUB_BUILDING": X.blank_if_contains("SUB_BUILDING", "N/A"),
                            "TOWN": X.blank_if_contains("TOWN", "N/A")})

@@ -26,14 +26,9 @@ from abode.rules import e1
 from abode.session import stage_table
 from abode.sources.warehouse import warehouse_observations
 
-# Output file stems of the attribute tables, keyed by attribute.
-ATTRIBUTE_FILES = {
-    "PROPERTY_TYPE": "HEED_ptype", "PROPERTY_TENURE": "HEED_pten", "PROPERTY_AGE": "HEED_page",
-    "LOFT_INSULATION": "HEED_lins", "WALL_CONSTRUCTION": "HEED_wins", "FUEL_TYPE": "HEED_ftype",
-    "HEATING_SYSTEM": "HEED_system", "GLAZ_TYPE": "HEED_glaz", "SAP_SCORE": "HEED_sap",
-    "SAP_FUEL_BILL": "HEED_bill", "RIR_INS": "HEED_rir", "FLOOR_INSULATION": "HEED_fins",
-    "FLAT_ROOF_INS": "HEED_flat_roof",
-}
+# Output folder stems of the attribute tables, keyed by attribute.
+ATTRIBUTE_FILES = {name: f"attr_{name.lower()}" for name, *_ in e1.ATTRIBUTES}
+RENEWABLES_FILE = "attr_renewables"
 
 # The 47-column provenance extract contract.
 PROVENANCE_VALUES = [
@@ -70,19 +65,19 @@ def run_attribute_resolution(inputs: dict[str, DataFrame], out_root: str) -> dic
     dupes = obs.where(F.col("key").isNotNull()).groupBy("attr").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")
     ).withColumn("n_duplicates", F.col("n_rows") - F.col("n_keys"))
-    paths["duplicates"] = S.write_attribute_csv(dupes, f"{root}/HEED_duplicates")
+    paths["duplicates"] = S.write_attribute_csv(dupes, f"{root}/duplicate_report")
     for name, stem in ATTRIBUTE_FILES.items():
         paths[name] = S.write_attribute_csv(E1.attribute_table(wide, name), f"{root}/{stem}")
-    paths["RENEWABLES"] = S.write_attribute_csv(E1.renewables_table(wide), f"{root}/HEED_ren")
+    paths["RENEWABLES"] = S.write_attribute_csv(E1.renewables_table(wide), f"{root}/{RENEWABLES_FILE}")
     master = E1.master(wide)
     Q.assert_unique(master, "UPRN")
-    paths["master"] = S.write_tsv(master, f"{root}/HEED_s_master")
+    paths["master"] = S.write_tsv(master, f"{root}/property_master")
     staged_master = spark_read_tsv(master.sparkSession, paths["master"])
     paths["data_count_summary"] = S.write_attribute_csv(
-        Q.five_number(staged_master, "DATA_COUNT"), f"{root}/HEED_data_count_summary")
+        Q.five_number(staged_master, "DATA_COUNT"), f"{root}/data_count_summary")
     paths["data_count_frequency"] = S.write_attribute_csv(
-        Q.frequency(staged_master, ["DATA_COUNT"]), f"{root}/HEED_data_count_frequency")
-    paths["master_timestamped"] = S.write_tsv(E1.timestamped_master(wide), f"{root}/HEED_s_master_safe_haven")
+        Q.frequency(staged_master, ["DATA_COUNT"]), f"{root}/data_count_frequency")
+    paths["master_timestamped"] = S.write_tsv(E1.timestamped_master(wide), f"{root}/property_master_timestamped")
     return paths
 
 
@@ -119,7 +114,7 @@ def run_provenance_extract(master: DataFrame, tables: dict[str, DataFrame], popu
     ).first().asDict()
     report["rows_in_duplicated_keys"] = duplicated_rows(in_population(master, population, "UPRN"), "UPRN").count()
     report["rows_after_dedup"] = extract.count()
-    path = S.write_quoted_csv(extract, S.dated_path(out_root, "HEED_safe_haven_extract", as_of))
+    path = S.write_quoted_csv(extract, S.dated_path(out_root, "provenance_extract", as_of))
     return path, report
 
 
@@ -138,10 +133,10 @@ def run_annual_measures(
     E2.geography_gate(rows, strict=strict)
     paths = {
         "quarantine": S.write_attribute_csv(quarantined, f"{root}/quarantine_FY-{label}"),
-        "annual": S.write_quoted_csv(E2.annual_extract(rows), f"{root}/ni_fy-{label}", encoding=encoding),
+        "annual": S.write_quoted_csv(E2.annual_extract(rows), f"{root}/annual_measures_FY-{label}", encoding=encoding),
     }
     new = E2.department_extract(rows)
     master = E2.refresh_master(previous_master, new, geo, pcon_lookup, replace_label=replace_label)
-    paths["master"] = S.publish(master, f"{root}/dfe_full_heed_data", as_of)
-    paths["history"] = S.publish(E2.append_history(previous_history, new), f"{root}/ni_dfe_full_historic", as_of)
+    paths["master"] = S.publish(master, f"{root}/measures_master", as_of)
+    paths["history"] = S.publish(E2.append_history(previous_history, new), f"{root}/measures_history", as_of)
     return paths

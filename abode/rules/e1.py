@@ -17,6 +17,9 @@ SOURCE_FEED1 = "HEEPS ABS"
 SOURCE_FEED2 = "Warmer Homes Scotland"
 SOURCE_RANK = {SOURCE_WAREHOUSE: 0, SOURCE_FEED1: 1, SOURCE_FEED2: 2}
 
+# The address cross-reference's home-id column (input schema).
+XREF_HOME_COLUMN = "HEED_HOME_ID"
+
 # Measure-fill markers and junk keys.
 NON_ECO_MARKERS = ("non-ecofundedmeasure", "non-eco funded measure")
 JUNK_KEYS = ("", " ", "#N/A", "NA")

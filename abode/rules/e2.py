@@ -236,12 +236,13 @@ GATED_COLUMNS = [
 ]
 
 # Output contracts.
+SCHEME_COLUMN = "NISEP_SCHEME"
 ANNUAL_COLUMNS = ["LAUA_NAME", "PCON_CODE", "PROPERTY_TYPE", "TENURE", "MEASURE", "MEASURE_GROUP",
-                  "NISEP_SCHEME"]
+                  SCHEME_COLUMN]
 MASTER_COLUMNS = [
     "SUB_BUILDING", "BUILDING_NUM", "STREET", "LOCALITY", "TOWN", "COUNTY", "POSTCODE",
     "PCON_CODE", "PCON_NAME", "LAUA_CODE", "LAUA_NAME", "PROPERTY_TYPE", "TENURE",
-    "PROPERTY_AGE", "MEASURE", "MEASURE_GROUP", "FY", "NISEP_SCHEME",
+    "PROPERTY_AGE", "MEASURE", "MEASURE_GROUP", "FY", SCHEME_COLUMN,
 ]
 HISTORY_COLUMNS = {
     "Local Authority": "LAUA_NAME",

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abode.functions.dates import cap_year
+from abode.rules import e1
 
 
 def warehouse_observations(
@@ -29,7 +30,7 @@ def warehouse_observations(
     constant_date: str = "2000-12-31",
     cap_after_year: int = 2015,
     cap_date: str = "2000-01-01",
-    source: str = "HEED Pre-2015",
+    source: str = e1.SOURCE_WAREHOUSE,
     home_id: str = "HOME_ID",
     region_col: str = "GOV_REG_CODE",
     dict_code: str = "DETAIL_LOOKUP_CODE",
@@ -38,7 +39,7 @@ def warehouse_observations(
     detail_code: str = "DETS_LKP_DET_LKP_ID",
     detail_date: str = "DETAIL_DATE",
     xref_key: str = "UPRN",
-    xref_home: str = "HEED_HOME_ID",
+    xref_home: str = e1.XREF_HOME_COLUMN,
     dictionary_bounded: bool = True,
 ) -> DataFrame:
     """``attributes`` = [(attr name, code column, "constant" | "capped"), ...]."""

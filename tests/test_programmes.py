@@ -75,7 +75,7 @@ def e1_inputs(spark):
         (1, "20", dt.date(2014, 1, 1)), (2, "20", dt.date(2014, 6, 5)), (1, "93", dt.date(2017, 1, 1)),
         (1, "91", dt.date(2013, 1, 1)), (3, "20", dt.date(2014, 1, 1))],
         "HOMES_HOME_ID long, DETS_LKP_DET_LKP_ID string, DETAIL_DATE date")
-    xref = spark.createDataFrame([(K1, 1), (K6, 2), (K3, 3)], "UPRN long, HEED_HOME_ID long")
+    xref = spark.createDataFrame([(K1, 1), (K6, 2), (K3, 3)], f"UPRN long, {e1.XREF_HOME_COLUMN} long")
     return db, sheet, lookup, feed2, homes, dictionary, details, xref
 
 
@@ -292,7 +292,7 @@ def test_runners_end_to_end(spark, e1_inputs, scratch):
     assert float(summary["min"]) >= 0 and float(summary["max"]) <= 18
 
     def load(name):
-        stem = runs.ATTRIBUTE_FILES.get(name, "HEED_ren")
+        stem = runs.ATTRIBUTE_FILES.get(name, runs.RENEWABLES_FILE)
         return (spark.read.option("header", "true").option("nullValue", "NA").option("escape", '"')
                 .csv(f"{scratch}/{stem}").withColumn("UPRN", F.col("UPRN").cast("long")))
 
