@@ -202,10 +202,15 @@ def resolve_attributes(obs: DataFrame) -> DataFrame:
 
 
 def attribute_table(wide: DataFrame, name: str) -> DataFrame:
-    """Per-attribute output table (UPRN, TIMESTAMP, <value>, SOURCE)."""
+    """Per-attribute output table: (UPRN, TIMESTAMP, <value>, SOURCE), or
+    (UPRN, TIMESTAMP, SOURCE, <score>) with whole scores written as integers
+    for the two numeric attributes."""
     spec = {s.name: s for s in attribute_specs()}[name]
-    return wide.where(F.col(f"SOURCE_{name}").isNotNull()).select(
-        "UPRN", F.col(f"TIMESTAMP_{name}").alias("TIMESTAMP"), spec.out, F.col(f"SOURCE_{name}").alias("SOURCE"))
+    rows = wide.where(F.col(f"SOURCE_{name}").isNotNull())
+    ts, src = F.col(f"TIMESTAMP_{name}").alias("TIMESTAMP"), F.col(f"SOURCE_{name}").alias("SOURCE")
+    if spec.numeric:
+        return rows.select("UPRN", ts, src, _number_text(spec.out).alias(spec.out))
+    return rows.select("UPRN", ts, F.col(spec.out), src)
 
 
 def renewables_table(wide: DataFrame) -> DataFrame:

@@ -348,3 +348,9 @@ def test_master_one_row_per_key_on_driver_tables(spark):
     master = entry.entry(spark)
     assert master.count() == master.select("UPRN").distinct().count()
     assert master.where("DATA_COUNT < 1 OR DATA_COUNT > 18").count() == 0
+
+
+def test_numeric_attribute_table(e1_wide):
+    t = E1.attribute_table(e1_wide[2], "SAP_SCORE")
+    assert t.columns == ["UPRN", "TIMESTAMP", "SOURCE", "SAP_SCORE"]
+    assert {r.UPRN: r.SAP_SCORE for r in t.collect()}[K1] == "70"
