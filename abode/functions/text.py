@@ -37,6 +37,21 @@ def lower_squish(c: Column | str) -> Column:
     return squish(F.lower(_col(c)))
 
 
+# The Unicode White_Space code points of WHITESPACE_CLASS, as a Spark SQL literal.
+_WS_CODEPOINTS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                  0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+_WS_LITERAL = "".join(f"\\u{cp:04X}" for cp in _WS_CODEPOINTS)
+
+
+def lower_trim_unicode(name: str) -> Column:
+    """lower + trim Unicode whitespace at both ends, without a regex.
+
+    For a value only ever compared with a single word (a yes/no cell),
+    ``lower_trim_unicode(c) == "yes"`` exactly when ``lower_squish(c) == "yes"``.
+    """
+    return F.expr(f"TRIM(BOTH '{_WS_LITERAL}' FROM lower(`{name}`))")
+
+
 def is_blank(c: Column | str) -> Column:
     """NULL, "" or a single space. Never NULL itself."""
     c = _col(c)

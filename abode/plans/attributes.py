@@ -134,9 +134,12 @@ def clean_feed2(sheet: DataFrame) -> DataFrame:
     df = D.with_iso_dates(df, "`Master Completion Date`")
     flags = {h: flag_col for h in e1.FEED2_FLAG_HEADERS if (flag_col := e1.flag_name(h))}
     text_cols = ["Tenure", *[h for h in e1.FEED2_FLAG_HEADERS if h in df.columns]]
+    # Yes/no cells are only compared with "yes": trimming Unicode whitespace
+    # gives the same answers as a full squish, without a regex per cell.
     df = df.select(
         "UPRN", "TIMESTAMP", "YEAR", "seq",
-        *[X.lower_squish(F.col(f"`{h}`")).alias(flags.get(h, "tenure")) for h in text_cols],
+        X.lower_squish(F.col("Tenure")).alias("tenure"),
+        *[X.lower_trim_unicode(h).alias(flags[h]) for h in text_cols if h != "Tenure"],
         *[to_number(F.col(f"`{src}`")).alias(name) for name, src in e1.FEED2_NUMERIC_HEADERS.items()
           if src in df.columns])
     for h in e1.FEED2_FLAG_HEADERS:  # absent yes/no columns behave as all-missing
