@@ -354,3 +354,28 @@ def test_numeric_attribute_table(e1_wide):
     t = E1.attribute_table(e1_wide[2], "SAP_SCORE")
     assert t.columns == ["UPRN", "TIMESTAMP", "SOURCE", "SAP_SCORE"]
     assert {r.UPRN: r.SAP_SCORE for r in t.collect()}[K1] == "70"
+
+
+@pytest.mark.parametrize("raw,value,gated", [
+    ("house_type", "Terrace", "PROPERTY_TYPE"),
+    ("tenure_raw", "council", "TENURE"),
+    ("year_built", "1600", "PROPERTY_AGE"),
+    ("bedrooms_raw", "eleven", "BEDROOMS"),
+    ("wall_category", "Loft", "WALL_INS"),
+    ("wall_type", "mixed", "WALL_INS_FILL"),
+    ("loft_depth", "Loft Insulation 0 - 270mm", "LOFT_INSULATION_NI"),
+    ("loft_depth", "Loft Insulation 25-300mm", "LOFT_INSULATION"),
+    ("fuel_before", "Foil", "MAIN_HEATING_FUEL"),
+    ("fuel_after", "wood", "FS_FUEL_AFTER"),
+    ("heating_after", "", "MAIN_HEATING_SYSTEM"),
+])
+def test_each_gate_fires_once(spark, claims, raw, value, gated):
+    from abode.operators.quality import gate_counts
+
+    planted = claims.withColumn(raw, F.when(F.col("duplicate_address") == "a", F.lit(value)).otherwise(F.col(raw)))
+    cleaned, _, offenders = E2.clean_claims(planted, dt.date(2025, 4, 1), strict=False)
+    counts = gate_counts(cleaned, e2.GATED_COLUMNS).first().asDict()
+    assert counts == {c: (1 if c == gated else 0) for c in e2.GATED_COLUMNS}
+    assert offenders.count() == 1
+    clean_counts = gate_counts(E2.clean_claims(claims, dt.date(2025, 4, 1), strict=False)[0], e2.GATED_COLUMNS)
+    assert sum(clean_counts.first().asDict().values()) == 0  # silent on the unplanted claims
