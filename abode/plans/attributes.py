@@ -72,8 +72,11 @@ CATEGORY_COLUMNS = ["PROPERTY_TYPE_NAME", "TENURE_NAME", "PROPERTY_AGE_NAME", "L
 
 
 def _with_seq(df: DataFrame) -> DataFrame:
-    """Keep a landed ``seq`` column, or number rows in scan order."""
-    return df if "seq" in df.columns else df.withColumn("seq", F.monotonically_increasing_id())
+    """Keep a landed ``seq`` column (as a number, even when landed as text),
+    or number rows in scan order."""
+    if "seq" in df.columns:
+        return df.withColumn("seq", F.col("seq").try_cast("long"))
+    return df.withColumn("seq", F.monotonically_increasing_id())
 
 
 def _number_text(c: str):
@@ -93,7 +96,7 @@ def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame)
         F.col("TENURE").cast("string").alias("TENURE"), F.col("MEASURE").cast("string").alias("MEASURE"),
         F.col("Non_ECO_Measure").cast("string").alias("Non_ECO_Measure"),
         X.strip_postcode_noise(F.upper(F.col("POSTCODE").cast("string"))).alias("POSTCODE"),
-        F.col("seq").cast("long").alias("seq"))
+        F.col("seq").try_cast("long").alias("seq"))
     sh = _with_seq(normalise_headers(sheet))
     sh = sh.withColumnsRenamed({k: v for k, v in FEED1_SHEET_RENAMES.items() if k in sh.columns})
     sh = sh.select("UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure", "POSTCODE",
