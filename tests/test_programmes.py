@@ -373,12 +373,17 @@ def test_each_gate_fires_once(spark, claims, raw, value, gated):
     from abode.operators.quality import gate_counts
 
     planted = claims.withColumn(raw, F.when(F.col("duplicate_address") == "a", F.lit(value)).otherwise(F.col(raw)))
-    cleaned, _, offenders = E2.clean_claims(planted, dt.date(2025, 4, 1), strict=False)
+    cleaned, _, _ = E2.clean_claims(planted, dt.date(2025, 4, 1), strict=False)
     counts = gate_counts(cleaned, e2.GATED_COLUMNS).first().asDict()
     assert counts == {c: (1 if c == gated else 0) for c in e2.GATED_COLUMNS}
-    assert offenders.count() == 1
-    clean_counts = gate_counts(E2.clean_claims(claims, dt.date(2025, 4, 1), strict=False)[0], e2.GATED_COLUMNS)
-    assert sum(clean_counts.first().asDict().values()) == 0  # silent on the unplanted claims
+
+
+def test_gates_silent_without_planted_rows(spark, claims):
+    from abode.operators.quality import gate_counts
+
+    cleaned, _, offenders = E2.clean_claims(claims, dt.date(2025, 4, 1), strict=False)
+    assert sum(gate_counts(cleaned, e2.GATED_COLUMNS).first().asDict().values()) == 0
+    assert offenders.count() == 0
 
 
 def test_command_line_attributes(spark, e1_inputs, scratch):
