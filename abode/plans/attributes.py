@@ -91,12 +91,12 @@ def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame)
     Output: UPRN, PCON_CODE, TIMESTAMP, YEAR, SOURCE, seq + CATEGORY_COLUMNS.
     Rows need a constituency (inner join on the property key).
     """
-    db = db_extract.select(
+    db = _with_seq(db_extract).select(
         F.col("UPRN").cast("string").alias("UPRN"), F.col("TIMESTAMP").cast("string").alias("TIMESTAMP"),
         F.col("TENURE").cast("string").alias("TENURE"), F.col("MEASURE").cast("string").alias("MEASURE"),
         F.col("Non_ECO_Measure").cast("string").alias("Non_ECO_Measure"),
         X.strip_postcode_noise(F.upper(F.col("POSTCODE").cast("string"))).alias("POSTCODE"),
-        F.col("seq").try_cast("long").alias("seq"))
+        F.col("seq"))
     sh = _with_seq(normalise_headers(sheet))
     sh = sh.withColumnsRenamed({k: v for k, v in FEED1_SHEET_RENAMES.items() if k in sh.columns})
     sh = sh.select("UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure", "POSTCODE",

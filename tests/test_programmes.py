@@ -410,3 +410,9 @@ def test_command_line_attributes(spark, e1_inputs, scratch):
                                e1.WAREHOUSE_REGION))))
     assert sorted(tuple(v or "" for v in r) for r in master.collect()) == sorted(
         tuple(str(v) for v in r) for r in expected.collect())  # empty TSV fields read back as NULL
+
+
+def test_feed1_without_landing_sequence(e1_inputs):
+    db, sheet, lookup = e1_inputs[:3]
+    out = E1.clean_feed1(db.drop("seq"), sheet.drop("seq"), lookup)
+    assert out.select("UPRN").distinct().count() == 3 and out.where("seq IS NULL").count() == 0
