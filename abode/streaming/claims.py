@@ -10,7 +10,9 @@ Exactly-once output: every micro-batch writes to its own ``batch=<id>``
 folder with overwrite, so a batch replayed after a failure replaces its own
 output instead of duplicating it. Gates run in lenient mode inside the
 stream (offending rows are routed to ``offenders/``) because halting a
-stream on one bad cell would block every later file.
+stream on one bad cell would block every later file. Files are expected
+in the landing folder without the worksheet's banner line (the landing step
+that converts the workbook drops it; ``read_landed`` handles it in batch).
 """
 
 from __future__ import annotations
