@@ -8,6 +8,6 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 def test_every_inventory_id_is_mapped():
     sys.path.insert(0, os.path.join(ROOT, "tools"))
-    import coverage as cov  # tools/coverage.py
+    import coverage_map as cov  # tools/coverage_map.py
 
     assert cov.main() == 0

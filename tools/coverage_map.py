@@ -193,7 +193,7 @@ def main() -> int:
         print("unmapped:", missing)
         return 1
     out = ["# COVERAGE — SURVEY section 2, line by line", "",
-           "Generated by `tools/coverage.py`. Backticked names in the last column are "
+           "Generated by `tools/coverage_map.py`. Backticked names in the last column are "
            "`__spark_entry__` queries (checked against DuckDB SQL); other names are pytest tests.", "",
            "| ID | Implementation | Checked by |", "| --- | --- | --- |"]
     out += [f"| {i} | {MAP[i][0]} | {MAP[i][1]} |" for i in ids]
