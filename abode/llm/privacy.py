@@ -9,6 +9,8 @@ even where the entity itself is masked, so it is generalised or removed too.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +66,14 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add) % 10 == 0
 
 
+def _per_kind(kinds: Sequence[str], fn: Callable[[str, Column], Column]) -> Column:
+    """``fn`` of kind and span for the spans of all ``kinds``, in one array."""
+    def of(kind: str) -> Column:
+        return F.transform(kind, lambda span: fn(kind, span))
+
+    return F.concat(*map(of, kinds))
+
+
 def _none() -> Column:
     return F.array().cast(SPAN)
 
@@ -118,8 +128,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     text = F.coalesce(col(text_col), F.lit(""))
     scan = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     based = scan.select("id", "text_hash", "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    every = F.concat(*[F.transform(k, lambda s, k=k: F.struct(F.concat(F.lit(f"{k}:"), F.lower(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end")))
-                       for k in KINDS[:-1]])
+    entity = lambda k, s: F.concat(F.lit(f"{k}:"), F.lower(s["value"])).alias("entity")
+    every = _per_kind(KINDS[:-1], lambda k, s: F.struct(entity(k, s), s["start"].alias("start"), s["end"].alias("end")))
     near = F.transform(every, lambda s: F.struct(s["entity"].alias("entity"), _nearby(F.col("text"), s).alias("words")))
     found = stage(based.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("doc_key"), *KINDS[:-1],
                                F.when(F.size(every) > 0, near).alias("near")))
@@ -151,10 +161,9 @@ def _disclosing(texts: DataFrame, total: int, uses: DataFrame, threshold: float,
             .select("entity", "term", (mutual / information).alias("disclosure")))
 
 
-def span_text(kinds: list[str]) -> Column:
+def span_text(kinds: Sequence[str]) -> Column:
     """``kind:start:end`` by kind as listed, then start, joined by commas."""
-    return F.array_join(F.concat(*[F.transform(k, lambda s, k=k: F.concat(F.lit(f"{k}:"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string")))
-                                   for k in kinds]), ",")
+    return F.array_join(_per_kind(kinds, lambda k, s: F.concat_ws(":", F.lit(k), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: bool = True, **options) -> DataFrame:
@@ -163,7 +172,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ge
     the one that starts first is replaced. A null text stays null."""
     found = find_personal_data(docs, id_col, text_col, **options)
     mark = lambda k: F.lit("" if k == "term" and not generalise else f"[{k}]")
-    every = F.array_sort(F.concat(*[F.transform(k, lambda s, k=k: F.struct(s["start"].alias("start"), s["end"].alias("end"), mark(k).alias("mark"))) for k in KINDS]))
+    every = F.array_sort(_per_kind(KINDS, lambda k, s: F.struct(s["start"].alias("start"), s["end"].alias("end"), mark(k).alias("mark"))))
     marks = (found.select("doc_key", every.alias("marks")).filter(F.size("marks") > 0)
              .groupBy("doc_key").agg(F.first("marks").alias("marks")))
     text = F.coalesce(col(text_col), F.lit(""))
