@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import chat, decontamination, mixing, ngram_join, privacy, quality, secret_scan, sharding, url_filter
+from abode.llm import chat, decontamination, mixing, ngram_join, privacy, quality, secret_scan, sharding, suffix_dedup, url_filter
 from abode.llm.common import table
 
 #: Fixed values of the url rules: verdict, host, path.
@@ -39,6 +39,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(docs, size=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, keep_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", own), (-1, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
@@ -78,6 +83,7 @@ QUERIES = {
     "op2_interleaved_shards": op2_interleaved_shards,
     "op3_decontamination": op3_decontamination,
     "op4_ngram_join": op4_ngram_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_chat_format": op6_chat_format,
     "op7_secret_scan": op7_secret_scan,
     "op8_source_mix": op8_source_mix,
