@@ -18,15 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a slim frame in the shared checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names in ``spark.checkpoint.dir``.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``; only a
-    session without it (tests, a laptop) gets a temporary one.
+    Only a session without one (tests, a laptop) gets a temporary folder.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="abode-checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="abode-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a slim frame in the shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
