@@ -26,10 +26,11 @@ THRESHOLD = 0.9
 BROADCAST_TERMS = 50_000
 
 #: The base patterns (fixed). Possessive and look-behind parts change no match:
-#: a run that fails from its start fails from inside too, so it is tried once.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
-IP = r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
-CARD = r"[0-9]([\x20-]?[0-9])+"
+#: a run that fails from its start fails from inside too, so it is tried once, and
+#: long runs need no stack.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
+CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"(?<![\p{L}\p{M}\p{N}])[\p{L}\p{M}]{4,}(?![\p{L}\p{M}\p{N}])"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -148,17 +149,22 @@ def _disclosing(texts: DataFrame, total: int, uses: DataFrame, threshold: float,
     joint = (uses.filter("word is not null").select("entity", F.col("word.value").alias("term"), "doc_key", "text_hash").distinct()
              .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint_docs"), F.count_distinct("text_hash").alias("support"))
              .filter(F.col("support") >= min_support))
-    joint = stage(joint)
+    # A term is in at least as many documents as it is near entities; that alone rules common words out.
+    near = (uses.filter("word is not null").select(F.col("word.value").alias("term"), "doc_key").distinct()
+            .groupBy("term").agg(F.count(F.lit(1)).alias("near_docs")))
+    information = F.log(F.lit(float(total)) / F.col("entity_docs"))
+    mutual = lambda docs_with_term: F.log(F.col("joint_docs") * F.lit(float(total)) / (F.col("entity_docs") * docs_with_term))
+    joint = stage(joint.join(entities, "entity").join(near, "term")
+                  .filter((information > 0) & (mutual(F.col("near_docs")) >= threshold * information)).drop("near_docs"))
     wanted = joint.select("term").distinct()
     words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
     if wanted.count() <= BROADCAST_TERMS:
         counted = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
     else:
         counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("term_docs")).join(wanted, "term", "left_semi")
-    information = F.log(F.lit(float(total)) / F.col("entity_docs"))
-    mutual = F.log(F.col("joint_docs") * F.lit(float(total)) / (F.col("entity_docs") * F.col("term_docs")))
-    return (joint.join(entities, "entity").join(counted, "term").filter((information > 0) & (mutual >= threshold * information))
-            .select("entity", "term", (mutual / information).alias("disclosure")))
+    reached = mutual(F.col("term_docs"))
+    return (joint.join(counted, "term").filter(reached >= threshold * information)
+            .select("entity", "term", (reached / information).alias("disclosure")))
 
 
 def span_text(kinds: Sequence[str]) -> Column:
