@@ -7,7 +7,7 @@ the bytes before it, shows all strings that have the anchor.
 
 1. Anchors whose gram occurs once are dropped; no string there repeats.
 2. Tasks sort the suffixes of the others into runs, fold equal ones, and
-   exchange the runs front-coded, dealt by range of the gram's hash.
+   exchange the runs front-coded and packed, dealt by range of the gram's hash.
 3. A loser tree merges the runs of a range. It knows the common prefix of each
    head with the last output and never compares inside it. Suffixes with one gram
    come out together; those that match an earlier one on both sides of the
@@ -23,6 +23,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ BACK = LENGTH - GRAM
 #: A suffix with its bytes before, and the lengths of both.
 WIDTH = LENGTH + BACK + 2
 #: Bytes whose anchors are looked for at once, and suffixes in a run.
-CHUNK, RUN = 1 << 20, 200_000
+CHUNK, RUN = 1 << 18, 50_000
+#: Bytes of texts laid out at once; one longer text goes alone.
+GROUP = 4 << 20
 RANGES_PER_PARTITION = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,12 +72,13 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     Works through ``CHUNK`` starts of strings at a time; only strings inside one text count.
     """
     places, hashes = [], []
-    until = np.repeat(ends, np.diff(np.concatenate(([0], ends))))
     for first in range(0, max(0, len(text) - LENGTH + 1), CHUNK):
         h = _gram_hashes(text[first:first + CHUNK + LENGTH - 1])
         least = _sliding(h, BACK + 1, np.minimum)
-        starts = np.arange(first, first + len(least))
-        least = np.where(starts + LENGTH <= until[starts], least, 0)
+        last = first + len(least)
+        inner = ends[np.searchsorted(ends, first, side="right"):np.searchsorted(ends, last + LENGTH, side="left")]
+        for end in inner.tolist():  # strings that would run over the end of a text
+            least[max(0, end - LENGTH + 1 - first):max(0, end - first)] = 0
         # A gram is an anchor if it is the least of any string that it lies in.
         pad = np.zeros(BACK, np.uint64)
         chosen = (_sliding(np.concatenate((pad, least, pad)), BACK + 1, np.maximum) == h) & (h > 0)
@@ -92,6 +96,18 @@ def _laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), ends
 
 
+def _groups(texts: list[bytes]) -> Iterator[slice]:
+    """Neighbouring texts of ``GROUP`` bytes together, or one."""
+    first, room = 0, GROUP
+    for k, text in enumerate(texts):
+        if len(text) > room and k > first:
+            yield slice(first, k)
+            first, room = k, GROUP
+        room -= len(text)
+    if texts:
+        yield slice(first, len(texts))
+
+
 def _in_ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
 
@@ -114,10 +130,13 @@ def _anchor_rows(ranges: int):
         for batch in batches:
             order = np.argsort(batch.column(0).to_numpy(), kind="stable")
             ids, raw = batch.column(0).to_numpy()[order], as_bytes(batch.column(1))
-            text, ends = _laid_out([raw[i] for i in order])
-            places, hashes = anchors(text, ends)
-            doc = np.searchsorted(ends, places, side="right")
-            inside = places - np.concatenate(([0], ends[:-1]))[doc]
+            raw, found = [raw[i] for i in order], []
+            for part in _groups(raw):
+                text, ends = _laid_out(raw[part])
+                places, hashes = anchors(text, ends)
+                doc = np.searchsorted(ends, places, side="right")
+                found.append((doc + part.start, places - np.concatenate(([0], ends[:-1]))[doc], hashes))
+            doc, inside, hashes = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
             out = []
             for bucket, part in _by_range(_in_ranges(hashes, ranges), ranges):
                 high = (hashes[part] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
@@ -134,8 +153,12 @@ def _empty_anchor_rows() -> pa.RecordBatch:
 
 def _rows_by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
     """Rows of sorted batches, one bucket at a time."""
-    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
-    for bucket, group in groupby(rows, key=lambda r: r[0]):
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield tuple(column[k].as_py() for column in batch.columns)
+
+    for bucket, group in groupby(rows(), key=lambda r: r[0]):
         yield bucket, list(group)
 
 
@@ -160,8 +183,8 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def _suffixes(text: np.ndarray, places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """For each anchor: the suffix, the bytes before it backwards, and how long they are."""
     out = np.zeros((len(places), WIDTH), np.uint8)
-    for first in range(0, len(places), 20_000):
-        part = slice(first, first + 20_000)
+    for first in range(0, len(places), 4_000):
+        part = slice(first, first + 4_000)
         p = places[part, None]
         after = p + np.arange(LENGTH)
         right = after < ends[part, None]
@@ -197,16 +220,19 @@ def _sorted_runs(ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, marks = (batch.column(c).to_numpy() for c in (0, 1))
-            text, ends = _laid_out(as_bytes(batch.column(2)))
-            starts = np.concatenate(([0], ends[:-1]))
+            raw = as_bytes(batch.column(2))
+            sizes = np.array([len(t) for t in raw])
             per_doc = [np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in packs])) for packs in batch.column(3).to_pylist()]
             doc = np.repeat(np.arange(len(per_doc)), [len(p) for p in per_doc])
             inside = np.concatenate([*per_doc, np.zeros(0, np.int32)]).astype(np.int64)
-            fits = inside + GRAM <= (ends - starts)[doc]  # rows may share an id but not a text
+            fits = inside + GRAM <= sizes[doc]  # rows may share an id but not a text
             doc, inside = doc[fits], inside[fits]
             for first in range(0, len(doc), RUN):
                 d, x = doc[first:first + RUN], inside[first:first + RUN]
-                keys = _suffixes(text, x + starts[d], starts[d], ends[d])
+                held = slice(d[0], d[-1] + 1)
+                text, ends = _laid_out(raw[held])
+                starts, at = np.concatenate(([0], ends[:-1])), d - d[0]
+                keys = _suffixes(text, x + starts[at], starts[at], ends[at])
                 gram = _gram_hash_of(keys[:, :GRAM])
                 order = np.lexsort((x, marks[d], ids[d]))
                 order = order[np.argsort(keys[order].view(f"S{WIDTH}").ravel(), kind="stable")]
@@ -216,7 +242,7 @@ def _sorted_runs(ranges: int):
                     new = np.concatenate(([True], (keys[rows[1:]] != keys[rows[:-1]]).any(axis=1)))
                     common, rest = front_coded(keys[rows[new]])
                     folded = np.diff(np.append(np.flatnonzero(new), len(rows)))
-                    out.append((bucket, common.tobytes(), rest.tobytes(), _packed(folded, np.int32), _packed(ids[d[rows]], np.int64),
+                    out.append((bucket, common.tobytes(), pa.compress(rest.tobytes(), "zstd", asbytes=True), _packed(folded, np.int32), _packed(ids[d[rows]], np.int64),
                                 _packed(marks[d[rows]], np.int64), _packed(x[rows], np.int32)))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*out), _RUN)], names=[n for n, _ in _RUN])
@@ -240,8 +266,9 @@ def _common_from(a: bytes, b: bytes, known: int) -> int:
     return n
 
 
-def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[bytes, int, int, int]]:
-    """Merge sorted runs of (keys, common prefixes with the key before).
+def merge_runs(runs: list[tuple[bytes, bytes]]) -> Iterator[tuple[bytes, int, int, int]]:
+    """Merge sorted runs, each of which has its keys one after another and, as a byte
+    for each, the common prefix with the key before.
 
     Yields key, common prefix with the key that came out before, run, and place in the
     run. A loser remembers its common prefix with the winner it lost to, which is the
@@ -251,7 +278,7 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[byte
     size = 1
     while size < len(runs):
         size *= 2
-    heads: list[bytes | None] = [keys[0] if keys else None for keys, _ in runs] + [None] * (size - len(runs))
+    heads: list[bytes | None] = [keys[:WIDTH] or None for keys, _ in runs] + [None] * (size - len(runs))
     shared, at, losers = [0] * size, [0] * size, [0] * size
 
     def play(a: int, b: int) -> tuple[int, int]:
@@ -280,10 +307,9 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[byte
         yield heads[best], shared[best], best, at[best]
         keys, common = runs[best]
         at[best] += 1
-        if at[best] < len(keys):
-            heads[best], shared[best] = keys[at[best]], common[at[best]]
-        else:
-            heads[best] = None
+        heads[best] = keys[at[best] * WIDTH:(at[best] + 1) * WIDTH] or None
+        if heads[best] is not None:
+            shared[best] = common[at[best]]
         node = (best + size) // 2
         while node:
             best, losers[node] = play(best, losers[node])
@@ -294,9 +320,10 @@ Place = tuple[int, int, int]
 
 
 def _covered(group: list[tuple[bytes, Place]]) -> Iterator[tuple[Place, int, int]]:
-    """Stretches before and after the anchor that an earlier different suffix of the gram covers.
+    """How far before and after the anchor earlier different suffixes of the gram cover a place.
 
-    ``group`` has the distinct suffixes of one gram with their first places.
+    ``group`` has the distinct suffixes of one gram with their first places. All
+    stretches of a place hold the gram, so their union is one stretch.
     """
     group.sort(key=lambda g: g[1])
     keys = np.frombuffer(b"".join(k for k, _ in group), np.uint8).reshape(-1, WIDTH)
@@ -304,19 +331,24 @@ def _covered(group: list[tuple[bytes, Place]]) -> Iterator[tuple[Place, int, int
     n_left, n_right = keys[:, -2].astype(np.int64), keys[:, -1].astype(np.int64)
     if len(group) <= 64:
         for i in range(1, len(group)):
-            r = np.minimum(_run_length(right[:i] == right[i]), np.minimum(n_right[:i], n_right[i]))
-            b = np.minimum(_run_length(left[:i] == left[i]), np.minimum(n_left[:i], n_left[i]))
-            for k in np.flatnonzero(r + b >= LENGTH):
-                yield group[i][1], int(b[k]), int(r[k])
+            after = np.minimum(_run_length(right[:i] == right[i]), np.minimum(n_right[:i], n_right[i]))
+            before = np.minimum(_run_length(left[:i] == left[i]), np.minimum(n_left[:i], n_left[i]))
+            long = after + before >= LENGTH
+            if long.any():
+                yield group[i][1], int(before[long].max()), int(after[long].max())
         return
     # Many suffixes: for each offset of the anchor, all but the first of equal strings.
     line = np.concatenate((left[:, ::-1], right), axis=1)
+    most, least = np.full(len(group), -1), np.full(len(group), LENGTH)
     for back in range(BACK + 1):
         able = np.flatnonzero((n_left >= back) & (n_right >= LENGTH - back))
         strings = np.ascontiguousarray(line[able, BACK - back:BACK - back + LENGTH])
         _, first, which = np.unique(strings.view(f"V{LENGTH}").ravel(), return_index=True, return_inverse=True)
-        for i in able[first[which] != np.arange(len(able))].tolist():
-            yield group[i][1], back, LENGTH - back
+        again = able[first[which] != np.arange(len(able))]
+        most[again] = back
+        least[again] = np.minimum(least[again], back)
+    for i in np.flatnonzero(most >= 0).tolist():
+        yield group[i][1], int(most[i]), int(LENGTH - least[i])
 
 
 def _run_length(equal: np.ndarray) -> np.ndarray:
@@ -325,16 +357,16 @@ def _run_length(equal: np.ndarray) -> np.ndarray:
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Covered stretches (id, mark, first and last byte + 1) of the suffixes of each range."""
+    """Covered stretches (id, mark, first byte and last byte + 1) of the suffixes of each range."""
     for _, rows in _rows_by_bucket(batches):
         runs, places = [], []
-        for _, common, rest, folded, ids, marks, inside in rows:
-            common = np.frombuffer(common, np.uint8)
-            keys = from_front_coded(common, np.frombuffer(rest, np.uint8))
-            blob = keys.tobytes()
-            runs.append(([blob[i:i + WIDTH] for i in range(0, len(blob), WIDTH)], common.tolist()))
-            ends = np.cumsum(np.frombuffer(folded, np.int32)).tolist()
-            places.append((ends, np.frombuffer(ids, np.int64).tolist(), np.frombuffer(marks, np.int64).tolist(), np.frombuffer(inside, np.int32).tolist()))
+        while rows:
+            _, common, rest, folded, ids, marks, inside = rows.pop()
+            lengths = np.frombuffer(common, np.uint8)
+            rest = pa.decompress(rest, int((WIDTH - lengths.astype(np.int64)).sum()), "zstd", asbytes=True)
+            runs.append((from_front_coded(lengths, np.frombuffer(rest, np.uint8)).tobytes(), common))
+            places.append((np.concatenate(([0], np.cumsum(np.frombuffer(folded, np.int32)))), np.frombuffer(ids, np.int64),
+                           np.frombuffer(marks, np.int64), np.frombuffer(inside, np.int32)))
         found: list[tuple[int, int, int, int]] = []
 
         def cover(place: Place, before: int, after: int) -> None:
@@ -352,14 +384,22 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for place, before, after in _covered(firsts):
                     cover(place, before, after)
 
+        def flush() -> pa.RecordBatch:
+            columns = np.array(found, np.int64).reshape(-1, 4).T
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))],
+                                              names=["id", "mark", "first", "last"])
+
         group: list[tuple[bytes, list[Place]]] = []
         for key, common, run, k in merge_runs(runs):
             if common < GRAM and group:
                 close(group)
                 group = []
-            ends, ids, marks, inside = places[run]
-            first = ends[k - 1] if k else 0
-            held = list(zip(ids[first:ends[k]], marks[first:ends[k]], inside[first:ends[k]]))
+                if len(found) > 10_000:
+                    yield flush()
+            ends, *fields = places[run]
+            part = slice(int(ends[k]), int(ends[k + 1]))
+            held = list(zip(*(f[part].tolist() for f in fields)))
             if group and common == WIDTH:
                 group[-1][1].extend(held)
             else:
@@ -367,8 +407,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if group:
             close(group)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))],
-                                             names=["id", "mark", "first", "last"])
+            yield flush()
 
 
 def merged_stretches(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -418,8 +457,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pair = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
         for batch in batches:
             sizes, removed, spans, kept = [], [], [], []
-            for text, stretches in zip(as_bytes(batch.column(1)), batch.column(2).to_pylist()):
-                first, last = merged_stretches(*(np.array([s[c] for s in stretches or ()], np.int64) for c in ("first", "last")))
+            listed = batch.column(2)
+            flat = listed.flatten()
+            firsts, lasts = (flat.field(c).to_numpy().astype(np.int64) for c in ("first", "last"))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(listed), 0).to_numpy())
+            for text, start, end in zip(as_bytes(batch.column(1)), np.concatenate(([0], ends[:-1])), ends):
+                first, last = merged_stretches(firsts[start:end], lasts[start:end])
                 sizes.append(len(text))
                 removed.append(int((last - first).sum()))
                 spans.append([{"first": a, "last": b} for a, b in zip(first.tolist(), last.tolist())])
