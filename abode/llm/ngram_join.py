@@ -4,10 +4,12 @@ Texts with the same words form a class, and classes are joined. The shingles
 of a class are ordered from rare to frequent. Two sets that are similar enough
 share a shingle in their prefixes, so classes meet in the buckets of their
 prefix shingles. In small buckets pairs are formed, filtered and verified once
-per pair. Large buckets are cut into blocks; a pair of blocks is joined inside
-one task, which takes only pairs whose first common prefix shingle is the
-bucket's, and leaves out pairs that are connected already. So a group of near
-copies costs links, not pairs.
+per pair. In large buckets the same filters run over blocks of set sizes and
+cell counts, without texts; classes that pass them with each other, directly or
+by way of others, form families. A family is cut into blocks, and a pair of
+blocks is joined inside one task, which leaves out pairs that are connected
+already. So a group of near copies costs links, not pairs, and classes that only
+share a common passage don't meet at all.
 """
 
 from __future__ import annotations
@@ -25,14 +27,14 @@ from pyspark.sql import types as T
 
 from abode.llm.common import col, map_texts, stage
 from abode.llm.components import components
-from abode.llm.shingles import sequence_digest, shingle_set, word_hashes
+from abode.llm.shingles import sequence_digest, shingle_sets
 
 #: Most frequent shingles that a task knows, as a broadcast of 12 bytes each.
-FREQUENT = 131_072
+FREQUENT = 1_048_576
 #: Up to so many classes in a bucket, its pairs are formed one by one.
 SMALL_BUCKET = 16
-#: Classes and shingles in a block of a large bucket.
-BLOCK_CLASSES, BLOCK_SHINGLES = 2048, 1_000_000
+#: Classes in a block of a large bucket or a family, and shingles in a block of a family.
+BLOCK_CLASSES, BLOCK_SHINGLES = 2048, 2_000_000
 #: Classes whose texts are fetched by a broadcast of 24 bytes each; beyond, by a shuffle.
 BROADCAST_CLASSES = 500_000
 CELLS = 32
@@ -73,45 +75,57 @@ def rare_first(found: np.ndarray, listed: Listed) -> np.ndarray:
     return np.concatenate((found[~known], tail[np.argsort(counts[at[known]], kind="stable")]))
 
 
-def classes_of(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
-    """``id``, ``row_hash`` (of id and text), ``cls`` (name of the word sequence), ``n`` (set
-    size) and ``cells`` (set size by range of the hash) of every row; staged."""
-    def describe(texts: pa.Array) -> list[pa.Array]:
-        names, sizes, cells = [], [], []
-        for words in word_hashes(texts):
-            found = shingle_set(words, rule.size)
-            names.append(sequence_digest(words) if len(words) else None)
-            sizes.append(len(found))
-            cells.append(np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=CELLS).astype(np.int32))
-        return [pa.array(names, pa.binary()), pa.array(sizes, pa.int64()), pa.array(cells, pa.list_(pa.int32()))]
+def described(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
+    """One pass over the texts; staged.
 
-    fields = [T.StructField("cls", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("cells", T.ArrayType(T.IntegerType()))]
+    Every row gets ``id``, ``row_hash`` (of id and text), ``cls`` (name of the word
+    sequence), ``n`` (set size) and ``cells`` (set size by range of the hash). Every
+    batch adds a row with ``n`` -1 and a tally: the shingles that two of its
+    classes or more have, and how many have them.
+    """
     slim = docs.select(col(id_col).alias("id"), row_hash(id_col, text_col).alias("row_hash"), col(text_col).alias("text"))
-    return stage(map_texts(slim, describe, fields).select("row.id", "row.row_hash", "cls", "n", "cells"))
+    fields = [T.StructField("cls", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType())),
+              T.StructField("tally", T.BinaryType()), T.StructField("times", T.BinaryType())]
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in slim.schema.fields[:2]), *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, sizes, cells, once = [], [], [], {}
+            for words, found in shingle_sets(batch.column(2), rule.size):
+                names.append(sequence_digest(words) if len(words) else None)
+                sizes.append(len(found))
+                cells.append(np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=CELLS).astype(np.int32))
+                once[names[-1]] = found
+            shingles = np.sort(np.concatenate([*once.values(), np.zeros(0, np.uint64)]))
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(shingles)), bool), shingles[1:] != shingles[:-1])))
+            times = np.diff(np.append(first, len(shingles)))
+            tally = shingles[first][times > 1].tobytes(), times[times > 1].astype(np.int32).tobytes()
+            blank = pa.nulls(1, batch.column(0).type), pa.nulls(1, batch.column(1).type)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([batch.column(0), blank[0]]), pa.concat_arrays([batch.column(1), blank[1]]), pa.array([*names, None], pa.binary()),
+                 pa.array([*sizes, -1], pa.int32()), pa.array([*cells, None], pa.list_(pa.int32())),
+                 pa.array([None] * len(names) + [tally[0]], pa.binary()), pa.array([None] * len(names) + [tally[1]], pa.binary())], names=schema.names)
+
+    return stage(slim.mapInArrow(run, schema))
 
 
 def row_hash(id_col: str, text_col: str) -> Column:
     return F.xxhash64(col(id_col), col(text_col))
 
 
-def frequent_shingles(docs: DataFrame, rule: Similarity, text_col: str, limit: int) -> Listed:
+def frequent_shingles(tallies: DataFrame, limit: int) -> Listed:
     """The most frequent shingles, by counts summed over all documents.
 
-    A shingle is counted in the batches in which two different texts or more
-    have it, which finds all that are common. At most ``limit`` reach the driver. Which
-    shingles are listed only shifts work; any order gives the same links.
+    A shingle counts in the batches in which two classes or more have it, which
+    finds all that are common. At most ``limit`` reach the driver. Which shingles
+    are listed only shifts work; any order gives the same links.
     """
-    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            once = {sequence_digest(words): words for words in word_hashes(batch.column(0))}
-            sets = [shingle_set(words, rule.size) for words in once.values()]
-            if sets:
-                shingles, counts = np.unique(np.concatenate(sets), return_counts=True)
-                twice = counts > 1
-                yield pa.RecordBatch.from_arrays([pa.array(shingles[twice].view(np.int64)), pa.array(counts[twice])], names=["shingle", "n"])
-
-    counts = stage(docs.select(col(text_col).alias("text")).mapInArrow(common, "shingle long, n long")
-                   .groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 3"))
+            for tally, times in zip(*(c.to_pylist() for c in batch.columns)):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(tally, np.int64)), pa.array(np.frombuffer(times, np.int32))], names=["shingle", "n"])
+
+    counts = stage(tallies.mapInArrow(spread, "shingle long, n int").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 3"))
     step = F.floor(F.log2("n") * 8).cast("int")
     room, least = limit, None
     for row in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
@@ -119,20 +133,22 @@ def frequent_shingles(docs: DataFrame, rule: Similarity, text_col: str, limit: i
         if room < 0:
             break
         least = row["step"]
-    rows = counts.filter(step >= least).collect() if least is not None else []
-    shingles = np.array([r["shingle"] for r in rows], np.int64).view(np.uint64)
-    counts = np.array([r["n"] for r in rows], np.int64)
-    return shingles[np.argsort(shingles)], counts[np.argsort(shingles)]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    listed = counts.filter(step >= least).toArrow()
+    shingles = listed["shingle"].to_numpy().view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], listed["n"].to_numpy()[order].astype(np.int32)
 
 
 def prefix_rows(docs: DataFrame, rule: Similarity, order: Broadcast, text_col: str) -> DataFrame:
     """``token``, ``cls``, ``n`` and ``pos`` of the prefix shingles, once per class and batch."""
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            once = {sequence_digest(words): words for words in word_hashes(batch.column(0)) if len(words)}
+            once = {sequence_digest(words): found for words, found in shingle_sets(batch.column(0), rule.size) if len(words)}
             tokens, names, sizes = [], [], []
-            for name, words in once.items():
-                found = rare_first(shingle_set(words, rule.size), order.value)
+            for name, found in once.items():
+                found = rare_first(found, order.value)
                 tokens.append(found[:rule.prefix(len(found))])
                 names.append(name)
                 sizes.append(len(found))
@@ -168,52 +184,82 @@ def _verify_pairs(pairs: DataFrame, rule: Similarity) -> DataFrame:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(word_hashes(batch.column(2)), word_hashes(batch.column(3))):
-                x, y = shingle_set(x, rule.size), shingle_set(y, rule.size)
+            for (_, x), (_, y) in zip(*(shingle_sets(c, rule.size) for c in batch.columns[2:])):
                 keep.append(rule.similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("cls_a", "cls_b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
+def _dealt(rows: DataFrame, blocks: Column) -> DataFrame:
+    """Rows with ``block`` (of ``blocks``, by class), once for each block pair ``i``, ``j`` that theirs is in."""
+    return (rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other"))
+
+
+def _plausible(rule: Similarity):
+    """Pairs between two blocks of a bucket that pass the length, positional and suffix
+    filters, as a spanning forest."""
+    def pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = key[1:]
+        names, block = rows["cls"].tolist(), rows["block"].to_numpy()
+        n, pos = rows["n"].to_numpy().astype(np.int64), rows["pos"].to_numpy()
+        cells = np.stack(rows["cells"].to_list()).astype(np.int32)
+        label, out = np.arange(len(names)), []
+        for i in np.flatnonzero(block == left).tolist():
+            need = rule.least_common(n, n[i])
+            other = (block == right) & (label != label[i]) & (100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i]))
+            other &= np.minimum(pos, pos[i]) + 1 + np.minimum(n - pos, n[i] - pos[i]) - 1 >= need
+            if left == right:
+                other[:i + 1] = False
+            at = np.flatnonzero(other)
+            at = at[np.abs(cells[at] - cells[i]).sum(axis=1) <= n[at] + n[i] - 2 * need[at]]
+            for j in at.tolist():
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+                    out.append((names[i], names[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return pairs
+
+
 def _join_blocks(rule: Similarity, order: Broadcast):
-    """Links inside one bucket between two blocks of classes, as a spanning forest."""
-    def links(key, rows: pd.DataFrame) -> pd.DataFrame:
-        token, left, right = np.int64(key[0]).view(np.uint64), key[1], key[2]
+    """Links between two blocks of a family, or inside one, as a spanning forest."""
+    def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = key[1:]
         rows = rows.drop_duplicates("cls").sort_values("cls")
         names, block = rows["cls"].tolist(), rows["block"].to_numpy()
-        sets = [rare_first(shingle_set(w, rule.size), order.value) for w in word_hashes(pa.array(rows["text"].tolist(), pa.large_string()))]
+        sets = [rare_first(s, order.value) for _, s in shingle_sets(pa.array(rows["text"].tolist(), pa.large_string()), rule.size)]
         n = np.array([len(s) for s in sets])
-        pos = np.array([int(np.flatnonzero(s == token)[0]) for s in sets])
         flat, ids = np.unique(np.concatenate(sets), return_inverse=True)
         ids = np.split(ids, np.cumsum(n)[:-1])
-        earlier: dict[int, list[int]] = {}
-        for i, (own, p) in enumerate(zip(ids, pos)):
-            for t in own[:p].tolist():
-                earlier.setdefault(t, []).append(i)
-        sharing = {t: np.array(who) for t, who in earlier.items() if len(who) > 1}
+        own = np.concatenate([i[:rule.prefix(len(i))] for i in ids])
+        who = np.repeat(np.arange(len(ids)), [rule.prefix(k) for k in n])
+        pos = np.concatenate([np.arange(rule.prefix(k)) for k in n])
+        by_token = np.argsort(own, kind="stable")
+        until = np.searchsorted(own[by_token], np.arange(len(flat) + 1))
         label, mark, out = np.arange(len(names)), np.zeros(len(flat), bool), []
-        for i in range(len(names)):
-            if left != right and block[i] != left:
-                continue
-            open_ = label != label[i]
+        for i in np.flatnonzero(block == left).tolist():
+            need = rule.least_common(n, n[i])
+            other = (block == right) & (100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i]))
             if left == right:
-                open_[:i] = False
-            else:
-                open_ &= block == right
-            open_ &= 100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i])
-            open_ &= 1 + np.minimum(n - pos, n[i] - pos[i]) - 1 >= rule.least_common(n, n[i])
-            for t in ids[i][:pos[i]].tolist():
-                if t in sharing:  # met in the bucket of that shingle
-                    open_[sharing[t]] = False
-            rest = np.flatnonzero(open_)
+                other[:i + 1] = False
+            met, rest = np.zeros(len(names), bool), []
+            for k, token in enumerate(ids[i][:rule.prefix(n[i])].tolist()):
+                at = by_token[until[token]:until[token + 1]]
+                at = at[other[who[at]] & ~met[who[at]]]  # first met here, so nothing before is common
+                j = who[at]
+                met[j] = True
+                rest.append(j[(1 + np.minimum(n[i] - k, n[j] - pos[at]) - 1 >= need[j]) & (label[j] != label[i])])
+            rest = np.concatenate(rest)
             if not len(rest):
                 continue
             mark[ids[i]] = True
             starts = np.concatenate(([0], np.cumsum(n[rest])[:-1]))
             common = np.add.reduceat(mark[np.concatenate([ids[j] for j in rest])].astype(np.int64), starts)
             mark[ids[i]] = False
-            for j in rest[rule.similar(common, n[i], n[rest])]:
+            for j in rest[rule.similar(common, n[i], n[rest])].tolist():
                 if label[j] != label[i]:
                     label[label == label[j]] = label[i]
                     out.append((names[i], names[j]))
@@ -236,31 +282,38 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     holds the list of frequent shingles, of ``FREQUENT`` at most.
     """
     rule = Similarity(size, percent)
-    classes = classes_of(docs, rule, id_col, text_col)
+    seen = described(docs, rule, id_col, text_col)
+    classes = seen.filter("n >= 0").drop("tally", "times")
+    order = docs.sparkSession.sparkContext.broadcast(frequent_shingles(seen.filter("n < 0").select("tally", "times"), FREQUENT))
     named = classes.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("id", "row_hash")).alias("first"), F.min("id").alias("least"),
                                                                F.first("n").alias("n"), F.first("cells").alias("cells"))
-    links = components(stage(_links(docs, named, rule, text_col, id_col)))
+    links = components(stage(_links(docs, named, rule, order, text_col, id_col)))
     rooted = named.select("cls", "least").join(links, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.join(least, "root").select("cls", "component_id")
     return (classes.join(found, "cls", "left")
-            .select(F.col("id").alias(id_col), "row_hash", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select(F.col("id").alias(id_col), "row_hash", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def _links(docs: DataFrame, named: DataFrame, rule: Similarity, text_col: str, id_col: str) -> DataFrame:
+def _links(docs: DataFrame, named: DataFrame, rule: Similarity, order: Broadcast, text_col: str, id_col: str) -> DataFrame:
     """Links between classes that connect all that are similar."""
-    spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(frequent_shingles(docs, rule, text_col, FREQUENT))
     rows = prefix_rows(docs, rule, order, text_col)
-    sizes = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-    shared = rows.join(sizes, "token", "left_semi").dropDuplicates(["token", "cls"])
-    shared = stage(shared)
-    buckets = shared.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).filter("m > 1")
-    members = stage(shared.join(buckets, "token"))
-
-    pairs = stage(_candidates(members, named, rule))
-    large = members.filter(F.col("m") > SMALL_BUCKET).select("token", "cls", "m", "total")
-    wanted = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select("cls_b")).union(large.select("cls")).distinct()
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
+    members = stage(rows.join(shared, "token", "left_semi").dropDuplicates(["token", "cls"]))
+    buckets = members.groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    members = members.join(buckets, "token")
+
+    large = members.filter(F.col("m") > SMALL_BUCKET).join(named.select("cls", "cells"), "cls")
+    near = (_dealt(large, F.ceil(F.col("m") / BLOCK_CLASSES).cast("int")).groupBy("token", "i", "j")
+            .applyInPandas(_plausible(rule), "a binary, b binary").distinct())
+    family = components(near)
+    family = stage(family.union(family.select("root", "root")).distinct().toDF("cls", "family"))
+    pairs = _candidates(members, named, rule)
+    for s in "ab":
+        pairs = pairs.join(family.toDF(f"cls_{s}", f"family_{s}"), f"cls_{s}", "left")
+    pairs = stage(pairs.filter("not (family_a <=> family_b) or family_a is null").select("cls_a", "cls_b"))
+
+    wanted = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select("cls_b")).union(family.select("cls")).distinct()
     firsts = stage(wanted.join(named, "cls").select("cls", F.col("first.row_hash").alias("row_hash")))
     if firsts.count() <= BROADCAST_CLASSES:
         firsts = F.broadcast(firsts)
@@ -270,11 +323,11 @@ def _links(docs: DataFrame, named: DataFrame, rule: Similarity, text_col: str, i
     both = pairs
     for s in "ab":
         both = both.join(texts.select(F.col("cls").alias(f"cls_{s}"), F.col("text").alias(f"text_{s}")), f"cls_{s}")
+    sized = family.join(named.select("cls", "n"), "cls")
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_CLASSES), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    dealt = (large.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
-             .join(texts, "cls").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "cls", "block", "text"))
-    inside = dealt.groupBy("token", "i", "j").applyInPandas(_join_blocks(rule, order), "a binary, b binary")
+    cut = sized.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total")).select("family", blocks.alias("blocks"))
+    dealt = _dealt(family.join(cut, "family").join(texts, "cls"), F.col("blocks")).select("family", "i", "j", "cls", "block", "text")
+    inside = dealt.groupBy("family", "i", "j").applyInPandas(_join_blocks(rule, order), "a binary, b binary")
     return _verify_pairs(both, rule).union(inside)
 
 
