@@ -5,8 +5,10 @@
     python -m abode provenance --master M --table-list L --tables-root R --population P --out OUT --as-of ...
 
 Inputs ending in ``.csv`` (or folders of CSV given with ``csv:`` prefix) are
-read as all-text CSV with a header; everything else as Parquet. The
-checkpoint folder comes from ``spark.checkpoint.dir``.
+read as all-text CSV with a header; ``sheet:PATH`` is a landed worksheet, whose
+landing order becomes ``seq``, and ``sheet+N:PATH`` one with N banner lines above
+the header; everything else is Parquet. The checkpoint folder comes from
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -14,18 +16,20 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import re
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
 from abode.session import build_session
+from abode.sources.landed import read_extract, read_landed
 
 
 def _read(spark: SparkSession, spec: str) -> DataFrame:
-    if spec.startswith("csv:") or spec.endswith(".csv"):
-        path = spec[4:] if spec.startswith("csv:") else spec
-        return spark.read.option("header", "true").option("escape", '"').csv(path)
-    return spark.read.parquet(spec)
+    sheet = re.match(r"sheet(?:\+(\d+))?:(.*)", spec)
+    if sheet:
+        return read_landed(spark, sheet[2], banner_rows=int(sheet[1] or 0))
+    return read_extract(spark, spec)
 
 
 def _inputs(spark: SparkSession, pairs: list[str]) -> dict[str, DataFrame]:

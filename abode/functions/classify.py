@@ -1,9 +1,8 @@
 """Ordered rule tables compiled to one ``CASE WHEN`` expression.
 
 A rule table is data: a list of ``(condition, result)`` pairs, tried in
-order, first match wins, with a default. Conditions are small tuples so the
-same table compiles to a Spark Column (``compile_rules``) and to SQL text
-(``render_rules_sql``, used by the oracle queries and docs).
+order, first match wins, with a default. Conditions are small tuples that
+``compile_rules`` turns into one Spark Column.
 
 Condition forms (``col`` is a column name):
 
@@ -90,52 +89,6 @@ def classify(rules: Rules, default: str | None, **columns: Column) -> Column:
     return compile_rules(rules, default, columns or None)
 
 
-# ---------------------------------------------------------------------------
-# SQL rendering (oracle queries, documentation)
-# ---------------------------------------------------------------------------
-
-def _sql_str(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, (int, float)):
-        return repr(v)
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def render_cond_sql(cond: Cond, columns: dict[str, str] | None = None) -> str:
-    op = cond[0]
-
-    def ref(name: str) -> str:
-        return (columns or {}).get(name, name)
-
-    if op == "~":
-        return f"coalesce(regexp_matches({ref(cond[1])}, {_sql_str(cond[2])}), false)"
-    if op == "=":
-        return f"({ref(cond[1])} = {_sql_str(cond[2])})"
-    if op == "in":
-        vals = ", ".join(_sql_str(v) for v in cond[2])
-        return f"coalesce({ref(cond[1])} IN ({vals}), false)"
-    if op == "lower=":
-        return f"(lower({ref(cond[1])}) = {_sql_str(cond[2])})"
-    if op == "lower_in":
-        vals = ", ".join(_sql_str(v) for v in cond[2])
-        return f"coalesce(lower({ref(cond[1])}) IN ({vals}), false)"
-    if op == "null":
-        return f"({ref(cond[1])} IS NULL)"
-    if op in _CMP:
-        return f"({ref(cond[1])} {op} {_sql_str(cond[2])})"
-    if op in ("and", "or"):
-        joiner = f" {op.upper()} "
-        return "(" + joiner.join(render_cond_sql(c, columns) for c in cond[1:]) + ")"
-    if op == "not":
-        return f"(NOT {render_cond_sql(cond[1], columns)})"
-    if op == "true":
-        return "true"
-    raise ValueError(f"unknown condition {op!r}")
-
-
-def render_rules_sql(rules: Rules, default: str | None, columns: dict[str, str] | None = None) -> str:
-    arms = " ".join(
-        f"WHEN {render_cond_sql(cond, columns)} THEN {_sql_str(result)}" for cond, result in rules
-    )
-    return f"CASE {arms} ELSE {_sql_str(default)} END" if arms else _sql_str(default)
+def if_else(cond: Column, yes: Column, no: Column) -> Column:
+    """``yes`` or ``no``; a missing condition gives a missing value."""
+    return F.when(cond.isNull(), F.lit(None)).when(cond, yes).otherwise(no)

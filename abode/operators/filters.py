@@ -18,16 +18,11 @@ def drop_all_blank(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.where(~all_blank)
 
 
-def drop_junk_keys(df: DataFrame, key: str, junk: Sequence[str] = ("", " ", "#N/A", "NA")) -> DataFrame:
+def drop_junk_keys(df: DataFrame, key: str, junk: Sequence[str]) -> DataFrame:
     """Drop rows whose key text is missing or a junk token."""
     return df.where(F.col(key).isNotNull() & ~null_safe_isin(key, junk))
 
 
-def exclude_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
-    """Drop NULL and the listed values."""
-    return df.where(F.col(col).isNotNull() & ~null_safe_isin(col, values))
-
-
 def split_blank_key(df: DataFrame, key: str, group_size: str) -> tuple[DataFrame, DataFrame]:
     """(kept, quarantined).
 

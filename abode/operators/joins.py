@@ -1,11 +1,8 @@
 """Lookup joins, re-geocoding and population membership.
 
-Broadcast is used only for sides whose size is bounded by construction
-(rule tables, code lists, constituency names). Data-sized lookups such as a
-postcode directory or a property-to-constituency file are left to the
-planner: Spark broadcasts them only under ``autoBroadcastJoinThreshold``
-(statistics at plan time, actual shuffle sizes under AQE) and otherwise
-shuffles both sides on the key.
+No side is hinted: lookups are callers' files of any size. Spark broadcasts
+one that is under ``autoBroadcastJoinThreshold`` (statistics at plan time,
+actual shuffle sizes under AQE) and otherwise shuffles both sides on the key.
 """
 
 from __future__ import annotations
@@ -16,11 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
-    """Hint a broadcast only for a side whose size is bounded by construction."""
-    return F.broadcast(df) if bounded else df
-
-
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -28,7 +20,6 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = True,
     required: bool = False,
-    bounded: bool = False,
 ) -> DataFrame:
     """Attach lookup columns by key.
 
@@ -45,7 +36,6 @@ def lookup_join(
         *[F.col(r).alias(f"_lk_{i}") for i, r in enumerate(on.values())],
         *[c for c in lookup.columns if c not in on.values()],
     )
-    right = bounded_broadcast(right, bounded)
     cond = None
     for i, left_name in enumerate(on):
         l, r = df[left_name], right[f"_lk_{i}"]
@@ -61,7 +51,6 @@ def refresh_columns(
     on: dict[str, str],
     cols: Sequence[str],
     null_safe: bool = True,
-    bounded: bool = False,
 ) -> DataFrame:
     """Re-geocode: new lookup values win, old values are the fallback.
 
@@ -69,7 +58,7 @@ def refresh_columns(
     provides new ``<c>``. Result keeps ``df``'s columns with refreshed values.
     """
     old = df.withColumnsRenamed({c: f"{c}__old" for c in cols})
-    joined = lookup_join(old, lookup.select(*on.values(), *cols), on, "left", null_safe, bounded=bounded)
+    joined = lookup_join(old, lookup.select(*on.values(), *cols), on, "left", null_safe)
     refreshed = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}__old")) for c in cols})
     return refreshed.select(*df.columns)
 

@@ -42,13 +42,17 @@ def frequency(df: DataFrame, cols: Sequence[str], keep_null: bool = True) -> Dat
     return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def five_number(df: DataFrame, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def frequency_by(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, n): value counts inside each group, missing values kept."""
+    return df.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def five_number(df: DataFrame, col: str, exact: bool = False, accuracy: int = 10000) -> DataFrame:
     """min, quartiles, median, max and mean.
 
-    ``exact`` uses type-7 interpolation (Spark ``percentile``), whose state
-    is a value -> count map merged in one task: right for bounded columns
-    such as DATA_COUNT (at most 19 values). For unbounded columns pass
-    ``exact=False`` (``percentile_approx``, fixed-size sketches).
+    Quartiles are sketches of a fixed size. ``exact=True`` interpolates (Spark
+    ``percentile``) with a value -> count map merged in one task: only for
+    bounded columns such as DATA_COUNT (at most 19 values).
     """
     c = F.col(col).cast("double")
     if exact:
@@ -110,6 +114,11 @@ def check_columns(df: DataFrame, expected: Sequence[str], strict: bool = True) -
     return new
 
 
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """Sorted distinct non-missing values of ``col`` as ``value``."""
+    return df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct().orderBy("value")
+
+
 def unseen_values(df: DataFrame, col: str, known: DataFrame | Sequence[str]) -> DataFrame:
     """Distinct non-missing values of ``col`` that are not in the known list.
 

@@ -43,29 +43,35 @@ def to_observations(
     rank: str = "source_rank",
     seq: str = "seq",
     numeric: dict[str, str] | None = None,
+    exclude: dict[str, Sequence] | None = None,
 ) -> DataFrame:
     """Wide classified rows -> long ``(key, attr, value, num, ts, source, rank, seq)``.
 
     ``attrs`` maps attribute name -> text column; ``numeric`` maps attribute
-    name -> numeric column. NULL values are dropped here.
+    name -> numeric column. NULL values, rows without a key and the values that
+    ``exclude`` lists by attribute are left out before rows are made of them.
     """
+    def usable(a: str, c: str) -> Column:
+        value = F.col(f"`{c}`")
+        out = (exclude or {}).get(a)
+        return value.isNotNull() & ~value.cast("string").isin(list(out)) if out else value.isNotNull()
+
     arms = [
-        F.struct(F.lit(a).alias("attr"), F.col(f"`{c}`").cast("string").alias("value"),
-                 F.lit(None).cast("double").alias("num"))
+        F.when(usable(a, c), F.struct(F.lit(a).alias("attr"), F.col(f"`{c}`").cast("string").alias("value"),
+                                      F.lit(None).cast("double").alias("num")))
         for a, c in attrs.items()
     ]
     arms += [
-        F.struct(F.lit(a).alias("attr"), F.lit(None).cast("string").alias("value"),
-                 F.col(f"`{c}`").cast("double").alias("num"))
+        F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.lit(a).alias("attr"), F.lit(None).cast("string").alias("value"),
+                                                     F.col(f"`{c}`").cast("double").alias("num")))
         for a, c in (numeric or {}).items()
     ]
-    exploded = df.select(
+    exploded = df.where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(source).alias("source"),
         F.col(rank).alias("source_rank"), F.col(seq).alias("seq"),
-        F.explode(F.array(*arms)).alias("o"),
+        F.explode(F.array_compact(F.array(*arms))).alias("o"),
     )
-    out = exploded.select("key", "o.attr", "o.value", "o.num", "ts", "source", "source_rank", "seq")
-    return out.where(F.col("value").isNotNull() | F.col("num").isNotNull())
+    return exploded.select("key", "o.attr", "o.value", "o.num", "ts", "source", "source_rank", "seq")
 
 
 @dataclass(frozen=True)

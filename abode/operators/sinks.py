@@ -2,16 +2,19 @@
 
 Output names carry an ``as_of`` date passed in by the caller (never the
 clock inside a plan), so a re-run of the same day rewrites the same paths.
-Publishing writes a new dated version and then repoints ``current``; the
+Publishing writes new dated versions and then repoints ``CURRENT``; the
 master a plan reads is never overwritten by the same plan.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import json
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from abode.session import setting
 
 
 def write_attribute_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -30,9 +33,14 @@ def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def write_quoted_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> str:
-    """Every value quoted, quotes doubled inside values."""
-    (df.write.mode(mode).option("header", "true").option("quoteAll", "true")
-       .option("escape", '"').option("encoding", encoding).csv(path))
+    """Every value quoted, quotes doubled inside values.
+
+    Spark itself writes UTF and Latin-1; other encodings of its readers, such as
+    ``windows-1252``, are those of Java, which a setting allows for this write.
+    """
+    with setting(df.sparkSession, "spark.sql.legacy.javaCharsets", "true"):
+        (df.write.mode(mode).option("header", "true").option("quoteAll", "true")
+           .option("escape", '"').option("encoding", encoding).csv(path))
     return path
 
 
@@ -40,33 +48,37 @@ def dated_path(root: str, stem: str, as_of: _dt.date, ext: str = "") -> str:
     return f"{root.rstrip('/')}/{stem}_{as_of.isoformat()}{ext}"
 
 
-def publish(df: DataFrame, root: str, as_of: _dt.date, fmt: str = "parquet") -> str:
-    """Write ``root/version=<as_of>`` and point ``root/_CURRENT`` at it.
+def publish(frames: dict[str, DataFrame], root: str, as_of: _dt.date) -> dict[str, str]:
+    """Write a new version of every frame, then point ``root/CURRENT`` at all of them at once.
 
-    The previous versions stay as the archive. Readers resolve the current
-    version through ``current_version``.
+    Versions have folders of their own (``<name>/version=<as_of>-<run>``), so
+    earlier ones stay as the archive and a run that failed half-way can simply be
+    repeated. The pointer is replaced by one rename: readers see all old or all new.
     """
-    target = f"{root.rstrip('/')}/version={as_of.isoformat()}"
-    writer = df.write.mode("errorifexists")
-    if fmt == "parquet":
-        writer.parquet(target)
-    else:
-        writer.option("header", "true").option("escape", '"').csv(target)
-    spark = df.sparkSession
-    marker = f"{root.rstrip('/')}/_CURRENT"
-    spark.createDataFrame([(target,)], "path string").coalesce(1).write.mode("overwrite").text(marker)
-    return target
-
-
-def current_version(spark, root: str) -> str | None:
-    marker = f"{root.rstrip('/')}/_CURRENT"
-    try:
-        rows = spark.read.text(marker).collect()
-    except Exception:  # no published version yet
-        return None
-    return rows[0][0] if rows else None
-
-
-def ensure_dir(path: str) -> None:
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    run = uuid.uuid4().hex[:8]
+    targets = {name: f"{root.rstrip('/')}/{name}/version={as_of.isoformat()}-{run}" for name in frames}
+    for name, df in frames.items():
+        df.write.parquet(targets[name])
+    spark = next(iter(frames.values())).sparkSession
+    _replace_text(spark, f"{root.rstrip('/')}/CURRENT", json.dumps(targets))
+    return targets
+
+
+def _replace_text(spark: SparkSession, path: str, text: str) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target, fresh = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}-{uuid.uuid4().hex}"))
+    stream = target.getFileSystem(conf).create(fresh)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(fresh, target, how)
+
+
+def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folder of the published version of each frame; empty before the first publication."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
+        return {}
+    return json.loads(spark.read.text(marker.toString(), wholetext=True).first()[0])

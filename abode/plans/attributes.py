@@ -17,8 +17,6 @@ Plan shape (the point of the design):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +29,7 @@ from abode.operators import filters as FL
 from abode.operators import joins as J
 from abode.operators import reshape as R
 from abode.rules import e1
-from abode.sources.landed import normalise_headers
+from abode.sources.landed import normalise_headers, require_columns
 
 _SEQ_BLOCK = 1 << 60  # keeps the database extract's rows ahead of the sheet's in arrival order
 
@@ -43,6 +41,10 @@ FEED1_SHEET_RENAMES = {
     "PCODE": "POSTCODE",
 }
 
+# Columns that feed 1 must have, its landing order included.
+FEED1_EXTRACT_COLUMNS = ["UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure", "POSTCODE", "seq"]
+FEED1_SHEET_COLUMNS = [*FEED1_SHEET_RENAMES, "UPRN", "TENURE", "FYEAR", "seq"]
+
 FEED1_CLASSIFIERS = [
     ("TENURE_NAME", e1.FEED1_TENURE, e1.FEED1_TENURE_DEFAULT),
     ("LOFT_INSULATION_NAME", e1.FEED1_LOFT, e1.UNKNOWN),
@@ -72,25 +74,35 @@ CATEGORY_COLUMNS = ["PROPERTY_TYPE_NAME", "TENURE_NAME", "PROPERTY_AGE_NAME", "L
 
 
 def _with_seq(df: DataFrame) -> DataFrame:
-    """Keep a landed ``seq`` column (as a number, even when landed as text),
-    or number rows in scan order."""
-    if "seq" in df.columns:
-        return df.withColumn("seq", F.col("seq").try_cast("long"))
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    """The landed order as a number, even when landed as text. "First" rules
+    depend on it, so a feed without one is an error."""
+    return df.withColumn("seq", F.col("seq").try_cast("long"))
 
 
 def _number_text(c: str):
-    """Numbers as text the way a report writes them: 65 not 65.0."""
+    """Numbers as text the way a report writes them: 65 not 65.0, and never in E notation."""
     n = F.col(c)
-    return F.when(n == F.floor(n), n.cast("long").cast("string")).otherwise(n.cast("string"))
+    plain = F.regexp_replace(F.regexp_replace(n.try_cast("decimal(38,15)").cast("string"), "0+$", ""), r"\.$", "")
+    return F.when(n == F.floor(n), n.try_cast("decimal(38,0)").cast("string")).otherwise(plain)
+
+
+def fill_measure(df: DataFrame, measure: str = "MEASURE", second: str = "Non_ECO_Measure") -> DataFrame:
+    """T-00 on lower-cased, squished text: rows blank in both fields go, a missing or
+    "non-eco" measure takes the second field, rows still without one go."""
+    df = FL.drop_all_blank(df, [measure, second])
+    fill = X.null_safe_isin(measure, e1.NON_ECO_MARKERS) | (X.is_blank(measure) & ~X.is_blank(second))
+    return df.withColumn(measure, F.when(fill, F.col(second)).otherwise(F.col(measure))).where(F.col(measure).isNotNull())
 
 
 def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame) -> DataFrame:
     """Feed 1 (database extract + newer worksheet) -> classified rows.
 
     Output: UPRN, PCON_CODE, TIMESTAMP, YEAR, SOURCE, seq + CATEGORY_COLUMNS.
-    Rows need a constituency (inner join on the property key).
+    Rows need a constituency (inner join on the property key). Both inputs
+    must hold the declared columns and ``seq``, their landing order.
     """
+    require_columns(db_extract, FEED1_EXTRACT_COLUMNS, "feed 1 extract")
+    require_columns(normalise_headers(sheet), FEED1_SHEET_COLUMNS, "feed 1 worksheet")
     db = _with_seq(db_extract).select(
         F.col("UPRN").cast("string").alias("UPRN"), F.col("TIMESTAMP").cast("string").alias("TIMESTAMP"),
         F.col("TENURE").cast("string").alias("TENURE"), F.col("MEASURE").cast("string").alias("MEASURE"),
@@ -104,13 +116,7 @@ def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame)
     both = db.unionByName(sh, allowMissingColumns=True)
     both = both.withColumns({"MEASURE": F.lower("MEASURE"), "Non_ECO_Measure": F.lower("Non_ECO_Measure")})
     both = P.map_text(both, X.squish, ["UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure", "POSTCODE"])
-    both = FL.drop_all_blank(both, ["MEASURE", "Non_ECO_Measure"])
-    fill = (X.null_safe_isin("MEASURE", e1.NON_ECO_MARKERS)
-            | (X.is_blank("MEASURE") & ~X.is_blank("Non_ECO_Measure")))
-    both = both.withColumns({
-        "MEASURE": F.when(fill, F.col("Non_ECO_Measure")).otherwise(F.col("MEASURE")),
-        "UPRN": to_key("UPRN"),
-    }).where(F.col("UPRN").isNotNull() & F.col("MEASURE").isNotNull())
+    both = fill_measure(both).withColumn("UPRN", to_key("UPRN")).where(F.col("UPRN").isNotNull())
     both = both.withColumns({"MEASURE": X.lower_squish("MEASURE"), "TENURE": X.lower_squish("TENURE")})
 
     lookup = uprn_lookup.select(to_key(F.col("UPRN")).alias("UPRN"), F.col("PCON24CD").alias("PCON_CODE"))
@@ -129,30 +135,26 @@ def clean_feed2(sheet: DataFrame) -> DataFrame:
     """Feed 2 worksheet -> classified rows with SAP numbers.
 
     Output: UPRN, TIMESTAMP, YEAR, SOURCE, seq, CATEGORY_COLUMNS (no room in
-    roof), PRE/POST_SAP_SCORE, PRE/POST_FUEL_BILL, POST_CO2_EMISSIONS.
+    roof), PRE/POST_SAP_SCORE, PRE/POST_FUEL_BILL, POST_CO2_EMISSIONS. A sheet
+    without a declared header stops the run.
     """
-    df = _with_seq(normalise_headers(sheet))
+    required = ["UPRN", "Master Completion Date", "Tenure", *e1.FEED2_FLAG_HEADERS, *e1.FEED2_NUMERIC_HEADERS.values(), "seq"]
+    df = _with_seq(require_columns(normalise_headers(sheet), required, "feed 2 worksheet"))
     df = FL.drop_junk_keys(df, "UPRN", e1.JUNK_KEYS)
     df = df.withColumn("UPRN", to_key("UPRN"))
     df = D.with_iso_dates(df, "`Master Completion Date`")
     flags = {h: flag_col for h in e1.FEED2_FLAG_HEADERS if (flag_col := e1.flag_name(h))}
-    text_cols = ["Tenure", *[h for h in e1.FEED2_FLAG_HEADERS if h in df.columns]]
     # Yes/no cells are only compared with "yes": trimming Unicode whitespace
     # gives the same answers as a full squish, without a regex per cell.
     df = df.select(
         "UPRN", "TIMESTAMP", "YEAR", "seq",
         X.lower_squish(F.col("Tenure")).alias("tenure"),
-        *[X.lower_trim_unicode(h).alias(flags[h]) for h in text_cols if h != "Tenure"],
-        *[to_number(F.col(f"`{src}`")).alias(name) for name, src in e1.FEED2_NUMERIC_HEADERS.items()
-          if src in df.columns])
-    for h in e1.FEED2_FLAG_HEADERS:  # absent yes/no columns behave as all-missing
-        if flags[h] not in df.columns:
-            df = df.withColumn(flags[h], F.lit(None).cast("string"))
+        *[X.lower_trim_unicode(h).alias(flags[h]) for h in e1.FEED2_FLAG_HEADERS],
+        *[to_number(F.col(f"`{src}`")).alias(name) for name, src in e1.FEED2_NUMERIC_HEADERS.items()])
     df = df.withColumns({"SOURCE": F.lit(e1.SOURCE_FEED2), "PROPERTY_TYPE_NAME": F.lit(e1.UNKNOWN),
                          "PROPERTY_AGE_NAME": F.lit(e1.UNKNOWN), "RIR_INS": F.lit(None).cast("string")})
     df = df.withColumns({name: classify(rules, default) for name, rules, default in FEED2_CLASSIFIERS})
-    numerics = [n for n in e1.FEED2_NUMERIC_HEADERS if n in df.columns]
-    return df.select("UPRN", "TIMESTAMP", "YEAR", "SOURCE", "seq", *CATEGORY_COLUMNS, *numerics)
+    return df.select("UPRN", "TIMESTAMP", "YEAR", "SOURCE", "seq", *CATEGORY_COLUMNS, *e1.FEED2_NUMERIC_HEADERS)
 
 
 # (attribute, value column in the classified feeds)
@@ -172,8 +174,14 @@ def attribute_specs() -> list[R.AttributeSpec]:
             for name, out, _code, _rule, excl, policy in e1.ATTRIBUTES]
 
 
+def excluded_values() -> dict[str, tuple]:
+    """Values that say nothing, by attribute."""
+    return {name: tuple(excl) for name, _out, _code, _rule, excl, _policy in e1.ATTRIBUTES} | {"RENEWABLES": e1.TECHNOLOGY_EXCLUDED}
+
+
 def observations(feed1: DataFrame | None, feed2: DataFrame | None, warehouse: DataFrame | None) -> DataFrame:
-    """Stack all sources into the long observation frame (one union)."""
+    """Stack all sources into the long observation frame (one union). Values of
+    feeds that say nothing are left out before rows are made of them."""
     parts = []
     if warehouse is not None:
         parts.append(warehouse.select(
@@ -192,7 +200,7 @@ def observations(feed1: DataFrame | None, feed2: DataFrame | None, warehouse: Da
                 "_sap": F.coalesce("POST_SAP_SCORE", "PRE_SAP_SCORE"),
                 "_bill": F.coalesce("POST_FUEL_BILL", "PRE_FUEL_BILL")})
             numeric = {"SAP_SCORE": "_sap", "SAP_FUEL_BILL": "_bill"}
-        parts.append(R.to_observations(feed, "UPRN", "TIMESTAMP", attrs, source="SOURCE", numeric=numeric))
+        parts.append(R.to_observations(feed, "UPRN", "TIMESTAMP", attrs, source="SOURCE", numeric=numeric, exclude=excluded_values()))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -226,30 +234,49 @@ def renewables_table(wide: DataFrame) -> DataFrame:
         "UPRN", *techs, "RENEWABLE_COUNT", *[f"{t}_SOURCE" for t in techs], *[f"{t}_TIMESTAMP" for t in techs])
 
 
+def _as_written(wide: DataFrame) -> DataFrame:
+    """Cells as both masters write them: no count without a technology, scores as plain numbers."""
+    return wide.withColumns({
+        "RENEWABLE_COUNT": F.when(F.col("RENEWABLE_COUNT") > 0, F.col("RENEWABLE_COUNT")),
+        "SAP_SCORE": _number_text("SAP_SCORE"), "SAP_FUEL_BILL": _number_text("SAP_FUEL_BILL")})
+
+
 def master(wide: DataFrame) -> DataFrame:
     """Master: UPRN + 19 value columns as text + DATA_COUNT over 18 of them."""
     value_cols = [c for c in e1.MASTER_COLUMNS if c != "UPRN"]
-    filled = wide.withColumns({
-        "RENEWABLE_COUNT": F.when(F.col("RENEWABLE_COUNT") > 0, F.col("RENEWABLE_COUNT")),
-        "SAP_SCORE": _number_text("SAP_SCORE"), "SAP_FUEL_BILL": _number_text("SAP_FUEL_BILL")})
-    return R.assemble_master(filled, value_cols, key="UPRN", key_out="UPRN")
+    return R.assemble_master(_as_written(wide), value_cols, key="UPRN", key_out="UPRN")
+
+
+def timestamped_columns() -> list[str]:
+    """Columns table by table: the attribute tables up to the scores, the
+    technologies, then the roof and floor tables; inside as each table has them."""
+    by_name = {s.name: s for s in attribute_specs()}
+    late = ["RIR_INS", "FLOOR_INSULATION", "FLAT_ROOF_INS"]
+
+    def own(name: str) -> list[str]:
+        s = by_name[name]
+        return ([f"TIMESTAMP_{name}", f"SOURCE_{name}", s.out] if s.numeric else [f"TIMESTAMP_{name}", s.out, f"SOURCE_{name}"])
+
+    techs = e1.TECHNOLOGIES
+    renewables = [*techs, "RENEWABLE_COUNT", *[f"{t}_SOURCE" for t in techs], *[f"{t}_TIMESTAMP" for t in techs]]
+    early = [n for n in by_name if n not in late]
+    return ["UPRN", *[c for n in early for c in own(n)], *renewables, *[c for n in late for c in own(n)]]
 
 
 def timestamped_master(wide: DataFrame) -> DataFrame:
-    """Master with TIMESTAMP_<attr> / SOURCE_<attr> beside each value."""
-    cols = ["UPRN"]
-    for s in attribute_specs():
-        cols += [s.out, f"TIMESTAMP_{s.name}", f"SOURCE_{s.name}"]
+    """Master with date and source of every value; what a property lacks is missing."""
     techs = e1.TECHNOLOGIES
-    cols += [*techs, "RENEWABLE_COUNT", *[f"{t}_SOURCE" for t in techs], *[f"{t}_TIMESTAMP" for t in techs]]
-    return wide.select(*cols)
+    some = F.col("RENEWABLE_COUNT").isNotNull()
+    filled = _as_written(wide)
+    return filled.withColumns({c: F.when(some, F.col(c)) for t in techs for c in (t, f"{t}_SOURCE")}).select(*timestamped_columns())
 
 
-def duplicate_report(frames: Sequence[tuple[str, DataFrame]], key: str = "UPRN") -> DataFrame:
-    """Per attribute: rows and duplicate keys before resolution (A-06)."""
-    from abode.operators.quality import profile_counts
-    out = None
-    for name, df in frames:
-        p = profile_counts(df, key).withColumn("attribute", F.lit(name))
-        out = p if out is None else out.unionByName(p)
-    return out
+def duplicate_report(observations: DataFrame) -> DataFrame:
+    """Rows, keys and rows beyond the first of a key, by attribute (A-06).
+
+    Counted on what resolution reads: keyed observations after exclusion. The
+    technology observations are not a table of their own and don't count.
+    """
+    kept = R.exclude_observations(observations, attribute_specs()).where(F.col("attr") != "RENEWABLES")
+    return kept.groupBy("attr").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")).withColumn(
+        "n_duplicates", F.col("n_rows") - F.col("n_keys"))

@@ -20,16 +20,18 @@ from pyspark.sql import functions as F
 
 from abode.functions import dates as D
 from abode.functions import text as X
-from abode.functions.classify import classify, render_rules_sql
-from abode.functions.numbers import NUMBER_PATTERN, positive_flag, to_number
+from abode.functions.classify import classify
+from abode.functions.numbers import positive_flag, to_number
 from abode.operators import columns as P
 from abode.operators import filters as FL
 from abode.operators import joins as J
 from abode.operators import quality as Q
 from abode.operators import reshape as R
 from abode.operators import resolve as W
+from abode.plans import attributes as E1
+from abode.plans import measures as E2
+from abode.plans import oracle_rules as O
 from abode.rules import e1, e2
-from abode.session import ensure_parallelism
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,16 +46,9 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """Whole driver table. ``spread_by`` names a key to hash-spread a narrow
-    scan on before row-wise CPU-heavy work (a no-op for wide scans)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if not spread_by:
-        return df
-    spread = ensure_parallelism(df, [spread_by])
-    # A narrow scan was spread: keep the spread rows so filters that Spark
-    # pushes toward the scan run on the spread partitions, not in one task.
-    return spread.cache() if spread is not df else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Whole driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(key_sql: str, values: list) -> str:
@@ -76,12 +71,12 @@ def _squish_sql(e: str) -> str:
     return f"trim(regexp_replace({e}, '{_WS}+', ' ', 'g'))"
 
 
-def _rules_sql(rules, default, **cols) -> str:
-    return render_rules_sql(rules, default, cols or None)
+def _rules_sql(rules, _default) -> str:
+    return O.case_for(rules)
 
 
 def _tonum_sql(e: str) -> str:
-    return f"(CASE WHEN regexp_matches(CAST({e} AS VARCHAR), '{NUMBER_PATTERN}') " \
+    return f"(CASE WHEN regexp_matches(CAST({e} AS VARCHAR), '{O.NUMBER}') " \
            f"THEN TRY_CAST(trim(CAST({e} AS VARCHAR)) AS DOUBLE) END)"
 
 
@@ -136,7 +131,7 @@ _MESSY_DATES_DUCK = f"""
 def _repair_dmy_sql(src: str, floor_year: int, floor_date: str) -> str:
     day_pads = ", ".join(f"'{d}/'" for d in range(1, 10))
     month_pads = ", ".join(f"'/{m}/'" for m in range(1, 10))
-    lits = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in D.DATE_LITERAL_REPAIRS.items())
+    lits = O.DATE_LITERALS
     return f"""
 WITH src AS ({src}),
 s1 AS (SELECT *, CASE WHEN coalesce(substr(raw_date, 1, 2) IN ('39', '43'), false) THEN
@@ -160,7 +155,7 @@ FROM s7"""
 
 
 def _messy_date_repair(spark, sf_dir):
-    src = _messy_dates_spark(table(spark, sf_dir, "orders", "o_orderkey")).withColumn("programme_date", D.year_start("fyear"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders")).withColumn("programme_date", D.year_start("fyear"))
     out = D.with_dmy_dates(src, "raw_date", F.col("programme_date"), "ts", "year",
                            floor_year=1996, floor_date="1996-01-01")
     return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
@@ -171,7 +166,7 @@ query("messy_date_repair", _repair_dmy_sql(_MESSY_DATES_DUCK, 1996, "1996-01-01"
 
 def _date_fallback_clamp(spark, sf_dir):
     """Programme-year fallback + clamp with the reference's own parameters."""
-    src = _messy_dates_spark(table(spark, sf_dir, "orders", "o_orderkey")).withColumn("programme_date", D.year_start("fyear"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders")).withColumn("programme_date", D.year_start("fyear"))
     out = D.with_dmy_dates(src, "raw_date", F.col("programme_date"), "ts", "year")
     return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
 
@@ -201,14 +196,14 @@ _ISO_DUCK = (
 
 
 def _iso_date_gate(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", "event_id").selectExpr("event_id", f"{_ISO_SPARK} AS raw_date")
+    ev = table(spark, sf_dir, "events").selectExpr("event_id", f"{_ISO_SPARK} AS raw_date")
     return D.with_iso_dates(ev, "raw_date", "ts", "year").select("event_id", "raw_date", "ts", "year")
 
 
 def _iso_sql() -> str:
     day_pads = ", ".join(f"'{d}/'" for d in range(1, 10))
     month_pads = ", ".join(f"'/{m}/'" for m in range(1, 10))
-    lits = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in D.DATE_LITERAL_REPAIRS.items())
+    lits = O.DATE_LITERALS
     return f"""
 WITH src AS (SELECT event_id, {_ISO_DUCK} AS raw_date FROM events),
 s2 AS (SELECT *, regexp_replace(replace(raw_date, '.', '/'), '^{_WS}+|{_WS}+$', '', 'g') AS t2 FROM src),
@@ -243,9 +238,9 @@ WHERE raw_date IS NULL OR raw_date = '' OR substr(raw_date, 3, 1) <> '/'
 GROUP BY raw_date""")
 def _non_day_first_profile(spark, sf_dir):
     """D-12 + A-02: frequency of date texts not shaped dd/..., missing included."""
-    src = _messy_dates_spark(table(spark, sf_dir, "orders", "o_orderkey"))
+    src = _messy_dates_spark(table(spark, sf_dir, "orders"))
     odd = src.where(D.not_day_first("raw_date"))
-    return odd.groupBy("raw_date").agg(F.count(F.lit(1)).alias("n"))
+    return Q.frequency(odd, ["raw_date"]).select(F.col("value").alias("raw_date"), "n")
 
 
 # ===========================================================================
@@ -262,7 +257,7 @@ def _title_case_tidy(spark, sf_dir):
 
 
 def _title_sql() -> str:
-    word = X.TITLE_WORD_PATTERN.replace("'", "''")
+    word = O.TITLE_WORD
     inner = (f"array_to_string(list_transform(regexp_extract_all(lower(regexp_replace(address, "
              f"'[,\\s]*$', '')), '{word}', 1), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '')")
     return (f"WITH src AS (SELECT p_partkey, {_TITLE_SRC} AS address FROM part) "
@@ -278,7 +273,7 @@ SELECT doc_id, {_squish_sql('lower(text)')} AS text, {_squish_sql('lower(lang)')
 FROM documents""")
 def _squish_lower_text(spark, sf_dir):
     """P-10 over every text column of whole documents: lower + squish."""
-    docs = table(spark, sf_dir, "documents", "doc_id")
+    docs = table(spark, sf_dir, "documents")
     return P.map_text(docs, X.lower_squish)
 
 
@@ -298,12 +293,12 @@ LEFT JOIN c ON lower(replace(translate(o.noisy, ' ?"', ''), ' ', '')) = c.k
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 def _postcode_key_join(spark, sf_dir):
     """X-04/X-05 keys + J-09 chained lookups (orders -> customer -> nation)."""
-    o = table(spark, sf_dir, "orders", "o_orderkey").selectExpr("o_orderkey", f"{_NOISY_REF} AS noisy")
+    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{_NOISY_REF} AS noisy")
     o = o.withColumn("k", X.postcode_key(X.strip_postcode_noise("noisy")))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", X.postcode_key("c_name").alias("k"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     out = J.lookup_join(o, c, "k", null_safe=False)
-    out = J.lookup_join(out, n, {"c_nationkey": "n_nationkey"}, null_safe=False, bounded=True)
+    out = J.lookup_join(out, n, {"c_nationkey": "n_nationkey"}, null_safe=False)
     return out.select("o_orderkey", "noisy", "c_custkey", "n_name")
 
 
@@ -316,7 +311,7 @@ def _null_safe_lookup(spark, sf_dir):
     c = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_nationkey END AS k")
     n = table(spark, sf_dir, "nation").selectExpr("nullif(n_nationkey, 24) AS nk", "n_name")
-    return J.lookup_join(c, n, {"k": "nk"}, null_safe=True, bounded=True).select("c_custkey", "k", "n_name")
+    return J.lookup_join(c, n, {"k": "nk"}, null_safe=True).select("c_custkey", "k", "n_name")
 
 
 @query("blank_marker_cleanup", """
@@ -351,13 +346,7 @@ def _measure_fill(spark, sf_dir):
     p = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", f"{_MEASURE_SRC} AS MEASURE", f"{_SECOND_SRC} AS Non_ECO_Measure")
     p = P.map_text(p, X.lower_squish, ["MEASURE", "Non_ECO_Measure"])
-    p = FL.drop_all_blank(p, ["MEASURE", "Non_ECO_Measure"])
-    filled = F.when(
-        X.null_safe_isin("MEASURE", e1.NON_ECO_MARKERS)
-        | (X.is_blank("MEASURE") & ~X.is_blank("Non_ECO_Measure")),
-        F.col("Non_ECO_Measure"),
-    ).otherwise(F.col("MEASURE"))
-    return p.withColumn("MEASURE", filled).where(F.col("MEASURE").isNotNull()).select("p_partkey", "MEASURE")
+    return E1.fill_measure(p).select("p_partkey", "MEASURE")
 
 
 def _measure_fill_sql() -> str:
@@ -457,7 +446,7 @@ _WALL_TYPES = ["Full fill", "REFILL", "partial", "solid", "External", "unknown",
 
 
 def _ages(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(
+    o = table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey", f"{_YEAR_SPARK} AS year_built",
         f"{_case('o_orderkey % 9', _WALL_CATS)} AS wall_category",
         f"{_case('o_orderkey % 10', _WALL_TYPES)} AS wall_type")
@@ -521,7 +510,7 @@ _E2_HEAT_TABLES = [
        f"{_FUEL_A_SRC} AS fuel_after, {_HEAT_SRC} AS heating_after FROM lineitem)")
 def _classify_heating_loft(spark, sf_dir):
     """T-38..T-42: exact loft lists (both bands), fuel before/after, heating system."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(
+    li = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", f"{_LOFT_SRC} AS loft_depth", f"{_FUEL_B_SRC} AS fuel_before",
         f"{_FUEL_A_SRC} AS fuel_after", f"{_HEAT_SRC} AS heating_after")
     return li.select("l_orderkey", "l_linenumber", "loft_depth", "fuel_before", "fuel_after", "heating_after",
@@ -556,7 +545,7 @@ _ADDON_SRC = [
        + " FROM (SELECT l_orderkey, l_linenumber, " + ", ".join(_ADDON_SRC) + " FROM lineitem)")
 def _addon_flags(spark, sf_dir):
     """T-43 / M-04: positive amount -> measure, otherwise (NULL too) unknown."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr("l_orderkey", "l_linenumber", *_ADDON_SRC)
+    li = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", *_ADDON_SRC)
     return li.select("l_orderkey", "l_linenumber",
                      *[positive_flag(col, yes, no).alias(name) for name, (col, yes, no) in e2.ADDON_FLAGS.items()])
 
@@ -834,7 +823,7 @@ SELECT CAST(min(DATA_COUNT) AS DOUBLE) AS "min", quantile_cont(DATA_COUNT, 0.25)
        quantile_cont(DATA_COUNT, 0.75) AS q3, CAST(max(DATA_COUNT) AS DOUBLE) AS "max" FROM counted""")
 def _data_count_summary(spark, sf_dir):
     """A-08 five-number summary + mean of DATA_COUNT (A-11)."""
-    s = Q.five_number(master_assembly(spark, sf_dir), "DATA_COUNT")
+    s = Q.five_number(master_assembly(spark, sf_dir), "DATA_COUNT", exact=True)
     return s.withColumn("mean", F.round("mean", 9))
 
 
@@ -875,7 +864,7 @@ def _provenance_extract(spark, sf_dir):
         picked = (W.resolve_latest(rows, "key", "value", "ts") if specs[a].policy == "latest"
                   else W.resolve_first(rows, "key", "value"))
         tables[a] = picked.select(F.col("key").alias("UPRN"), F.col("ts").alias("TIMESTAMP"),
-                                  F.col("source").alias("SOURCE"))
+                                  F.col("source").alias("SOURCE"), "seq")
     population = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("UPRN"))
     contract = ["UPRN"]
     for a in _PROV_ATTRS:
@@ -949,7 +938,7 @@ def _region_lookup_required(spark, sf_dir):
     """J-05: left join then drop unmatched == inner join on a required lookup."""
     n = table(spark, sf_dir, "nation").where("n_regionkey IN (0, 1, 2)").select("n_nationkey", "n_name")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    out = J.lookup_join(c, n, {"c_nationkey": "n_nationkey"}, required=True, null_safe=False, bounded=True)
+    out = J.lookup_join(c, n, {"c_nationkey": "n_nationkey"}, required=True, null_safe=False)
     return out.select("c_custkey", "n_name")
 
 
@@ -964,7 +953,7 @@ def _regeocode_coalesce(spark, sf_dir):
     prev = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey", "concat('OLD ', s_name) AS NAME")
     geo = table(spark, sf_dir, "nation").where("n_regionkey <> 3").selectExpr(
         "n_nationkey", "CASE WHEN n_nationkey % 5 = 0 THEN 'Unknown' ELSE n_name END AS NAME")
-    return J.refresh_columns(prev, geo, {"s_nationkey": "n_nationkey"}, ["NAME"], bounded=True)
+    return J.refresh_columns(prev, geo, {"s_nationkey": "n_nationkey"}, ["NAME"])
 
 
 # ===========================================================================
@@ -985,20 +974,18 @@ u AS (SELECT o_orderkey, FY, STREET, TOWN, POSTCODE FROM prev
       UNION ALL SELECT o_orderkey, FY, STREET, NULL, POSTCODE FROM new)
 SELECT o_orderkey, FY, POSTCODE,
   coalesce(STREET, 'NA') || coalesce(TOWN, 'NA') || coalesce(POSTCODE, 'NA') AS sort_key,
-  {_squish_sql("array_to_string(list_transform(regexp_extract_all(lower(regexp_replace(STREET, '[,\\s]*$', '')), '" + X.TITLE_WORD_PATTERN.replace("'", "''") + "', 1), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '')")} AS STREET,
+  {_squish_sql("array_to_string(list_transform(regexp_extract_all(lower(regexp_replace(STREET, '[,\\s]*$', '')), '" + O.TITLE_WORD + "', 1), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '')")} AS STREET,
   TOWN
 FROM u""")
 def _append_and_sort(spark, sf_dir):
     """K-14 pieces: union by name (missing -> NULL), NA-pasting sort key, tidy, sort."""
-    h = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(_HIST_SRC))
+    h = table(spark, sf_dir, "orders").selectExpr(*_split_select(_HIST_SRC))
     prev = h.where("FY < 'FY1998'")
     new = P.blank_nulls(h.where("FY >= 'FY1998'").select("o_orderkey", "FY", "STREET", "POSTCODE"), ["STREET"])
     u = W.union_sources([("prev", prev), ("new", new)], source_col="_src", rank_col="_rank").drop("_src", "_rank")
     u = u.withColumn("sort_key", X.paste_na("STREET", "TOWN", "POSTCODE"))
     u = u.withColumn("STREET", X.tidy_address("STREET"))
-    return u.orderBy(F.col("FY").asc_nulls_last(), F.col("POSTCODE").asc_nulls_last(),
-                     F.col("sort_key").asc_nulls_last()).select("o_orderkey", "FY", "POSTCODE", "sort_key",
-                                                                "STREET", "TOWN")
+    return E2.sort_master(u.withColumn("_add", F.col("sort_key"))).select("o_orderkey", "FY", "POSTCODE", "sort_key", "STREET", "TOWN")
 
 
 _FREQ_SRC = ("SELECT p_brand, p_type, CAST(p_size AS STRING) AS p_size, "
@@ -1032,8 +1019,7 @@ def _freq_without_missing(spark, sf_dir):
 @query("distinct_measures", "SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL")
 def _distinct_measures(spark, sf_dir):
     """A-07: sorted distinct values (missing dropped)."""
-    p = table(spark, sf_dir, "part")
-    return p.select("p_type").where(F.col("p_type").isNotNull()).distinct().orderBy("p_type")
+    return Q.distinct_values(table(spark, sf_dir, "part"), "p_type").withColumnRenamed("value", "p_type")
 
 
 _KNOWN_TYPES = ["ECONOMY", "STANDARD", "SMALL"]
@@ -1103,9 +1089,8 @@ def _geo_spark(spark, sf_dir):
 
 
 def _geo_sql() -> str:
-    districts = " ".join(f"WHEN lad = '{c}' THEN '{n}'" for c, n in e2.DISTRICTS)
     return (f"SELECT lower(replace(c_name, ' ', '')) AS pcds, lad AS LAUA_CODE, "
-            f"CASE {districts} ELSE '{e2.DISTRICT_UNKNOWN}' END AS LAUA_NAME, pcon AS PCON_CODE FROM "
+            f"{O.DISTRICT_NAME} AS LAUA_NAME, pcon AS PCON_CODE FROM "
             f"(SELECT c_name, 'N09' || lpad(CAST(c_nationkey % 13 AS VARCHAR), 6, '0') AS lad, "
             f"'E140' || lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS pcon FROM customer) "
             f"WHERE c_name LIKE 'Customer#%'")
@@ -1147,7 +1132,7 @@ def _annual_measure_rows(spark, sf_dir):
     """K-11 composed: claims -> geography -> constituency names -> unpivot -> group -> drop Unknown."""
     from abode.plans.measures import explode_claim_measures
 
-    claims = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(_CLAIM_SRC))
+    claims = table(spark, sf_dir, "orders").selectExpr(*_split_select(_CLAIM_SRC))
     claims = claims.select(
         "o_orderkey", "Postcode", "scheme_name",
         classify(e2.PROPERTY_TYPE, e2.ERROR).alias("PROPERTY_TYPE"),
@@ -1156,7 +1141,7 @@ def _annual_measure_rows(spark, sf_dir):
         .alias("HOT_WATER_TANK_INSULATION"),
         positive_flag("cost_water_widget", *e2.ADDON_FLAGS["WATER_WIDGET"][1:]).alias("WATER_WIDGET"))
     names = table(spark, sf_dir, "nation").selectExpr(
-        "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM")
+        "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM", "n_nationkey AS seq")
     rows = explode_claim_measures(claims, _geo_spark(spark, sf_dir), names,
                                   measure_cols=["HOT_WATER_TANK_INSULATION", "WATER_WIDGET"])
     return rows.select("o_orderkey", "LAUA_NAME", "PCON_CODE", "PCON_NAME", "PROPERTY_TYPE", "TENURE", "MEASURE",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from abode.functions import dates as D
 from abode.plans import attributes as E1
+from abode.plans import oracle_rules as O
 from abode.plans.catalogue import (_LITERAL_PICK, _PHRASES, _WS, _case, _rules_sql, _squish_sql, _split_select,
                                    _tonum_sql, query, table)
 from abode.rules import e1
@@ -59,8 +60,8 @@ _LOOKUP_SPARK = ("SELECT CAST(c_custkey AS DOUBLE) AS UPRN, CASE WHEN c_custkey
 
 
 def _feed1(spark, sf_dir):
-    db = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(_F1_DB_SPARK))
-    sheet = table(spark, sf_dir, "part", "p_partkey").selectExpr(*_split_select(_F1_SHEET_SPARK))
+    db = table(spark, sf_dir, "orders").selectExpr(*_split_select(_F1_DB_SPARK))
+    sheet = table(spark, sf_dir, "part").selectExpr(*_split_select(_F1_SHEET_SPARK))
     lookup = table(spark, sf_dir, "customer").selectExpr(*_split_select(_LOOKUP_SPARK))
     return E1.clean_feed1(db, sheet, lookup)
 
@@ -69,7 +70,7 @@ def _dmy_chain_sql(src: str, text: str, programme: str) -> str:
     """CTEs repairing ``text`` of CTE ``src``; the last CTE, ``dated``, adds ``__d``."""
     day_pads = ", ".join(f"'{d}/'" for d in range(1, 10))
     month_pads = ", ".join(f"'/{m}/'" for m in range(1, 10))
-    lits = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in D.DATE_LITERAL_REPAIRS.items())
+    lits = O.DATE_LITERALS
     num = _tonum_sql(text)
     return f"""
 d1 AS (SELECT *, CASE WHEN coalesce(substr({text}, 1, 2) IN ('39', '43'), false) THEN
@@ -162,7 +163,7 @@ def _feed2_select(dialect: str) -> list[str]:
 
 
 def _feed2(spark, sf_dir):
-    sheet = table(spark, sf_dir, "lineitem", "l_orderkey").selectExpr(*_feed2_select("spark"))
+    sheet = table(spark, sf_dir, "lineitem").selectExpr(*_feed2_select("spark"))
     return E1.clean_feed2(sheet)
 
 
@@ -174,7 +175,7 @@ def _feed2_sql() -> str:
     classes = ", ".join(f"{_rules_sql(r, d)} AS {n}" for n, r, d in E1.FEED2_CLASSIFIERS)
     day_pads = ", ".join(f"'{d}/'" for d in range(1, 10))
     month_pads = ", ".join(f"'/{m}/'" for m in range(1, 10))
-    lits = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in D.DATE_LITERAL_REPAIRS.items())
+    lits = O.DATE_LITERALS
     key = (f"CASE WHEN {_tonum_sql('raw_key')} = floor({_tonum_sql('raw_key')}) "
            f"THEN CAST({_tonum_sql('raw_key')} AS BIGINT) END")
     return f"""
@@ -207,8 +208,8 @@ _WH_REGION = ("BUILDING", "MACHINERY", "HOUSEHOLD")
 _WH_ATTRS = [("PROPERTY_TYPE", "PROPERTY_TYPE_CODE", "constant"), ("PROPERTY_TENURE", "TENURE_CODE", "capped")]
 
 
-def attribute_master(spark, sf_dir):
-    """Feeds 1 and 2 + warehouse -> one-aggregation resolve -> 20-column master."""
+def _observed(spark, sf_dir):
+    """Observations of feeds 1 and 2 and the warehouse."""
     from abode.sources.warehouse import warehouse_observations
 
     f1, f2 = _feed1(spark, sf_dir), _feed2(spark, sf_dir)
@@ -225,10 +226,42 @@ def attribute_master(spark, sf_dir):
     wh = warehouse_observations(homes, dictionary, details, xref, _WH_ATTRS, _WH_REGION,
                                 e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
                                 e1.SOURCE_WAREHOUSE)
-    return E1.master(E1.resolve_attributes(E1.observations(f1, f2, wh)))
+    return E1.observations(f1, f2, wh)
 
 
-def _attribute_master_sql() -> str:
+def attribute_master(spark, sf_dir):
+    """Feeds 1 and 2 + warehouse -> one-aggregation resolve -> 20-column master."""
+    return E1.master(E1.resolve_attributes(_observed(spark, sf_dir)))
+
+
+def _timestamped_master(spark, sf_dir):
+    """K-08 / P-11: every value with its date and source; what a property lacks is missing."""
+    return E1.timestamped_master(E1.resolve_attributes(_observed(spark, sf_dir)))
+
+
+def _timestamped_master_sql() -> str:
+    cols = []
+    for name, out, _code, _rule, _ex, _pol in e1.ATTRIBUTES:
+        hit = f"CASE WHEN attr = '{name}' AND rn = 1 THEN"
+        value = _num_text(f"max({hit} num END)") if name in ("SAP_SCORE", "SAP_FUEL_BILL") else f"max({hit} v END)"
+        cols += [f"max({hit} ts END) AS TIMESTAMP_{name}", f"{value} AS {out}", f"max({hit} src END) AS SOURCE_{name}"]
+    has = {t: f"max(CASE WHEN attr = 'RENEWABLES' AND v = '{t}' THEN 1 ELSE 0 END)" for t in e1.TECHNOLOGIES}
+    total = "(" + " + ".join(has.values()) + ")"
+    cols.append(f"CASE WHEN {total} > 0 THEN CAST({total} AS INTEGER) END AS RENEWABLE_COUNT")
+    for t, flag in has.items():
+        first = f"CASE WHEN attr = 'RENEWABLES' AND v = '{t}' AND trn = 1 THEN"
+        cols += [f"CASE WHEN {total} > 0 THEN CASE WHEN {flag} = 1 THEN 'Yes' ELSE '' END END AS {t}",
+                 f"CASE WHEN {total} > 0 THEN coalesce(max({first} src END), '') END AS {t}_SOURCE", f"max({first} ts END) AS {t}_TIMESTAMP"]
+    return f"WITH {_ranked_sql()} SELECT k AS UPRN, {', '.join(cols)} FROM rankedobs GROUP BY k"
+
+
+def _duplicates_before_resolution(spark, sf_dir):
+    """Q-04: rows, keys and duplicates by attribute, after exclusion."""
+    return E1.duplicate_report(_observed(spark, sf_dir))
+
+
+def _observations_sql() -> str:
+    """CTEs up to ``keptobs``: keyed observations of all sources after exclusion."""
     region = ", ".join(f"'{r}'" for r in _WH_REGION)
     wh = f"""
   SELECT x.o_orderkey AS k, nm.attr, nm.value AS v, CAST(NULL AS DOUBLE) AS num,
@@ -261,7 +294,28 @@ def _attribute_master_sql() -> str:
         if ex:
             excl.append(f"(attr = '{name}' AND v IN ({', '.join(repr(x) for x in ex)}))")
     excl.append(f"(attr = 'RENEWABLES' AND v IN ({', '.join(repr(x) for x in e1.TECHNOLOGY_EXCLUDED)}))")
+    return f"""
+f1src AS ({_feed1_sql()}),
+f2src AS ({_feed2_sql()}),
+allobs AS ({wh}
+  UNION ALL {' UNION ALL '.join(arms)}),
+keptobs AS (SELECT * FROM allobs WHERE k IS NOT NULL AND (v IS NOT NULL OR num IS NOT NULL)
+            AND NOT ({' OR '.join(excl)}))"""
+
+
+def _ranked_sql() -> str:
     first_attrs = ", ".join(f"'{n}'" for n, _o, _c, _r, _x, p in e1.ATTRIBUTES if p == "first")
+    return f"""{_observations_sql()},
+rankedobs AS (SELECT *, row_number() OVER (PARTITION BY k, attr ORDER BY
+    CASE WHEN attr IN ({first_attrs}) THEN NULL ELSE ts END DESC NULLS LAST, rk, seq) AS rn,
+  row_number() OVER (PARTITION BY k, attr, v ORDER BY rk, seq) AS trn FROM keptobs)"""
+
+
+def _num_text(c: str) -> str:
+    return f"CASE WHEN {c} = floor({c}) THEN CAST(CAST({c} AS BIGINT) AS VARCHAR) ELSE CAST({c} AS VARCHAR) END"
+
+
+def _attribute_master_sql() -> str:
     pivots = []
     for name, out, _code, _rule, _ex, _pol in e1.ATTRIBUTES:
         val = "num" if name in ("SAP_SCORE", "SAP_FUEL_BILL") else "v"
@@ -269,8 +323,7 @@ def _attribute_master_sql() -> str:
     pivots += [f"max(CASE WHEN attr = 'RENEWABLES' AND v = '{t}' THEN 1 ELSE 0 END) AS f_{t}" for t in e1.TECHNOLOGIES]
 
     def num_text(c):
-        return (f"coalesce(CASE WHEN {c} = floor({c}) THEN CAST(CAST({c} AS BIGINT) AS VARCHAR) "
-                f"ELSE CAST({c} AS VARCHAR) END, '')")
+        return f"coalesce({_num_text(c)}, '')"
     texts = []
     for name, out, *_ in e1.ATTRIBUTES:
         texts.append(f"{num_text(out)} AS {out}" if name in ("SAP_SCORE", "SAP_FUEL_BILL")
@@ -281,20 +334,18 @@ def _attribute_master_sql() -> str:
     counted = [c for c in e1.MASTER_COLUMNS if c not in ("UPRN", "RENEWABLE_COUNT")]
     data_count = " + ".join(f"CAST(\"{c}\" <> '' AS INTEGER)" for c in counted)
     return f"""
-WITH f1src AS ({_feed1_sql()}),
-f2src AS ({_feed2_sql()}),
-allobs AS ({wh}
-  UNION ALL {' UNION ALL '.join(arms)}),
-keptobs AS (SELECT * FROM allobs WHERE k IS NOT NULL AND (v IS NOT NULL OR num IS NOT NULL)
-            AND NOT ({' OR '.join(excl)})),
-rankedobs AS (SELECT *, row_number() OVER (PARTITION BY k, attr ORDER BY
-    CASE WHEN attr IN ({first_attrs}) THEN NULL ELSE ts END DESC NULLS LAST, rk, seq) AS rn FROM keptobs),
+WITH {_ranked_sql()},
 widem AS (SELECT k, {', '.join(pivots)} FROM rankedobs GROUP BY k),
 masterm AS (SELECT k AS UPRN, {', '.join(texts)} FROM widem)
 SELECT *, CAST({data_count} AS INTEGER) AS DATA_COUNT FROM masterm"""
 
 
 query("attribute_master", _attribute_master_sql())(attribute_master)
+query("timestamped_master", _timestamped_master_sql())(_timestamped_master)
+query("duplicates_before_resolution",
+      f"WITH {_observations_sql()} SELECT attr, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT k) AS BIGINT) AS n_keys, "
+      "CAST(count(*) - count(DISTINCT k) AS BIGINT) AS n_duplicates FROM keptobs WHERE attr <> 'RENEWABLES' GROUP BY attr")(
+    _duplicates_before_resolution)
 
 
 # -- annual claims cleaning (orders as one year's claims worksheet) -----------
@@ -336,14 +387,23 @@ def _claims_select(dialect: str) -> str:
     ])
 
 
+def _claims(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(*_split_select(f"SELECT {_claims_select('spark')} FROM orders"))
+
+
 def _claims_cleaning(spark, sf_dir):
-    claims = table(spark, sf_dir, "orders", "o_orderkey").selectExpr(*_split_select(
-        f"SELECT {_claims_select('spark')} FROM orders"))
-    cleaned, _quarantined, _offenders = E2.clean_claims(claims, _CLAIMS_AS_OF, strict=False)
+    """K-10 in lenient mode: clean claims only."""
+    cleaned, _quarantined, _offenders = E2.clean_claims(_claims(spark, sf_dir), _CLAIMS_AS_OF, strict=False)
     return cleaned.select(*_CLAIM_OUT)
 
 
-def _claims_sql() -> str:
+def _claims_offenders(spark, sf_dir):
+    """K-10 in lenient mode: what the gates took out."""
+    _cleaned, _quarantined, offenders = E2.clean_claims(_claims(spark, sf_dir), _CLAIMS_AS_OF, strict=False)
+    return offenders.select(*_CLAIM_OUT)
+
+
+def _claims_sql(clean: bool = True) -> str:
     from abode.functions.dates import fiscal_label
 
     first = [("PROPERTY_TYPE", e2.PROPERTY_TYPE, e2.ERROR), ("TENURE", e2.TENURE, e2.ERROR),
@@ -364,10 +424,11 @@ num AS (SELECT *, {_tonum_sql('year_built')} AS year_built_num FROM kept),
 c1 AS (SELECT *, {classes} FROM num),
 c2 AS (SELECT *, {_rules_sql(e2.WALL_INSULATION, e2.ERROR)} AS WALL_INS, {flags},
               'FY{fiscal_label(_CLAIMS_AS_OF)}' AS FY FROM c1)
-SELECT {', '.join(_CLAIM_OUT)} FROM c2"""
+SELECT {', '.join(_CLAIM_OUT)} FROM c2 WHERE {"" if clean else "NOT "}({" AND ".join(f"{c} <> 'ERROR'" for c in e2.GATED_COLUMNS)})"""
 
 
 query("claims_cleaning", _claims_sql())(_claims_cleaning)
+query("claims_offenders", _claims_sql(clean=False))(_claims_offenders)
 
 
 # -- cumulative master refresh ------------------------------------------------
@@ -404,20 +465,18 @@ def _new_rows_select(dialect: str) -> str:
 def _master_refresh(spark, sf_dir):
     """K-13/K-14: re-geocode the cumulative master (new lookup wins, old value
     kept when unmatched), append the new year, tidy addresses, sort."""
-    orders = table(spark, sf_dir, "orders", "o_orderkey")
+    orders = table(spark, sf_dir, "orders")
     prev = orders.where("o_orderdate < DATE'1998-01-01'").selectExpr(
         *_split_select(f"SELECT {_prev_master_select('spark')} FROM orders"))
     new = orders.where("o_orderdate >= DATE'1998-01-01'").selectExpr(
         *_split_select(f"SELECT {_new_rows_select('spark')} FROM orders"))
     names = table(spark, sf_dir, "nation").selectExpr(
-        "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM")
+        "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM", "n_nationkey AS seq")
     return E2.refresh_master(prev, new, _C._geo_spark(spark, sf_dir), names)
 
 
 def _title_expr_sql(col: str) -> str:
-    from abode.functions.text import TITLE_WORD_PATTERN
-
-    word = TITLE_WORD_PATTERN.replace("'", "''")
+    word = O.TITLE_WORD
     inner = (f"array_to_string(list_transform(regexp_extract_all(lower(regexp_replace({col}, '[,\\s]*$', '')), "
              f"'{word}', 1), lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), '')")
     return _squish_sql(inner)

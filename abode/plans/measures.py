@@ -2,16 +2,14 @@
 refreshed cumulative masters.
 
 Shape of the work on Spark: the claims year is classified row-wise (pure
-expressions, no shuffle), gated in one aggregate job, unpivoted in place,
-and joined to two lookups. The postcode directory is data-sized (millions
-of rows nationally), so its join is left to the planner; the constituency
-name list and district codes are bounded and broadcast.
+expressions, no shuffle), gated, unpivoted in place, and joined to two lookups.
+Their joins are left to the planner, which broadcasts what is small enough.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,21 +25,21 @@ from abode.operators import quality as Q
 from abode.operators import reshape as R
 from abode.operators import resolve as W
 from abode.rules import e2
+from abode.sources.landed import require_columns
 
 
 def land_claims(raw: DataFrame) -> DataFrame:
     """Rename raw worksheet headers to landed names (raw and derived names
     would otherwise collide under case-insensitive resolution)."""
-    present = {k: v for k, v in e2.CLAIM_COLUMNS.items() if k in raw.columns}
-    return raw.select(*[F.col(f"`{c}`").alias(present.get(c, c)) for c in raw.columns])
+    require_columns(raw, list(e2.CLAIM_COLUMNS), "claims worksheet")
+    return raw.select(*[F.col(f"`{c}`").alias(e2.CLAIM_COLUMNS.get(c, c)) for c in raw.columns])
 
 
-def clean_claims(claims: DataFrame, as_of: _dt.date, strict: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(classified claims, blank-postcode quarantine, gate offenders).
+def classify_claims(claims: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
+    """(classified claims, blank-postcode quarantine), not gated yet.
 
     Manual removals dropped, duplicate-address group sizes attached,
-    blank-postcode singletons quarantined, every category classified,
-    gates checked in one job (strict mode raises ``GateError``).
+    blank-postcode singletons quarantined, every category classified.
     """
     df = FL.keep_unmarked(claims, "remove_marker")
     df = W.with_group_size(df, "duplicate_address", "dupe_check")
@@ -63,9 +61,18 @@ def clean_claims(claims: DataFrame, as_of: _dt.date, strict: bool = True) -> tup
     df = df.withColumn("WALL_INS", classify(e2.WALL_INSULATION, e2.ERROR))
     df = df.withColumns({name: positive_flag(to_number(col), yes, no)
                          for name, (col, yes, no) in e2.ADDON_FLAGS.items()})
-    df = df.withColumn("FY", F.lit("FY" + fiscal_label(as_of)))
-    _, offenders = Q.gate(df, e2.GATED_COLUMNS, strict=strict)
-    return df, quarantined, offenders
+    return df.withColumn("FY", F.lit("FY" + fiscal_label(as_of))), quarantined
+
+
+def clean_claims(claims: DataFrame, as_of: _dt.date, strict: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(clean claims, blank-postcode quarantine, gate offenders).
+
+    Strict mode raises ``GateError`` at the first offender; otherwise offenders
+    leave the clean claims and are returned apart.
+    """
+    df, quarantined = classify_claims(claims, as_of)
+    clean, offenders = Q.gate(df, e2.GATED_COLUMNS, strict=strict)
+    return clean, quarantined, offenders
 
 
 def postcode_geography(directory: DataFrame, prefix: str = e2.POSTCODE_PREFIX) -> DataFrame:
@@ -82,15 +89,11 @@ def postcode_geography(directory: DataFrame, prefix: str = e2.POSTCODE_PREFIX) -
     )
 
 
-def constituency_names(lookup: DataFrame, seq: str | None = None) -> DataFrame:
-    """First row per constituency code -> (PCON24CD, PCON_NAME)."""
-    df = lookup.select("PCON24CD", F.col("PCON24NM").alias("PCON_NAME"),
-                       *( [seq] if seq else []))
-    if seq:
-        df = W.first_per_key(df, "PCON24CD", [seq]).drop(seq)
-    else:
-        df = W.first_per_key(df, "PCON24CD", ["PCON_NAME"])
-    return df
+def constituency_names(lookup: DataFrame, seq: str = "seq") -> DataFrame:
+    """First landed row per constituency code -> (PCON24CD, PCON_NAME)."""
+    require_columns(lookup, ["PCON24CD", "PCON24NM", seq], "constituency lookup")
+    df = lookup.select("PCON24CD", F.col("PCON24NM").alias("PCON_NAME"), F.col(seq).cast("long").alias(seq))
+    return W.first_per_key(df, "PCON24CD", [seq]).drop(seq)
 
 
 def explode_claim_measures(
@@ -109,7 +112,7 @@ def explode_claim_measures(
     keyed = claims.withColumn("pcds", X.postcode_key("Postcode"))
     geo = J.lookup_join(keyed, geography, "pcds", null_safe=True).drop("pcds")
     names = constituency_names(pcon_lookup)
-    geo = J.lookup_join(geo, names, {"PCON_CODE": "PCON24CD"}, null_safe=True, bounded=True)
+    geo = J.lookup_join(geo, names, {"PCON_CODE": "PCON24CD"}, null_safe=True)
     long = R.explode_measures(geo, list(measure_cols), values_to="MEASURE")
     grouped = long.withColumn("MEASURE_GROUP", classify(e2.MEASURE_GROUP, e2.ERROR))
     if strict_unknown:
@@ -121,11 +124,12 @@ def explode_claim_measures(
         "SUB_BUILDING": F.lit(None).cast("string"), "COUNTY": F.lit(None).cast("string")})
 
 
-def geography_gate(rows: DataFrame, strict: bool = True) -> DataFrame:
-    """Measure-group ERRORs and unresolved districts ("Unknown" or missing)."""
-    _, bad_group = Q.gate(rows, ["MEASURE_GROUP"], strict=strict)
-    _, bad_geo = Q.gate(rows, ["LAUA_NAME"], bad=("Unknown", "ERROR"), strict=strict, include_null=True)
-    return bad_group.unionByName(bad_geo)
+def geography_gate(rows: DataFrame, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, offenders): measure-group ERRORs and unresolved districts
+    ("Unknown" or missing) stop a strict run and leave the clean rows otherwise."""
+    grouped, bad_group = Q.gate(rows, ["MEASURE_GROUP"], strict=strict)
+    clean, bad_geo = Q.gate(grouped, ["LAUA_NAME"], bad=("Unknown", "ERROR"), strict=strict, include_null=True)
+    return clean, bad_group.unionByName(bad_geo)
 
 
 def annual_extract(rows: DataFrame) -> DataFrame:
@@ -147,28 +151,38 @@ def department_extract(rows: DataFrame) -> DataFrame:
                            "TOWN": X.blank_if_contains("TOWN", "N/A")})
 
 
+def sort_master(rows: DataFrame) -> DataFrame:
+    """Rows by year label, postcode and address text as joined before tidying (``_add``)."""
+    return rows.orderBy(F.col("FY").asc_nulls_last(), F.col("POSTCODE").asc_nulls_last(),
+                        F.col("_add").asc_nulls_last()).drop("_add")
+
+
+def append_and_tidy(previous: DataFrame, new: DataFrame) -> DataFrame:
+    """Master rows and new rows with tidy addresses and ``_add``, the sort key from the untidied ones."""
+    out = previous.unionByName(new, allowMissingColumns=True).withColumn("_add", X.paste_na(*e2.SORT_KEY_COLUMNS))
+    return out.withColumns({c: X.tidy_address(F.col(c).cast("string")) for c in e2.ADDRESS_COLUMNS})
+
+
 def refresh_master(previous: DataFrame, new: DataFrame, geography: DataFrame, pcon_lookup: DataFrame,
-                   replace_label: bool = False) -> DataFrame:
+                   replace_label: bool = False, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """Re-geocode the cumulative master, append the new year, tidy, sort.
 
-    New lookup values win; the old ones are the fallback (a district named
+    The global sort samples its input first; ``stage`` (if given) writes the
+    joined rows once before that, so that the joins run once. New lookup values win; the old ones are the fallback (a district named
     "Unknown" therefore replaces an old name). ``replace_label`` removes
     rows of the same FY label first, making re-runs idempotent.
     """
     names = constituency_names(pcon_lookup)
-    geo = geography.join(F.broadcast(names), geography["PCON_CODE"].eqNullSafe(names["PCON24CD"]), "left") \
+    geo = geography.join(names, geography["PCON_CODE"].eqNullSafe(names["PCON24CD"]), "left") \
                    .select("pcds", "LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME")
     prev = previous.withColumn("pcds", X.postcode_key("POSTCODE"))
     prev = J.refresh_columns(prev, geo, {"pcds": "pcds"}, ["LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME"])
     prev = prev.select(*e2.MASTER_COLUMNS)
     if replace_label:
         labels = new.select("FY").distinct()
-        prev = prev.join(F.broadcast(labels), "FY", "left_anti").select(*e2.MASTER_COLUMNS)
-    out = prev.unionByName(new.select(*e2.MASTER_COLUMNS), allowMissingColumns=True)
-    out = out.withColumn("_add", X.paste_na(*e2.SORT_KEY_COLUMNS))
-    out = out.withColumns({c: X.tidy_address(F.col(c).cast("string")) for c in e2.ADDRESS_COLUMNS})
-    return out.orderBy(F.col("FY").asc_nulls_last(), F.col("POSTCODE").asc_nulls_last(),
-                       F.col("_add").asc_nulls_last()).drop("_add")
+        prev = prev.join(labels, "FY", "left_anti").select(*e2.MASTER_COLUMNS)
+    out = append_and_tidy(prev, new.select(*e2.MASTER_COLUMNS))
+    return sort_master(stage(out, "master") if stage else out)
 
 
 def append_history(history: DataFrame, new_extract: DataFrame) -> DataFrame:

@@ -1,9 +1,9 @@
 """Programme runners: read inputs, run a whole programme, write its outputs.
 
-Each runner cuts lineage once at the natural checkpoint of its programme
-(``stage_table`` under ``spark.checkpoint.dir``) so that every output is a
-cheap projection of one materialised frame and a lost executor never
-forces a recompute from the raw feeds.
+Each runner cuts lineage at the natural checkpoints of its programme
+(``staging`` under ``spark.checkpoint.dir``), so that every output is a cheap
+projection of one materialised frame and a lost executor never forces a
+recompute from the raw feeds. What a run staged goes when it ends.
 """
 
 from __future__ import annotations
@@ -17,18 +17,18 @@ from pyspark.sql import functions as F
 from abode.functions.dates import fiscal_label
 from abode.operators import quality as Q
 from abode.operators import sinks as S
-from abode.operators.joins import in_population
-from abode.operators.resolve import duplicated_rows
 from abode.plans import attributes as E1
 from abode.plans import measures as E2
-from abode.plans.provenance import provenance_extract, renewables_provenance
-from abode.rules import e1
-from abode.session import stage_table
+from abode.plans.provenance import joined_row_counts, provenance_extract, renewables_provenance
+from abode.rules import e1, e2
+from abode.session import staging
 from abode.sources.warehouse import warehouse_observations
 
 # Output folder stems of the attribute tables, keyed by attribute.
 ATTRIBUTE_FILES = {name: f"attr_{name.lower()}" for name, *_ in e1.ATTRIBUTES}
 RENEWABLES_FILE = "attr_renewables"
+#: Technologies that the renewables table contributes to the provenance extract.
+RENEWABLES_PARTS = ["BATTERY", "SOLAR_PV", "SOLAR_THERMAL", "BIO_BOILER", "ASHP"]
 
 # The 47-column provenance extract contract.
 PROVENANCE_VALUES = [
@@ -45,44 +45,49 @@ PROVENANCE_CONTRACT = ["UPRN"] + [c for value, suffix in PROVENANCE_VALUES
 
 
 def run_attribute_resolution(inputs: dict[str, DataFrame], out_root: str) -> dict[str, str]:
-    """Feeds + warehouse -> 13 attribute CSVs, renewables CSV, two masters (TSV).
+    """Feeds + warehouse -> 13 attribute CSVs, renewables CSV, two masters (TSV), reports.
 
-    ``inputs`` keys: feed1_db, feed1_sheet, uprn_lookup, feed2_sheet,
-    homes_fact, dictionary, home_details, address_xref.
+    ``inputs`` keys: feed1_db, feed1_sheet, uprn_lookup, feed2_sheet, homes_fact,
+    dictionary, home_details, address_xref, and optionally previous_renewables,
+    whose columns the new renewables table must not exceed.
     """
-    f1 = E1.clean_feed1(inputs["feed1_db"], inputs["feed1_sheet"], inputs["uprn_lookup"])
-    f2 = E1.clean_feed2(inputs["feed2_sheet"])
-    attrs = [(name, code, rule) for name, _o, code, rule, _x, _p in e1.ATTRIBUTES if code]
-    wh = warehouse_observations(inputs["homes_fact"], inputs["dictionary"], inputs["home_details"],
-                                inputs["address_xref"], attrs, e1.WAREHOUSE_REGION,
-                                e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
-                                e1.SOURCE_WAREHOUSE)
-    obs = E1.observations(f1, f2, wh)
-    wide = stage_table(E1.resolve_attributes(obs), "attribute-wide")
+    spark = inputs["feed1_db"].sparkSession
     root = out_root.rstrip("/")
-    paths = {}
-    # Duplicate keys per attribute before resolution (one aggregation).
-    dupes = obs.where(F.col("key").isNotNull()).groupBy("attr").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")
-    ).withColumn("n_duplicates", F.col("n_rows") - F.col("n_keys"))
-    paths["duplicates"] = S.write_attribute_csv(dupes, f"{root}/duplicate_report")
-    for name, stem in ATTRIBUTE_FILES.items():
-        paths[name] = S.write_attribute_csv(E1.attribute_table(wide, name), f"{root}/{stem}")
-    paths["RENEWABLES"] = S.write_attribute_csv(E1.renewables_table(wide), f"{root}/{RENEWABLES_FILE}")
-    master = E1.master(wide)
-    Q.assert_unique(master, "UPRN")
-    paths["master"] = S.write_tsv(master, f"{root}/property_master")
-    staged_master = spark_read_tsv(master.sparkSession, paths["master"])
-    paths["data_count_summary"] = S.write_attribute_csv(
-        Q.five_number(staged_master, "DATA_COUNT"), f"{root}/data_count_summary")
-    paths["data_count_frequency"] = S.write_attribute_csv(
-        Q.frequency(staged_master, ["DATA_COUNT"]), f"{root}/data_count_frequency")
-    paths["master_timestamped"] = S.write_tsv(E1.timestamped_master(wide), f"{root}/property_master_timestamped")
+    with staging(spark) as stage:
+        f1 = E1.clean_feed1(inputs["feed1_db"], inputs["feed1_sheet"], inputs["uprn_lookup"])
+        f2 = E1.clean_feed2(inputs["feed2_sheet"])
+        attrs = [(name, code, rule) for name, _o, code, rule, _x, _p in e1.ATTRIBUTES if code]
+        wh = warehouse_observations(inputs["homes_fact"], inputs["dictionary"], inputs["home_details"],
+                                    inputs["address_xref"], attrs, e1.WAREHOUSE_REGION,
+                                    e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
+                                    e1.SOURCE_WAREHOUSE)
+        obs = stage(E1.observations(f1, f2, wh), "observations")
+        wide = stage(E1.resolve_attributes(obs), "attribute-wide")
+        renewables, master = E1.renewables_table(wide), stage(E1.master(wide), "property-master")
+        if "previous_renewables" in inputs:
+            Q.check_columns(renewables, inputs["previous_renewables"].columns)
+        Q.assert_unique(master, "UPRN")
+        reports = {
+            "duplicates": (E1.duplicate_report(obs), "duplicate_report"),
+            "observed_categories": (Q.frequency_by(obs, "attr", "value"), "observed_categories"),
+            "category_profile": (Q.frequency(master, [c for c in e1.MASTER_COLUMNS if c != "UPRN"]), "category_profile"),
+            "data_count_summary": (Q.five_number(master, "DATA_COUNT", exact=True), "data_count_summary"),
+            "data_count_frequency": (Q.frequency(master, ["DATA_COUNT"]), "data_count_frequency"),
+            "RENEWABLES": (renewables, RENEWABLES_FILE),
+            **{name: (E1.attribute_table(wide, name), stem) for name, stem in ATTRIBUTE_FILES.items()},
+        }
+        paths = {name: S.write_attribute_csv(df, f"{root}/{stem}") for name, (df, stem) in reports.items()}
+        paths["master"] = S.write_tsv(master, f"{root}/property_master")
+        paths["master_timestamped"] = S.write_tsv(E1.timestamped_master(wide), f"{root}/property_master_timestamped")
     return paths
 
 
-def spark_read_tsv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", "true").option("sep", "\t").option("escape", '"').csv(path)
+def ordered(df: DataFrame, key: str = "UPRN") -> DataFrame:
+    """``df`` with a landed order. One without ``seq`` must have unique keys: then any order is the same."""
+    if "seq" in df.columns:
+        return df.withColumn("seq", F.col("seq").cast("long"))
+    Q.assert_unique(df, key)
+    return df.withColumn("seq", F.lit(0).cast("long"))
 
 
 def load_listed_tables(spark: SparkSession, table_list: DataFrame | Sequence[str],
@@ -93,50 +98,74 @@ def load_listed_tables(spark: SparkSession, table_list: DataFrame | Sequence[str
         [r[0] for r in table_list.select(table_list.columns[0]).collect()]
     tables: dict[str, DataFrame] = {}
     for name in names:
-        t = load(name)
+        t = ordered(load(name))
         if name == "RENEWABLES":
-            tables.update(renewables_provenance(t, ["BATTERY", "SOLAR_PV", "SOLAR_THERMAL", "BIO_BOILER", "ASHP"]))
+            tables.update(renewables_provenance(t, RENEWABLES_PARTS))
         else:
-            tables[name] = t.select("UPRN", "TIMESTAMP", "SOURCE")
+            tables[name] = t.select("UPRN", "TIMESTAMP", "SOURCE", "seq")
     return tables
 
 
 def run_provenance_extract(master: DataFrame, tables: dict[str, DataFrame], population: DataFrame,
                            out_root: str, as_of: _dt.date) -> tuple[str, dict]:
-    """47-column provenance CSV (dated) + the row-count report in one job."""
-    extract = stage_table(provenance_extract(master, tables, population, PROVENANCE_CONTRACT), "provenance")
-    flags = population.select(F.col("UPRN").alias("_pk")).distinct().withColumn("_in", F.lit(1))
-    marked = master.join(flags, master["UPRN"].eqNullSafe(flags["_pk"]), "left")
-    report = marked.agg(
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(F.col("_in").isNull()).alias("rows_not_in_population"),
-        F.count_if(F.col("_in") == 1).alias("rows_in_population"),
-    ).first().asDict()
-    report["rows_in_duplicated_keys"] = duplicated_rows(in_population(master, population, "UPRN"), "UPRN").count()
-    report["rows_after_dedup"] = extract.count()
-    path = S.write_quoted_csv(extract, S.dated_path(out_root, "provenance_extract", as_of))
-    return path, report
+    """47-column provenance CSV (dated) + row counts before and after each step."""
+    master = ordered(master)
+    with staging(master.sparkSession) as stage:
+        extract = stage(provenance_extract(master, tables, population, PROVENANCE_CONTRACT), "provenance")
+        path = S.write_quoted_csv(extract, S.dated_path(out_root, "provenance_extract", as_of))
+    shared = {part: "RENEWABLES" for part in RENEWABLES_PARTS}
+    return path, joined_row_counts(master, tables, population, physical=shared).first().asDict()
 
 
 def run_annual_measures(
     claims_raw: DataFrame, directory: DataFrame, pcon_lookup: DataFrame,
     previous_master: DataFrame, previous_history: DataFrame, out_root: str, as_of: _dt.date,
-    strict: bool = True, replace_label: bool = False, encoding: str = "UTF-8",
+    strict: bool = True, replace_label: bool = False, encoding: str = "windows-1252",
 ) -> dict[str, str]:
-    """Yearly claims -> cleaned Parquet, annual CSV, new versions of both cumulative masters."""
-    root = out_root.rstrip("/")
-    label = fiscal_label(as_of)
-    cleaned, quarantined, _ = E2.clean_claims(E2.land_claims(claims_raw), as_of, strict=strict)
-    cleaned = stage_table(cleaned, f"claims-{label}")
-    geo = E2.postcode_geography(directory)
-    rows = stage_table(E2.explode_claim_measures(cleaned, geo, pcon_lookup), f"measures-{label}")
-    E2.geography_gate(rows, strict=strict)
-    paths = {
-        "quarantine": S.write_attribute_csv(quarantined, f"{root}/quarantine_FY-{label}"),
-        "annual": S.write_quoted_csv(E2.annual_extract(rows), f"{root}/annual_measures_FY-{label}", encoding=encoding),
-    }
-    new = E2.department_extract(rows)
-    master = E2.refresh_master(previous_master, new, geo, pcon_lookup, replace_label=replace_label)
-    paths["master"] = S.publish(master, f"{root}/measures_master", as_of)
-    paths["history"] = S.publish(E2.append_history(previous_history, new), f"{root}/measures_history", as_of)
+    """Yearly claims -> cleaned Parquet, annual CSV, two report CSVs, new versions of both
+    cumulative masters, profiles, quarantine and offenders.
+
+    Offenders of every gate are written first; a strict run with offenders then
+    stops, another goes on without those rows. ``encoding`` is that of the two
+    reports. Returns the path of every output; those of the masters point to
+    the published versions.
+    """
+    spark, root, label = claims_raw.sparkSession, out_root.rstrip("/"), fiscal_label(as_of)
+    paths: dict[str, str] = {}
+
+    def write(name: str, df: DataFrame, stem: str) -> None:
+        paths[name] = S.write_attribute_csv(df, f"{root}/{stem}_FY-{label}")
+
+    def stop_at(offenders: DataFrame, name: str) -> None:
+        write(name, offenders, name)
+        bad = offenders.count()
+        if strict and bad:
+            raise Q.GateError(f"{bad} rows in {paths[name]}", {name: bad}, offenders)
+
+    with staging(spark) as stage:
+        classified, quarantined = E2.classify_claims(E2.land_claims(claims_raw), as_of)
+        classified = stage(classified, f"claims-{label}")
+        write("quarantine", quarantined, "quarantine")
+        write("category_profile", Q.frequency(classified, e2.GATED_COLUMNS), "category_profile")
+        cleaned, offenders = Q.gate(classified, e2.GATED_COLUMNS, strict=False)
+        stop_at(offenders, "offenders_claims")
+        paths["cleaned"] = f"{root}/cleaned_claims_FY-{label}"
+        cleaned.write.mode("overwrite").parquet(paths["cleaned"])
+        cleaned = spark.read.parquet(paths["cleaned"])
+
+        geo = E2.postcode_geography(directory)
+        measured = stage(E2.explode_claim_measures(cleaned, geo, pcon_lookup), f"measures-{label}")
+        known = previous_master.select("MEASURE").where("MEASURE IS NOT NULL").distinct()
+        write("unseen_measures", Q.unseen_values(measured, "MEASURE", known), "unseen_measures")
+        rows, bad_rows = E2.geography_gate(measured, strict=False)
+        stop_at(bad_rows, "offenders_measures")
+
+        paths["annual"] = S.write_quoted_csv(E2.annual_extract(rows), f"{root}/annual_measures_FY-{label}")
+        new = E2.department_extract(rows)
+        master = E2.refresh_master(previous_master, new, geo, pcon_lookup, replace_label, stage)
+        history = E2.append_history(previous_history, new)
+        published = S.publish({"measures_master": master, "measures_history": history}, root, as_of)
+        paths |= {"master": published["measures_master"], "history": published["measures_history"]}
+        for name, df in (("master", master), ("history", history)):
+            paths[f"{name}_report"] = S.write_quoted_csv(df, f"{root}/{name}_report_{as_of.year}", encoding=encoding)
     return paths

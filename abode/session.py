@@ -1,15 +1,20 @@
 """Session construction and lineage cuts.
 
 On a cluster the session is supplied by the platform; ``build_session`` only
-fills settings that are not already set, so cluster configuration wins.
+fills settings that nobody made, so cluster configuration wins.
 Lineage is cut by writing Parquet under ``spark.checkpoint.dir`` (a shared
 folder the cluster names), never under a machine-local temporary folder.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for local runs and tests; a cluster's own settings take precedence.
@@ -30,20 +35,41 @@ _DEFAULTS = {
 }
 
 
+def _configured() -> set[str]:
+    """Settings that the cluster or the submit command already made."""
+    if SparkContext._jvm is not None:
+        return {key for key, _ in SparkConf().getAll()}
+    keys = set(re.findall(r"--conf[ =]['\"]?([\w.]+)=", os.environ.get("PYSPARK_SUBMIT_ARGS", "")))
+    home = os.environ.get("SPARK_CONF_DIR") or os.path.join(os.environ.get("SPARK_HOME", ""), "conf")
+    defaults = os.path.join(home, "spark-defaults.conf")
+    if os.path.exists(defaults):
+        with open(defaults) as lines:
+            keys |= {line.split()[0].split("=")[0] for line in lines if line.startswith("spark.")}
+    return keys
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "abode",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Return the active session or build one with the defaults above."""
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    """The active session as it is, or a new one.
+
+    A new session takes the defaults above for settings that nobody made;
+    ``shuffle_partitions`` and ``extra`` are the caller's own and always hold.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    made = _configured()
+    conf = {key: value for key, value in _DEFAULTS.items() if key not in made}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -70,12 +96,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the configured checkpoint folder, or ``fallback`` where none is set."""
+    """The configured checkpoint folder; ``fallback`` where none is set (tests, a laptop)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        spark.conf.set("spark.checkpoint.dir", fallback)
         spark.sparkContext.setCheckpointDir(fallback)
-        root = fallback
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
@@ -91,24 +116,36 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def ensure_parallelism(df: DataFrame, by: list[str] | None = None,
-                       min_partitions: int | None = None) -> DataFrame:
-    """Spread a narrow scan over the cluster when it has too few partitions.
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the time of a write or an eager read."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run has staged, through Spark's own file systems."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stage(df, name)`` for one run; what it staged is removed when the run ends well.
 
-    A small input stored as one file with one row group is scanned by a
-    single task, so every row-wise expression after it runs on one core.
-    When the scan has fewer partitions than the default parallelism, rows
-    are hash-partitioned on ``by`` (deterministic, no sort; a later
-    aggregation on the same key reuses the partitioning), or round-robin
-    when no key is given. Large inputs already scan in many tasks and are
-    returned unchanged, so at scale this costs nothing.
+    After a failure the folders stay, so that a look at them is possible.
     """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # e.g. Spark Connect: no partition metadata; leave the plan as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target, *by) if by else df.repartition(target)
+    paths: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}")
+        df.write.parquet(paths[-1])
+        return spark.read.parquet(paths[-1])
+
+    yield stage
+    for path in paths:
+        delete_path(spark, path)

@@ -7,14 +7,19 @@ schema, then cast explicitly, so a stray value never changes a column type.
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class HeaderError(ValueError):
+    """A source lacks declared columns or has columns that nobody declared."""
+
+
 def normalise_header(name: str) -> str:
     """Runs of '.' -> space, whitespace runs -> one space, trim."""
     out = re.sub(r"\.+", " ", name)
@@ -32,17 +37,42 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*new)
 
 
+def require_columns(df: DataFrame, required: Sequence[str], source: str, optional: Sequence[str] | None = None) -> DataFrame:
+    """Header contract: every required column is there and, with ``optional``
+    given, no other than required and optional ones."""
+    present = set(df.columns)
+    absent = [c for c in required if c not in present]
+    unknown = [] if optional is None else [c for c in df.columns if c not in {*required, *optional}]
+    if absent or unknown:
+        raise HeaderError(f"{source}: absent columns {absent}, unknown columns {unknown}")
+    return df
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def peek_header(spark: SparkSession, path: str, banner_rows: int = 0, sep: str = ",") -> list[str]:
-    """Column names of a landed CSV (reads only the first lines)."""
-    lines = spark.read.text(path).limit(banner_rows + 1).collect()
-    if len(lines) <= banner_rows:
-        return []
-    header = lines[banner_rows][0]
-    return [h.strip().strip('"') for h in header.split(sep)]
+def parse_header(line: str, sep: str = ",") -> list[str]:
+    """Column names of a header line, quotes respected."""
+    return [h.strip() for h in next(csv.reader([line], delimiter=sep), [])]
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """(file, lines) of every landed file. A worksheet is bounded by the row
+    limit of a spreadsheet, so one file is one value."""
+    content = F.regexp_replace(F.decode("content", encoding), "^﻿", "")
+    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.split(content, "\r\n|\n|\r").alias("lines"))
+
+
+def peek_header(spark: SparkSession, path: str, banner_rows: int = 0, sep: str = ",", encoding: str = "UTF-8") -> list[str]:
+    """Column names of a landed CSV; all files of a folder must agree."""
+    headers = {row[0]: parse_header(row[1] or "", sep)
+               for row in _lines(spark, path, encoding).select("file", F.get("lines", F.lit(banner_rows))).collect()}
+    first = headers[min(headers)] if headers else []
+    other = sorted(f for f, h in headers.items() if h != first)
+    if other:
+        raise HeaderError(f"{path}: the header of {other[0]} differs from {first}")
+    return first
 
 
 def read_landed(
@@ -57,34 +87,47 @@ def read_landed(
 ) -> DataFrame:
     """Landed worksheet -> all-text DataFrame (+ ``seq`` landing order).
 
-    CSV: ``banner_rows`` lines above the header are skipped (Spark's CSV
-    reader has no skip option, so the header is peeked and banner/header
-    lines are filtered by value). ``seq`` is a per-file row order that is
-    reproduced exactly when a task is recomputed.
+    CSV: the first ``banner_rows`` lines of every file and the header line
+    after them are dropped by their place, never by their text. ``seq`` counts files in
+    the order of their paths and lines inside, so it does not depend on how
+    Spark splits the input. Cells don't hold line breaks. Parquet: ``seq`` is the column of
+    that name, which the landing step must have written.
     """
     if fmt == "parquet":
         df = spark.read.parquet(path)
-        df = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    else:
-        header = list(columns) if columns else peek_header(spark, path, banner_rows, sep)
-        df = (spark.read.option("header", "false").option("sep", sep).option("encoding", encoding)
-              .option("quote", '"').option("escape", '"').option("multiLine", "false")
-              .schema(text_schema(header)).csv(path))
-        # Banner and header lines are dropped by value (bounded: banner_rows + 1 lines),
-        # compared without quotes and trailing empty fields.
-        skip = [re.sub(re.escape(sep) + "+$", "", row[0].replace('"', ""))
-                for row in spark.read.text(path).limit(banner_rows + 1).collect()]
-        raw = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
-        raw = F.regexp_replace(raw, re.escape(sep) + "+$", "")
-        df = df.where(~raw.isin(skip))
-    if seq_col:
-        df = df.withColumn(seq_col, F.monotonically_increasing_id())
-    return df
+        if seq_col:
+            require_columns(df, [seq_col], path)
+        return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    header = peek_header(spark, path, banner_rows, sep, encoding)
+    if columns and list(columns) != header:
+        raise HeaderError(f"{path}: header {header} instead of {list(columns)}")
+    files = sorted(r[0] for r in _lines(spark, path, encoding).select("file").collect())
+    place = F.array_position(F.array(*[F.lit(f) for f in files]), F.col("file")) if files else F.lit(0)
+    rows = (_lines(spark, path, encoding).select(place.alias("nth"), F.posexplode("lines").alias("line", "text"))
+            .where((F.col("line") > banner_rows) & (F.trim("text") != "")))
+    cells = F.from_csv("text", F.lit(", ".join(f"`{h.replace('`', '``')}` STRING" for h in header)),
+                       {"sep": sep, "quote": '"', "escape": '"'}) if header else F.struct()
+    seq = [((F.col("nth") - 1) * F.lit(1 << 32) + F.col("line")).alias(seq_col)] if seq_col else []
+    return rows.select(cells.alias("cells"), *seq).select("cells.*", *([seq_col] if seq_col else []))
+
+
+def read_extract(spark: SparkSession, spec: str) -> DataFrame:
+    """An input named on the command line: ``csv:`` folder or ``.csv`` file as text, else Parquet."""
+    if spec.startswith("csv:") or spec.endswith(".csv"):
+        return spark.read.option("header", "true").option("enforceSchema", "false").option("escape", '"').csv(spec.removeprefix("csv:"))
+    return spark.read.parquet(spec)
+
+
+def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The named columns cast to their types; a bad cell becomes NULL instead of failing the job."""
+    def cast(name: str, kind: str) -> Column:
+        return F.col(f"`{name}`").try_cast(kind).alias(name)
+
+    return df.select(*[cast(c, t) for c, t in columns.items()])
 
 
 def read_lookup_csv(spark: SparkSession, path: str, columns: dict[str, str], sep: str = ",") -> DataFrame:
     """Projected CSV lookup with per-column types, e.g. ``{"UPRN": "double",
-    "PCON24CD": "string"}``: only the named columns are kept, read as text
-    and cast explicitly (a bad cell becomes NULL instead of failing the job)."""
+    "PCON24CD": "string"}``: only the named columns are kept."""
     df = spark.read.option("header", "true").option("sep", sep).option("escape", '"').csv(path)
-    return df.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in columns.items()])
+    return typed(df, columns)

@@ -1,19 +1,18 @@
 """Warehouse attribute observations in one scan of the fact table.
 
-The fact table holds one code column per attribute. Instead of one
-three- or four-way join per attribute, the code columns are unpivoted once
-to ``(home, attr, code)``, the code dictionary is joined once (broadcast: a
-code list, bounded by construction), the dated detail table is joined once
-on ``(home, code)`` for dated attributes, and the address cross-reference
-maps homes to property keys. Result rows have the observation shape
-``(UPRN, TIMESTAMP, attr, value, SOURCE, seq)``.
+The fact table holds one code column per attribute. Homes meet the address
+cross-reference and their own dated details on the home id, so one
+partitioning serves both joins; only then are the code columns unpivoted, and
+the code dictionary names the codes. Details of a home are gathered as a map
+from code to dates, bounded by what one home has. Result rows have the
+observation shape ``(UPRN, TIMESTAMP, attr, value, SOURCE, seq)``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abode.functions.dates import cap_year
@@ -40,39 +39,33 @@ def warehouse_observations(
     detail_date: str = "DETAIL_DATE",
     xref_key: str = "UPRN",
     xref_home: str = e1.XREF_HOME_COLUMN,
-    dictionary_bounded: bool = True,
 ) -> DataFrame:
     """``attributes`` = [(attr name, code column, "constant" | "capped"), ...]."""
-    codes = homes.where(F.col(region_col).isin(list(region))).select(
-        F.col(home_id).alias("home"),
-        F.explode(F.array(*[
-            F.struct(F.lit(a).alias("attr"), F.col(c).cast("string").alias("code"),
-                     F.lit(rule == "capped").alias("dated"))
-            for a, c, rule in attributes
-        ])).alias("o"),
-    ).select("home", "o.attr", "o.code", "o.dated")
+    dated = [c for _, c, rule in attributes if rule == "capped"]
+    kept = homes.where(F.col(region_col).isin(list(region))).select(
+        F.col(home_id).alias("home"), *[F.col(c).cast("string").alias(c) for _, c, _ in attributes])
+    keys = xref.select(F.col(xref_home).alias("home"), F.col(xref_key).alias("UPRN"))
+    placed = kept.join(keys, "home")
+    if dated:
+        found = details.select(F.col(detail_home).alias("home"), F.col(detail_code).cast("string").alias("code"),
+                               F.col(detail_date).cast("date").alias("d"))
+        per_home = found.where("home IS NOT NULL AND code IS NOT NULL").groupBy("home").agg(
+            F.collect_list(F.struct("code", "d")).alias("details"))
+        placed = placed.join(per_home, "home", "left")
 
-    names = dictionary.select(F.col(dict_code).cast("string").alias("code"),
-                              F.col(dict_name).alias("value"))
-    if dictionary_bounded:
-        names = F.broadcast(names)
-    named = codes.join(names, "code", "inner")
+    def observed(attr: str, code: str, rule: str) -> Column:
+        """Observations of one attribute: dated ones need a detail row of their
+        code, one observation each; undated ones take the constant date."""
+        def one(ts: Column) -> Column:
+            return F.struct(F.lit(attr).alias("attr"), F.col(code).alias("code"), ts.alias("TIMESTAMP"))
 
-    # One pass: dated attributes must find their detail row (inner semantics),
-    # undated ones take the constant date; both branches share one scan.
-    detail = details.select(F.col(detail_home).alias("d_home"), F.col(detail_code).cast("string").alias("d_code"),
-                            F.col(detail_date).cast("date").alias("d"))
-    cond = (F.col("home") == F.col("d_home")) & (F.col("code") == F.col("d_code")) & F.col("dated")
-    joined = named.join(detail, cond, "left").where(~F.col("dated") | F.col("d_home").isNotNull())
-    stamped = joined.withColumn(
-        "TIMESTAMP",
-        F.when(F.col("dated"), cap_year(F.col("d"), cap_after_year, cap_date))
-        .otherwise(F.lit(constant_date).cast("date")))
+        if rule != "capped":
+            return F.array(one(F.lit(constant_date).cast("date")))
+        mine = F.filter(F.coalesce("details", F.array().cast("array<struct<code:string,d:date>>")), lambda d: d["code"] == F.col(code))
+        return F.transform(mine, lambda d: one(cap_year(d["d"], cap_after_year, cap_date)))
 
-    obs = stamped.join(
-        xref.select(F.col(xref_home).alias("home"), F.col(xref_key).alias("UPRN")), "home", "inner"
-    )
-    return obs.select(
-        "UPRN", "TIMESTAMP", "attr", "value", F.lit(source).alias("SOURCE"),
-        F.col("home").cast("long").alias("seq"),
-    )
+    every = F.concat(*[observed(*a) for a in attributes])
+    codes = placed.select("home", "UPRN", F.explode(F.filter(every, lambda o: o["code"].isNotNull())).alias("o")).select("home", "UPRN", "o.*")
+    names = dictionary.select(F.col(dict_code).cast("string").alias("code"), F.col(dict_name).alias("value"))
+    return codes.join(names, "code").select(
+        "UPRN", "TIMESTAMP", "attr", "value", F.lit(source).alias("SOURCE"), F.col("home").cast("long").alias("seq"))

@@ -9,8 +9,8 @@ the batch programme, and appended.
 Exactly-once output: every micro-batch writes to its own ``batch=<id>``
 folder with overwrite, so a batch replayed after a failure replaces its own
 output instead of duplicating it. Gates run in lenient mode inside the
-stream (offending rows are routed to ``offenders/``) because halting a
-stream on one bad cell would block every later file. Files are expected
+stream (offending rows go to ``offenders/`` and ``offenders_measures/`` and to no
+other output) because halting a stream on one bad cell would block every later file. Files are expected
 in the landing folder without the worksheet's banner line (the landing step
 that converts the workbook drops it; ``read_landed`` handles it in batch).
 """
@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from abode.operators import quality as Q
 from abode.plans import measures as E2
 from abode.rules import e2
+from abode.session import staging
 from abode.sources.landed import text_schema
 
 
@@ -35,12 +37,23 @@ def claims_schema():
 
 def process_claims_batch(batch: DataFrame, batch_id: int, out_root: str, as_of: _dt.date,
                          geography: DataFrame, pcon_lookup: DataFrame) -> None:
-    claims = E2.land_claims(batch)
-    cleaned, quarantined, offenders = E2.clean_claims(claims, as_of, strict=False)
-    rows = E2.explode_claim_measures(cleaned, geography, pcon_lookup)
-    for name, df in (("measures", rows), ("quarantine", quarantined), ("offenders", offenders)):
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{out_root.rstrip('/')}/{name}/batch={batch_id}")
+    root = out_root.rstrip("/")
+
+    def write(name: str, df: DataFrame) -> str:
+        path = f"{root}/{name}/batch={batch_id}"
+        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(path)
+        return path
+
+    with staging(batch.sparkSession) as stage:
+        classified, quarantined = E2.classify_claims(E2.land_claims(batch), as_of)
+        classified = stage(classified, f"claims-batch-{batch_id}")
+        clean, offenders = Q.gate(classified, e2.GATED_COLUMNS, strict=False)
+        measured = stage(E2.explode_claim_measures(clean, geography, pcon_lookup), f"measures-batch-{batch_id}")
+        rows, bad_rows = E2.geography_gate(measured, strict=False)
+        write("quarantine", quarantined)
+        write("offenders", offenders)
+        write("offenders_measures", bad_rows)
+        write("measures", rows)
 
 
 def start_claims_stream(

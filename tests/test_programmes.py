@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from abode.operators.quality import GateError
 from abode.plans import attributes as E1
 from abode.plans import measures as E2
-from abode.plans.provenance import provenance_extract, renewables_provenance
+from abode.plans.provenance import joined_row_counts, provenance_extract, renewables_provenance
 from abode.rules import e1, e2
+from abode.sources.landed import HeaderError
 from abode.sources.warehouse import warehouse_observations
 
 K1, K2, K3, K4, K5, K6 = (100000000000 + i for i in range(1, 7))
@@ -132,7 +133,11 @@ def test_master(e1_wide):
     assert all(1 <= r.DATA_COUNT <= 18 for r in rows.values() if r.UPRN != K3)
     assert rows[K1].SAP_SCORE == "70" and rows[K5].RENEWABLE_COUNT == "1" and rows[K6].RENEWABLE_COUNT == ""
     ts = E1.timestamped_master(e1_wide[2])
-    assert "TIMESTAMP_PROPERTY_TENURE" in ts.columns and "ASHP_SOURCE" in ts.columns
+    assert ts.columns == E1.timestamped_columns() and len(ts.columns) == 1 + 13 * 3 + 16
+    assert ts.columns[:4] == ["UPRN", "TIMESTAMP_PROPERTY_TYPE", "PROPERTY_TYPE_NAME", "SOURCE_PROPERTY_TYPE"]
+    assert ts.columns[25:31] == ["TIMESTAMP_SAP_SCORE", "SOURCE_SAP_SCORE", "SAP_SCORE", "TIMESTAMP_SAP_FUEL_BILL", "SOURCE_SAP_FUEL_BILL", "SAP_FUEL_BILL"]
+    stamped = {r.UPRN: r for r in ts.collect()}
+    assert stamped[K1].SAP_SCORE == "70" and stamped[K6].RENEWABLE_COUNT is None and stamped[K6].SOLAR_PV is None
     table = E1.attribute_table(e1_wide[2], "PROPERTY_TENURE")
     assert table.columns == ["UPRN", "TIMESTAMP", "TENURE_NAME", "SOURCE"]
 
@@ -199,8 +204,8 @@ def test_gate_fires_on_planted_error(claims):
     with pytest.raises(GateError) as err:
         E2.clean_claims(bad, dt.date(2025, 4, 1))
     assert err.value.counts == {"PROPERTY_TYPE": 1}
-    _, _, offenders = E2.clean_claims(bad, dt.date(2025, 4, 1), strict=False)
-    assert offenders.count() == 1
+    clean, _, offenders = E2.clean_claims(bad, dt.date(2025, 4, 1), strict=False)
+    assert offenders.count() == 1 and clean.where("PROPERTY_TYPE = 'ERROR'").count() == 0 and clean.count() == 2
 
 
 def test_measures_and_extracts(spark, claims, geo_inputs):
@@ -210,12 +215,13 @@ def test_measures_and_extracts(spark, claims, geo_inputs):
     groups = {r.MEASURE_GROUP for r in rows.collect()}
     assert "Unknown" not in groups and "ERROR" not in groups
     assert rows.where("MEASURE = 'Hot Water Tank Insulation'").count() == 3
-    bad_geo = E2.geography_gate(rows, strict=False)
+    clean, bad_geo = E2.geography_gate(rows, strict=False)
+    assert clean.where("LAUA_NAME IS NULL OR LAUA_NAME = 'Unknown'").count() == 0 and clean.count() + bad_geo.count() == rows.count()
     assert bad_geo.where("LAUA_NAME = 'Unknown'").count() > 0  # district code without a name
     with pytest.raises(GateError):
         E2.geography_gate(rows, strict=True)
     belfast = rows.where("Postcode = 'BT1 1AA'").first()
-    assert belfast.LAUA_NAME == "Belfast" and belfast.PCON_NAME in ("Belfast East", "dup")
+    assert belfast.LAUA_NAME == "Belfast" and belfast.PCON_NAME == "Belfast East"  # the first landed row
     annual = E2.annual_extract(rows)
     assert annual.columns == e2.ANNUAL_COLUMNS
     dept = E2.department_extract(rows)
@@ -257,11 +263,11 @@ def test_refresh_master_and_history(spark, claims, geo_inputs):
 def test_provenance_extract(spark):
     master = spark.createDataFrame([(1, "Flat", 3, 0), (2, "House", 2, 1), (2, "House2", 2, 2), (3, "Flat", 1, 3)],
                                    "UPRN long, PROPERTY_TYPE_NAME string, DATA_COUNT int, seq long")
-    ptype = spark.createDataFrame([(1, dt.date(2020, 1, 1), "A"), (2, dt.date(2019, 1, 1), "B")],
-                                  "UPRN long, TIMESTAMP date, SOURCE string")
-    ren = spark.createDataFrame([(1, dt.date(2021, 1, 1), "F1", None, "")],
+    ptype = spark.createDataFrame([(1, dt.date(2020, 1, 1), "A", 0), (1, dt.date(2010, 1, 1), "later row", 1), (1, None, "no date", 2),
+                                   (2, None, "B", 3), (2, dt.date(2019, 1, 1), "C", 4)], "UPRN long, TIMESTAMP date, SOURCE string, seq long")
+    ren = spark.createDataFrame([(1, dt.date(2021, 1, 1), "F1", None, "", 0)],
                                 "UPRN long, ASHP_TIMESTAMP date, ASHP_SOURCE string, SOLAR_PV_TIMESTAMP date, "
-                                "SOLAR_PV_SOURCE string")
+                                "SOLAR_PV_SOURCE string, seq long")
     tables = {"PROPERTY_TYPE": ptype, **renewables_provenance(ren, ["ASHP", "SOLAR_PV"])}
     population = spark.createDataFrame([(1,), (2,)], "UPRN long")
     contract = ["UPRN", "PROPERTY_TYPE_NAME", "TIMESTAMP_PROPERTY_TYPE", "SOURCE_PROPERTY_TYPE",
@@ -272,6 +278,15 @@ def test_provenance_extract(spark):
     assert set(rows) == {1, 2}                      # 3 is not in the population
     assert rows[2].PROPERTY_TYPE_NAME == "House"    # first row of a duplicated key
     assert rows[1].SOURCE_ASHP == "F1" and rows[2].SOURCE_ASHP is None
+    assert rows[1].SOURCE_PROPERTY_TYPE == "A"      # first landed, not earliest date
+    assert rows[2].SOURCE_PROPERTY_TYPE == "B" and rows[2].TIMESTAMP_PROPERTY_TYPE is None
+    with pytest.raises(HeaderError):
+        provenance_extract(master.drop("seq"), tables, population, contract)
+    with pytest.raises(HeaderError):
+        provenance_extract(master, {"PROPERTY_TYPE": ptype.drop("seq")}, population, contract)
+    counts = joined_row_counts(master, tables, population, physical={"ASHP": "R", "SOLAR_PV": "R"}).first()
+    # key 1: 1 x 3 rows, key 2: 2 x 2, key 3: outside
+    assert tuple(counts) == (8, 1, 7, 7, 2)
 
 
 # ---------------------------------------------------------------------------
@@ -288,6 +303,9 @@ def test_runners_end_to_end(spark, e1_inputs, scratch):
     assert set(runs.ATTRIBUTE_FILES) <= set(paths) and "master" in paths
     dupes = {r.attr: int(r.n_duplicates) for r in spark.read.option("header", "true").csv(paths["duplicates"]).collect()}
     assert dupes["PROPERTY_TENURE"] >= 1  # K1 has several tenure observations
+    assert "RENEWABLES" not in dupes and dupes["PROPERTY_TYPE"] == 0  # constants of the feeds are excluded before counting
+    with pytest.raises(GateError):
+        runs.run_attribute_resolution(inputs | {"previous_renewables": db}, f"{scratch}/drift")
     summary = spark.read.option("header", "true").csv(paths["data_count_summary"]).first()
     assert float(summary["min"]) >= 0 and float(summary["max"]) <= 18
 
@@ -312,6 +330,7 @@ def test_runners_end_to_end(spark, e1_inputs, scratch):
 
 
 def test_annual_runner(spark, claims, geo_inputs, scratch):
+    from abode.operators.sinks import current_versions
     from abode.plans import runs
 
     geo_dir = spark.createDataFrame([("BT1 1AA", "N09000003", "P1"), ("BT2 2BB", "N09000004", "P2"),
@@ -321,10 +340,30 @@ def test_annual_runner(spark, claims, geo_inputs, scratch):
     prev = spark.createDataFrame([], ", ".join(f"{c} string" for c in e2.MASTER_COLUMNS))
     hist = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in e2.HISTORY_COLUMNS))
     raw = claims.select(*[F.col(v).alias(k) for k, v in e2.CLAIM_COLUMNS.items()])
-    paths = runs.run_annual_measures(raw, geo_dir, names, prev, hist, scratch, dt.date(2025, 4, 1))
+    run = lambda raw, **kv: runs.run_annual_measures(raw, geo_dir, names, prev, hist, scratch, dt.date(2025, 4, 1), **kv)
+    read = lambda path: spark.read.option("header", "true").option("escape", '"').csv(path)
+    paths = run(raw)
     master = spark.read.parquet(paths["master"])
     assert master.count() > 0 and master.columns == e2.MASTER_COLUMNS
-    assert spark.read.option("header", "true").csv(paths["annual"]).count() == master.count()
+    assert read(paths["annual"]).count() == master.count() == read(paths["master_report"]).count()
+    assert read(paths["history_report"]).columns == list(e2.HISTORY_COLUMNS)
+    assert spark.read.parquet(paths["cleaned"]).count() == 3 and read(paths["category_profile"]).count() > 0
+    assert {r.value for r in read(paths["unseen_measures"]).collect()} == {r.MEASURE for r in master.collect()}
+    assert current_versions(spark, scratch) == {"measures_master": paths["master"], "measures_history": paths["history"]}
+
+    # a strict run with an offender writes it and publishes nothing; a lenient one goes on without it
+    bad = raw.withColumn("House type", F.when(F.col("Duplicate address check") == "a", "Terrace").otherwise(F.col("House type")))
+    with pytest.raises(GateError):
+        run(bad)
+    assert current_versions(spark, scratch)["measures_master"] == paths["master"]
+    lenient = run(bad, strict=False)
+    assert read(lenient["offenders_claims"]).count() == 1
+    assert spark.read.parquet(lenient["cleaned"]).count() == 2
+    for name in ("master", "history"):
+        assert not any("ERROR" in map(str, r) for r in spark.read.parquet(lenient[name]).collect())
+    # the same run again publishes anew, and earlier versions stay
+    again = run(raw)
+    assert again["master"] != paths["master"] and spark.read.parquet(paths["master"]).count() == spark.read.parquet(again["master"]).count()
 
 
 def test_claims_invariants_on_driver_tables(spark):
@@ -337,9 +376,10 @@ def test_claims_invariants_on_driver_tables(spark):
     cleaned, quarantined, offenders = E2.clean_claims(claims, dt.date(2025, 4, 1), strict=False)
     unmarked = claims.where("remove_marker IS NULL")
     blank = unmarked.where("Postcode IS NULL OR Postcode IN ('', ' ')")
-    assert cleaned.count() + blank.count() == unmarked.count()
+    assert cleaned.count() + offenders.count() + blank.count() == unmarked.count()
     assert quarantined.where("dupe_check <> 1").count() == 0 and quarantined.count() <= blank.count()
-    assert offenders.count() == cleaned.where(" OR ".join(f"{c} = 'ERROR'" for c in e2.GATED_COLUMNS)).count()
+    some_error = " OR ".join(f"{c} = 'ERROR'" for c in e2.GATED_COLUMNS)
+    assert cleaned.where(some_error).count() == 0 and offenders.where(f"NOT ({some_error})").count() == 0 < offenders.count()
 
 
 def test_master_one_row_per_key_on_driver_tables(spark):
@@ -373,8 +413,9 @@ def test_each_gate_fires_once(spark, claims, raw, value, gated):
     from abode.operators.quality import gate_counts
 
     planted = claims.withColumn(raw, F.when(F.col("duplicate_address") == "a", F.lit(value)).otherwise(F.col(raw)))
-    cleaned, _, _ = E2.clean_claims(planted, dt.date(2025, 4, 1), strict=False)
-    counts = gate_counts(cleaned, e2.GATED_COLUMNS).first().asDict()
+    cleaned, _, offenders = E2.clean_claims(planted, dt.date(2025, 4, 1), strict=False)
+    assert sum(gate_counts(cleaned, e2.GATED_COLUMNS).first().asDict().values()) == 0
+    counts = gate_counts(offenders, e2.GATED_COLUMNS).first().asDict()
     assert counts == {c: (1 if c == gated else 0) for c in e2.GATED_COLUMNS}
 
 
@@ -412,7 +453,17 @@ def test_command_line_attributes(spark, e1_inputs, scratch):
         tuple(str(v) for v in r) for r in expected.collect())  # empty TSV fields read back as NULL
 
 
-def test_feed1_without_landing_sequence(e1_inputs):
-    db, sheet, lookup = e1_inputs[:3]
-    out = E1.clean_feed1(db.drop("seq"), sheet.drop("seq"), lookup)
-    assert out.select("UPRN").distinct().count() == 3 and out.where("seq IS NULL").count() == 0
+def test_feeds_need_their_declared_columns(e1_inputs):
+    db, sheet, lookup, feed2 = e1_inputs[:4]
+    for args in ((db.drop("seq"), sheet, lookup), (db, sheet.drop("seq"), lookup), (db, sheet.drop("FYEAR"), lookup)):
+        with pytest.raises(HeaderError):
+            E1.clean_feed1(*args)
+    for column in ("seq", "Solar PV", "Tenure", "Base Cost (EPCDATA::FuelCost)"):
+        with pytest.raises(HeaderError):
+            E1.clean_feed2(feed2.drop(column))
+
+
+def test_number_text(spark):
+    values = [65.0, 0.5, 12345678.25, 0.0001, -3.0, 1e15, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(E1._number_text("x")).collect()] == ["65", "0.5", "12345678.25", "0.0001", "-3", "1000000000000000", None]

@@ -19,39 +19,39 @@ MAP = {
     "SRC-02": ("native `spark.read.parquet` / `spark.read.jdbc`", "`provenance_extract`"),
     "SRC-03": ("not needed (loaded, never used); the dictionary is read by SRC-04", "-"),
     "SRC-04": (f"{S}/warehouse.py `warehouse_observations`", "`warehouse_attribute`, `attribute_master`, test_programmes"),
-    "SRC-05": (f"{S}/landed.py `read_landed` (all-text schema)", "test_read_landed_with_banner"),
-    "SRC-06": (f"{S}/landed.py `read_landed` + explicit casts", "test_read_landed_with_banner"),
-    "SRC-07": (f"{S}/landed.py `read_landed(banner_rows=1)`", "test_read_landed_with_banner"),
-    "SRC-08": (f"{S}/landed.py `read_lookup_csv`", "test_read_lookup_csv"),
-    "SRC-09": (f"{S}/landed.py `peek_header`", "test_read_landed_with_banner"),
+    "SRC-05": (f"{S}/landed.py `read_landed` (all-text)", "`landed_sheet_text`"),
+    "SRC-06": (f"{S}/landed.py `read_landed` + `typed`", "`landed_sheet_typed`"),
+    "SRC-07": (f"{S}/landed.py `read_landed(banner_rows=1)`; command line `sheet+1:PATH`", "`landed_sheet_banner`"),
+    "SRC-08": (f"{S}/landed.py `read_lookup_csv`", "`lookup_csv_projected`"),
+    "SRC-09": (f"{S}/landed.py `peek_header`", "`landed_sheet_banner`"),
     "SRC-10": (f"{P}/measures.py `postcode_geography`", "`postcode_geography`"),
-    "SRC-11": ("native `spark.read.csv(header=True)`", "test_runners_end_to_end"),
+    "SRC-11": (f"{S}/landed.py `read_extract`", "`extract_csv`"),
     "SRC-12": ("native `spark.read.parquet`", "test_annual_runner"),
-    "SRC-13": (f"{P}/runs.py `load_listed_tables`", "test_runners_end_to_end"),
-    "SNK-01": (f"{O}/sinks.py `write_attribute_csv`", "test_sinks_round_trip"),
-    "SNK-02": (f"{O}/sinks.py `write_tsv`", "test_sinks_round_trip"),
-    "SNK-03": (f"{O}/sinks.py `write_quoted_csv` + `dated_path`", "test_sinks_round_trip, test_runners_end_to_end"),
-    "SNK-04": (f"{P}/runs.py `run_annual_measures` (FY-labelled CSV)", "test_annual_runner"),
-    "SNK-05": (f"{O}/sinks.py `write_quoted_csv(encoding=)` (UTF-8 default; README)", "test_annual_runner"),
-    "SNK-06": ("native `write.parquet`, `stage_table`, `publish`", "test_publish_versions"),
-    "SNK-07": (f"{O}/sinks.py `publish` / `current_version`", "test_publish_versions"),
+    "SRC-13": (f"{P}/runs.py `load_listed_tables`", "`listed_tables`"),
+    "SNK-01": (f"{O}/sinks.py `write_attribute_csv`", "`sink_attribute_csv`"),
+    "SNK-02": (f"{O}/sinks.py `write_tsv`", "`sink_master_tsv`"),
+    "SNK-03": (f"{O}/sinks.py `write_quoted_csv` + `dated_path`", "`sink_dated_csv`"),
+    "SNK-04": (f"{P}/runs.py `run_annual_measures` (FY-labelled CSV); {O}/sinks.py `dated_path`", "`sink_dated_csv`, test_annual_runner"),
+    "SNK-05": (f"{O}/sinks.py `write_quoted_csv(encoding=)`; both report CSVs of run_annual_measures", "`sink_encoded_csv`, test_annual_runner"),
+    "SNK-06": (f"native `write.parquet`; {O}/sinks.py `publish`; cleaned claims of run_annual_measures", "`publish_versions`, test_annual_runner"),
+    "SNK-07": (f"{O}/sinks.py `publish` / `current_versions`", "`publish_versions`, test_publish_versions"),
     "P-01": (f"{S}/landed.py `normalise_headers`", "test_normalise_headers"),
     "P-02": ("native `withColumnsRenamed` (`land_claims`, `FEED1_SHEET_RENAMES`)", "test_programmes"),
     "P-03": ("native `select(alias)`", "`provenance_extract`"),
-    "P-04": (f"{O}/columns.py `prefix_suffix_rename`", "test_prefix_suffix_rename"),
+    "P-04": (f"{O}/columns.py `prefix_suffix_rename`", "`prefix_suffix_rename`"),
     "P-05": (f"{P}/provenance.py `stack_provenance` (TIMESTAMP_x / SOURCE_x by name)", "`provenance_extract`"),
-    "P-06": (f"{O}/columns.py `select_contract`; contracts in rules", "test_runners_end_to_end (47 columns)"),
+    "P-06": (f"{O}/columns.py `select_contract`; contracts in rules", "`select_contract`, test_runners_end_to_end (47 columns)"),
     "P-07": ("native `drop`", "`drop_columns_by_pattern`"),
     "P-08": (f"{O}/columns.py `drop_matching`", "`drop_columns_by_pattern`, test_drop_matching"),
-    "P-09": (f"{O}/columns.py `typed_nulls`; `F.lit(None).cast`", "`annual_measure_rows`"),
+    "P-09": (f"{O}/columns.py `typed_nulls`; `F.lit(None).cast`", "`select_contract`, `annual_measure_rows`"),
     "P-10": (f"{O}/columns.py `map_text`", "`squish_lower_text`"),
-    "P-11": (f"{O}/reshape.py `resolve_wide` (TIMESTAMP_<attr>, SOURCE_<attr>)", "test_master"),
+    "P-11": (f"{P}/attributes.py `timestamped_columns`; {O}/reshape.py `resolve_wide`", "`timestamped_master`"),
     "P-12": (f"{O}/columns.py `blank_nulls`", "`drop_columns_by_pattern`, `blank_marker_cleanup`"),
     "F-01": (f"{O}/filters.py `drop_all_blank`", "`measure_fill`"),
     "F-02": (f"{F}/text.py `is_blank`", "`measure_fill`, test_blank_and_membership"),
     "F-03": (f"{O}/filters.py `drop_junk_keys`", "`feed2_cleaning`"),
     "F-04": ("native `isNotNull` inside resolve / feed cleaning", "`feed1_cleaning`"),
-    "F-05": (f"{O}/filters.py `exclude_values`; `reshape.exclude_observations`", "`resolve_latest_events`, `attribute_master`"),
+    "F-05": (f"{O}/reshape.py `to_observations(exclude=)`, `exclude_observations`", "`resolve_latest_events`, `attribute_master`"),
     "F-06": (f"{O}/filters.py `keep_unmarked`", "`quarantine_split`, `claims_cleaning`"),
     "F-07": (f"{O}/filters.py `split_blank_key`", "`quarantine_split`, test_claims_invariants_on_driver_tables"),
     "F-08": ("native `!=` after the measure group", "`unpivot_measures`, `annual_measure_rows`"),
@@ -60,25 +60,25 @@ MAP = {
     "F-11": (f"{F}/text.py `null_safe_isin`", "test_blank_and_membership"),
     "F-12": (f"{O}/resolve.py `duplicated_rows`", "`group_duplicates`"),
     "J-01": (f"{O}/joins.py `lookup_join`", "`postcode_key_join`"),
-    "J-02": (f"{S}/warehouse.py dictionary join (broadcast, bounded)", "`warehouse_attribute`"),
-    "J-03": (f"{S}/warehouse.py two-key detail join", "`warehouse_attribute`"),
+    "J-02": (f"{S}/warehouse.py dictionary join (no hint)", "`warehouse_attribute`"),
+    "J-03": (f"{S}/warehouse.py details gathered by home, matched by code", "`warehouse_attribute`, `attribute_master`"),
     "J-04": (f"{S}/warehouse.py cross-reference join", "`warehouse_attribute`"),
     "J-05": (f"{O}/joins.py `lookup_join(required=True)`", "`region_lookup_required`, `feed1_cleaning`"),
     "J-06": (f"{O}/reshape.py `resolve_wide` (one aggregation instead of a join fold)", "`master_assembly`, `attribute_master`"),
-    "J-07": (f"{P}/provenance.py `provenance_extract` (stack + pivot + one join)", "`provenance_extract`"),
+    "J-07": (f"{P}/provenance.py `provenance_extract` (stack + pivot + one join)", "`provenance_extract`, `provenance_repeated_keys`"),
     "J-08": (f"{O}/reshape.py `resolve_wide` technology matrix (no joins)", "`technology_flags`, `technology_first_source`"),
     "J-09": (f"{O}/joins.py `lookup_join` x2 (null-safe)", "`postcode_key_join`, `annual_measure_rows`"),
     "J-10": (f"{O}/reshape.py `explode_measures` (unpivot in place)", "`unpivot_measures`"),
     "J-11": (f"{O}/joins.py `refresh_columns`", "`regeocode_coalesce`, `master_refresh`"),
     "J-12": (f"{O}/joins.py `missing_from`", "`population_anti`"),
     "J-13": (f"{O}/joins.py `in_population`", "`population_semi`, `provenance_extract`"),
-    "A-01": (f"{O}/quality.py `profile_counts`; runner report", "`duplicate_count`, test_runners_end_to_end"),
+    "A-01": (f"{O}/quality.py `profile_counts`; provenance.py `joined_row_counts`", "`duplicate_count`, `provenance_row_counts`"),
     "A-02": (f"{O}/quality.py `frequency(keep_null=True)`", "`freq_with_missing`, `non_day_first_profile`"),
     "A-03": (f"{O}/quality.py `frequency(keep_null=False)`", "`freq_without_missing`"),
-    "A-04": (f"{O}/resolve.py `group_sizes` on two keys", "`technology_flags`"),
+    "A-04": (f"{O}/resolve.py `group_sizes` on two keys", "`two_key_counts`"),
     "A-05": (f"{O}/resolve.py `first_per_key`; `resolve_wide` first-by-arrival", "`technology_first_source`"),
-    "A-06": (f"{O}/quality.py `profile_counts`; runner duplicate report", "`duplicate_count`"),
-    "A-07": ("native `distinct().orderBy()`", "`distinct_measures`"),
+    "A-06": (f"{O}/quality.py `profile_counts`; attributes.py `duplicate_report`", "`duplicate_count`, `duplicates_before_resolution`"),
+    "A-07": (f"{O}/quality.py `distinct_values`", "`distinct_measures`"),
     "A-08": (f"{O}/quality.py `five_number`", "`data_count_summary`"),
     "A-09": (f"{O}/quality.py `gate_counts`", "`quality_gate_counts`"),
     "A-10": (f"{O}/reshape.py `resolve_wide` (RENEWABLE_COUNT)", "`technology_flags`"),
@@ -87,14 +87,14 @@ MAP = {
     "W-01": (f"{O}/resolve.py `latest_per_key` / `pick_per_key`", "`resolve_latest_events`"),
     "W-02": (f"{O}/resolve.py `with_group_size`", "`group_duplicates`, `quarantine_split`"),
     "W-03": (f"{O}/resolve.py `first_per_key`", "`dedupe_first_wins`, `resolve_first_arrival`"),
-    "W-04": ("avoided: landing `seq` column instead of a global row number", "`feed1_cleaning`"),
+    "W-04": (f"{S}/landed.py `read_landed`: landing order by file and line", "`landed_sheet_banner`"),
     "W-05": (f"{O}/resolve.py `duplicated_rows`", "`group_duplicates`"),
     "O-01": (f"{O}/resolve.py order spec (date desc, NULLs last)", "`resolve_latest_events`"),
     "O-02": (f"{P}/measures.py `refresh_master` sort", "`append_and_sort`, `master_refresh`"),
     "O-03": (f"{O}/resolve.py `pick_per_key`", "`resolve_latest_events`"),
     "U-01": (f"{O}/resolve.py `union_sources`; `unionByName(allowMissingColumns)`", "`append_and_sort`"),
     "U-02": ("native `union().distinct()`; distinct keys in `resolve_wide`", "`master_assembly`"),
-    "U-03": (f"{O}/quality.py `check_columns`", "test_profiles_and_checks"),
+    "U-03": (f"{O}/quality.py `check_columns`", "`column_drift`"),
     "R-01": (f"{O}/reshape.py `explode_measures`", "`unpivot_measures`"),
     "R-02": (f"{O}/reshape.py `technology_matrix` flags", "`technology_flags`"),
     "R-03": (f"{O}/reshape.py `technology_matrix` first source", "`technology_first_source`"),
@@ -112,11 +112,11 @@ MAP = {
     "X-11": (f"{F}/text.py `title_words`, `tidy_address`", "`title_case_tidy`, test_title_case_addresses"),
     "X-12": (f"{F}/text.py `blank_if_contains`", "`blank_marker_cleanup`"),
     "M-01": (f"{F}/numbers.py `to_number`, `to_key`", "`classify_year_bands`, test_to_number_guards"),
-    "M-02": (f"{F}/numbers.py `cap`; presence max in `resolve_wide`", "`technology_flags`"),
+    "M-02": (f"{F}/numbers.py `cap`", "`two_key_counts`"),
     "M-03": (f"{F}/classify.py comparison conditions", "`classify_year_bands`"),
     "M-04": (f"{F}/numbers.py `positive_flag`", "`addon_flags`"),
     "C-01": (f"{F}/classify.py `classify` / `compile_rules`", "all `classify_*` queries, test_rules"),
-    "C-02": (f"{F}/classify.py NULL-propagating conditions", "test_rules"),
+    "C-02": (f"{F}/classify.py `if_else`", "`if_else_missing`"),
     "C-03": ("native `coalesce`", "`resolve_latest_numeric`, `regeocode_coalesce`"),
     "C-04": (f"{P}/attributes.py measure fill (T-00)", "`measure_fill`, `feed1_cleaning`"),
     "D-01": (f"{F}/dates.py `year_start`", "`date_fallback_clamp`"),
@@ -138,24 +138,24 @@ MAP = {
     "K-05": (f"{O}/resolve.py `resolve_first`; `resolve_wide` first policy", "`resolve_first_arrival`"),
     "K-06": (f"{O}/reshape.py `technology_matrix`", "`technology_flags`, `technology_first_source`"),
     "K-07": (f"{P}/attributes.py `master`; {O}/reshape.py `assemble_master`", "`attribute_master` (entry), `master_assembly`"),
-    "K-08": (f"{P}/attributes.py `timestamped_master`", "test_master"),
-    "K-09": (f"{P}/provenance.py `provenance_extract`; runs.py `run_provenance_extract`", "`provenance_extract`, test_runners_end_to_end"),
-    "K-10": (f"{P}/measures.py `clean_claims`", "`claims_cleaning`"),
+    "K-08": (f"{P}/attributes.py `timestamped_master`", "`timestamped_master`"),
+    "K-09": (f"{P}/provenance.py `provenance_extract`, `joined_row_counts`; runs.py `run_provenance_extract`", "`provenance_extract`, `provenance_repeated_keys`, `provenance_row_counts`"),
+    "K-10": (f"{P}/measures.py `classify_claims`, `clean_claims`", "`claims_cleaning`, `claims_offenders`"),
     "K-11": (f"{P}/measures.py `explode_claim_measures`", "`annual_measure_rows`"),
     "K-12": (f"{P}/measures.py `postcode_geography`", "`postcode_geography`"),
-    "K-13": (f"{P}/measures.py `annual_extract`, `department_extract`", "`master_refresh`, test_measures_and_extracts"),
+    "K-13": (f"{P}/measures.py `annual_extract`, `department_extract`", "`annual_extract`, `department_extract`"),
     "K-14": (f"{P}/measures.py `refresh_master`", "`master_refresh`"),
-    "K-15": (f"{P}/measures.py `append_history`", "test_refresh_master_and_history"),
-    "K-16": (f"{O}/sinks.py `publish`", "test_publish_versions, test_annual_runner"),
-    "Q-01": (f"{O}/quality.py `gate`", "`quality_gate_counts`, `quality_gate_offenders`, test_gate_fires_on_planted_error"),
-    "Q-02": (f"{P}/measures.py `geography_gate`", "test_measures_and_extracts"),
+    "K-15": (f"{P}/measures.py `append_history`", "`history_append`"),
+    "K-16": (f"{O}/sinks.py `publish`", "`publish_versions`, test_annual_runner"),
+    "Q-01": (f"{O}/quality.py `gate`", "`quality_gate_counts`, `quality_gate_offenders`, `claims_offenders`"),
+    "Q-02": (f"{P}/measures.py `geography_gate`", "`geography_offenders`"),
     "Q-03": (f"{O}/filters.py `split_blank_key`", "`quarantine_split`"),
-    "Q-04": (f"{O}/quality.py `profile_counts`; runs.py duplicate report", "`duplicate_count`, test_runners_end_to_end"),
+    "Q-04": (f"{P}/attributes.py `duplicate_report`", "`duplicates_before_resolution`"),
     "Q-05": (f"{O}/joins.py `missing_from`; runs.py report", "`population_anti`, test_runners_end_to_end"),
-    "Q-06": (f"{O}/quality.py `assert_unique`", "test_profiles_and_checks"),
-    "Q-07": (f"{O}/quality.py `check_columns`", "test_profiles_and_checks"),
-    "Q-08": (f"{O}/quality.py `frequency`", "`freq_with_missing`"),
-    "Q-09": (f"{O}/quality.py `unseen_values`", "`unseen_categories`"),
+    "Q-06": (f"{O}/quality.py `assert_unique`", "`unique_keys`"),
+    "Q-07": (f"{O}/quality.py `check_columns`, called by run_attribute_resolution", "`column_drift`, test_runners_end_to_end"),
+    "Q-08": (f"{O}/quality.py `frequency`, written by both runners", "`freq_with_missing`, test_annual_runner"),
+    "Q-09": (f"{O}/quality.py `unseen_values`, written by run_annual_measures", "`unseen_categories`, test_annual_runner"),
 }
 RULES = {
     "T-00": "rules/e1 `NON_ECO_MARKERS` + attributes.clean_feed1", "T-13": "constants in clean_feed1/2",
@@ -173,11 +173,12 @@ T2 = {"T-31": "PROPERTY_TYPE", "T-32": "TENURE", "T-33": "PROPERTY_AGE", "T-34":
       "T-39": "LOFT_NATIONAL", "T-40": "FUEL_BEFORE", "T-41": "FUEL_AFTER", "T-42": "HEATING_SYSTEM",
       "T-44": "MEASURE_GROUP"}
 for k, v in T1.items():
-    MAP[k] = (f"abode/rules/e1.py `{v}`", "`classify_measure_text` / `feed1_cleaning` / `feed2_cleaning`, test_rules")
+    MAP[k] = (f"abode/rules/e1.py `{v}`", "`feed2_cleaning`, test_rules" if v.startswith("FEED2") else "`classify_measure_text`, test_rules")
 for k, v in T2.items():
     MAP[k] = (f"abode/rules/e2.py `{v}`", "`classify_*`, `claims_cleaning`, test_rules")
 for k, v in RULES.items():
-    MAP[k] = (f"abode/{v}", "`measure_fill` / `addon_flags` / `postcode_geography` / `feed2_cleaning`")
+    checked = {"T-00": "`measure_fill`", "T-13": "`feed1_cleaning`, `feed2_cleaning`", "T-23": "`feed2_cleaning`", "T-43": "`addon_flags`", "T-45": "`postcode_geography`"}
+    MAP[k] = (f"abode/{v}", checked[k])
 
 
 def main() -> int:
