@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import chat, decontamination, mixing, ngram_join, privacy, quality, secret_scan, sharding, suffix_dedup, url_filter
+from abode.llm import chat, decontamination, mixing, ngram_join, oracles, privacy, quality, secret_scan, sharding, suffix_dedup, url_filter
 from abode.llm.common import table
 
 #: Fixed values of the url rules: verdict, host, path.
@@ -91,4 +91,4 @@ QUERIES = {
     "op10_privacy": op10_privacy,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = oracles.ORACLE

@@ -66,7 +66,7 @@ def test_loser_tree_merges_front_coded_runs(runs):
         rows = np.frombuffer(b"".join(run), np.uint8).reshape(-1, suffix_dedup.WIDTH)
         common, rest = suffix_dedup.front_coded(rows) if len(rows) else (np.zeros(0, np.uint8), np.zeros(0, np.uint8))
         assert not len(rows) or (suffix_dedup.from_front_coded(common, rest) == rows).all()
-        coded.append((run, common.tolist()))
+        coded.append((b"".join(run), common.tobytes()))
     out = list(suffix_dedup.merge_runs(coded))
     assert [key for key, *_ in out] == sorted(key for run in runs for key in run)
     assert all(runs[run][k] == key for key, _, run, k in out)
