@@ -39,7 +39,7 @@ WIDTH = LENGTH + BACK + 2
 CHUNK, RUN = 1 << 18, 50_000
 #: Bytes of texts laid out at once; one longer text goes alone.
 GROUP = 4 << 20
-RANGES_PER_PARTITION = 4
+RANGES_PER_PARTITION = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -163,7 +163,7 @@ def _rows_by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, li
 
 
 def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Id and places of anchors whose gram occurs twice or more."""
+    """Id and place of each anchor whose gram occurs twice or more."""
     for _, rows in _rows_by_bucket(batches):
         high = np.concatenate([np.frombuffer(r[1], np.uint8) for r in rows]).reshape(-1, 6)
         whole = np.zeros((len(high), 8), np.uint8)
@@ -173,11 +173,7 @@ def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         ids = np.concatenate([np.cumsum(np.frombuffer(r[2], np.int64)) for r in rows])[again]
         places = np.concatenate([np.frombuffer(r[3], np.int32) for r in rows])[again]
         if len(ids):
-            order = np.argsort(ids, kind="stable")
-            ids, places = ids[order], places[order]
-            first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array([_packed(p, np.int32) for p in np.split(places, first[1:])], pa.binary())],
-                                             names=["id", "places"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places)], names=["id", "place"])
 
 
 def _suffixes(text: np.ndarray, places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -222,9 +218,10 @@ def _sorted_runs(ranges: int):
             ids, marks = (batch.column(c).to_numpy() for c in (0, 1))
             raw = as_bytes(batch.column(2))
             sizes = np.array([len(t) for t in raw])
-            per_doc = [np.unique(np.concatenate([np.frombuffer(b, np.int32) for b in packs])) for packs in batch.column(3).to_pylist()]
-            doc = np.repeat(np.arange(len(per_doc)), [len(p) for p in per_doc])
-            inside = np.concatenate([*per_doc, np.zeros(0, np.int32)]).astype(np.int64)
+            doc = np.repeat(np.arange(len(raw)), pc.list_value_length(batch.column(3)).to_numpy())
+            inside = batch.column(3).flatten().to_numpy().astype(np.int64)
+            order = np.lexsort((inside, doc))
+            doc, inside = doc[order], inside[order]
             fits = inside + GRAM <= sizes[doc]  # rows may share an id but not a text
             doc, inside = doc[fits], inside[fits]
             for first in range(0, len(doc), RUN):
@@ -439,10 +436,10 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ranges = RANGES_PER_PARTITION * partitions(docs)
     raw = F.coalesce(col(text_col).cast("binary"), F.lit(b""))
     texts = docs.select(_document_key(id_col).alias("id"), F.xxhash64(raw).alias("mark"), raw.alias("text"))
-    by_range = lambda df: df.repartition("bucket").sortWithinPartitions("bucket")
+    by_range = lambda df: df.repartition(ranges, "bucket").sortWithinPartitions("bucket")
     found = by_range(texts.select("id", "text").mapInArrow(_anchor_rows(ranges), "bucket int, hashes binary, ids binary, places binary"))
-    again = (found.mapInArrow(_repeated_anchors, "id long, places binary")
-             .groupBy("id").agg(F.collect_list("places").alias("places")))
+    again = (found.mapInArrow(_repeated_anchors, "id long, place int")
+             .groupBy("id").agg(F.collect_list("place").alias("places")))
     runs = (texts.join(again, "id").select("id", "mark", "text", "places")
             .mapInArrow(_sorted_runs(ranges), "bucket int, common binary, rest binary, folded binary, ids binary, marks binary, places binary"))
     stretches = (by_range(runs).mapInArrow(_merged, "id long, mark long, first int, last int")
