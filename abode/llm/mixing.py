@@ -77,7 +77,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
     order = ["finish", "src", "h", "id"]
     queue = stage(rows.withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(repeats)])))
                   .select(finish(F.col("epoch")).alias("finish"), "src", "h", "id", "size", "budget")
-                  .repartitionByRange(parts, *order)
+                  .repartitionByRange(partitions(docs), *order)
                   .withColumn("part", F.spark_partition_id()))
     per_part = queue.groupBy("part").agg(F.sum("size").alias("tokens"), F.max("budget").alias("budget"))
     in_order = Window.orderBy("part")
