@@ -45,3 +45,20 @@ def test_scans_are_pruned(spark):
     plan = _plan(entry.queries()["resolve_latest_events"](spark, SF))
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "props" not in scan  # unused JSON column is never read
+
+
+@pytest.mark.parametrize("name,hashed,scans", [("attribute_master", 8, 8), ("feed1_cleaning", 2, 3), ("feed2_cleaning", 0, 1),
+                                               ("claims_cleaning", 3, 2), ("master_refresh", 5, 4), ("provenance_extract", 7, 13)])
+def test_exchanges_with_large_sides(spark, name, hashed, scans):
+    """Shuffles and scans of a plan in which no side is small enough to broadcast."""
+    changed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        plan = _plan(entry.queries()[name](spark, SF))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") <= hashed and plan.count("FileScan") <= scans
+    assert "BroadcastExchange" not in plan and "InMemoryTableScan" not in plan  # no hints, no cached tables

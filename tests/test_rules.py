@@ -140,3 +140,24 @@ def test_every_rule_table_has_its_own_oracle_text():
     assert len(tables) >= 34
     for module, name in tables:
         assert O.case_for(getattr(module, name)) == getattr(O, name)
+
+
+def test_a_changed_rule_shows(spark):
+    """A wrong result in a rule table differs from the oracle, which is written apart."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{sf}/part.parquet')")
+    want = sorted(map(str, duck.execute(entry.oracle_sql()["classify_measure_text"]).fetchall()))
+    run = lambda: sorted(str(tuple(r)) for r in entry.queries()["classify_measure_text"](spark, sf).collect())
+    assert run() == want
+    condition, _ = e1.FEED1_FUEL[0]
+    kept = list(e1.FEED1_FUEL)
+    try:
+        e1.FEED1_FUEL[0] = (condition, "Gas")
+        assert run() != want
+    finally:
+        e1.FEED1_FUEL[:] = kept
