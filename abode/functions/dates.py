@@ -113,11 +113,6 @@ def parse_dmy(c: Column | str) -> Column:
     return F.when(c.rlike(DMY_PATTERN), F.try_to_date(c, "dd/MM/yyyy"))
 
 
-def parse_iso(c: Column | str) -> Column:
-    c = _col(c)
-    return F.when(c.rlike(ISO_PATTERN), F.try_to_date(c, "yyyy-MM-dd"))
-
-
 def year_text(d: Column) -> Column:
     return F.date_format(d, "yyyy")
 
@@ -127,46 +122,6 @@ def clamp_before(d: Column, floor_year: int = FLOOR_YEAR, floor_date=FLOOR_DATE)
     return F.when(d.isNull() | (F.year(d) < floor_year), _date_lit(floor_date)).otherwise(d)
 
 
-def repair_dmy_date(
-    c: Column | str,
-    programme_date: Column | None = None,
-    floor_year: int = FLOOR_YEAR,
-    floor_date=FLOOR_DATE,
-    serial_prefixes: tuple[str, ...] = SERIAL_PREFIXES,
-    serial_offset: int = SERIAL_OFFSET,
-    repairs: dict[str, str] = DATE_LITERAL_REPAIRS,
-) -> tuple[Column, Column]:
-    """Day-first feed dates -> (date, year text).
-
-    serial decode -> normalise -> dd/MM/yyyy parse -> programme-year date
-    -> year text (taken before the clamp) -> clamp.
-    """
-    text = normalise_date_text(decode_serial(_col(c).cast("string"), serial_prefixes, serial_offset), repairs)
-    parsed = parse_dmy(text)
-    if programme_date is not None:
-        parsed = F.coalesce(parsed, programme_date)
-    return clamp_before(parsed, floor_year, floor_date), year_text(parsed)
-
-
-def repair_iso_date(
-    c: Column | str,
-    floor_year: int = FLOOR_YEAR,
-    floor_date=FLOOR_DATE,
-    repairs: dict[str, str] = DATE_LITERAL_REPAIRS,
-) -> tuple[Column, Column]:
-    """ISO feed dates -> (date, year text).
-
-    Text that is not ISO-shaped becomes ``floor_date``; ISO-shaped but
-    impossible dates stay NULL; years before ``floor_year`` are clamped.
-    """
-    text = normalise_date_text(_col(c).cast("string"), repairs)
-    parsed = F.when(text.rlike(ISO_PATTERN), F.try_to_date(text, "yyyy-MM-dd")).otherwise(
-        _date_lit(floor_date)
-    )
-    clamped = F.when(F.year(parsed) < floor_year, _date_lit(floor_date)).otherwise(parsed)
-    return clamped, year_text(parsed)
-
-
 def with_dmy_dates(
     df: DataFrame,
     col: str,
@@ -179,9 +134,10 @@ def with_dmy_dates(
     serial_offset: int = SERIAL_OFFSET,
     repairs: dict[str, str] = DATE_LITERAL_REPAIRS,
 ) -> DataFrame:
-    """``repair_dmy_date`` as a DataFrame step.
+    """Day-first feed dates -> ``ts_out`` and ``year_out``.
 
-    The repaired text and the parsed date are staged as columns, so each
+    Serial decode -> normalise -> dd/MM/yyyy parse -> programme-year date
+    -> year text (taken before the clamp) -> clamp. The repaired text and the parsed date are staged as columns, so each
     expression is evaluated once per row instead of being inlined into
     every later reference.
     """
@@ -205,7 +161,11 @@ def with_iso_dates(
     floor_date=FLOOR_DATE,
     repairs: dict[str, str] = DATE_LITERAL_REPAIRS,
 ) -> DataFrame:
-    """``repair_iso_date`` as a DataFrame step (staged like ``with_dmy_dates``)."""
+    """ISO feed dates -> ``ts_out`` and ``year_out`` (staged like ``with_dmy_dates``).
+
+    Text that is not ISO-shaped becomes ``floor_date``; ISO-shaped but
+    impossible dates stay NULL; years before ``floor_year`` are clamped.
+    """
     staged = df.withColumn("__date_text", normalise_date_text(F.col(col).cast("string"), repairs))
     t = F.col("__date_text")
     staged = staged.withColumn(

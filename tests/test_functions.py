@@ -68,8 +68,7 @@ FEED1_CASES = [
 def test_feed1_date_repair(spark):
     df = spark.createDataFrame([(i, t, p) for i, (t, p, _, _) in enumerate(FEED1_CASES)],
                                "i int, t string, p string")
-    ts, year = D.repair_dmy_date("t", D.year_start("p"))
-    got = df.select("i", ts.alias("ts"), year.alias("y")).orderBy("i").collect()
+    got = D.with_dmy_dates(df, "t", D.year_start("p"), "ts", "y").orderBy("i").collect()
     assert [(r.ts, r.y) for r in got] == [(d, y) for _, _, d, y in FEED1_CASES]
 
 
@@ -84,8 +83,7 @@ FEED2_CASES = [
 
 def test_feed2_date_repair(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(FEED2_CASES)], "i int, t string")
-    ts, year = D.repair_iso_date("t")
-    got = df.select("i", ts.alias("ts"), year.alias("y")).orderBy("i").collect()
+    got = D.with_iso_dates(df, "t", "ts", "y").orderBy("i").collect()
     assert [(r.ts, r.y) for r in got] == [(d, y) for _, d, y in FEED2_CASES]
 
 

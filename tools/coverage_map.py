@@ -125,8 +125,8 @@ MAP = {
     "D-04": (f"{F}/dates.py `pad_day_month`", "`messy_date_repair`"),
     "D-05": (f"{F}/dates.py `pad_day_month`", "`messy_date_repair`"),
     "D-06": (f"{F}/dates.py `apply_literal_repairs`", "`messy_date_repair`"),
-    "D-07": (f"{F}/dates.py `parse_dmy`, `parse_iso`", "`messy_date_repair`, `iso_date_gate`"),
-    "D-08": (f"{F}/dates.py `repair_dmy_date` / `with_dmy_dates`", "`date_fallback_clamp`"),
+    "D-07": (f"{F}/dates.py `parse_dmy`, `with_iso_dates`", "`messy_date_repair`, `iso_date_gate`"),
+    "D-08": (f"{F}/dates.py `with_dmy_dates`", "`date_fallback_clamp`"),
     "D-09": (f"{F}/dates.py `clamp_before`", "`date_fallback_clamp`"),
     "D-10": (f"{F}/dates.py `cap_year`", "`warehouse_date_rule`"),
     "D-11": (f"{F}/dates.py `fiscal_label`; {O}/sinks.py `dated_path`", "test_warehouse_cap_and_labels"),
