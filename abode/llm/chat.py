@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abode.llm.common import col
+from abode.llm.common import col, released
 
 START, END = "<|im_start|>", "<|im_end|>"
 PARTS = "array<struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
@@ -140,7 +140,7 @@ def format_turns(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                  pa.array([f.attachments for f in flat], held), pa.array([sum(a["tokens"] for a in f.attachments) for f in flat], pa.int64())],
                 names=schema.names)
 
-    return slim.mapInArrow(run, schema)
+    return slim.mapInArrow(released(run), schema)
 
 
 def in_order(formatted: DataFrame) -> DataFrame:
@@ -205,4 +205,4 @@ def read_back(formatted: DataFrame) -> DataFrame:
         if now is not None:
             yield batch_of([now.row()])
 
-    return ordered.mapInArrow(run, schema)
+    return ordered.mapInArrow(released(run), schema)

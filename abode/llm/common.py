@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -45,6 +47,28 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run`` for one task, after which freed memory goes back to the system.
+
+    Python workers outlive their tasks; one that keeps what a large task freed
+    takes it from the executor for as long as it lives.
+    """
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def map_texts(docs: DataFrame, fn: Callable[[pa.Array], Sequence[pa.Array]], fields: Sequence[T.StructField],
               text_col: str = "text") -> DataFrame:
     """Run ``fn`` on the text column of every Arrow batch.
@@ -56,12 +80,12 @@ def map_texts(docs: DataFrame, fn: Callable[[pa.Array], Sequence[pa.Array]], fie
     carried = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"))
     names = ["row", *(f.name for f in fields)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             row = batch.column(0)
             yield pa.RecordBatch.from_arrays([row, *fn(pc.struct_field(row, [at]))], names=names)
 
-    return carried.mapInArrow(run, T.StructType([carried.schema["row"], *fields]))
+    return carried.mapInArrow(released(run), T.StructType([carried.schema["row"], *fields]))
 
 
 def unpack(mapped: DataFrame) -> DataFrame:

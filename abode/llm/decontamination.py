@@ -10,6 +10,7 @@ from __future__ import annotations
 
 
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -86,23 +87,24 @@ def search(words: list[bytes], tables: list[WuManber]) -> tuple[np.ndarray, set[
     return np.cumsum(edge[:-1]) > 0, found
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> list[list[tuple[str, bytes]]]:
-    """The benchmark in blocks of at most ``block_words`` words, or one item more.
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark in blocks of at most ``block_words`` words, or one item.
 
     The benchmark is the stated query set of this operator. It passes through the
-    driver item by item, and each block is broadcast on its own.
+    driver item by item, and one block at a time is held there to be broadcast.
     """
-    blocks: list[list[tuple[str, bytes]]] = []
-    room = 0
+    block: list[tuple[str, bytes]] = []
+    room = block_words
     rows = benchmark.select(col(id_col).cast("string").alias("item"), col(text_col).cast("binary").alias("text")).filter("item is not null and text is not null")
     for row in rows.toLocalIterator():
         size = len(words_of(bytes(row["text"])))
-        if not blocks or size > room:
-            blocks.append([])
-            room = block_words
-        blocks[-1].append((row["item"], bytes(row["text"])))
+        if block and size > room:
+            yield block
+            block, room = [], block_words
+        block.append((row["item"], bytes(row["text"])))
         room -= size
-    return blocks
+    if block:
+        yield block
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,

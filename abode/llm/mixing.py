@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from abode.llm.common import col, hash_bucket, partitions, running_sum, shuffle_hash, source_key, stage
 
 BUCKETS_PER_PARTITION = 8
+#: Decisions that a broadcast may hold, of 24 bytes each.
+BROADCAST_ROWS = 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -104,16 +106,22 @@ def apply_mix(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", tex
     """``docs`` with every row as often as the mix takes it.
 
     Rows that agree in id, source and text share their copies, so that repeated
-    rows keep their total. Columns are those of ``docs``.
+    rows keep their total. Columns are those of ``docs``. Up to ``BROADCAST_ROWS``
+    decisions are broadcast, and text stays in the scan; more meet the rows in a shuffle.
     """
     key = lambda text_hash: F.struct(col(id_col).alias("id"), col(by).alias("origin"), text_hash.alias("text_hash"))
-    wanted = (decisions.withColumn("mix_key", F.xxhash64(key(F.col("text_hash"))))
-              .groupBy("mix_key").agg(F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows"))
-              .filter("mix_copies > 0"))
+    wanted = stage(decisions.withColumn("mix_key", F.xxhash64(key(F.col("text_hash"))))
+                   .groupBy("mix_key").agg(F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows"))
+                   .filter("mix_copies > 0"))
+    repeated = not wanted.filter("mix_rows > 1").isEmpty()
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     joined = (docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"),
                           F.xxhash64(key(F.xxhash64(col(text_col)))).alias("mix_key"))
               .join(wanted, "mix_key"))
-    nth = F.row_number().over(Window.partitionBy("mix_key").orderBy("mix_key"))
-    each = F.expr("mix_copies div mix_rows") + F.when(nth <= F.col("mix_copies") % F.col("mix_rows"), 1).otherwise(0)
-    return (joined.withColumn("mix_each", each.cast("int")).filter("mix_each > 0")
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("mix_each"))).alias("copy")).select("row.*"))
+    each = joined.filter("mix_rows = 1").select("row", F.col("mix_copies").cast("int").alias("mix_each"))
+    if repeated:
+        nth = F.row_number().over(Window.partitionBy("mix_key").orderBy("mix_key"))
+        share = F.expr("mix_copies div mix_rows") + F.when(nth <= F.col("mix_copies") % F.col("mix_rows"), 1).otherwise(0)
+        each = each.union(joined.filter("mix_rows > 1").select("row", share.cast("int").alias("mix_each")).filter("mix_each > 0"))
+    return each.select("row", F.explode(F.sequence(F.lit(1), F.col("mix_each"))).alias("copy")).select("row.*")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abode.llm.common import col, map_texts, stage
+from abode.llm.common import col, map_texts, released, stage
 from abode.llm.components import components
 from abode.llm.shingles import sequence_digest, shingle_sets
 
@@ -106,7 +106,7 @@ def described(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) ->
                  pa.array([*sizes, -1], pa.int32()), pa.array([*cells, None], pa.list_(pa.int32())),
                  pa.array([None] * len(names) + [tally[0]], pa.binary()), pa.array([None] * len(names) + [tally[1]], pa.binary())], names=schema.names)
 
-    return stage(slim.mapInArrow(run, schema))
+    return stage(slim.mapInArrow(released(run), schema))
 
 
 def row_hash(id_col: str, text_col: str) -> Column:
@@ -125,7 +125,7 @@ def frequent_shingles(tallies: DataFrame, limit: int) -> Listed:
             for tally, times in zip(*(c.to_pylist() for c in batch.columns)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(tally, np.int64)), pa.array(np.frombuffer(times, np.int32))], names=["shingle", "n"])
 
-    counts = stage(tallies.mapInArrow(spread, "shingle long, n int").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 3"))
+    counts = stage(tallies.mapInArrow(released(spread), "shingle long, n int").groupBy("shingle").agg(F.sum("n").alias("n")).filter("n > 3"))
     step = F.floor(F.log2("n") * 8).cast("int")
     room, least = limit, None
     for row in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
@@ -160,7 +160,7 @@ def prefix_rows(docs: DataFrame, rule: Similarity, order: Broadcast, text_col: s
                     [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(names, pa.binary()).take(pa.array(of)),
                      pa.array(np.array(sizes, np.int32)[of]), pa.array(pos.astype(np.int32))], names=["token", "cls", "n", "pos"])
 
-    return docs.select(col(text_col).alias("text")).mapInArrow(prefixes, "token long, cls binary, n int, pos int")
+    return docs.select(col(text_col).alias("text")).mapInArrow(released(prefixes), "token long, cls binary, n int, pos int")
 
 
 def _candidates(members: DataFrame, classes: DataFrame, rule: Similarity) -> DataFrame:
@@ -188,7 +188,7 @@ def _verify_pairs(pairs: DataFrame, rule: Similarity) -> DataFrame:
                 keep.append(rule.similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("cls_a", "cls_b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
+    return pairs.select("cls_a", "cls_b", "text_a", "text_b").mapInArrow(released(verify), "a binary, b binary")
 
 
 def _dealt(rows: DataFrame, blocks: Column) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abode.llm.common import col, stage
+from abode.llm.common import col, released, stage
 
 FOUND = "array<struct<start:int,place:int,kind:string,end:int>>"
 
@@ -108,7 +108,7 @@ def scan_history(versions: DataFrame, keys: Sequence[str], text_col: str = "text
                 found.append([dict(zip(("start", "place", "kind", "end"), s)) for s in sorted(spans)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)], names=["blob", "rules", "found"])
 
-    entries = scanned.mapInArrow(scan, f"blob string, rules array<string>, found {FOUND}")
+    entries = scanned.mapInArrow(released(scan), f"blob string, rules array<string>, found {FOUND}")
     if ledger is not None:
         entries.write.mode("append").parquet(ledger)
         entries = _ledger(spark, ledger)

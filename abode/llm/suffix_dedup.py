@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abode.llm.common import as_bytes, col, partitions
+from abode.llm.common import as_bytes, col, partitions, released
 
 LENGTH = 100
 GRAM = 32
@@ -437,12 +437,12 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     raw = F.coalesce(col(text_col).cast("binary"), F.lit(b""))
     texts = docs.select(_document_key(id_col).alias("id"), F.xxhash64(raw).alias("mark"), raw.alias("text"))
     by_range = lambda df: df.repartition(ranges, "bucket").sortWithinPartitions("bucket")
-    found = by_range(texts.select("id", "text").mapInArrow(_anchor_rows(ranges), "bucket int, hashes binary, ids binary, places binary"))
-    again = (found.mapInArrow(_repeated_anchors, "id long, place int")
+    found = by_range(texts.select("id", "text").mapInArrow(released(_anchor_rows(ranges)), "bucket int, hashes binary, ids binary, places binary"))
+    again = (found.mapInArrow(released(_repeated_anchors), "id long, place int")
              .groupBy("id").agg(F.collect_list("place").alias("places")))
     runs = (texts.join(again, "id").select("id", "mark", "text", "places")
-            .mapInArrow(_sorted_runs(ranges), "bucket int, common binary, rest binary, folded binary, ids binary, marks binary, places binary"))
-    stretches = (by_range(runs).mapInArrow(_merged, "id long, mark long, first int, last int")
+            .mapInArrow(released(_sorted_runs(ranges)), "bucket int, common binary, rest binary, folded binary, ids binary, marks binary, places binary"))
+    stretches = (by_range(runs).mapInArrow(released(_merged), "id long, mark long, first int, last int")
                  .groupBy("id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("stretches")))
     return texts.join(stretches, "id", "left").select("id", "mark", "text", F.filter("stretches", lambda s: s["mark"] == F.col("mark")).alias("stretches"))
 
@@ -470,5 +470,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 names=["id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256", "kept"])
 
     schema = "id long, n_bytes long, n_removed long, n_spans long, spans array<struct<first:int,last:int>>, kept_sha256 string, kept binary"
-    out = repeated_stretches(docs, id_col, text_col).select("id", "text", "stretches").mapInArrow(run, schema)
+    out = repeated_stretches(docs, id_col, text_col).select("id", "text", "stretches").mapInArrow(released(run), schema)
     return out.withColumn("id", F.when(F.col("id") > -(2**63), F.col("id"))).withColumnRenamed("id", id_col)

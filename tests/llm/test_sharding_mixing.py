@@ -115,3 +115,10 @@ def test_mix_edges(spark, edge_docs, no_docs):
     assert [(r.size, r.taken, r.target) for r in empty] == [(0, 0, 0.0)] * 3
     one = mixing.mix_sources(edge_docs, share=9.0).collect()
     assert all(r.copies == (2 if r.size else 0) for r in one)
+
+
+def test_mix_applied_through_a_shuffle(edge_docs, monkeypatch):
+    decisions = mixing.mix_sources(edge_docs)
+    want = sorted(map(str, mixing.apply_mix(edge_docs, decisions).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, mixing.apply_mix(edge_docs, decisions).collect())) == want
