@@ -49,8 +49,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     """``pages`` with ``host``, ``path``, ``rule`` (host and path of the rule that
     decides, else null) and ``verdict``.
 
-    Null url or one without ``://``: host and path empty, no rule fits a host
-    that is empty unless a rule's host is. Among rules that fit, the longest
+    Null url or one without ``://``: host and path empty, which only a rule with
+    an empty host and path fits. Among rules that fit, the longest
     (host and path together) wins, then the longer host, then block before
     allow. Repeated urls are judged once and joined back; an input column of a
     result's name is replaced. Empty tables give no rows or no rules.
@@ -66,7 +66,8 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
                       F.max(F.length("rule_path") - F.length(F.replace("rule_path", F.lit("/"), F.lit("")))).alias("slashes")).first()
     labels, slashes = depth["labels"] or 1, depth["slashes"] or 0
 
-    urls = (pages.select(col(url_col).alias("judged_url")).filter(F.col("judged_url").isNotNull()).distinct()
+    url = F.coalesce(col(url_col), F.lit(""))
+    urls = (pages.select(url.alias("judged_url")).distinct()
             .withColumn("host", url_host(F.col("judged_url"))).withColumn("path", url_path(F.col("judged_url"))))
     part = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(part), F.lit(labels))),
@@ -86,7 +87,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
     rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), (F.col("rule_verdict") == "block").cast("int"))
     judged = fits.groupBy("judged_url").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict"), rank).alias("won"))
     own = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    rows = pages.select(F.struct(*[col(c) for c in own]).alias("row"), col(url_col).alias("page_url"))
+    rows = pages.select(F.struct(*[col(c) for c in own]).alias("row"), url.alias("page_url"))
     return (rows.join(judged, F.col("page_url") == F.col("judged_url"), "left")
             .select("row.*", url_host(F.col("page_url")).alias("host"), url_path(F.col("page_url")).alias("path"),
                     F.col("won.rule").alias("rule"), F.coalesce("won.rule_verdict", F.lit(default)).alias("verdict")))
