@@ -20,8 +20,12 @@ KINDS = ("email", "ip", "card", "phone", "term")
 SPAN = "array<struct<start:int,end:int,value:string>>"
 #: Code points on each side of an entity in which words may reveal it.
 REACH = 60
-MIN_SUPPORT = 3
+#: Different texts in which a word must stand near an entity; 1 judges entities of one text too.
+MIN_SUPPORT = 1
 THRESHOLD = 0.9
+#: Documents with the word that are added, with the entity at its corpus rate: a word
+#: seen once proves less than one seen often (half a document, as Krichevsky and Trofimov).
+PRIOR = 0.5
 #: Terms that a broadcast may hold; more are counted through a shuffle.
 BROADCAST_TERMS = 50_000
 
@@ -118,7 +122,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``term`` holds the words that disclose an entity nearby: of the documents
     with the word, enough hold the entity within reach that the mutual
     information comes to ``threshold`` times the information of the entity, seen
-    in ``min_support`` different texts or more. All counts cover all documents.
+    in ``min_support`` different texts or more. All counts cover all documents;
+    ``PRIOR`` smooths those of the word, so entities of one document are judged too.
 
     Null text: no spans. Repeated rows: each gets its spans. Empty table: no
     rows. Other columns are ignored.
@@ -153,7 +158,8 @@ def _disclosing(texts: DataFrame, total: int, uses: DataFrame, threshold: float,
     near = (uses.filter("word is not null").select(F.col("word.value").alias("term"), "doc_key").distinct()
             .groupBy("term").agg(F.count(F.lit(1)).alias("near_docs")))
     information = F.log(F.lit(float(total)) / F.col("entity_docs"))
-    mutual = lambda docs_with_term: F.log(F.col("joint_docs") * F.lit(float(total)) / (F.col("entity_docs") * docs_with_term))
+    rate = F.col("entity_docs") / F.lit(float(max(total, 1)))
+    mutual = lambda docs_with_term: F.log((F.col("joint_docs") + PRIOR * rate) / ((docs_with_term + PRIOR) * rate))
     joint = stage(joint.join(entities, "entity").join(near, "term")
                   .filter((information > 0) & (mutual(F.col("near_docs")) >= threshold * information)).drop("near_docs"))
     wanted = joint.select("term").distinct()

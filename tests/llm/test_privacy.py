@@ -69,6 +69,17 @@ def test_terms_that_disclose_an_entity(planted, monkeypatch, most):
     assert {r.text for r in privacy.sanitise(planted, generalise=False).filter("doc_id = 1001").collect()} == {texts[1001].replace("Zanzibarix joe.doe@mail.example.com", " [email]")}
 
 
+def test_terms_of_an_entity_of_one_text(spark):
+    rows = [(i, f"plain words of text {'odd' if i % 2 else 'even'}") for i in range(400)]
+    rows += [(500, "plain Quentinius q.v@mail.example.com words"), (501, "plain words z.z@mail.example.com text")]
+    found = {r.doc_id: [s.value for s in r.term] for r in privacy.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found.pop(500) == ["quentinius"] and not any(found.values())
+
+
+def test_query_marks_terms_in_the_tables(spark):
+    assert queries.op10_privacy(spark, SF).filter("spans like '%term:%'").count() > 0
+
+
 def test_edges(spark, edge_docs, no_docs):
     rows = privacy.find_personal_data(edge_docs).collect()
     assert len(rows) == len(EDGE) and all(not spans(r) and r.term == [] for r in rows)
