@@ -28,6 +28,10 @@ THRESHOLD = 0.9
 PRIOR = 0.5
 #: Terms that a broadcast may hold; more are counted through a shuffle.
 BROADCAST_TERMS = 50_000
+#: Terms whose hashes a broadcast may hold, so that only words of their hash are shuffled.
+BROADCAST_HASHES = 1_000_000
+#: Documents with terms that a broadcast may hold; more meet their texts in a shuffle.
+BROADCAST_DOCS = 100_000
 
 #: The base patterns (fixed). Possessive and look-behind parts change no match:
 #: a run that fails from its start fails from inside too, so it is tried once, and
@@ -40,8 +44,9 @@ TERM = r"(?<![\p{L}\p{M}\p{N}])[\p{L}\p{M}]{4,}(?![\p{L}\p{M}\p{N}])"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches with their code point places.
+def spans_of(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """Leftmost non-overlapping matches with their code point places, of them
+    those whose value is ``wanted``.
 
     What lies between matches and the matches themselves alternate, so places
     are running sums of lengths.
@@ -53,8 +58,10 @@ def spans_of(text: Column, pattern: str) -> Column:
     def add(found: Column, step: Column) -> Column:
         first = found["at"] + step["gap"]
         last = first + F.length(step["value"])
-        return F.when(step["value"].isNull(), found).otherwise(F.struct(
-            last.alias("at"), F.concat(found["spans"], F.array(F.struct(first.alias("start"), last.alias("end"), step["value"].alias("value")))).alias("spans")))
+        spans = F.concat(found["spans"], F.array(F.struct(first.alias("start"), last.alias("end"), step["value"].alias("value"))))
+        if wanted is not None:
+            spans = F.when(wanted(step["value"]), spans).otherwise(found["spans"])
+        return F.when(step["value"].isNull(), found).otherwise(F.struct(last.alias("at"), spans.alias("spans")))
 
     return F.aggregate(steps, start, add, lambda found: found["spans"])
 
@@ -119,8 +126,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row for each row of ``docs``: the id, ``doc_key`` (hash of id and text) and an
     array of spans (start, end, value) for each kind in ``KINDS``.
 
-    ``term`` holds the words that disclose an entity nearby: of the documents
-    with the word, enough hold the entity within reach that the mutual
+    ``term`` holds all occurrences, in every document, of the words that disclose
+    an entity: of the documents with the word, enough hold the entity within reach that the mutual
     information comes to ``threshold`` times the information of the entity, seen
     in ``min_support`` different texts or more. All counts cover all documents;
     ``PRIOR`` smooths those of the word, so entities of one document are judged too.
@@ -128,8 +135,9 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null text: no spans. Repeated rows: each gets its spans. Empty table: no
     rows. Other columns are ignored.
 
-    Memory: text never moves. Spans of a document are bounded by the document;
-    their places take time that grows with the square of its matches.
+    Memory: text moves only if more than ``BROADCAST_DOCS`` documents hold terms. Spans
+    of a document are bounded by the document; their places take time that grows
+    with the square of its matches.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     scan = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -141,13 +149,29 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                F.when(F.size(every) > 0, near).alias("near")))
     uses = (found.filter(F.size("near") > 0).select("doc_key", "text_hash", F.explode("near").alias("near"))
             .select("doc_key", "text_hash", "near.entity", F.explode_outer("near.words").alias("word")))
-    terms = stage(_disclosing(docs.select(text.alias("text")), found.count(), uses, threshold, min_support))
-    marked = (uses.filter("word is not null").withColumn("term", F.col("word.value"))
-              .join(terms, ["entity", "term"], "left_semi").groupBy("doc_key").agg(F.array_sort(F.collect_set("word")).alias("term")))
+    terms = stage(_disclosing(docs.select(text.alias("text")), found.count(), uses, threshold, min_support).select("term").distinct())
+    keyed = docs.select(F.xxhash64(col(id_col).alias("id"), F.xxhash64(text)).alias("doc_key"), text.alias("text"))
+    words = keyed.select("doc_key", F.explode(_words(F.col("text"))).alias("term"))
+    many = terms.count()
+    if many <= BROADCAST_TERMS:
+        terms = F.broadcast(terms)
+    elif many <= BROADCAST_HASHES:
+        words = words.join(F.broadcast(terms.select(F.xxhash64("term").alias("hash"))), F.xxhash64(words["term"]) == F.col("hash"), "left_semi")
+    held = stage(words.join(terms, "term", "left_semi").groupBy("doc_key").agg(F.collect_set("term").alias("terms")))
+    if held.count() <= BROADCAST_DOCS:
+        held = F.broadcast(held)
+    places = spans_of(F.col("text"), TERM, lambda value: F.array_contains("terms", F.lower(value)))
+    marked = (keyed.join(held, "doc_key").select("doc_key", F.transform(places, lambda s: s.withField("value", F.lower(s["value"]))).alias("term"))
+              .groupBy("doc_key").agg(F.first("term").alias("term")))
     return (found.join(marked, "doc_key", "left")
             .select(F.col("id").alias(id_col), "doc_key", *KINDS[:-1], F.coalesce("term", _none()).alias("term")))
 
 
+def _words(text: Column) -> Column:
+    """The distinct words of a text, in lower case."""
+    return F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))), F.lower))
+
+
 def _disclosing(texts: DataFrame, total: int, uses: DataFrame, threshold: float, min_support: int) -> DataFrame:
     """Pairs of entity and term that reach the threshold."""
     entities = uses.select("entity", "doc_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
@@ -163,7 +187,7 @@ def _disclosing(texts: DataFrame, total: int, uses: DataFrame, threshold: float,
     joint = stage(joint.join(entities, "entity").join(near, "term")
                   .filter((information > 0) & (mutual(F.col("near_docs")) >= threshold * information)).drop("near_docs"))
     wanted = joint.select("term").distinct()
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = texts.select(F.explode(_words(F.col("text"))).alias("term"))
     if wanted.count() <= BROADCAST_TERMS:
         counted = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
     else:

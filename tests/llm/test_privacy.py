@@ -76,6 +76,23 @@ def test_terms_of_an_entity_of_one_text(spark):
     assert found.pop(500) == ["quentinius"] and not any(found.values())
 
 
+@pytest.mark.parametrize("limits", [{}, {"BROADCAST_TERMS": 0}, {"BROADCAST_TERMS": 0, "BROADCAST_HASHES": 0, "BROADCAST_DOCS": 0}])
+def test_terms_are_marked_in_whole_texts_of_all_documents(spark, monkeypatch, limits):
+    for name, most in limits.items():
+        monkeypatch.setattr(privacy, name, most)
+    far = "plain words " * 20
+    rows = [(i, f"plain words of text {i}") for i in range(200)]
+    rows += [(1000 + i, f"Zanzibarix joe.doe@mail.example.com {far}\u00c9t\u00e9 ZANZIBARIX {far}") for i in range(8)] + [(2000, f"{far}zanzibarix")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = privacy.find_personal_data(docs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        want = [m.span() for m in re.finditer("zanzibarix", texts[r.doc_id], re.I)]
+        assert [(s.start, s.end) for s in r.term if s.value == "zanzibarix"] == want
+    assert not any("zanzibarix" in r.text.lower() for r in privacy.sanitise(docs).collect())
+
+
 def test_query_marks_terms_in_the_tables(spark):
     assert queries.op10_privacy(spark, SF).filter("spans like '%term:%'").count() > 0
 
