@@ -269,8 +269,9 @@ def _join_blocks(rule: Similarity, order: Broadcast):
 
 
 def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: the id, ``row_hash`` (of id and text), ``n_shingles`` and
-    ``component_id``, the least id reachable by links of similarity ``percent`` or more.
+    """One row for each row of ``docs``: the id, ``row_hash`` (of id and text), ``n_shingles``,
+    ``component_id``, the least id reachable by links of similarity ``percent`` or more, and
+    ``component``, a key of the component that is null only without words.
 
     Words are split at ASCII white space with A-Z in lower case. A text of
     fewer than ``size`` words is one shingle; null and empty texts have none,
@@ -290,9 +291,9 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     links = components(stage(_links(docs, named, rule, order, text_col, id_col)))
     rooted = named.select("cls", "least").join(links, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(least, "root").select("cls", "component_id")
+    found = rooted.join(least, "root").select("cls", "component_id", F.col("root").alias("component"))
     return (classes.join(found, "cls", "left")
-            .select(F.col("id").alias(id_col), "row_hash", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select(F.col("id").alias(id_col), "row_hash", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "component"))
 
 
 def _links(docs: DataFrame, named: DataFrame, rule: Similarity, order: Broadcast, text_col: str, id_col: str) -> DataFrame:
@@ -333,13 +334,14 @@ def _links(docs: DataFrame, named: DataFrame, rule: Similarity, order: Broadcast
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one with the least id, then row hash.
+    A null id comes after all others.
 
     Rows without words are all kept. Of rows that agree in id and text, one stays.
     """
     found = stage(similar_components(docs, size, percent, id_col, text_col).withColumnRenamed(id_col, "id"))
     in_words = found.filter("n_shingles > 0")
-    best = in_words.groupBy("component_id").agg(F.min(F.struct("id", "row_hash")).alias("best"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    grouped = in_words.join(best, F.col("best.id").isNotNull() & in_words["component_id"].eqNullSafe(best["component_id"]))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_hash")).alias("best")
+    grouped = in_words.join(in_words.groupBy("component").agg(first, F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "component")
     gone = stage(grouped.filter(F.col("row_hash") != F.col("best.row_hash")).select(F.col("row_hash").alias("gone")).distinct())
     twins = stage(grouped.filter(F.col("row_hash") == F.col("best.row_hash")).groupBy(F.col("row_hash").alias("twin"))
                   .agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("twin"))

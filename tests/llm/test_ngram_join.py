@@ -71,6 +71,16 @@ def test_edges(spark, edge_docs, no_docs):
     assert ngram_join.similar_components(no_docs).count() == 0 and ngram_join.one_of_each(no_docs).count() == 0
 
 
+def test_one_row_stays_of_groups_with_null_ids(spark):
+    text = lambda name, last="": " ".join(f"{name}{k}" for k in range(40)) + last
+    rows = [(None, text("a")), (5, text("a")), (6, text("a", " x")), (None, text("a", " y"))]  # one null id or more
+    rows += [(None, text("b")), (None, text("b")), (None, text("b", " x"))]  # null ids only
+    rows += [(None, text("c")), (9, text("d"))]  # alone
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.text[0], r.doc_id) for r in kept if r.doc_id) == [("a", 5), ("d", 9)]
+    assert sorted(r.text[0] for r in kept) == ["a", "b", "c", "d"]
+
+
 LONG_ID = 5
 
 
