@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from abode.llm.common import col, released, stage
 
 FOUND = "array<struct<start:int,place:int,kind:string,end:int>>"
+#: Findings as the ledger keeps them: with the rule version, and without its place, which may change.
+LEDGER_FOUND = "array<struct<start:int,rule:string,kind:string,end:int>>"
 
 
 @dataclass(frozen=True)
@@ -78,8 +80,9 @@ def scan_history(versions: DataFrame, keys: Sequence[str], text_col: str = "text
     end in code points, ordered by start and then by rule.
 
     ``ledger`` is the folder of a Parquet ledger: one row per blob and scan with
-    the rule versions it was scanned by and what they found. A run reads it,
-    scans only pairs it doesn't hold, and appends those. Without a folder the
+    the rule versions it was scanned by and what each of them found. A run reads it,
+    scans only pairs it doesn't hold, and appends those; findings of rule versions
+    that are not in ``rules`` stay in the ledger and are not returned. Without a folder the
     run starts from an empty ledger and keeps none. A run that fails before it
     appends is repeated as a whole.
 
@@ -97,23 +100,25 @@ def scan_history(versions: DataFrame, keys: Sequence[str], text_col: str = "text
     todo = unseen.groupBy("blob", "holder").agg(F.collect_list("rule").alias("rules"))
     texts = versions.select(F.xxhash64(*[col(k) for k in keys]).alias("holder"), F.sha2(text, 256).alias("blob"), text.alias("text"))
     scanned = texts.join(todo, ["holder", "blob"]).select("blob", "rules", "text")
-    by_key = {rule.key: (place, rule) for place, rule in enumerate(rules)}
+    by_key = {rule.key: rule for rule in rules}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("place", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("rule", pa.string()), ("kind", pa.string()), ("end", pa.int32())]))
         for batch in batches:
             found = []
             for wanted, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                spans = [(start, place, rule.kind, end) for place, rule in map(by_key.get, wanted) for start, end in rule.find(text)]
-                found.append([dict(zip(("start", "place", "kind", "end"), s)) for s in sorted(spans)])
+                spans = [(start, rule.key, rule.kind, end) for rule in map(by_key.get, wanted) for start, end in rule.find(text)]
+                found.append([dict(zip(("start", "rule", "kind", "end"), s)) for s in sorted(spans)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)], names=["blob", "rules", "found"])
 
-    entries = scanned.mapInArrow(released(scan), f"blob string, rules array<string>, found {FOUND}")
+    entries = scanned.mapInArrow(released(scan), f"blob string, rules array<string>, found {LEDGER_FOUND}")
     if ledger is not None:
         entries.write.mode("append").parquet(ledger)
         entries = _ledger(spark, ledger)
-    current = [r.key for r in rules]
-    spans = (entries.filter(F.size("found") > 0).filter(F.arrays_overlap("rules", F.array(*[F.lit(k) for k in current])))
+    current = F.array(*[F.lit(r.key) for r in rules])
+    valid = F.transform(F.filter("found", lambda s: F.array_contains(current, s["rule"])), lambda s: F.struct(
+        s["start"].alias("start"), (F.array_position(current, s["rule"]) - 1).cast("int").alias("place"), s["kind"].alias("kind"), s["end"].alias("end")))
+    spans = (entries.filter(F.size("found") > 0).select("blob", valid.alias("found")).filter(F.size("found") > 0)
              .groupBy("blob").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("found")))).alias("found")))
     return (held.join(spans, "blob", "left")
             .select(*[col(k) for k in keys], "blob", F.coalesce("found", F.array().cast(FOUND)).alias("found")))

@@ -55,6 +55,16 @@ def test_ledger_scans_unseen_pairs_only(spark, scratch):
     assert sorted(r for _, r in entries()) == sorted([*(r for _, r in before), *[("hex@2",)] * 3])
 
 
+def test_findings_of_old_rule_versions_are_not_returned(spark, scratch):
+    docs = spark.createDataFrame([(1, "token=12345678 " + "a" * 40 + " " + "b" * 70 + " AKIA" + "A1" * 8)], "doc_id long, text string")
+    found = lambda rules: [(s.kind, s.place, s.start, s.end) for r in secret_scan.scan_history(docs, ["doc_id"], rules=rules, ledger=f"{scratch}/l").collect() for s in r.found]
+    assign, access, hexes = secret_scan.BASE_RULES
+    assert found((assign, access, hexes)) == [("assign", 0, 0, 14), ("hex", 2, 15, 55), ("hex", 2, 56, 126), ("access", 1, 127, 147)]
+    narrower = replace(hexes, version=2, pattern=re.compile(r"[0-9a-f]{64,}"))
+    assert found((assign, access, narrower)) == [("assign", 0, 0, 14), ("hex", 2, 56, 126), ("access", 1, 127, 147)]
+    assert found((narrower, assign)) == [("assign", 1, 0, 14), ("hex", 0, 56, 126)]
+
+
 def test_edges(spark, edge_docs, no_docs):
     rows = secret_scan.scan_history(edge_docs, ["doc_id"]).collect()
     assert len(rows) == len(EDGE) and all(r.found == [] for r in rows)
