@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abode.llm import chat, decontamination, mixing, ngram_join, oracles, privacy, quality, secret_scan, sharding, suffix_dedup, url_filter
+from abode.llm import (chat, decontamination, filter_audit, lexical_search, mixing, ngram_join, oracles, privacy, quality, secret_scan,
+                       sharding, simhash, suffix_dedup, url_filter)
 from abode.llm.common import table
 
 #: Fixed values of the url rules: verdict, host, path.
@@ -78,6 +79,22 @@ def op10_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(privacy.span_text(base), 256).alias("base_sha256"), privacy.span_text(list(privacy.KINDS)).alias("spans"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, size=3, most=3)
+    return found.select("doc_id", simhash.digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_interleaved_shards": op2_interleaved_shards,
@@ -89,6 +106,9 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_url_filter": op9_url_filter,
     "op10_privacy": op10_privacy,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE = oracles.ORACLE
