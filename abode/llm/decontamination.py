@@ -8,7 +8,7 @@ candidates, which are narrowed by their first block and then compared word by wo
 
 from __future__ import annotations
 
-
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,10 +23,16 @@ from abode.llm.common import as_bytes, col, map_texts, unpack
 WINDOW = 10
 #: Benchmark words in one block of test strings; a block's tables are broadcast.
 BLOCK_WORDS = 500_000
+#: Blocks whose tables a Python worker keeps; of more, the oldest are built again.
+KEPT_BLOCKS = 4
 #: A-Z in lower case; every ASCII byte that is no letter or digit as a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+#: Id as text, which may be null, and text.
+Item = tuple[str | None, bytes]
+
+
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
@@ -37,9 +43,9 @@ class WuManber:
     def __init__(self, length: int):
         self.length, self.block = length, min(2, length)
         self.skip: dict[tuple[bytes, ...], int] = {}
-        self.buckets: dict[tuple[bytes, ...], dict[tuple[bytes, ...], dict[tuple[bytes, ...], set[str]]]] = {}
+        self.buckets: dict[tuple[bytes, ...], dict[tuple[bytes, ...], dict[tuple[bytes, ...], set[str | None]]]] = {}
 
-    def add(self, string: tuple[bytes, ...], item: str) -> None:
+    def add(self, string: tuple[bytes, ...], item: str | None) -> None:
         for end in range(self.block, self.length + 1):
             block = string[end - self.block:end]
             self.skip[block] = min(self.skip.get(block, self.length), self.length - end)
@@ -65,7 +71,7 @@ class WuManber:
             end += 1
 
 
-def search_tables(items: list[tuple[str, bytes]], window: int = WINDOW) -> list[WuManber]:
+def search_tables(items: list[Item], window: int = WINDOW) -> list[WuManber]:
     """One searcher for each length of test string; only short items are below ``window``."""
     tables: dict[int, WuManber] = {}
     for item, text in items:
@@ -76,7 +82,19 @@ def search_tables(items: list[tuple[str, bytes]], window: int = WINDOW) -> list[
     return list(tables.values())
 
 
-def search(words: list[bytes], tables: list[WuManber]) -> tuple[np.ndarray, set[str]]:
+_kept: dict[tuple[str, int], list[WuManber]] = {}
+
+
+def kept_tables(name: tuple[str, int], items: list[Item], window: int) -> list[WuManber]:
+    """The tables of a block, built once by a worker, which outlives its tasks and keeps ``KEPT_BLOCKS`` of them."""
+    if name not in _kept:
+        while len(_kept) >= KEPT_BLOCKS:
+            _kept.pop(next(iter(_kept)))
+        _kept[name] = search_tables(items, window)
+    return _kept[name]
+
+
+def search(words: list[bytes], tables: list[WuManber]) -> tuple[np.ndarray, set[str | None]]:
     """Mask of words inside an occurrence, and the items that occur."""
     edge, found = np.zeros(len(words) + 1, np.int64), set()
     for table in tables:
@@ -87,15 +105,15 @@ def search(words: list[bytes], tables: list[WuManber]) -> tuple[np.ndarray, set[
     return np.cumsum(edge[:-1]) > 0, found
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str, bytes]]]:
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[Item]]:
     """The benchmark in blocks of at most ``block_words`` words, or one item.
 
     The benchmark is the stated query set of this operator. It passes through the
     driver item by item, and one block at a time is held there to be broadcast.
     """
-    block: list[tuple[str, bytes]] = []
+    block: list[Item] = []
     room = block_words
-    rows = benchmark.select(col(id_col).cast("string").alias("item"), col(text_col).cast("binary").alias("text")).filter("item is not null and text is not null")
+    rows = benchmark.select(col(id_col).cast("string").alias("item"), col(text_col).cast("binary").alias("text")).filter("text is not null")
     for row in rows.toLocalIterator():
         size = len(words_of(bytes(row["text"])))
         if block and size > room:
@@ -112,7 +130,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """Struct column ``row`` (the document) with ``n_words``, ``n_hit``, ``spans`` (first and
     last hit word of each run), ``items`` (ids that occur, sorted as strings) and ``contaminated``.
 
-    A null text has no words, and an item without words or id no windows. An
+    A null text has no words, and an item without words no windows. An item without id
+    is searched for like any other: its words are hit, only ``items`` can't name it. An
     item shorter than ``window`` is one window. Items may share windows and may
     repeat. Every document is searched for every block of the benchmark.
     """
@@ -121,20 +140,14 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     run = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())])
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("spans", T.ArrayType(run)),
               T.StructField("items", T.ArrayType(T.StringType())), T.StructField("contaminated", T.BooleanType())]
-    prepared: dict[int, list[WuManber]] = {}  # of this task; with several blocks only the last is kept
-
-    def tables(k: int) -> list[WuManber]:
-        if k not in prepared:
-            prepared.clear()
-            prepared[k] = search_tables(blocks[k].value, window)
-        return prepared[k]
+    name = uuid.uuid4().hex
 
     def hits(texts: pa.Array) -> list[pa.Array]:
         raw = as_bytes(texts)
         masks: list[np.ndarray | None] = [None] * len(raw)
         lengths, items = [0] * len(raw), defaultdict(set)
         for k in range(max(1, len(blocks))):
-            tests = tables(k) if blocks else []
+            tests = kept_tables((name, k), blocks[k].value, window) if blocks else []
             for i, text in enumerate(raw):
                 words = words_of(text)
                 lengths[i] = len(words)
@@ -149,7 +162,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         n_hit = [0 if m is None else int(m.sum()) for m in masks]
         return [pa.array(lengths, pa.int64()), pa.array(n_hit, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                pa.array([sorted(items.get(i, ())) for i in range(len(raw))], pa.list_(pa.string())), pa.array([n > 0 for n in n_hit])]
+                pa.array([sorted(x for x in items.get(i, ()) if x is not None) for i in range(len(raw))], pa.list_(pa.string())), pa.array([n > 0 for n in n_hit])]
 
     return map_texts(docs, hits, fields, text_col)
 

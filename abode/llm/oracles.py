@@ -9,7 +9,7 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _BENCH_WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 OP3 = f"""
-WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCH_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+WITH item AS (SELECT CAST(item_id AS VARCHAR) AS item, {_BENCH_WORDS} AS w FROM benchmark),
 strings AS (SELECT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
   FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)),
 doc AS (SELECT doc_id, {_BENCH_WORDS} AS w FROM documents),
@@ -17,7 +17,7 @@ windows AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM strings) WHERE len(w) >= n)),
 hits AS (SELECT DISTINCT doc_id, n, i, item FROM windows JOIN strings USING (n, s)),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+items AS (SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
@@ -57,10 +57,10 @@ letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
 orders AS (SELECT p.x || q.x || r.x || s.x || t.x AS filter_order FROM letter p, letter q, letter r, letter s, letter t
   WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
 steps AS (SELECT filter_order, CAST(i AS INTEGER) AS step, filter_order[i] AS f, filter_order[1:i - 1] AS before FROM orders, range(1, 6) AS k(i)),
-told AS (SELECT part, filter_order, step, f, n, good, toxic, contains(failed, f) AS here, length(translate(failed, before, '')) < length(failed) AS fell, failed = f AS only
+told AS (SELECT part, filter_order, step, f, n, good, toxic, contains(failed, f) AS here, length(translate(failed, before, '')) < length(failed) AS fell, failed = f AS alone
   FROM sets, steps),
 counted AS (SELECT part, filter_order, step, f, sum(n) FILTER (NOT here AND NOT fell) AS kept, sum(n) FILTER (here AND NOT fell) AS removed, sum(n) FILTER (here AND fell) AS redundant,
-  sum(n) FILTER (only) AS unique_fails, sum(good) FILTER (here AND NOT fell) AS good_lost, sum(toxic) FILTER (here AND NOT fell) AS toxic_lost
+  sum(n) FILTER (alone) AS unique_fails, sum(good) FILTER (here AND NOT fell) AS good_lost, sum(toxic) FILTER (here AND NOT fell) AS toxic_lost
   FROM told GROUP BY part, filter_order, step, f)
 SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
   CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,

@@ -64,7 +64,7 @@ def windows_of(items, size=10):
         words = BENCH_WORD.findall(lower(text or ""))
         n = min(size, len(words))
         for k in range(len(words) - n + 1 if n else 0):
-            found.setdefault(tuple(words[k:k + n]), set()).add(str(item))
+            found.setdefault(tuple(words[k:k + n]), set()).add(item if item is None else str(item))
     return found
 
 
@@ -76,7 +76,7 @@ def contamination(text, windows):
             if found := windows.get(tuple(words[k:k + n])):
                 items |= found
                 hit.update(range(k, k + n))
-    return len(words), len(hit), sorted(items)
+    return len(words), len(hit), sorted(i for i in items if i is not None)
 
 
 def repeats(rows, length=100):
