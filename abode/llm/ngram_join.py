@@ -78,20 +78,20 @@ def rare_first(found: np.ndarray, listed: Listed) -> np.ndarray:
 def described(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) -> DataFrame:
     """One pass over the texts; staged.
 
-    Every row gets ``id``, ``row_hash`` (of id and text), ``cls`` (name of the word
+    Every row gets ``id``, ``row_hash`` (of id and text), ``digest`` of the text, ``cls`` (name of the word
     sequence), ``n`` (set size) and ``cells`` (set size by range of the hash). Every
     batch adds a row with ``n`` -1 and a tally: the shingles that two of its
     classes or more have, and how many have them.
     """
-    slim = docs.select(col(id_col).alias("id"), row_hash(id_col, text_col).alias("row_hash"), col(text_col).alias("text"))
+    slim = docs.select(*row_key(id_col, text_col), col(text_col).alias("text"))
     fields = [T.StructField("cls", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("cells", T.ArrayType(T.IntegerType())),
               T.StructField("tally", T.BinaryType()), T.StructField("times", T.BinaryType())]
-    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in slim.schema.fields[:2]), *fields])
+    schema = T.StructType([*(T.StructField(f.name, f.dataType) for f in slim.schema.fields[:3]), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, sizes, cells, once = [], [], [], {}
-            for words, found in shingle_sets(batch.column(2), rule.size):
+            for words, found in shingle_sets(batch.column(3), rule.size):
                 names.append(sequence_digest(words) if len(words) else None)
                 sizes.append(len(found))
                 cells.append(np.bincount((found >> np.uint64(59)).astype(np.int64), minlength=CELLS).astype(np.int32))
@@ -100,9 +100,8 @@ def described(docs: DataFrame, rule: Similarity, id_col: str, text_col: str) ->
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(shingles)), bool), shingles[1:] != shingles[:-1])))
             times = np.diff(np.append(first, len(shingles)))
             tally = shingles[first][times > 1].tobytes(), times[times > 1].astype(np.int32).tobytes()
-            blank = pa.nulls(1, batch.column(0).type), pa.nulls(1, batch.column(1).type)
             yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([batch.column(0), blank[0]]), pa.concat_arrays([batch.column(1), blank[1]]), pa.array([*names, None], pa.binary()),
+                [*(pa.concat_arrays([c, pa.nulls(1, c.type)]) for c in batch.columns[:3]), pa.array([*names, None], pa.binary()),
                  pa.array([*sizes, -1], pa.int32()), pa.array([*cells, None], pa.list_(pa.int32())),
                  pa.array([None] * len(names) + [tally[0]], pa.binary()), pa.array([None] * len(names) + [tally[1]], pa.binary())], names=schema.names)
 
@@ -113,6 +112,19 @@ def row_hash(id_col: str, text_col: str) -> Column:
     return F.xxhash64(col(id_col), col(text_col))
 
 
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """What says which row it is: ``row_hash`` deals rows out; ``id`` and ``digest`` (128
+    bits of the SHA-256 of the text; null: none) decide, so no two rows meet by a chance of the hash."""
+    digest = F.substring(F.unhex(F.sha2(col(text_col), 256)), 1, 16)
+    return [col(id_col).alias("id"), row_hash(id_col, text_col).alias("row_hash"), digest.alias("digest")]
+
+
+def _same_row(other: str) -> Column:
+    """Whether a row is the one in the struct column ``other``."""
+    parts = [F.col("id").eqNullSafe(F.col(f"{other}.id")), F.col("digest").eqNullSafe(F.col(f"{other}.digest"))]
+    return (F.col("row_hash") == F.col(f"{other}.row_hash")) & parts[0] & parts[1]
+
+
 def frequent_shingles(tallies: DataFrame, limit: int) -> Listed:
     """The most frequent shingles, by counts summed over all documents.
 
@@ -198,6 +210,30 @@ def _dealt(rows: DataFrame, blocks: Column) -> DataFrame:
             .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("blocks", "other"))
 
 
+class Groups:
+    """What is connected inside a task: labels of the members, of which the smaller group takes the other's."""
+
+    def __init__(self, size: int):
+        self.label = np.arange(size)
+        self.members: dict[int, list[int]] = {}
+
+    def apart(self, i: int, others: np.ndarray) -> np.ndarray:
+        return self.label[others] != self.label[i]
+
+    def join(self, i: int, j: int) -> bool:
+        """Whether two groups became one; a member changes its label a logarithm of times at most."""
+        a, b = int(self.label[i]), int(self.label[j])
+        if a == b:
+            return False
+        one, two = self.members.pop(a, [a]), self.members.pop(b, [b])
+        if len(one) < len(two):
+            a, one, two = b, two, one
+        self.label[two] = a
+        one.extend(two)
+        self.members[a] = one
+        return True
+
+
 def _plausible(rule: Similarity):
     """Pairs between two blocks of a bucket that pass the length, positional and suffix
     filters, as a spanning forest."""
@@ -206,19 +242,17 @@ def _plausible(rule: Similarity):
         names, block = rows["cls"].tolist(), rows["block"].to_numpy()
         n, pos = rows["n"].to_numpy().astype(np.int64), rows["pos"].to_numpy()
         cells = np.stack(rows["cells"].to_list()).astype(np.int32)
-        label, out = np.arange(len(names)), []
+        groups, out = Groups(len(names)), []
         for i in np.flatnonzero(block == left).tolist():
             need = rule.least_common(n, n[i])
-            other = (block == right) & (label != label[i]) & (100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i]))
+            other = (block == right) & (100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i]))
             other &= np.minimum(pos, pos[i]) + 1 + np.minimum(n - pos, n[i] - pos[i]) - 1 >= need
             if left == right:
                 other[:i + 1] = False
             at = np.flatnonzero(other)
+            at = at[groups.apart(i, at)]
             at = at[np.abs(cells[at] - cells[i]).sum(axis=1) <= n[at] + n[i] - 2 * need[at]]
-            for j in at.tolist():
-                if label[j] != label[i]:
-                    label[label == label[j]] = label[i]
-                    out.append((names[i], names[j]))
+            out += [(names[i], names[j]) for j in at.tolist() if groups.join(i, j)]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return pairs
@@ -239,7 +273,7 @@ def _join_blocks(rule: Similarity, order: Broadcast):
         pos = np.concatenate([np.arange(rule.prefix(k)) for k in n])
         by_token = np.argsort(own, kind="stable")
         until = np.searchsorted(own[by_token], np.arange(len(flat) + 1))
-        label, mark, out = np.arange(len(names)), np.zeros(len(flat), bool), []
+        groups, mark, out = Groups(len(names)), np.zeros(len(flat), bool), []
         for i in np.flatnonzero(block == left).tolist():
             need = rule.least_common(n, n[i])
             other = (block == right) & (100 * np.minimum(n, n[i]) >= rule.percent * np.maximum(n, n[i]))
@@ -251,7 +285,8 @@ def _join_blocks(rule: Similarity, order: Broadcast):
                 at = at[other[who[at]] & ~met[who[at]]]  # first met here, so nothing before is common
                 j = who[at]
                 met[j] = True
-                rest.append(j[(1 + np.minimum(n[i] - k, n[j] - pos[at]) - 1 >= need[j]) & (label[j] != label[i])])
+                j = j[1 + np.minimum(n[i] - k, n[j] - pos[at]) - 1 >= need[j]]
+                rest.append(j[groups.apart(i, j)])
             rest = np.concatenate(rest)
             if not len(rest):
                 continue
@@ -259,17 +294,14 @@ def _join_blocks(rule: Similarity, order: Broadcast):
             starts = np.concatenate(([0], np.cumsum(n[rest])[:-1]))
             common = np.add.reduceat(mark[np.concatenate([ids[j] for j in rest])].astype(np.int64), starts)
             mark[ids[i]] = False
-            for j in rest[rule.similar(common, n[i], n[rest])].tolist():
-                if label[j] != label[i]:
-                    label[label == label[j]] = label[i]
-                    out.append((names[i], names[j]))
+            out += [(names[i], names[j]) for j in rest[rule.similar(common, n[i], n[rest])].tolist() if groups.join(i, j)]
         return pd.DataFrame(out, columns=["a", "b"])
 
     return links
 
 
 def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: the id, ``row_hash`` (of id and text), ``n_shingles``,
+    """One row for each row of ``docs``: the id, ``row_hash`` (of id and text), ``digest`` (of the text), ``n_shingles``,
     ``component_id``, the least id reachable by links of similarity ``percent`` or more, and
     ``component``, a key of the component that is null only without words.
 
@@ -286,14 +318,14 @@ def similar_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     seen = described(docs, rule, id_col, text_col)
     classes = seen.filter("n >= 0").drop("tally", "times")
     order = docs.sparkSession.sparkContext.broadcast(frequent_shingles(seen.filter("n < 0").select("tally", "times"), FREQUENT))
-    named = classes.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("id", "row_hash")).alias("first"), F.min("id").alias("least"),
+    named = classes.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("id", "row_hash", "digest")).alias("first"), F.min("id").alias("least"),
                                                                F.first("n").alias("n"), F.first("cells").alias("cells"))
     links = components(stage(_links(docs, named, rule, order, text_col, id_col)))
     rooted = named.select("cls", "least").join(links, F.col("cls") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cls"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     found = rooted.join(least, "root").select("cls", "component_id", F.col("root").alias("component"))
     return (classes.join(found, "cls", "left")
-            .select(F.col("id").alias(id_col), "row_hash", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "component"))
+            .select(F.col("id").alias(id_col), "row_hash", "digest", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), "component"))
 
 
 def _links(docs: DataFrame, named: DataFrame, rule: Similarity, order: Broadcast, text_col: str, id_col: str) -> DataFrame:
@@ -315,11 +347,11 @@ def _links(docs: DataFrame, named: DataFrame, rule: Similarity, order: Broadcast
     pairs = stage(pairs.filter("not (family_a <=> family_b) or family_a is null").select("cls_a", "cls_b"))
 
     wanted = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select("cls_b")).union(family.select("cls")).distinct()
-    firsts = stage(wanted.join(named, "cls").select("cls", F.col("first.row_hash").alias("row_hash")))
+    firsts = stage(wanted.join(named, "cls").select("cls", "first"))
     if firsts.count() <= BROADCAST_CLASSES:
         firsts = F.broadcast(firsts)
-    texts = (docs.select(row_hash(id_col, text_col).alias("row_hash"), col(text_col).alias("text"))
-             .join(firsts, "row_hash").groupBy("cls").agg(F.first("text").alias("text")))
+    texts = (docs.select(*row_key(id_col, text_col), col(text_col).alias("text"))
+             .join(firsts, _same_row("first")).groupBy("cls").agg(F.first("text").alias("text")))  # equal texts
 
     both = pairs
     for s in "ab":
@@ -336,22 +368,24 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str =
     """``docs`` with one row of each component: the one with the least id, then row hash.
     A null id comes after all others.
 
-    Rows without words are all kept. Of rows that agree in id and text, one stays.
+    Rows without words are all kept. Of rows that agree in id and text, one stays: the
+    first by its columns as JSON, so a task that runs again keeps the same one. Rows
+    are told apart by id and digest beside the hash.
     """
     found = stage(similar_components(docs, size, percent, id_col, text_col).withColumnRenamed(id_col, "id"))
     in_words = found.filter("n_shingles > 0")
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_hash")).alias("best")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_hash", "digest")).alias("best")
+    key = F.struct("row_hash", "id", "digest")
     grouped = in_words.join(in_words.groupBy("component").agg(first, F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "component")
-    gone = stage(grouped.filter(F.col("row_hash") != F.col("best.row_hash")).select(F.col("row_hash").alias("gone")).distinct())
-    twins = stage(grouped.filter(F.col("row_hash") == F.col("best.row_hash")).groupBy(F.col("row_hash").alias("twin"))
-                  .agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("twin"))
+    gone = stage(grouped.filter(~_same_row("best")).select(key.alias("gone")).distinct())
+    twins = stage(grouped.filter(_same_row("best")).groupBy(key.alias("twin")).agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("twin"))
     few = lambda df: F.broadcast(df) if df.count() <= BROADCAST_CLASSES else df
     names = docs.columns
-    rows = docs.select(F.struct(*[col(c) for c in names]).alias("row"), row_hash(id_col, text_col).alias("row_hash"))
-    kept = rows.join(few(gone), F.col("row_hash") == F.col("gone"), "left_anti")
+    rows = docs.select(F.struct(*[col(c) for c in names]).alias("row"), *row_key(id_col, text_col))
+    kept = rows.join(few(gone), _same_row("gone"), "left_anti")
     if twins.isEmpty():
         return kept.select("row.*")
     twins = few(twins)
-    single = kept.join(twins, F.col("row_hash") == F.col("twin"), "left_anti")
-    merged = kept.join(twins, F.col("row_hash") == F.col("twin"), "left_semi").groupBy("row_hash").agg(F.first("row").alias("row"))
+    single = kept.join(twins, _same_row("twin"), "left_anti")
+    merged = kept.join(twins, _same_row("twin"), "left_semi").groupBy(key.alias("key")).agg(F.min_by("row", F.to_json("row")).alias("row"))
     return single.select("row.*").union(merged.select("row.*"))

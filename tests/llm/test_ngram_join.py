@@ -133,3 +133,24 @@ def test_connected_components(spark):
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got.get(n, n) == root for n, root in merged.items())
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_equal_hashes_lose_no_row(spark, monkeypatch):
+    """All rows share one hash: id and digest tell them apart."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(ngram_join, "row_hash", lambda id_col, text_col: F.lit(5).cast("long"))
+    rows = [(i, f"text {i} of its own with a few words {i}") for i in range(20)]
+    rows += [(100 + i, "a text that is there three times or more") for i in range(3)] + [(7, rows[7][1]), (None, rows[8][1]), (None, "left alone"), (None, None), (30, None), (31, "")]
+    for many in (500_000, 0):
+        monkeypatch.setattr(ngram_join, "BROADCAST_CLASSES", many)
+        kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        want = [*range(20), 100, 30, 31, None, None]
+        assert sorted(map(str, (r.doc_id for r in kept))) == sorted(map(str, want))
+
+
+def test_same_row_stays_of_rows_that_agree_in_id_and_text(spark):
+    rows = [(1, "one two three four five six", x) for x in "cab"] + [(2, "one two three four five six", "z")]
+    for parts in (1, 3):
+        frame = spark.createDataFrame(rows, "doc_id long, text string, extra string").repartition(parts, "extra")
+        assert [tuple(r) for r in ngram_join.one_of_each(frame).collect()] == [(1, "one two three four five six", "a")]
