@@ -3,6 +3,10 @@ checked against its SQL oracle on the smallest driver tables."""
 
 import datetime as dt
 import os
+import re
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -59,3 +63,18 @@ def test_query_matches_oracle(spark, duck, name):
         return sorted((tuple(_canon(v) for v in r) for r in zip(*data)), key=repr)
 
     assert rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_corpus_operators(scratch, pipeline):
+    """Both folders of the corpus operators gone, with or without the pipeline's module."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    gone = {os.path.join(root, "abode", "llm"), os.path.join(root, "tests", "llm")} | ({os.path.join(root, "corpus_pipeline.py")} if not pipeline else set())
+    skip = {".git", "__pycache__", ".pytest_cache"}
+    copy = shutil.copytree(root, os.path.join(scratch, "copy"),
+                           ignore=lambda folder, names: [n for n in names if n in skip or os.path.join(folder, n) in gone])
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), *e.queries())"],
+                          cwd=copy, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": copy})
+    assert said.returncode == 0, said.stderr
+    own = {n for n in entry.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert set(said.stdout.split()[2:]) == own and said.stdout.split()[:2] == [str(len(own))] * 2
