@@ -166,7 +166,8 @@ def with_iso_dates(
     Text that is not ISO-shaped becomes ``floor_date``; ISO-shaped but
     impossible dates stay NULL; years before ``floor_year`` are clamped.
     """
-    staged = df.withColumn("__date_text", normalise_date_text(F.col(col).cast("string"), repairs))
+    raw = F.col(col).cast("string")  # a text that is ISO-shaped already needs no repair
+    staged = df.withColumn("__date_text", F.when(raw.rlike(ISO_PATTERN), raw).otherwise(normalise_date_text(raw, repairs)))
     t = F.col("__date_text")
     staged = staged.withColumn(
         "__date", F.when(t.rlike(ISO_PATTERN), F.try_to_date(t, "yyyy-MM-dd")).otherwise(_date_lit(floor_date)))

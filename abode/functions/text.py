@@ -52,6 +52,17 @@ def lower_trim_unicode(name: str) -> Column:
     return F.expr(f"TRIM(BOTH '{_WS_LITERAL}' FROM lower(`{name}`))")
 
 
+def is_word(name: str, word: str) -> Column:
+    """``lower_trim_unicode(name) == word`` for an ASCII word; a missing cell is not it.
+
+    A cell as long as the word can't have white space around it, and a shorter one can't
+    hold it, so only longer cells are trimmed.
+    """
+    length = F.length(F.col(f"`{name}`"))
+    return (F.when(length == len(word), F.lower(F.col(f"`{name}`")) == word)
+            .when(length > len(word), lower_trim_unicode(name) == word).otherwise(F.lit(False)))
+
+
 def is_blank(c: Column | str) -> Column:
     """NULL, "" or a single space. Never NULL itself."""
     c = _col(c)

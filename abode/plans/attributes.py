@@ -144,12 +144,12 @@ def clean_feed2(sheet: DataFrame) -> DataFrame:
     df = df.withColumn("UPRN", to_key("UPRN"))
     df = D.with_iso_dates(df, "`Master Completion Date`")
     flags = {h: flag_col for h in e1.FEED2_FLAG_HEADERS if (flag_col := e1.flag_name(h))}
-    # Yes/no cells are only compared with "yes": trimming Unicode whitespace
-    # gives the same answers as a full squish, without a regex per cell.
+    # Yes/no cells are only compared with "yes": each is looked at once, without a
+    # regex, and the rules then compare a constant or nothing.
     df = df.select(
         "UPRN", "TIMESTAMP", "YEAR", "seq",
         X.lower_squish(F.col("Tenure")).alias("tenure"),
-        *[X.lower_trim_unicode(h).alias(flags[h]) for h in e1.FEED2_FLAG_HEADERS],
+        *[F.when(X.is_word(h, "yes"), F.lit("yes")).alias(flags[h]) for h in e1.FEED2_FLAG_HEADERS],
         *[to_number(F.col(f"`{src}`")).alias(name) for name, src in e1.FEED2_NUMERIC_HEADERS.items()])
     df = df.withColumns({"SOURCE": F.lit(e1.SOURCE_FEED2), "PROPERTY_TYPE_NAME": F.lit(e1.UNKNOWN),
                          "PROPERTY_AGE_NAME": F.lit(e1.UNKNOWN), "RIR_INS": F.lit(None).cast("string")})

@@ -92,11 +92,11 @@ def _lookup_csv_projected(spark, sf_dir):
     return read_lookup_csv(spark, path, {"c_custkey": "double", "c_name": "string"})
 
 
-@query("extract_csv", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+@query("extract_csv", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders")
 def _extract_csv(spark, sf_dir):
     """SRC-11: plain CSV scan."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    return read_extract(spark, "csv:" + S.write_quoted_csv(nation, _folder(spark, "extract")))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    return read_extract(spark, "csv:" + S.write_quoted_csv(orders, _folder(spark, "extract")))
 
 
 def _listed(spark, sf_dir) -> dict[str, DataFrame]:
@@ -116,15 +116,19 @@ def _listed_tables(spark, sf_dir):
     return stack_provenance(_listed(spark, sf_dir))
 
 
-_PRIORITIES = ["1-URGENT", "2-HIGH"]
+#: The listed tables, and the market segments whose customers are the population.
+_PRIORITIES = {"T1": "1-URGENT", "T2": "2-HIGH", "T3": "3-MEDIUM", "T4": "4-NOT SPECIFIED", "T5": "5-LOW"}
+_SEGMENTS = ("BUILDING", "MACHINERY", "HOUSEHOLD", "FURNITURE")
+_INSIDE = f"(SELECT c_custkey FROM customer WHERE c_mktsegment IN {_SEGMENTS})"
 
 
 def _provenance_inputs(spark, sf_dir):
     """Master and tables with repeated keys, dates out of order and missing, and an own landing order."""
     master = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("UPRN"), F.col("o_orderstatus").alias("VALUE"),
                                                    (F.col("o_orderkey") * 7 % 1009 * 1000000 + F.col("o_orderkey")).alias("seq"))
-    tables = {f"T{n[0]}": _listed(spark, sf_dir)[n] for n in _PRIORITIES}
-    population = table(spark, sf_dir, "customer").where("c_custkey % 3 > 0").select(F.col("c_custkey").alias("UPRN"))
+    listed = _listed(spark, sf_dir)
+    tables = {name: listed[priority] for name, priority in _PRIORITIES.items()}
+    population = table(spark, sf_dir, "customer").where(F.col("c_mktsegment").isin(*_SEGMENTS)).select(F.col("c_custkey").alias("UPRN"))
     return master, tables, population
 
 
@@ -135,21 +139,20 @@ _PROV_TABLE = """SELECT o_custkey AS k, CASE WHEN o_orderkey % 5 > 0 THEN CAST(o
 @query("provenance_repeated_keys", f"""
 WITH m AS (SELECT o_custkey AS UPRN, o_orderstatus AS VALUE FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey * 7 % 1009 * 1000000 + o_orderkey) = 1),
-t1 AS ({_PROV_TABLE.format(_PRIORITIES[0])}), t2 AS ({_PROV_TABLE.format(_PRIORITIES[1])})
-SELECT UPRN, VALUE, t1.ts AS TIMESTAMP_T1, t1.src AS SOURCE_T1, t2.ts AS TIMESTAMP_T2, t2.src AS SOURCE_T2
-FROM m LEFT JOIN t1 ON UPRN = t1.k LEFT JOIN t2 ON UPRN = t2.k
-WHERE UPRN IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0)""")
+{", ".join(f"{t} AS ({_PROV_TABLE.format(p)})" for t, p in _PRIORITIES.items())}
+SELECT UPRN, VALUE, {", ".join(f"{t}.ts AS TIMESTAMP_{t}, {t}.src AS SOURCE_{t}" for t in _PRIORITIES)}
+FROM m {" ".join(f"LEFT JOIN {t} ON UPRN = {t}.k" for t in _PRIORITIES)}
+WHERE UPRN IN {_INSIDE}""")
 def _provenance_repeated_keys(spark, sf_dir):
     """K-09 / J-07: first wins by landing order, in the master and in every table."""
-    contract = ["UPRN", "VALUE", "TIMESTAMP_T1", "SOURCE_T1", "TIMESTAMP_T2", "SOURCE_T2"]
+    contract = ["UPRN", "VALUE", *(c for t in _PRIORITIES for c in (f"TIMESTAMP_{t}", f"SOURCE_{t}"))]
     return provenance_extract(*_provenance_inputs(spark, sf_dir), contract)
 
 
 @query("provenance_row_counts", f"""
-WITH t1 AS (SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '{_PRIORITIES[0]}'),
-t2 AS (SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '{_PRIORITIES[1]}'),
-j AS (SELECT o_custkey AS u, o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 > 0) AS inside
-      FROM orders LEFT JOIN t1 ON o_custkey = t1.k LEFT JOIN t2 ON o_custkey = t2.k),
+WITH {", ".join(f"{t} AS (SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '{p}')" for t, p in _PRIORITIES.items())},
+j AS (SELECT o_custkey AS u, o_custkey IN {_INSIDE} AS inside
+      FROM orders {" ".join(f"LEFT JOIN {t} ON o_custkey = {t}.k" for t in _PRIORITIES)}),
 d AS (SELECT u, count(*) AS n FROM j WHERE inside GROUP BY u)
 SELECT CAST((SELECT count(*) FROM j) AS BIGINT) AS rows_before, CAST((SELECT count(*) FROM j WHERE NOT inside) AS BIGINT) AS rows_not_in_population,
        CAST((SELECT count(*) FROM j WHERE inside) AS BIGINT) AS rows_in_population,

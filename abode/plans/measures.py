@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abode.functions import text as X
-from abode.functions.classify import classify
 from abode.functions.dates import fiscal_label
 from abode.functions.numbers import positive_flag, to_number
 from abode.operators import columns as P
@@ -24,7 +23,9 @@ from abode.operators import joins as J
 from abode.operators import quality as Q
 from abode.operators import reshape as R
 from abode.operators import resolve as W
+from abode.operators.by_value import ValueTable, value_lookup
 from abode.rules import e2
+from abode.session import stage_table
 from abode.sources.landed import require_columns
 
 
@@ -35,30 +36,37 @@ def land_claims(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(f"`{c}`").alias(e2.CLAIM_COLUMNS.get(c, c)) for c in raw.columns])
 
 
-def classify_claims(claims: DataFrame, as_of: _dt.date) -> tuple[DataFrame, DataFrame]:
+def claim_tables() -> list[ValueTable]:
+    """The rule tables of a claim by the columns they read."""
+    return [
+        ValueTable(("house_type",), {"PROPERTY_TYPE": (e2.PROPERTY_TYPE, e2.ERROR)}),
+        ValueTable(("tenure_raw",), {"TENURE": (e2.TENURE, e2.ERROR)}),
+        ValueTable(("bedrooms_raw",), {"BEDROOMS": (e2.BEDROOMS, e2.ERROR)}),
+        ValueTable(("year_built", "wall_category"), {
+            "PROPERTY_AGE": (e2.PROPERTY_AGE, e2.ERROR),
+            "EXTERNAL_WALL_TYPE": (e2.EXTERNAL_WALL_TYPE, e2.EXTERNAL_WALL_TYPE_DEFAULT),
+            "WALL_INS": (e2.WALL_INSULATION, e2.ERROR),
+        }, {"year_built_num": to_number("year_built")}),
+        ValueTable(("wall_type",), {"WALL_INS_FILL": (e2.WALL_FILL, e2.ERROR)}),
+        ValueTable(("loft_depth",), {"LOFT_INSULATION_NI": (e2.LOFT_REGIONAL, e2.ERROR), "LOFT_INSULATION": (e2.LOFT_NATIONAL, e2.ERROR)}),
+        ValueTable(("fuel_before",), {"MAIN_HEATING_FUEL": (e2.FUEL_BEFORE, e2.ERROR)}),
+        ValueTable(("fuel_after", "heating_after"), {"FS_FUEL_AFTER": (e2.FUEL_AFTER, e2.ERROR), "MAIN_HEATING_SYSTEM": (e2.HEATING_SYSTEM, e2.ERROR)}),
+    ]
+
+
+def classify_claims(claims: DataFrame, as_of: _dt.date, stage: Callable[[DataFrame, str], DataFrame] = stage_table) -> tuple[DataFrame, DataFrame]:
     """(classified claims, blank-postcode quarantine), not gated yet.
 
     Manual removals dropped, duplicate-address group sizes attached,
-    blank-postcode singletons quarantined, every category classified.
+    blank-postcode singletons quarantined, every category classified by distinct
+    value. The values are gathered from ``claims`` as landed, before the join of group
+    sizes, and staged.
     """
+    lookup = value_lookup(claims, claim_tables(), stage)
     df = FL.keep_unmarked(claims, "remove_marker")
     df = W.with_group_size(df, "duplicate_address", "dupe_check")
     df, quarantined = FL.split_blank_key(df, "Postcode", "dupe_check")
-    df = df.withColumn("year_built_num", to_number("year_built"))
-    df = df.withColumns({
-        "PROPERTY_TYPE": classify(e2.PROPERTY_TYPE, e2.ERROR),
-        "TENURE": classify(e2.TENURE, e2.ERROR),
-        "PROPERTY_AGE": classify(e2.PROPERTY_AGE, e2.ERROR),
-        "BEDROOMS": classify(e2.BEDROOMS, e2.ERROR),
-        "EXTERNAL_WALL_TYPE": classify(e2.EXTERNAL_WALL_TYPE, e2.EXTERNAL_WALL_TYPE_DEFAULT),
-        "WALL_INS_FILL": classify(e2.WALL_FILL, e2.ERROR),
-        "LOFT_INSULATION_NI": classify(e2.LOFT_REGIONAL, e2.ERROR),
-        "LOFT_INSULATION": classify(e2.LOFT_NATIONAL, e2.ERROR),
-        "MAIN_HEATING_FUEL": classify(e2.FUEL_BEFORE, e2.ERROR),
-        "FS_FUEL_AFTER": classify(e2.FUEL_AFTER, e2.ERROR),
-        "MAIN_HEATING_SYSTEM": classify(e2.HEATING_SYSTEM, e2.ERROR),
-    })
-    df = df.withColumn("WALL_INS", classify(e2.WALL_INSULATION, e2.ERROR))
+    df = lookup.apply(df)
     df = df.withColumns({name: positive_flag(to_number(col), yes, no)
                          for name, (col, yes, no) in e2.ADDON_FLAGS.items()})
     return df.withColumn("FY", F.lit("FY" + fiscal_label(as_of))), quarantined
@@ -96,12 +104,16 @@ def constituency_names(lookup: DataFrame, seq: str = "seq") -> DataFrame:
     return W.first_per_key(df, "PCON24CD", [seq]).drop(seq)
 
 
+MEASURE_TABLE = ValueTable(("MEASURE",), {"MEASURE_GROUP": (e2.MEASURE_GROUP, e2.ERROR)})
+
+
 def explode_claim_measures(
     claims: DataFrame,
     geography: DataFrame,
     pcon_lookup: DataFrame,
     measure_cols: Sequence[str] = tuple(e2.MEASURE_COLUMNS),
     strict_unknown: bool = False,
+    stage: Callable[[DataFrame, str], DataFrame] = stage_table,
 ) -> DataFrame:
     """Claims -> one row per measure with geography and measure group.
 
@@ -114,7 +126,8 @@ def explode_claim_measures(
     names = constituency_names(pcon_lookup)
     geo = J.lookup_join(geo, names, {"PCON_CODE": "PCON24CD"}, null_safe=True)
     long = R.explode_measures(geo, list(measure_cols), values_to="MEASURE")
-    grouped = long.withColumn("MEASURE_GROUP", classify(e2.MEASURE_GROUP, e2.ERROR))
+    measures = R.explode_measures(claims, list(measure_cols), values_to="MEASURE").select("MEASURE")
+    grouped = value_lookup(measures, [MEASURE_TABLE], stage).apply(long)
     if strict_unknown:
         grouped = grouped.withColumn(
             "MEASURE_GROUP",

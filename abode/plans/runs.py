@@ -143,7 +143,7 @@ def run_annual_measures(
             raise Q.GateError(f"{bad} rows in {paths[name]}", {name: bad}, offenders)
 
     with staging(spark) as stage:
-        classified, quarantined = E2.classify_claims(E2.land_claims(claims_raw), as_of)
+        classified, quarantined = E2.classify_claims(E2.land_claims(claims_raw), as_of, stage)
         classified = stage(classified, f"claims-{label}")
         write("quarantine", quarantined, "quarantine")
         write("category_profile", Q.frequency(classified, e2.GATED_COLUMNS), "category_profile")
@@ -154,7 +154,7 @@ def run_annual_measures(
         cleaned = spark.read.parquet(paths["cleaned"])
 
         geo = E2.postcode_geography(directory)
-        measured = stage(E2.explode_claim_measures(cleaned, geo, pcon_lookup), f"measures-{label}")
+        measured = stage(E2.explode_claim_measures(cleaned, geo, pcon_lookup, stage=stage), f"measures-{label}")
         known = previous_master.select("MEASURE").where("MEASURE IS NOT NULL").distinct()
         write("unseen_measures", Q.unseen_values(measured, "MEASURE", known), "unseen_measures")
         rows, bad_rows = E2.geography_gate(measured, strict=False)

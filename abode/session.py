@@ -28,6 +28,9 @@ _DEFAULTS = {
     # Partial aggregation must stay on: it is what makes hot keys cheap.
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Above HotSpot's limit for compiled methods a projection is cut into small
+    # methods instead of one that the optimising compiler gives up on.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Rule tables compile to large generated methods; without this HotSpot
     # leaves methods over 8 KB interpreted (2-3x slower classifiers).
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods -XX:ReservedCodeCacheSize=1g",

@@ -45,10 +45,10 @@ def process_claims_batch(batch: DataFrame, batch_id: int, out_root: str, as_of:
         return path
 
     with staging(batch.sparkSession) as stage:
-        classified, quarantined = E2.classify_claims(E2.land_claims(batch), as_of)
+        classified, quarantined = E2.classify_claims(E2.land_claims(batch), as_of, stage)
         classified = stage(classified, f"claims-batch-{batch_id}")
         clean, offenders = Q.gate(classified, e2.GATED_COLUMNS, strict=False)
-        measured = stage(E2.explode_claim_measures(clean, geography, pcon_lookup), f"measures-batch-{batch_id}")
+        measured = stage(E2.explode_claim_measures(clean, geography, pcon_lookup, stage=stage), f"measures-batch-{batch_id}")
         rows, bad_rows = E2.geography_gate(measured, strict=False)
         write("quarantine", quarantined)
         write("offenders", offenders)
