@@ -23,7 +23,7 @@ from abode.plans.provenance import joined_row_counts, provenance_extract, stack_
 from abode.plans.runs import load_listed_tables
 from abode.rules import e2
 from abode.session import checkpoint_root, setting, stage_table
-from abode.sources.landed import peek_header, read_extract, read_landed, read_lookup_csv, typed
+from abode.sources.landed import guess_types, guessed, misfits, peek_header, read_extract, read_landed, read_lookup_csv, typed
 
 AS_OF = dt.date(2025, 4, 1)
 
@@ -85,6 +85,69 @@ def _landed_sheet_typed(spark, sf_dir):
     return typed(read_landed(spark, _land_sheets(spark, sf_dir, banner=True), banner_rows=1), {"Part key": "long", "Price": "double"})
 
 
+def _land(spark, rows, header: list[str], name: str) -> str:
+    """``rows`` (file, line, value) as one text file for each ``file``, its header first."""
+    head = ",".join('"' + h.replace('"', '""') + '"' for h in header)
+    lines = rows.union(rows.select("file").distinct().select("file", F.lit(-1).cast("long"), F.lit(head)))
+    path = _folder(spark, name)
+    lines.repartition("file").sortWithinPartitions("file", "line").drop("line").write.partitionBy("file").text(path)
+    return path
+
+
+_BREAKS = "p_partkey % 4"
+
+
+@query("landed_sheet_line_breaks", f"""
+WITH files AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS nth FROM (SELECT DISTINCT p_brand FROM part)),
+cells AS (SELECT *, CASE {_BREAKS} WHEN 0 THEN p_name || chr(10) || p_type WHEN 1 THEN 'a "quoted" ' || p_name
+    WHEN 2 THEN chr(10) || chr(10) || 'last, line' ELSE p_name END AS note FROM part JOIN files USING (p_brand))
+SELECT CAST(p_partkey AS VARCHAR) AS "Part key", note AS "Note", p_type AS "Kind of\npart",
+       CAST(nth * 4294967296 + 2 + coalesce(sum(1 + length(note) - length(replace(note, chr(10), '')))
+         OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS seq
+FROM cells""")
+def _landed_sheet_line_breaks(spark, sf_dir):
+    """SRC-05 / W-04: cells and a header with line breaks; places by a split scan."""
+    note = (F.when(F.expr(f"{_BREAKS} = 0"), F.concat_ws("\n", "p_name", "p_type")).when(F.expr(f"{_BREAKS} = 1"), F.concat(F.lit('a "quoted" '), "p_name"))
+            .when(F.expr(f"{_BREAKS} = 2"), F.lit("\n\nlast, line")).otherwise(F.col("p_name")))
+    cells = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in (F.col("p_partkey").cast("string"), note, F.col("p_type"))]
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("file"), F.col("p_partkey").alias("line"), F.concat_ws(",", *cells).alias("value"))
+    return read_landed(spark, _land(spark, rows, ["Part key", "Note", "Kind of\npart"], "broken"))
+
+
+_GUESS_ROWS, _LATE = 20, "Brand#4"
+
+
+def _guess_sheet(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    price = F.when((F.col("p_brand") >= _LATE) & (F.col("p_size") > 25), F.lit("on request")).otherwise(F.col("p_retailprice").cast("decimal(12,2)").cast("string"))
+    cells = F.struct(F.col("p_partkey").cast("string"), "p_name", price, F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.col("p_size")), "yyyy-MM-dd"),
+                     F.when(F.col("p_size") > 10, "TRUE").otherwise("FALSE"))
+    rows = part.select(F.col("p_brand").alias("file"), F.col("p_partkey").alias("line"), F.to_csv(cells, {"quoteAll": "true", "escape": '"'}).alias("value"))
+    return read_landed(spark, _land(spark, rows, ["Part key", "Name", "Price", "Added", "In stock"], "guess"))
+
+
+_GUESS_SQL = f"""
+WITH files AS (SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS nth FROM (SELECT DISTINCT p_brand FROM part)),
+sheet AS (SELECT *, p_brand >= '{_LATE}' AND p_size > 25 AS late,
+  CAST(nth * 4294967296 + row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS BIGINT) AS seq FROM part JOIN files USING (p_brand))"""
+
+
+@query("landed_sheet_guessed", _GUESS_SQL + """
+SELECT p_partkey AS "Part key", p_name AS "Name", CASE WHEN NOT late THEN CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DOUBLE) END AS "Price",
+       CAST(DATE '2024-01-01' + CAST(p_size AS INTEGER) AS DATE) AS "Added", p_size > 10 AS "In stock", seq FROM sheet""")
+def _landed_sheet_guessed(spark, sf_dir):
+    """SRC-06: types from the first rows by place; a late text in a numeric column is missing."""
+    return guessed(_guess_sheet(spark, sf_dir), rows=_GUESS_ROWS)
+
+
+@query("guessed_misfits", _GUESS_SQL + """
+SELECT 'Price' AS "column", 'double' AS type, count(*) AS n, min(seq) AS first_seq, 'on request' AS first_value FROM sheet WHERE late HAVING count(*) > 0""")
+def _guessed_misfits(spark, sf_dir):
+    """SRC-06: cells that the guessed types lose, and the first of each column."""
+    sheet = _guess_sheet(spark, sf_dir)
+    return misfits(sheet, guess_types(sheet, rows=_GUESS_ROWS))
+
+
 @query("lookup_csv_projected", "SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, c_name FROM customer")
 def _lookup_csv_projected(spark, sf_dir):
     """SRC-08: two typed columns of a wide CSV lookup."""

@@ -11,10 +11,13 @@ import csv
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from abode.functions.numbers import NUMBER_PATTERN
+from abode.sources.lines import file_order, landed_records
+
 
 class HeaderError(ValueError):
     """A source lacks declared columns or has columns that nobody declared."""
@@ -57,22 +60,25 @@ def parse_header(line: str, sep: str = ",") -> list[str]:
     return [h.strip() for h in next(csv.reader([line], delimiter=sep), [])]
 
 
-def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
-    """(file, lines) of every landed file. A worksheet is bounded by the row
-    limit of a spreadsheet, so one file is one value."""
-    content = F.regexp_replace(F.decode("content", encoding), "^﻿", "")
-    return spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.split(content, "\r\n|\n|\r").alias("lines"))
+def _records_below_header(spark: SparkSession, path: str, banner_rows: int, sep: str, encoding: str) -> tuple[list[str], DataFrame]:
+    """The header and the records after it, (nth, line, text). All files must agree on the header."""
+    records = landed_records(spark, path, encoding)
+    order = Window.partitionBy("nth").orderBy("line")
+    first = records.withColumn("place", F.row_number().over(order)).where(F.col("place") <= banner_rows + 1)
+    names = file_order(spark, path)
+    heads = {row["nth"]: row for row in first.where(F.col("place") == banner_rows + 1).collect()}  # a row for each file
+    headers = {names[nth - 1]: parse_header(heads[nth]["text"], sep) if nth in heads else [] for nth in range(1, len(names) + 1)}
+    header = headers[min(headers)] if headers else []
+    other = sorted(f for f, h in headers.items() if h != header)
+    if other:
+        raise HeaderError(f"{path}: the header of {other[0]} differs from {header}")
+    ends = spark.createDataFrame([(nth, row["line"]) for nth, row in heads.items()], "nth int, header_line long")
+    return header, records.join(F.broadcast(ends), "nth").where(F.col("line") > F.col("header_line")).drop("header_line")
 
 
 def peek_header(spark: SparkSession, path: str, banner_rows: int = 0, sep: str = ",", encoding: str = "UTF-8") -> list[str]:
     """Column names of a landed CSV; all files of a folder must agree."""
-    headers = {row[0]: parse_header(row[1] or "", sep)
-               for row in _lines(spark, path, encoding).select("file", F.get("lines", F.lit(banner_rows))).collect()}
-    first = headers[min(headers)] if headers else []
-    other = sorted(f for f, h in headers.items() if h != first)
-    if other:
-        raise HeaderError(f"{path}: the header of {other[0]} differs from {first}")
-    return first
+    return _records_below_header(spark, path, banner_rows, sep, encoding)[0]
 
 
 def read_landed(
@@ -87,10 +93,13 @@ def read_landed(
 ) -> DataFrame:
     """Landed worksheet -> all-text DataFrame (+ ``seq`` landing order).
 
-    CSV: the first ``banner_rows`` lines of every file and the header line
+    CSV: the first ``banner_rows`` records of every file and the header record
     after them are dropped by their place, never by their text. ``seq`` counts files in
     the order of their paths and lines inside, so it does not depend on how
-    Spark splits the input. Cells don't hold line breaks. Parquet: ``seq`` is the column of
+    Spark splits the input; large files are read by many tasks. A quoted cell may hold line breaks, which
+    come out as line feeds; a file that ends inside one is a ``RecordError``. Blank
+    lines are no rows, except in a sheet of one column, where they are missing cells. An empty file is no sheet.
+    The lines are written once under the checkpoint folder. Parquet: ``seq`` is the column of
     that name, which the landing step must have written.
     """
     if fmt == "parquet":
@@ -98,13 +107,11 @@ def read_landed(
         if seq_col:
             require_columns(df, [seq_col], path)
         return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    header = peek_header(spark, path, banner_rows, sep, encoding)
+    header, rows = _records_below_header(spark, path, banner_rows, sep, encoding)
     if columns and list(columns) != header:
         raise HeaderError(f"{path}: header {header} instead of {list(columns)}")
-    files = sorted(r[0] for r in _lines(spark, path, encoding).select("file").collect())
-    place = F.array_position(F.array(*[F.lit(f) for f in files]), F.col("file")) if files else F.lit(0)
-    rows = (_lines(spark, path, encoding).select(place.alias("nth"), F.posexplode("lines").alias("line", "text"))
-            .where((F.col("line") > banner_rows) & (F.trim("text") != "")))
+    if len(header) > 1:
+        rows = rows.where(F.trim("text") != "")
     cells = F.from_csv("text", F.lit(", ".join(f"`{h.replace('`', '``')}` STRING" for h in header)),
                        {"sep": sep, "quote": '"', "escape": '"'}) if header else F.struct()
     seq = [((F.col("nth") - 1) * F.lit(1 << 32) + F.col("line")).alias(seq_col)] if seq_col else []
@@ -126,6 +133,69 @@ def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.select(*[cast(c, t) for c, t in columns.items()])
 
 
+#: Types that a cell may have, from narrow to wide, as bits of a mask; a blank cell may have any.
+CELL_TYPES = ("boolean", "long", "double", "date", "string")
+GUESS_ROWS = 10_000
+_BLANK = (1 << len(CELL_TYPES)) - 1
+
+
+def cell_types(c: Column) -> Column:
+    """Mask of the types that a text cell can be read as. Blank and missing cells fit every type."""
+    def mask(*names: str) -> int:
+        return sum(1 << CELL_TYPES.index(n) for n in (*names, "string"))
+
+    dated = F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "dd/MM/yyyy")).isNotNull()
+    return (F.when(c.isNull() | (F.trim(c) == ""), _BLANK)
+            .when(c.rlike(r"^\s*[+-]?\d{1,18}\s*$"), mask("long", "double"))
+            .when(c.rlike(NUMBER_PATTERN), mask("double"))
+            .when(F.upper(F.trim(c)).isin("TRUE", "FALSE"), mask("boolean"))
+            .when(c.rlike(r"^(\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4})$") & dated, mask("date")).otherwise(mask()))
+
+
+def guess_types(df: DataFrame, seq: str = "seq", rows: int | None = GUESS_ROWS) -> dict[str, str]:
+    """A type for every column but ``seq``, from its first ``rows`` rows by place, or from all (None).
+
+    The types of a column are what all of its cells have in common, one partial ``bit_and`` a
+    column, so order and partitioning don't matter; the narrowest one wins. Columns without
+    a value are text.
+    """
+    columns = [c for c in df.columns if c != seq]
+    seen = df if rows is None else df.orderBy(F.col(seq).cast("long")).limit(rows)
+    masks = seen.agg(*[F.bit_and(cell_types(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    def narrowest(mask: int | None) -> str:
+        return "string" if mask in (None, _BLANK) else next(t for b, t in enumerate(CELL_TYPES) if mask >> b & 1)
+
+    return {c: narrowest(masks[f"c{i}"]) for i, c in enumerate(columns)}
+
+
+def read_as(c: Column, kind: str) -> Column:
+    """A text cell as a type of ``CELL_TYPES``; a cell that doesn't fit is missing."""
+    if kind == "date":
+        return F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "dd/MM/yyyy"))
+    return c if kind == "string" else F.trim(c).try_cast(kind)
+
+
+def guessed(df: DataFrame, seq: str = "seq", rows: int | None = GUESS_ROWS) -> DataFrame:
+    """``df`` with every column in the type that its first ``rows`` rows have; ``seq`` stays.
+
+    A later cell that doesn't fit is missing; :func:`misfits` tells which.
+    """
+    types = guess_types(df, seq, rows)
+    return df.select(*[read_as(F.col(f"`{c}`"), types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in df.columns])
+
+
+def misfits(df: DataFrame, types: dict[str, str], seq: str = "seq") -> DataFrame:
+    """(column, type, n, first_seq, first_value): columns with cells that don't fit their type, how many, and the first."""
+    arms = [F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(f"`{c}`").alias("value"), read_as(F.col(f"`{c}`"), t).isNull().alias("lost"))
+            for c, t in types.items() if t != "string"]
+    if not arms:
+        return df.select(F.lit("").alias("column"), F.lit("").alias("type"), F.lit(0).cast("long").alias("n"),
+                         F.col(seq).cast("long").alias("first_seq"), F.lit("").alias("first_value")).limit(0)
+    cells = df.select(F.col(seq).cast("long").alias("seq"), F.explode(F.array(*arms)).alias("cell")).select("seq", "cell.*")
+    lost = cells.where(F.col("lost") & (F.trim("value") != ""))
+    return lost.groupBy("column", "type").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_seq"), F.min_by("value", "seq").alias("first_value"))
+
+
 def read_lookup_csv(spark: SparkSession, path: str, columns: dict[str, str], sep: str = ",") -> DataFrame:
     """Projected CSV lookup with per-column types, e.g. ``{"UPRN": "double",
     "PCON24CD": "string"}``: only the named columns are kept."""

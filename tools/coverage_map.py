@@ -19,8 +19,8 @@ MAP = {
     "SRC-02": ("native `spark.read.parquet` / `spark.read.jdbc`", "`provenance_extract`"),
     "SRC-03": ("not needed (loaded, never used); the dictionary is read by SRC-04", "-"),
     "SRC-04": (f"{S}/warehouse.py `warehouse_observations`", "`warehouse_attribute`, `attribute_master`, test_programmes"),
-    "SRC-05": (f"{S}/landed.py `read_landed` (all-text)", "`landed_sheet_text`"),
-    "SRC-06": (f"{S}/landed.py `read_landed` + `typed`", "`landed_sheet_typed`"),
+    "SRC-05": (f"{S}/landed.py `read_landed` (all-text), {S}/lines.py `landed_records` (split scan, quoted line breaks)", "`landed_sheet_text`, `landed_sheet_line_breaks`"),
+    "SRC-06": (f"{S}/landed.py `typed` (declared), `guess_types`, `guessed`, `misfits` (first rows by place)", "`landed_sheet_typed`, `landed_sheet_guessed`, `guessed_misfits`"),
     "SRC-07": (f"{S}/landed.py `read_landed(banner_rows=1)`; command line `sheet+1:PATH`", "`landed_sheet_banner`"),
     "SRC-08": (f"{S}/landed.py `read_lookup_csv`", "`lookup_csv_projected`"),
     "SRC-09": (f"{S}/landed.py `peek_header`", "`landed_sheet_banner`"),
@@ -87,7 +87,7 @@ MAP = {
     "W-01": (f"{O}/resolve.py `latest_per_key` / `pick_per_key`", "`resolve_latest_events`"),
     "W-02": (f"{O}/resolve.py `with_group_size`", "`group_duplicates`, `quarantine_split`"),
     "W-03": (f"{O}/resolve.py `first_per_key`", "`dedupe_first_wins`, `resolve_first_arrival`"),
-    "W-04": (f"{S}/landed.py `read_landed`: landing order by file and line", "`landed_sheet_banner`"),
+    "W-04": (f"{S}/lines.py `landed_lines`: places by file, split and line", "`landed_sheet_banner`, `landed_sheet_line_breaks`"),
     "W-05": (f"{O}/resolve.py `duplicated_rows`", "`group_duplicates`"),
     "O-01": (f"{O}/resolve.py order spec (date desc, NULLs last)", "`resolve_latest_events`"),
     "O-02": (f"{P}/measures.py `refresh_master` sort", "`append_and_sort`, `master_refresh`"),
