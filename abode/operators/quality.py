@@ -7,7 +7,9 @@ rows and which columns at once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +73,78 @@ def five_number(df: DataFrame, col: str, exact: bool = False, accuracy: int = 10
     )
 
 
+class Bracket(NamedTuple):
+    """Values above ``low`` and below ``high``: how many are not above ``low``, how many inside, wanted ranks in there."""
+
+    low: float | None
+    high: float | None
+    below: int
+    size: int
+    ranks: list[int]
+
+
+def exact_quantiles(df: DataFrame, col: str, probabilities: Sequence[float], most: int = 10_000) -> dict[float, float | None]:
+    """Interpolated quantiles of all non-missing values, exact at any size.
+
+    Distributed selection: each quantile lies between two ranks. A sketch proposes cuts
+    around a rank, one aggregate counts what is below and at each cut, and the rank is either at a
+    cut or in the open bracket between two, until a bracket has at most ``most``
+    different values. Their counts and those of cuts are all that the driver sees; no task holds
+    the column. NaN counts as the largest value; without values every quantile is None.
+    """
+    values = df.select(F.col(f"`{col}`").cast("double").alias("x")).where("x IS NOT NULL")
+    n = values.count()
+    if not n:
+        return dict.fromkeys(probabilities)
+    ranks = {int(r) for p in probabilities for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+    found: dict[int, float] = {}
+    brackets = [Bracket(None, None, 0, n, sorted(ranks))]
+    while brackets:
+        low, high, below, size, own = brackets.pop()
+        inside = values if low is None else values.where(F.col("x") > low)
+        inside = inside if high is None else inside.where(F.col("x") < high)
+        few = inside.groupBy("x").agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+        if len(few) > most:
+            brackets += _narrower(inside, Bracket(low, high, below, size, own), found)
+            continue
+        up_to, left = below, list(own)
+        for row in sorted(few, key=lambda r: (math.isnan(r["x"]), r["x"])):
+            up_to += row["n"]
+            while left and left[0] < up_to:
+                found[left.pop(0)] = row["x"]
+    out = {}
+    for p in probabilities:
+        at = p * (n - 1)
+        one, two = found[math.floor(at)], found[math.ceil(at)]
+        out[p] = one if one == two else one + (at - math.floor(at)) * (two - one)
+    return out
+
+
+def _narrower(inside: DataFrame, bracket: Bracket, found: dict[int, float]) -> list[Bracket]:
+    """Smaller brackets of those ranks that no cut has; those that one has go to ``found``. Cuts are
+    values from inside the bracket, so each round leaves some out."""
+    below = bracket.below
+    places = sorted({min(max((r - below) / max(1, bracket.size - 1) + d / 1000, 0.0), 1.0) for r in bracket.ranks for d in (-2, 2)})
+    cuts = sorted(set(inside.agg(F.percentile_approx("x", places, 10_000).alias("q")).first()["q"]))
+    x = F.col("x")
+    counts = inside.agg(*[F.count_if(x < c).alias(f"below{i}") for i, c in enumerate(cuts)], *[F.count_if(x <= c).alias(f"upto{i}") for i, c in enumerate(cuts)]).first()
+    out: dict[tuple[float | None, float | None], Bracket] = {}
+    for rank in bracket.ranks:
+        low, high, first, last = bracket.low, bracket.high, below, below + bracket.size
+        for i, cut in enumerate(cuts):
+            if below + counts[f"upto{i}"] <= rank:
+                low, first = cut, below + counts[f"upto{i}"]
+            elif below + counts[f"below{i}"] <= rank:
+                found[rank] = cut
+                break
+            else:
+                high, last = cut, below + counts[f"below{i}"]
+                break
+        if rank not in found:
+            out.setdefault((low, high), Bracket(low, high, first, last - first, [])).ranks.append(rank)
+    return list(out.values())
+
+
 def gate_counts(df: DataFrame, cols: Sequence[str], bad: Sequence[str] = ("ERROR",),
                 include_null: bool = False) -> DataFrame:
     """One row: number of bad cells per column (single scan)."""

@@ -144,6 +144,34 @@ def resolve_wide(
     return grouped.select(*cols)
 
 
+def observation_state(obs: DataFrame, specs: Sequence[AttributeSpec], technologies: Sequence[str] = (), tech_attr: str = "RENEWABLES") -> DataFrame:
+    """The observations that decide: the winner of every key and attribute, and the first
+    of every key and technology.
+
+    It resolves to the same wide rows as ``obs`` (``resolve_wide``), and so does the state of a
+    state with later observations: winners are minima under one total order, whatever
+    was merged before. ``obs`` must already be filtered (``exclude_observations``). One
+    partial aggregation and one exchange; a hot key is a row a task and attribute.
+    """
+    newest = [s.name for s in specs if s.policy == "latest"]
+    wanted = F.col("attr").isin([s.name for s in specs])
+    is_tech = (F.col("attr") == tech_attr) & F.col("value").isin(list(technologies))
+    by_date = F.col("attr").isin(newest) & ~is_tech
+    order = F.struct((by_date & F.col("ts").isNull()).alias("tn"), F.when(by_date, -F.unix_date("ts")).otherwise(0).alias("t"),
+                     F.col("source_rank").alias("r"), F.col("seq").alias("s"))
+    kept = obs.where(F.col("key").isNotNull() & (wanted | is_tech))
+    payload = F.struct("value", "num", "ts", "source", "source_rank", "seq")
+    best = kept.groupBy("key", "attr", F.when(is_tech, F.col("value")).alias("technology")).agg(F.min_by(payload, order).alias("best"))
+    return best.select("key", "attr", "best.*")
+
+
+def merge_observations(state: DataFrame, new: DataFrame, specs: Sequence[AttributeSpec], technologies: Sequence[str] = (),
+                       tech_attr: str = "RENEWABLES") -> DataFrame:
+    """The state of all observations so far, from the state of earlier feeds and the rows of new
+    ones. New rows must go on with the landing order (``seq``) of their source."""
+    return observation_state(state.unionByName(new.select(*state.columns)), specs, technologies, tech_attr)
+
+
 def technology_matrix(
     obs: DataFrame,
     technologies: Sequence[str],

@@ -2,19 +2,23 @@
 
 Output names carry an ``as_of`` date passed in by the caller (never the
 clock inside a plan), so a re-run of the same day rewrites the same paths.
-Publishing writes new dated versions and then repoints ``CURRENT``; the
-master a plan reads is never overwritten by the same plan.
+Publishing writes new dated versions, takes the next publication number, which only
+one publisher can, and repoints ``CURRENT``; the master a plan reads is never
+overwritten by the same plan, and an earlier publication can be restored.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+import io
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
-from abode.session import setting
+from abode.session import delete_path, setting
 
 
 def write_attribute_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -48,37 +52,134 @@ def dated_path(root: str, stem: str, as_of: _dt.date, ext: str = "") -> str:
     return f"{root.rstrip('/')}/{stem}_{as_of.isoformat()}{ext}"
 
 
-def publish(frames: dict[str, DataFrame], root: str, as_of: _dt.date) -> dict[str, str]:
-    """Write a new version of every frame, then point ``root/CURRENT`` at all of them at once.
+class PublishConflict(RuntimeError):
+    """Another publisher was faster, or what is published is not what the caller has read."""
+
+
+def publish(frames: dict[str, DataFrame], root: str, as_of: _dt.date, expected: int | None = None) -> dict[str, str]:
+    """Write a new version of every frame, then publish all of them at once.
 
     Versions have folders of their own (``<name>/version=<as_of>-<run>``), so
     earlier ones stay as the archive and a run that failed half-way can simply be
-    repeated. The pointer is replaced by one rename: readers see all old or all new.
+    repeated. Publications are numbered. ``expected`` is the number that the frames were made
+    from, the one at the start of this call unless given; if another publisher has taken the
+    next number meanwhile, this one raises ``PublishConflict``, and what it wrote stays unpublished.
     """
+    spark = next(iter(frames.values())).sparkSession
+    root = root.rstrip("/")
+    base = publication_number(spark, root) if expected is None else expected
     run = uuid.uuid4().hex[:8]
-    targets = {name: f"{root.rstrip('/')}/{name}/version={as_of.isoformat()}-{run}" for name in frames}
+    targets = {name: f"{root}/{name}/version={as_of.isoformat()}-{run}" for name in frames}
     for name, df in frames.items():
         df.write.parquet(targets[name])
-    spark = next(iter(frames.values())).sparkSession
-    _replace_text(spark, f"{root.rstrip('/')}/CURRENT", json.dumps(targets))
+    _publish(spark, root, base, targets)
     return targets
 
 
-def _replace_text(spark: SparkSession, path: str, text: str) -> None:
+def restore(spark: SparkSession, root: str, number: int, expected: int | None = None) -> dict[str, str]:
+    """Publish the versions of publication ``number`` again, under the next number; nothing is rewritten."""
+    root = root.rstrip("/")
+    known = dict(publications(spark, root))
+    if number not in known:
+        raise ValueError(f"{root} has no publication {number}")
+    base = publication_number(spark, root) if expected is None else expected
+    _publish(spark, root, base, known[number])
+    return known[number]
+
+
+def publications(spark: SparkSession, root: str) -> list[tuple[int, dict[str, str]]]:
+    """All publications with the folders of their frames, oldest first."""
+    return [(n, json.loads(_read_text(spark, f"{_log(root)}/{n:09d}"))) for n in _numbers(spark, root)]
+
+
+def publication_number(spark: SparkSession, root: str) -> int:
+    """Number of the publication that readers see; 0 before the first."""
+    return max(_numbers(spark, root), default=0)
+
+
+def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folder of the published version of each frame; empty before the first publication."""
+    number = publication_number(spark, root)
+    return json.loads(_read_text(spark, f"{_log(root)}/{number:09d}")) if number else {}
+
+
+def _log(root: str) -> str:
+    return f"{root.rstrip('/')}/publications"
+
+
+def _publish(spark: SparkSession, root: str, base: int, targets: dict[str, str]) -> None:
+    """Take number ``base`` + 1, which only one publisher can, then repoint ``CURRENT`` for other readers."""
+    text = json.dumps(targets)
+    if publication_number(spark, root) != base or not _put_text(spark, f"{_log(root)}/{base + 1:09d}", text, replace=False):
+        raise PublishConflict(f"{root}: publication {base} is no longer the last one")
+    _put_text(spark, f"{root}/CURRENT", text, replace=True)
+
+
+def _numbers(spark: SparkSession, root: str) -> list[int]:
+    fs, folder = _file_system(spark, _log(root))
+    if not fs.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def _put_text(spark: SparkSession, path: str, text: str, replace: bool) -> bool:
+    """Write a small file by one rename; without ``replace`` False if there is one already."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target, fresh = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}-{uuid.uuid4().hex}"))
-    stream = target.getFileSystem(conf).create(fresh)
+    fs, target = _file_system(spark, path)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+    stream = fs.create(fresh)
     stream.write(bytearray(text, "utf-8"))
     stream.close()
     rename = jvm.org.apache.hadoop.fs.Options.Rename
     how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(fresh, target, how)
-
-
-def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
-    """Folder of the published version of each frame; empty before the first publication."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/CURRENT")
-    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
-        return {}
-    return json.loads(spark.read.text(marker.toString(), wholetext=True).first()[0])
+    how[0] = rename.OVERWRITE if replace else rename.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(fresh, target, how)
+    except Py4JJavaError as error:
+        fs.delete(fresh, False)
+        if replace or "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
+def write_one_file(df: DataFrame, path: str, sep: str = ",", encoding: str = "UTF-8", quote_all: bool = True, missing: str = "") -> str:
+    """One CSV file at ``path`` with one header, rows in the order of ``df``.
+
+    Spark writes the parts in parallel, without headers; the file system's streams then
+    join them in order, through a buffer, and one rename puts the file in place. A
+    report that other programmes open is one file; large outputs stay in parts.
+    """
+    spark = df.sparkSession
+    parts = f"{path}-parts-{uuid.uuid4().hex}"
+    with setting(spark, "spark.sql.legacy.javaCharsets", "true"):
+        (df.write.option("header", "false").option("sep", sep).option("quoteAll", str(quote_all).lower()).option("nullValue", missing)
+           .option("emptyValue", "").option("escape", '"').option("encoding", encoding).csv(parts))
+    head = io.StringIO()
+    csv.writer(head, delimiter=sep, quoting=csv.QUOTE_ALL if quote_all else csv.QUOTE_MINIMAL, lineterminator="\n").writerow(df.columns)
+    fs, target = _file_system(spark, path)
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    fresh = hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+    out = fs.create(fresh)
+    out.write(bytearray(head.getvalue().encode(encoding)))
+    names = sorted(p for p in (status.getPath().toString() for status in fs.listStatus(hadoop.fs.Path(parts))) if p.rpartition("/")[2].startswith("part-"))
+    for name in names:
+        part = fs.open(hadoop.fs.Path(name))
+        hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+        part.close()
+    out.close()
+    if fs.exists(target):
+        fs.delete(target, True)
+    fs.rename(fresh, target)
+    delete_path(spark, parts)
+    return path

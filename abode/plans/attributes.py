@@ -79,6 +79,16 @@ def _with_seq(df: DataFrame) -> DataFrame:
     return df.withColumn("seq", F.col("seq").try_cast("long"))
 
 
+def attribute_state(obs: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """What resolution has to remember of all feeds so far: ``previous`` (the state of earlier
+    feeds, if any) with ``obs``. ``resolve_attributes`` of it gives the same master as of all observations."""
+    specs = attribute_specs()
+    kept = R.exclude_observations(obs, specs, "RENEWABLES", e1.TECHNOLOGY_EXCLUDED)
+    if previous is None:
+        return R.observation_state(kept, specs, e1.TECHNOLOGIES, "RENEWABLES")
+    return R.merge_observations(previous, kept, specs, e1.TECHNOLOGIES, "RENEWABLES")
+
+
 def _number_text(c: str):
     """Numbers as text the way a report writes them: 65 not 65.0, and never in E notation."""
     n = F.col(c)

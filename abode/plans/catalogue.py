@@ -827,6 +827,18 @@ def _data_count_summary(spark, sf_dir):
     return s.withColumn("mean", F.round("mean", 9))
 
 
+_QUANTILES = (0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0)
+
+
+@query("exact_quantiles", "SELECT " + ", ".join(
+    f"quantile_cont(l_extendedprice, {p}) AS price_{i}, quantile_cont(CAST(l_quantity AS DOUBLE), {p}) AS quantity_{i}" for i, p in enumerate(_QUANTILES)) + " FROM lineitem")
+def _exact_quantiles(spark, sf_dir):
+    """A-08 on an unbounded column: distributed selection, no value map in one task."""
+    items = table(spark, sf_dir, "lineitem")
+    found = {"price": Q.exact_quantiles(items, "l_extendedprice", _QUANTILES, most=2_000), "quantity": Q.exact_quantiles(items, "l_quantity", _QUANTILES)}
+    return spark.createDataFrame([tuple(found[c][p] for p in _QUANTILES for c in found)], ", ".join(f"{c}_{i} double" for i in range(len(_QUANTILES)) for c in found))
+
+
 @query("drop_columns_by_pattern", f"""
 WITH {_MASTER_CTES}
 SELECT k AS UPRN, coalesce(STATUS_NAME, '') AS STATUS_NAME, coalesce(PRIORITY_NAME, '') AS PRIORITY_NAME,

@@ -8,14 +8,20 @@ worksheet, customer as the property lookup, lineitem as the feed-2 sheet.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from abode.functions import dates as D
 from abode.plans import attributes as E1
+from abode.plans import catalogue as _C
+from abode.plans import measures as E2
 from abode.plans import oracle_rules as O
 from abode.plans.catalogue import (_LITERAL_PICK, _PHRASES, _WS, _case, _rules_sql, _squish_sql, _split_select,
                                    _tonum_sql, query, table)
-from abode.rules import e1
+from abode.rules import e1, e2
+from abode.session import stage_table
+from abode.sources.warehouse import warehouse_observations
 
 _TENURES = ["Owner occupied", "Private - Owner", "Private rented", "Local Authority", "Housing Association",
             "RSL", None, "Mixed"]
@@ -208,10 +214,8 @@ _WH_REGION = ("BUILDING", "MACHINERY", "HOUSEHOLD")
 _WH_ATTRS = [("PROPERTY_TYPE", "PROPERTY_TYPE_CODE", "constant"), ("PROPERTY_TENURE", "TENURE_CODE", "capped")]
 
 
-def _observed(spark, sf_dir):
-    """Observations of feeds 1 and 2 and the warehouse."""
-    from abode.sources.warehouse import warehouse_observations
-
+def _observed(spark, sf_dir, sources=("f1", "f2", "wh")):
+    """Observations of feeds 1 and 2 and the warehouse, or of some of them."""
     f1, f2 = _feed1(spark, sf_dir), _feed2(spark, sf_dir)
     homes = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("HOME_ID"), F.col("c_mktsegment").alias("GOV_REG_CODE"),
@@ -226,7 +230,7 @@ def _observed(spark, sf_dir):
     wh = warehouse_observations(homes, dictionary, details, xref, _WH_ATTRS, _WH_REGION,
                                 e1.WAREHOUSE_CONSTANT_DATE, e1.WAREHOUSE_CAP_YEAR, e1.WAREHOUSE_CAP_DATE,
                                 e1.SOURCE_WAREHOUSE)
-    return E1.observations(f1, f2, wh)
+    return E1.observations(*(df if name in sources else None for name, df in (("f1", f1), ("f2", f2), ("wh", wh))))
 
 
 def attribute_master(spark, sf_dir):
@@ -234,6 +238,13 @@ def attribute_master(spark, sf_dir):
     return E1.master(E1.resolve_attributes(_observed(spark, sf_dir)))
 
 
+def _attribute_master_merged(spark, sf_dir):
+    """K-07 with a kept state: the warehouse and feed 1 first, feed 2 merged into their winners."""
+    first, later = _observed(spark, sf_dir, ("f1", "wh")), _observed(spark, sf_dir, ("f2",))
+    state = stage_table(E1.attribute_state(first), "attribute-state")
+    return E1.master(E1.resolve_attributes(E1.attribute_state(later, state)))
+
+
 def _timestamped_master(spark, sf_dir):
     """K-08 / P-11: every value with its date and source; what a property lacks is missing."""
     return E1.timestamped_master(E1.resolve_attributes(_observed(spark, sf_dir)))
@@ -341,6 +352,7 @@ SELECT *, CAST({data_count} AS INTEGER) AS DATA_COUNT FROM masterm"""
 
 
 query("attribute_master", _attribute_master_sql())(attribute_master)
+query("attribute_master_merged", _attribute_master_sql())(_attribute_master_merged)
 query("timestamped_master", _timestamped_master_sql())(_timestamped_master)
 query("duplicates_before_resolution",
       f"WITH {_observations_sql()} SELECT attr, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT k) AS BIGINT) AS n_keys, "
@@ -349,12 +361,6 @@ query("duplicates_before_resolution",
 
 
 # -- annual claims cleaning (orders as one year's claims worksheet) -----------
-import datetime as _dt  # noqa: E402
-
-from abode.plans import catalogue as _C  # noqa: E402
-from abode.plans import measures as E2  # noqa: E402
-from abode.rules import e2  # noqa: E402
-
 _CLAIMS_AS_OF = _dt.date(2025, 4, 1)
 _CLAIM_OUT = ["o_orderkey", "dupe_check", *e2.GATED_COLUMNS, *e2.ADDON_FLAGS, "FY"]
 

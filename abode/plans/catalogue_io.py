@@ -246,6 +246,14 @@ def _sink_attribute_csv(spark, sf_dir):
     return spark.read.option("header", "true").option("escape", '"').option("nullValue", "NA").csv(path)
 
 
+@query("sink_one_file", _OUT_SQL)
+def _sink_one_file(spark, sf_dir):
+    """SNK-03 .. SNK-05: a report as one file with one header, in the encoding of its readers."""
+    path = S.write_one_file(_out(spark, sf_dir), f"{_folder(spark, 'report')}/report.csv", encoding="windows-1252")
+    with setting(spark, "spark.sql.legacy.javaCharsets", "true"):
+        return stage_table(spark.read.option("header", "true").option("escape", '"').option("encoding", "windows-1252").csv(path), "report")
+
+
 @query("sink_master_tsv", _OUT_SQL)
 def _sink_master_tsv(spark, sf_dir):
     """SNK-02: tab-separated, missing as an empty field."""

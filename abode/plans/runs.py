@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from abode.functions.dates import fiscal_label
@@ -82,6 +82,19 @@ def run_attribute_resolution(inputs: dict[str, DataFrame], out_root: str) -> dic
     return paths
 
 
+def run_attribute_update(obs: DataFrame, out_root: str, as_of: _dt.date) -> dict[str, str]:
+    """Observations of new feeds -> new versions of the resolve state and of the wide master.
+
+    The state published last is read and merged, so earlier feeds are not read again. Another
+    update that was published meanwhile makes this one fail (``PublishConflict``), and it can be repeated.
+    """
+    spark, number = obs.sparkSession, S.publication_number(obs.sparkSession, out_root)
+    before = S.current_versions(spark, out_root).get("attribute_state")
+    with staging(spark) as stage:
+        state = stage(E1.attribute_state(obs, spark.read.parquet(before) if before else None), "attribute-state")
+        return S.publish({"attribute_state": state, "attribute_wide": E1.resolve_attributes(state)}, out_root, as_of, expected=number)
+
+
 def ordered(df: DataFrame, key: str = "UPRN") -> DataFrame:
     """``df`` with a landed order. One without ``seq`` must have unique keys: then any order is the same."""
     if "seq" in df.columns:
@@ -137,8 +150,9 @@ def run_annual_measures(
         paths[name] = S.write_attribute_csv(df, f"{root}/{stem}_FY-{label}")
 
     def stop_at(offenders: DataFrame, name: str) -> None:
-        write(name, offenders, name)
-        bad = offenders.count()
+        written = Observation(name)  # counted by the write itself
+        write(name, offenders.observe(written, F.count(F.lit(1)).alias("rows")), name)
+        bad = written.get["rows"]
         if strict and bad:
             raise Q.GateError(f"{bad} rows in {paths[name]}", {name: bad}, offenders)
 

@@ -32,7 +32,7 @@ MAP = {
     "SNK-02": (f"{O}/sinks.py `write_tsv`", "`sink_master_tsv`"),
     "SNK-03": (f"{O}/sinks.py `write_quoted_csv` + `dated_path`", "`sink_dated_csv`"),
     "SNK-04": (f"{P}/runs.py `run_annual_measures` (FY-labelled CSV); {O}/sinks.py `dated_path`", "`sink_dated_csv`, test_annual_runner"),
-    "SNK-05": (f"{O}/sinks.py `write_quoted_csv(encoding=)`; both report CSVs of run_annual_measures", "`sink_encoded_csv`, test_annual_runner"),
+    "SNK-05": (f"{O}/sinks.py `write_quoted_csv(encoding=)`, `write_one_file`; both report CSVs of run_annual_measures", "`sink_encoded_csv`, `sink_one_file`, test_annual_runner"),
     "SNK-06": (f"native `write.parquet`; {O}/sinks.py `publish`; cleaned claims of run_annual_measures", "`publish_versions`, test_annual_runner"),
     "SNK-07": (f"{O}/sinks.py `publish` / `current_versions`", "`publish_versions`, test_publish_versions"),
     "P-01": (f"{S}/landed.py `normalise_headers`", "test_normalise_headers"),
@@ -79,7 +79,7 @@ MAP = {
     "A-05": (f"{O}/resolve.py `first_per_key`; `resolve_wide` first-by-arrival", "`technology_first_source`"),
     "A-06": (f"{O}/quality.py `profile_counts`; attributes.py `duplicate_report`", "`duplicate_count`, `duplicates_before_resolution`"),
     "A-07": (f"{O}/quality.py `distinct_values`", "`distinct_measures`"),
-    "A-08": (f"{O}/quality.py `five_number`", "`data_count_summary`"),
+    "A-08": (f"{O}/quality.py `five_number` (sketch, or exact for bounded columns), `exact_quantiles` (distributed selection)", "`data_count_summary`, `exact_quantiles`"),
     "A-09": (f"{O}/quality.py `gate_counts`", "`quality_gate_counts`"),
     "A-10": (f"{O}/reshape.py `resolve_wide` (RENEWABLE_COUNT)", "`technology_flags`"),
     "A-11": (f"{O}/columns.py `count_filled`", "`master_assembly`, `attribute_master`"),
@@ -115,7 +115,7 @@ MAP = {
     "M-02": (f"{F}/numbers.py `cap`", "`two_key_counts`"),
     "M-03": (f"{F}/classify.py comparison conditions", "`classify_year_bands`"),
     "M-04": (f"{F}/numbers.py `positive_flag`", "`addon_flags`"),
-    "C-01": (f"{F}/classify.py `classify` / `compile_rules`", "all `classify_*` queries, test_rules"),
+    "C-01": (f"{F}/classify.py `classify` / `compile_rules`; {O}/by_value.py `value_lookup` (once for each distinct value)", "all `classify_*` queries, test_rules"),
     "C-02": (f"{F}/classify.py `if_else`", "`if_else_missing`"),
     "C-03": ("native `coalesce`", "`resolve_latest_numeric`, `regeocode_coalesce`"),
     "C-04": (f"{P}/attributes.py measure fill (T-00)", "`measure_fill`, `feed1_cleaning`"),
@@ -137,7 +137,7 @@ MAP = {
     "K-04": (f"{O}/resolve.py `resolve_latest_numeric`", "`resolve_latest_numeric`"),
     "K-05": (f"{O}/resolve.py `resolve_first`; `resolve_wide` first policy", "`resolve_first_arrival`"),
     "K-06": (f"{O}/reshape.py `technology_matrix`", "`technology_flags`, `technology_first_source`"),
-    "K-07": (f"{P}/attributes.py `master`; {O}/reshape.py `assemble_master`", "`attribute_master` (entry), `master_assembly`"),
+    "K-07": (f"{P}/attributes.py `master`, `attribute_state`; {O}/reshape.py `assemble_master`, `observation_state`", "`attribute_master` (entry), `attribute_master_merged`, `master_assembly`"),
     "K-08": (f"{P}/attributes.py `timestamped_master`", "`timestamped_master`"),
     "K-09": (f"{P}/provenance.py `provenance_extract`, `joined_row_counts`; runs.py `run_provenance_extract`", "`provenance_extract`, `provenance_repeated_keys`, `provenance_row_counts`"),
     "K-10": (f"{P}/measures.py `classify_claims`, `clean_claims`", "`claims_cleaning`, `claims_offenders`"),
@@ -146,7 +146,7 @@ MAP = {
     "K-13": (f"{P}/measures.py `annual_extract`, `department_extract`", "`annual_extract`, `department_extract`"),
     "K-14": (f"{P}/measures.py `refresh_master`", "`master_refresh`"),
     "K-15": (f"{P}/measures.py `append_history`", "`history_append`"),
-    "K-16": (f"{O}/sinks.py `publish`", "`publish_versions`, test_annual_runner"),
+    "K-16": (f"{O}/sinks.py `publish` (numbered, one publisher wins), `restore`", "`publish_versions`, test_publications, test_annual_runner"),
     "Q-01": (f"{O}/quality.py `gate`", "`quality_gate_counts`, `quality_gate_offenders`, `claims_offenders`"),
     "Q-02": (f"{P}/measures.py `geography_gate`", "`geography_offenders`"),
     "Q-03": (f"{O}/filters.py `split_blank_key`", "`quarantine_split`"),
