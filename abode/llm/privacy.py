@@ -20,6 +20,10 @@ KINDS = ("email", "ip", "card", "phone", "term")
 SPAN = "array<struct<start:int,end:int,value:string>>"
 #: Code points on each side of an entity in which words may reveal it.
 REACH = 60
+#: Code points of one stretch of a text; words and entities of a document meet by stretch.
+STRETCH = 128
+#: Matches that are added up one by one; longer lists are cut into pieces of about the root of their length.
+PIECE = 64
 #: Different texts in which a word must stand near an entity; 1 judges entities of one text too.
 MIN_SUPPORT = 1
 THRESHOLD = 0.9
@@ -40,16 +44,23 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"(?<![\p{L}\p{M}\p{N}])[\p{L}\p{M}]{4,}(?![\p{L}\p{M}\p{N}])"
+#: A term is a whole run of letters, marks and digits, of any length.
+TERM = r"[\p{L}\p{M}\p{N}]++"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 
+def _let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def spans_of(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
     """Leftmost non-overlapping matches with their code point places, of them
     those whose value is ``wanted``.
 
     What lies between matches and the matches themselves alternate, so places
-    are running sums of lengths.
+    are running sums of lengths. Adding to an array copies it, so sums run inside
+    pieces first, and pieces are then moved to their place: n matches cost n to the power 1.5 short copies.
     """
     steps = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
                        lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")))
@@ -63,7 +74,17 @@ def spans_of(text: Column, pattern: str, wanted: Callable[[Column], Column] | No
             spans = F.when(wanted(step["value"]), spans).otherwise(found["spans"])
         return F.when(step["value"].isNull(), found).otherwise(F.struct(last.alias("at"), spans.alias("spans")))
 
-    return F.aggregate(steps, start, add, lambda found: found["spans"])
+    def placed(pieces: Column) -> Column:
+        ends = F.aggregate(pieces, F.array(F.lit(0)), lambda done, piece: F.concat(done, F.array(F.element_at(done, -1) + piece["at"])))
+        return F.flatten(F.zip_with(pieces, F.slice(ends, 1, F.size(pieces)), lambda piece, at: F.transform(
+            piece["spans"], lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end"), s["value"].alias("value")))))
+
+    def cut(steps: Column) -> Column:
+        length = F.greatest(F.lit(PIECE), F.ceil(F.sqrt(F.size(steps))).cast("int"))
+        pieces = F.transform(F.sequence(F.lit(1), F.size(steps), length), lambda first: F.aggregate(F.slice(steps, first, length), start, add))
+        return _let(pieces, placed)
+
+    return _let(steps, cut)
 
 
 def _digits(value: Column) -> Column:
@@ -103,22 +124,33 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _nearby(text: Column, span: Column) -> Column:
-    """Words on both sides of a span, in lower case, with their places.
+def _stretches(rows: DataFrame, reach: int) -> DataFrame:
+    """Rows with places, once for each stretch of the text that they or their reach touch."""
+    return rows.withColumn("stretch", F.explode(F.sequence(F.floor((F.col("start") - reach) / STRETCH), F.floor((F.col("end") + reach) / STRETCH))))
+
 
-    A word cut by the edge of the reach is not one: a window starts and ends
-    one code point further out, and only words inside that edge count.
+def _near(words: DataFrame, entities: DataFrame) -> DataFrame:
+    """(entity, term, doc_key, text_hash): words within reach of an entity that overlap none.
+
+    Both meet by document and stretch, so one long text is many small groups.
     """
-    def words(first: Column, last: Column) -> Column:
-        open_ = F.when(first == 0, F.lit(" ")).otherwise(F.lit(""))
-        cut = F.concat(open_, F.substring(text, first + 1, last - first), F.when(last >= F.length(text), F.lit(" ")).otherwise(F.lit("")))
-        shift = first - F.length(open_)
-        whole = F.filter(spans_of(cut, TERM), lambda w: (w["start"] > 0) & (w["end"] < F.length(cut)))
-        return F.transform(whole, lambda w: F.struct((w["start"] + shift).alias("start"), (w["end"] + shift).alias("end"), F.lower(w["value"]).alias("value")))
+    w = _stretches(words.select("doc_key", "start", "end", "term"), 0)
+    e = _stretches(entities, REACH).select("doc_key", "stretch", "text_hash", "entity", F.col("start").alias("first"), F.col("end").alias("last"))
+    met = w.join(e, ["doc_key", "stretch"])
+    overlaps = (F.col("start") < F.col("last")) & (F.col("end") > F.col("first"))
+    in_reach = (F.col("start") >= F.col("first") - REACH) & (F.col("end") <= F.col("last") + REACH)
+    met = met.filter(overlaps | in_reach).groupBy("doc_key", "text_hash", "start", "term").agg(
+        F.max(overlaps).alias("overlaps"), F.collect_set(F.when(in_reach, F.col("entity"))).alias("entities"))
+    return met.filter("not overlaps").select(F.explode("entities").alias("entity"), "term", "doc_key", "text_hash").distinct()
+
 
-    before = words(F.greatest(span["start"] - REACH, F.lit(0)), span["start"] + 1)
-    after = words(span["end"] - 1, F.least(span["end"] + REACH, F.length(text)))
-    return F.concat(before, after)
+def _outside(places: DataFrame, entities: DataFrame) -> DataFrame:
+    """``places`` (doc_key, start, end, ...) that overlap no entity."""
+    e = _stretches(entities, 0).select("doc_key", "stretch", F.col("start").alias("first"), F.col("end").alias("last"))
+    w = _stretches(places, 0)
+    over = (w["doc_key"] == e["doc_key"]) & (w["stretch"] == e["stretch"]) & (F.col("start") < F.col("last")) & (F.col("end") > F.col("first"))
+    hit = w.join(e, over, "left_semi").select("doc_key", "start").distinct()
+    return places.join(hit, ["doc_key", "start"], "left_anti")
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
@@ -127,30 +159,29 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     array of spans (start, end, value) for each kind in ``KINDS``.
 
     ``term`` holds all occurrences, in every document, of the words that disclose
-    an entity: of the documents with the word, enough hold the entity within reach that the mutual
-    information comes to ``threshold`` times the information of the entity, seen
-    in ``min_support`` different texts or more. All counts cover all documents;
-    ``PRIOR`` smooths those of the word, so entities of one document are judged too.
+    an entity, but for those that overlap a base span: of the documents with the word, enough hold the entity
+    within reach that the mutual information comes to ``threshold`` times the information of the entity, seen
+    in ``min_support`` different texts or more. A word is a whole run of letters, marks and
+    digits of any length, in lower case; near an entity only words outside base spans
+    count. All counts cover all documents; ``PRIOR`` smooths those of the word, so entities of one document are judged too.
 
     Null text: no spans. Repeated rows: each gets its spans. Empty table: no
     rows. Other columns are ignored.
 
-    Memory: text moves only if more than ``BROADCAST_DOCS`` documents hold terms. Spans
-    of a document are bounded by the document; their places take time that grows
-    with the square of its matches.
+    Memory: text moves only if more than ``BROADCAST_DOCS`` documents hold entities or terms. Spans
+    of a document are bounded by the document; words meet entities by stretches of the text.
     """
     text = F.coalesce(col(text_col), F.lit(""))
     scan = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    based = scan.select("id", "text_hash", "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
+    based = scan.select("id", "text_hash", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
     entity = lambda k, s: F.concat(F.lit(f"{k}:"), F.lower(s["value"])).alias("entity")
     every = _per_kind(KINDS[:-1], lambda k, s: F.struct(entity(k, s), s["start"].alias("start"), s["end"].alias("end")))
-    near = F.transform(every, lambda s: F.struct(s["entity"].alias("entity"), _nearby(F.col("text"), s).alias("words")))
-    found = stage(based.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("doc_key"), *KINDS[:-1],
-                               F.when(F.size(every) > 0, near).alias("near")))
-    uses = (found.filter(F.size("near") > 0).select("doc_key", "text_hash", F.explode("near").alias("near"))
-            .select("doc_key", "text_hash", "near.entity", F.explode_outer("near.words").alias("word")))
-    terms = stage(_disclosing(docs.select(text.alias("text")), found.count(), uses, threshold, min_support).select("term").distinct())
+    found = stage(based.select("id", "text_hash", F.xxhash64("id", "text_hash").alias("doc_key"), *KINDS[:-1]))
+    entities = stage(found.select("doc_key", "text_hash", F.explode(every).alias("at")).select("doc_key", "text_hash", "at.*").distinct())
     keyed = docs.select(F.xxhash64(col(id_col).alias("id"), F.xxhash64(text)).alias("doc_key"), text.alias("text"))
+
+    near = stage(_near(_places(keyed, entities.select("doc_key").distinct()), entities))
+    terms = stage(_disclosing(docs.select(text.alias("text")), found.count(), entities, near, threshold, min_support).select("term").distinct())
     words = keyed.select("doc_key", F.explode(_words(F.col("text"))).alias("term"))
     many = terms.count()
     if many <= BROADCAST_TERMS:
@@ -158,33 +189,36 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     elif many <= BROADCAST_HASHES:
         words = words.join(F.broadcast(terms.select(F.xxhash64("term").alias("hash"))), F.xxhash64(words["term"]) == F.col("hash"), "left_semi")
     held = stage(words.join(terms, "term", "left_semi").groupBy("doc_key").agg(F.collect_set("term").alias("terms")))
-    if held.count() <= BROADCAST_DOCS:
-        held = F.broadcast(held)
-    places = spans_of(F.col("text"), TERM, lambda value: F.array_contains("terms", F.lower(value)))
-    marked = (keyed.join(held, "doc_key").select("doc_key", F.transform(places, lambda s: s.withField("value", F.lower(s["value"]))).alias("term"))
-              .groupBy("doc_key").agg(F.first("term").alias("term")))
+    marked = (_outside(_places(keyed, held, lambda value: F.array_contains("terms", F.lower(value))).distinct(), entities)
+              .groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.col("term").alias("value")))).alias("term")))
     return (found.join(marked, "doc_key", "left")
             .select(F.col("id").alias(id_col), "doc_key", *KINDS[:-1], F.coalesce("term", _none()).alias("term")))
 
 
+def _places(keyed: DataFrame, holders: DataFrame, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(doc_key, start, end, term): the words, or those ``wanted``, of the documents in ``holders``."""
+    holders = stage(holders)
+    few = F.broadcast(holders) if holders.count() <= BROADCAST_DOCS else holders
+    words = keyed.join(few, "doc_key").select("doc_key", F.explode(spans_of(F.col("text"), TERM, wanted)).alias("word"))
+    return words.select("doc_key", "word.start", "word.end", F.lower("word.value").alias("term"))
+
+
 def _words(text: Column) -> Column:
     """The distinct words of a text, in lower case."""
     return F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))), F.lower))
 
 
-def _disclosing(texts: DataFrame, total: int, uses: DataFrame, threshold: float, min_support: int) -> DataFrame:
+def _disclosing(texts: DataFrame, total: int, entities: DataFrame, near: DataFrame, threshold: float, min_support: int) -> DataFrame:
     """Pairs of entity and term that reach the threshold."""
-    entities = uses.select("entity", "doc_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
-    joint = (uses.filter("word is not null").select("entity", F.col("word.value").alias("term"), "doc_key", "text_hash").distinct()
-             .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint_docs"), F.count_distinct("text_hash").alias("support"))
+    entity_docs = entities.select("entity", "doc_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
+    joint = (near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("joint_docs"), F.count_distinct("text_hash").alias("support"))
              .filter(F.col("support") >= min_support))
     # A term is in at least as many documents as it is near entities; that alone rules common words out.
-    near = (uses.filter("word is not null").select(F.col("word.value").alias("term"), "doc_key").distinct()
-            .groupBy("term").agg(F.count(F.lit(1)).alias("near_docs")))
+    near_docs = near.select("term", "doc_key").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("near_docs"))
     information = F.log(F.lit(float(total)) / F.col("entity_docs"))
     rate = F.col("entity_docs") / F.lit(float(max(total, 1)))
     mutual = lambda docs_with_term: F.log((F.col("joint_docs") + PRIOR * rate) / ((docs_with_term + PRIOR) * rate))
-    joint = stage(joint.join(entities, "entity").join(near, "term")
+    joint = stage(joint.join(entity_docs, "entity").join(near_docs, "term")
                   .filter((information > 0) & (mutual(F.col("near_docs")) >= threshold * information)).drop("near_docs"))
     wanted = joint.select("term").distinct()
     words = texts.select(F.explode(_words(F.col("text"))).alias("term"))

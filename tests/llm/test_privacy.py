@@ -1,7 +1,10 @@
+import math
 import random
 import re
+import time
 
 import pytest
+import regex
 from brute import SF, sha
 from conftest import EDGE
 
@@ -93,6 +96,60 @@ def test_terms_are_marked_in_whole_texts_of_all_documents(spark, monkeypatch, li
     assert not any("zanzibarix" in r.text.lower() for r in privacy.sanitise(docs).collect())
 
 
+def plain_terms(docs):
+    """Spans of disclosing words by document, from sets of documents. ``docs`` are (id, text), ids and texts differ."""
+    word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+    holding, near, has, spans = {}, {}, {}, {}
+    for i, text in docs:
+        spans[i] = base(text)
+        places = [(m.group().lower(), *m.span()) for m in word.finditer(text or "")]
+        for w, *_ in places:
+            has.setdefault(w, set()).add(i)
+        free = [p for p in places if not any(p[1] < b and p[2] > a for _, a, b in spans[i])]
+        for kind, a, b in spans[i]:
+            entity = f"{kind}:{text[a:b].lower()}"
+            holding.setdefault(entity, set()).add(i)
+            for w, first, last in free:
+                if first >= a - privacy.REACH and last <= b + privacy.REACH:
+                    near.setdefault((entity, w), set()).add(i)
+    terms = set()
+    for (entity, w), joint in near.items():
+        rate = len(holding[entity]) / len(docs)
+        information = math.log(1 / rate)
+        if information > 0 and math.log((len(joint) + privacy.PRIOR * rate) / ((len(has[w]) + privacy.PRIOR) * rate)) >= privacy.THRESHOLD * information:
+            terms.add(w)
+    return {i: [(m.start(), m.end()) for m in word.finditer(text or "") if m.group().lower() in terms
+                and not any(m.start() < b and m.end() > a for _, a, b in spans[i])] for i, text in docs}
+
+
+def test_terms_of_the_tables_match_brute_force(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = plain_terms(docs)
+    rows = queries.op10_privacy(spark, SF).collect()
+    assert {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s.startswith("term")] for r in rows} == want
+    assert any(want.values())
+
+
+def test_short_names_and_staff_numbers_disclose(spark):
+    rows = [(i, f"plain words of text {'odd' if i % 2 else 'even'}") for i in range(400)]
+    rows += [(500, "plain Bob kx42 q.v@mail.example.com \u674e words"), (501, "plain words z.z@mail.example.com text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [s.value for s in r.term] for r in privacy.find_personal_data(docs).collect()}
+    assert found.pop(500) == ["bob", "kx42", "\u674e"] and not any(found.values())
+    assert [(i, [(s, e) for s, e in v]) for i, v in plain_terms(rows).items() if v] == [(500, [(6, 9), (10, 14), (36, 37)])]
+
+
+def test_one_text_of_many_entities(spark):
+    """Time and places of a mailing list dump: eight thousand addresses in one text."""
+    text = " ".join(f"name{i} user{i}@mail.example.com" for i in range(8000))
+    docs = spark.createDataFrame([(1, text), (2, "name5 and others")], "doc_id long, text string")
+    began = time.perf_counter()
+    rows = {r.doc_id: r for r in privacy.find_personal_data(docs).collect()}
+    took = time.perf_counter() - began
+    assert [(s.start, s.end) for s in rows[1].email] == [m.span() for m in re.finditer(r"user\d+@mail.example.com", text)]
+    assert took < 60  # about 5 s alone; the square of the entities would take minutes
+
+
 def test_query_marks_terms_in_the_tables(spark):
     assert queries.op10_privacy(spark, SF).filter("spans like '%term:%'").count() > 0
 
