@@ -5,7 +5,9 @@ url's path starts with the rule's. Each url expands into its host suffixes and
 into the prefixes of its path that end at a slash; a rule is filed under its
 host and the part of its path up to the last slash, so the two meet in an
 equi-join on a short hash prefix. The full digest and the whole rule path then
-confirm, and the longest rule wins.
+confirm, and the longest rule wins. Up to ``BROADCAST_RULES`` rules are broadcast, so that urls don't
+move to a rule that fits half of them; more rules meet the urls in a join that
+Spark splits where it is skewed.
 """
 
 from __future__ import annotations
@@ -18,7 +20,8 @@ from pyspark.sql import functions as F
 from abode.llm.common import col
 
 PREFIX_HEX = 8
-SALTS = 16
+#: Rules that a broadcast may hold, about 200 bytes each.
+BROADCAST_RULES = 100_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL_PARTS = r"(?s)://([^/?#]*)([^?#]*)"
 
@@ -62,7 +65,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
         F.translate(F.coalesce("host", F.lit("")), UPPER, LOWER).alias("rule_host"), F.coalesce("path", F.lit("")).alias("rule_path"),
         F.col("verdict").alias("rule_verdict"))
     known = known.withColumn("digest", _digest(F.col("rule_host"), _folder(F.col("rule_path"))))
-    depth = known.agg(F.max(F.size(F.split("rule_host", r"\."))).alias("labels"),
+    depth = known.agg(F.count(F.lit(1)).alias("rules"), F.max(F.size(F.split("rule_host", r"\."))).alias("labels"),
                       F.max(F.length("rule_path") - F.length(F.replace("rule_path", F.lit("/"), F.lit("")))).alias("slashes")).first()
     labels, slashes = depth["labels"] or 1, depth["slashes"] or 0
 
@@ -78,11 +81,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", defaul
                           lambda n: F.when(n == 0, F.lit("")).otherwise(F.concat(F.concat_ws("/", F.slice(step, 1, n)), F.lit("/"))))
     expressions = (urls.withColumn("suffix", F.explode(suffixes)).withColumn("folder", F.explode(folders))
                    .withColumn("digest", _digest(F.col("suffix"), F.col("folder")))
-                   .withColumn("salt", F.pmod(F.xxhash64("judged_url"), F.lit(SALTS)).cast("int"))
                    .withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)).drop("folder", "suffix"))
-    filed = (known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-             .withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)).withColumnRenamed("digest", "rule_digest"))
-    fits = (expressions.join(filed, ["prefix", "salt"])
+    filed = known.withColumn("prefix", F.substring("digest", 1, PREFIX_HEX)).withColumnRenamed("digest", "rule_digest")
+    if depth["rules"] <= BROADCAST_RULES:
+        filed = F.broadcast(filed)
+    fits = (expressions.join(filed, "prefix")
             .filter((F.col("digest") == F.col("rule_digest")) & F.startswith("path", F.col("rule_path"))))
     rank = F.struct(F.length("rule_host") + F.length("rule_path"), F.length("rule_host"), (F.col("rule_verdict") == "block").cast("int"))
     judged = fits.groupBy("judged_url").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), "rule_verdict"), rank).alias("won"))

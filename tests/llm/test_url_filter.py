@@ -28,6 +28,18 @@ def test_fixed_urls(spark):
     check(spark, URLS, queries.URL_RULES)
 
 
+def test_more_rules_than_a_broadcast_may_hold(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BROADCAST_RULES", 2)
+    check(spark, URLS, queries.URL_RULES)
+
+
+def test_rules_are_broadcast_and_urls_stay(spark, capsys):
+    pages = spark.createDataFrame([(1, "http://a.com/b")], "page_id long, url string")
+    url_filter.filter_urls(pages, url_filter.rule_frame(spark, queries.URL_RULES)).explain()
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(prefix" not in plan and "BroadcastHashJoin [prefix" in plan
+
+
 def test_rules_without_slash_at_the_end(spark):
     check(spark, URLS + ["http://net/es", "http://x.net/esp/fr/"], [("block", "net", "/es"), ("allow", "x.net", ""), ("block", "x.net", "/esp/f"), ("allow", "", "")])
 
