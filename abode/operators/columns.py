@@ -55,3 +55,10 @@ def count_filled(cols: Sequence[str]) -> Column:
 def typed_nulls(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Add constant-NULL columns of the given types."""
     return df.withColumns({name: F.lit(None).cast(dtype) for name, dtype in spec.items()})
+
+
+def order_number(name: str) -> Column:
+    """A declared order as a long; a value that is missing or no whole number stops the run, as
+    "first" would be arbitrary without it."""
+    c = F.col(f"`{name}`")
+    return F.coalesce(c.try_cast("long"), F.raise_error(F.concat(F.lit(f"{name} is no number: "), F.coalesce(c.cast("string"), F.lit("missing")))))

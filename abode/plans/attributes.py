@@ -75,8 +75,8 @@ CATEGORY_COLUMNS = ["PROPERTY_TYPE_NAME", "TENURE_NAME", "PROPERTY_AGE_NAME", "L
 
 def _with_seq(df: DataFrame) -> DataFrame:
     """The landed order as a number, even when landed as text. "First" rules
-    depend on it, so a feed without one is an error."""
-    return df.withColumn("seq", F.col("seq").try_cast("long"))
+    depend on it, so a feed without one, or with one that is no number, is an error."""
+    return df.withColumn("seq", P.order_number("seq"))
 
 
 def attribute_state(obs: DataFrame, previous: DataFrame | None = None) -> DataFrame:

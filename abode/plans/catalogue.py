@@ -171,7 +171,7 @@ def _date_fallback_clamp(spark, sf_dir):
     return out.select("o_orderkey", "raw_date", "programme_date", "ts", "year")
 
 
-query("date_fallback_clamp", _repair_dmy_sql(_MESSY_DATES_DUCK, D.FLOOR_YEAR, D.FLOOR_DATE))(
+query("date_fallback_clamp", _repair_dmy_sql(_MESSY_DATES_DUCK, O.FLOOR_YEAR, O.FLOOR_DATE))(
     _date_fallback_clamp)
 
 
@@ -212,9 +212,9 @@ s4 AS (SELECT *, CASE WHEN coalesce(substr(t3, 3, 3) IN ({month_pads}), false)
           THEN substr(t3, 1, 3) || '0' || substr(t3, 4, 6) ELSE t3 END AS t4 FROM s3),
 s5 AS (SELECT *, CASE t4 {lits} ELSE t4 END AS t5 FROM s4),
 s6 AS (SELECT *, CASE WHEN coalesce(regexp_matches(t5, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$'), false)
-                      THEN CAST(try_strptime(t5, '%Y-%m-%d') AS DATE) ELSE DATE '{D.FLOOR_DATE}' END AS d FROM s5)
+                      THEN CAST(try_strptime(t5, '%Y-%m-%d') AS DATE) ELSE DATE '{O.FLOOR_DATE}' END AS d FROM s5)
 SELECT event_id, raw_date,
-       CASE WHEN year(d) < {D.FLOOR_YEAR} THEN DATE '{D.FLOOR_DATE}' ELSE d END AS ts,
+       CASE WHEN year(d) < {O.FLOOR_YEAR} THEN DATE '{O.FLOOR_DATE}' ELSE d END AS ts,
        strftime(d, '%Y') AS year
 FROM s6"""
 
@@ -352,7 +352,7 @@ def _measure_fill(spark, sf_dir):
 def _measure_fill_sql() -> str:
     def blank(c):
         return f"({c} IS NULL OR coalesce({c} IN ('', ' '), false))"
-    markers = ", ".join(f"'{m}'" for m in e1.NON_ECO_MARKERS)
+    markers = ", ".join(f"'{m}'" for m in O.NON_ECO_MARKERS)
     return f"""
 WITH src AS (SELECT p_partkey, {_squish_sql('lower(' + _MEASURE_SRC + ')')} AS m,
                     {_squish_sql('lower(' + _SECOND_SRC + ')')} AS s FROM part),
@@ -541,7 +541,7 @@ _ADDON_SRC = [
 @query("addon_flags",
        "SELECT l_orderkey, l_linenumber, "
        + ", ".join(f"CASE WHEN {col} > 0 THEN '{yes}' ELSE '{no}' END AS {name}"
-                   for name, (col, yes, no) in e2.ADDON_FLAGS.items())
+                   for name, (col, yes, no) in O.ADDON_FLAGS.items())
        + " FROM (SELECT l_orderkey, l_linenumber, " + ", ".join(_ADDON_SRC) + " FROM lineitem)")
 def _addon_flags(spark, sf_dir):
     """T-43 / M-04: positive amount -> measure, otherwise (NULL too) unknown."""

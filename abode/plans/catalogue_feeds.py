@@ -12,7 +12,6 @@ import datetime as _dt
 
 from pyspark.sql import functions as F
 
-from abode.functions import dates as D
 from abode.plans import attributes as E1
 from abode.plans import catalogue as _C
 from abode.plans import measures as E2
@@ -100,7 +99,7 @@ def _blank(c: str) -> str:
 def _feed1_sql() -> str:
     def duck(sql: str) -> str:
         return sql.replace("AS STRING", "AS VARCHAR")
-    markers = ", ".join(f"'{m}'" for m in e1.NON_ECO_MARKERS)
+    markers = ", ".join(f"'{m}'" for m in O.NON_ECO_MARKERS)
     classes = ", ".join(f"{_rules_sql(r, d)} AS {n}" for n, r, d in E1.FEED1_CLASSIFIERS)
     key = f"CASE WHEN {_tonum_sql('UPRN')} = floor({_tonum_sql('UPRN')}) THEN CAST({_tonum_sql('UPRN')} AS BIGINT) END"
     sheet_fields = (f"CAST(p_partkey AS VARCHAR) AS UPRN, {duck(_SHEET_DATE)} AS TIMESTAMP, "
@@ -126,7 +125,7 @@ j AS (SELECT f.*, lk.PCON_CODE FROM filled f JOIN lk ON f.UPRN = lk.k
       WHERE f.UPRN IS NOT NULL AND f.MEASURE IS NOT NULL AND lk.PCON_CODE IS NOT NULL),
 {_dmy_chain_sql('j', 'TIMESTAMP', 'FYEAR_DATE')}
 SELECT UPRN, PCON_CODE,
-       CASE WHEN __d IS NULL OR year(__d) < {D.FLOOR_YEAR} THEN DATE '{D.FLOOR_DATE}' ELSE __d END AS TIMESTAMP,
+       CASE WHEN __d IS NULL OR year(__d) < {O.FLOOR_YEAR} THEN DATE '{O.FLOOR_DATE}' ELSE __d END AS TIMESTAMP,
        strftime(__d, '%Y') AS YEAR, '{e1.SOURCE_FEED1}' AS SOURCE, seq,
        'Unknown' AS PROPERTY_TYPE_NAME, 'Unknown' AS PROPERTY_AGE_NAME, {classes}
 FROM dated"""
@@ -196,10 +195,10 @@ t4 AS (SELECT *, CASE WHEN coalesce(substr(__t3, 3, 3) IN ({month_pads}), false)
           THEN substr(__t3, 1, 3) || '0' || substr(__t3, 4, 6) ELSE __t3 END AS __t4 FROM t3),
 t5 AS (SELECT *, CASE __t4 {lits} ELSE __t4 END AS __t5 FROM t4),
 dd AS (SELECT *, CASE WHEN coalesce(regexp_matches(__t5, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$'), false)
-          THEN CAST(try_strptime(__t5, '%Y-%m-%d') AS DATE) ELSE DATE '{D.FLOOR_DATE}' END AS __d FROM t5),
+          THEN CAST(try_strptime(__t5, '%Y-%m-%d') AS DATE) ELSE DATE '{O.FLOOR_DATE}' END AS __d FROM t5),
 c AS (SELECT *, 'Unknown' AS PROPERTY_TYPE_NAME, 'Unknown' AS PROPERTY_AGE_NAME,
              CAST(NULL AS VARCHAR) AS RIR_INS FROM dd)
-SELECT {key} AS UPRN, CASE WHEN year(__d) < {D.FLOOR_YEAR} THEN DATE '{D.FLOOR_DATE}' ELSE __d END AS TIMESTAMP,
+SELECT {key} AS UPRN, CASE WHEN year(__d) < {O.FLOOR_YEAR} THEN DATE '{O.FLOOR_DATE}' ELSE __d END AS TIMESTAMP,
        strftime(__d, '%Y') AS YEAR, '{e1.SOURCE_FEED2}' AS SOURCE, seq,
        PROPERTY_TYPE_NAME, PROPERTY_AGE_NAME, RIR_INS, {classes}, {", ".join(e1.FEED2_NUMERIC_HEADERS)}
 FROM c"""
@@ -420,7 +419,7 @@ def _claims_sql(clean: bool = True) -> str:
              ("FS_FUEL_AFTER", e2.FUEL_AFTER, e2.ERROR), ("MAIN_HEATING_SYSTEM", e2.HEATING_SYSTEM, e2.ERROR)]
     classes = ", ".join(f"{_rules_sql(r, d)} AS {n}" for n, r, d in first)
     flags = ", ".join(f"CASE WHEN {_tonum_sql(col)} > 0 THEN '{yes}' ELSE '{no}' END AS {name}"
-                      for name, (col, yes, no) in e2.ADDON_FLAGS.items())
+                      for name, (col, yes, no) in O.ADDON_FLAGS.items())
     return f"""
 WITH src AS (SELECT {_claims_select('duck')} FROM orders),
 unmarked AS (SELECT * FROM src WHERE remove_marker IS NULL),
@@ -430,7 +429,7 @@ num AS (SELECT *, {_tonum_sql('year_built')} AS year_built_num FROM kept),
 c1 AS (SELECT *, {classes} FROM num),
 c2 AS (SELECT *, {_rules_sql(e2.WALL_INSULATION, e2.ERROR)} AS WALL_INS, {flags},
               'FY{fiscal_label(_CLAIMS_AS_OF)}' AS FY FROM c1)
-SELECT {', '.join(_CLAIM_OUT)} FROM c2 WHERE {"" if clean else "NOT "}({" AND ".join(f"{c} <> 'ERROR'" for c in e2.GATED_COLUMNS)})"""
+SELECT {', '.join(_CLAIM_OUT)} FROM c2 WHERE {"" if clean else "NOT "}({" AND ".join(f"{c} <> 'ERROR'" for c in O.GATED_COLUMNS)})"""
 
 
 query("claims_cleaning", _claims_sql())(_claims_cleaning)

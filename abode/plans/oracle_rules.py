@@ -281,6 +281,22 @@ _BY_TABLE = {
 }
 
 
+# Fixed values, once more by hand: markers of a measure given elsewhere, the earliest
+# credible year and the date that stands for earlier ones, add-on amounts with their
+# texts, and the categories that a gate checks.
+NON_ECO_MARKERS = ("non-ecofundedmeasure", "non-eco funded measure")
+FLOOR_YEAR, FLOOR_DATE = 2010, "2015-01-01"
+ADDON_FLAGS = {
+    "HOT_WATER_TANK_INSULATION": ("cost_hot_water_jacket", "Hot Water Tank Insulation", "Unknown Hot Water Tank Insulation"),
+    "RADIATOR_PANELS": ("cost_radiator_panels", "Radiator Panels", "Unknown Radiator Panels"),
+    "LIGHTING": ("bulbs_installed", "LEDs", "Unknown"),
+    "ENERGY_MONITOR": ("cost_smart_controls", "Energy Monitor", "Unknown"),
+    "WATER_WIDGET": ("cost_water_widget", "Water Widget", "Unknown"),
+}
+GATED_COLUMNS = ("PROPERTY_TYPE", "TENURE", "PROPERTY_AGE", "BEDROOMS", "EXTERNAL_WALL_TYPE", "WALL_INS", "WALL_INS_FILL",
+                 "LOFT_INSULATION_NI", "LOFT_INSULATION", "MAIN_HEATING_FUEL", "FS_FUEL_AFTER", "MAIN_HEATING_SYSTEM")
+
+
 def case_for(rules: list) -> str:
     """The hand-written CASE for a rule table; its rules are not read, it only names the text."""
     return _BY_TABLE[id(rules)]

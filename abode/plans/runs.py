@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from abode.functions.dates import fiscal_label
+from abode.operators import columns as P
 from abode.operators import quality as Q
 from abode.operators import sinks as S
 from abode.plans import attributes as E1
@@ -98,7 +99,7 @@ def run_attribute_update(obs: DataFrame, out_root: str, as_of: _dt.date) -> dict
 def ordered(df: DataFrame, key: str = "UPRN") -> DataFrame:
     """``df`` with a landed order. One without ``seq`` must have unique keys: then any order is the same."""
     if "seq" in df.columns:
-        return df.withColumn("seq", F.col("seq").cast("long"))
+        return df.withColumn("seq", P.order_number("seq"))
     Q.assert_unique(df, key)
     return df.withColumn("seq", F.lit(0).cast("long"))
 

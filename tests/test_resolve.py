@@ -5,6 +5,7 @@ import contextlib
 import datetime as dt
 import io
 
+import pytest
 from pyspark.sql import functions as F
 
 from abode.operators import reshape as R
@@ -108,3 +109,15 @@ def test_resolve_wide_one_shuffle(spark):
     with contextlib.redirect_stdout(buf):
         wide.explain()
     assert buf.getvalue().count("Exchange hashpartitioning") <= 1
+
+
+def test_order_that_is_no_number_stops_the_run(spark):
+    from abode.operators.columns import order_number
+    from abode.plans.runs import ordered
+
+    df = spark.createDataFrame([("1", "2"), ("2", "10")], "UPRN string, seq string")
+    assert [r.seq for r in ordered(df).orderBy("seq").collect()] == [2, 10]
+    for bad in ("x", None, "1.5.2"):
+        broken = df.union(spark.createDataFrame([("3", bad)], df.schema))
+        with pytest.raises(Exception, match="seq is no number"):
+            broken.select(order_number("seq")).collect()
