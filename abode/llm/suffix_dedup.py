@@ -41,6 +41,12 @@ CHUNK, RUN = 1 << 18, 50_000
 GROUP = 4 << 20
 RANGES_PER_PARTITION = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Random values of bytes, powers of an odd number and of its inverse, for hashes of strings at any offset.
+_BYTES = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
+_POWERS = np.array([pow(int(_MIX), k, 2**64) for k in range(LENGTH + BACK)], np.uint64)
+_INVERSE = np.array([pow(int(_MIX), -k, 2**64) for k in range(BACK + 1)], np.uint64)
+#: Offsets whose hashes are held at once, keys of a run that are decoded at once, and stretches that are held before they are sent on.
+OFFSETS, DECODED, FLUSH = 8, 1024, 10_000
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -263,9 +269,29 @@ def _common_from(a: bytes, b: bytes, known: int) -> int:
     return n
 
 
-def merge_runs(runs: list[tuple[bytes, bytes]]) -> Iterator[tuple[bytes, int, int, int]]:
-    """Merge sorted runs, each of which has its keys one after another and, as a byte
-    for each, the common prefix with the key before.
+class Run:
+    """A sorted run as it came, front-coded; ``DECODED`` of its keys are decoded at once."""
+
+    def __init__(self, common: bytes, rest: bytes):
+        self.common, self.rest = common, np.frombuffer(rest, np.uint8)
+        self.first = self.used = 0
+        self.last, self.keys = np.zeros((1, WIDTH), np.uint8), b""
+
+    def key(self, k: int) -> bytes | None:
+        """Key ``k``; keys are asked for in order."""
+        if k >= len(self.common):
+            return None
+        if k >= self.first + len(self.keys) // WIDTH:
+            common = np.frombuffer(self.common[k:k + DECODED], np.uint8)
+            until = self.used + int((WIDTH - common.astype(np.int64)).sum())
+            rows = from_front_coded(np.append(np.uint8(0), common), np.concatenate((self.last[0], self.rest[self.used:until])))
+            self.first, self.used, self.last, self.keys = k, until, rows[-1:].copy(), rows[1:].tobytes()
+        at = (k - self.first) * WIDTH
+        return self.keys[at:at + WIDTH]
+
+
+def merge_runs(runs: list[Run]) -> Iterator[tuple[bytes, int, int, int]]:
+    """Merge sorted front-coded runs.
 
     Yields key, common prefix with the key that came out before, run, and place in the
     run. A loser remembers its common prefix with the winner it lost to, which is the
@@ -275,7 +301,7 @@ def merge_runs(runs: list[tuple[bytes, bytes]]) -> Iterator[tuple[bytes, int, in
     size = 1
     while size < len(runs):
         size *= 2
-    heads: list[bytes | None] = [keys[:WIDTH] or None for keys, _ in runs] + [None] * (size - len(runs))
+    heads: list[bytes | None] = [run.key(0) for run in runs] + [None] * (size - len(runs))
     shared, at, losers = [0] * size, [0] * size, [0] * size
 
     def play(a: int, b: int) -> tuple[int, int]:
@@ -302,11 +328,11 @@ def merge_runs(runs: list[tuple[bytes, bytes]]) -> Iterator[tuple[bytes, int, in
     best = winners[0]
     while heads[best] is not None:
         yield heads[best], shared[best], best, at[best]
-        keys, common = runs[best]
+        run = runs[best]
         at[best] += 1
-        heads[best] = keys[at[best] * WIDTH:(at[best] + 1) * WIDTH] or None
+        heads[best] = run.key(at[best])
         if heads[best] is not None:
-            shared[best] = common[at[best]]
+            shared[best] = run.common[at[best]]
         node = (best + size) // 2
         while node:
             best, losers[node] = play(best, losers[node])
@@ -337,74 +363,112 @@ def _covered(group: list[tuple[bytes, Place]]) -> Iterator[tuple[Place, int, int
     # Many suffixes: for each offset of the anchor, all but the first of equal strings.
     line = np.concatenate((left[:, ::-1], right), axis=1)
     most, least = np.full(len(group), -1), np.full(len(group), LENGTH)
-    for back in range(BACK + 1):
-        able = np.flatnonzero((n_left >= back) & (n_right >= LENGTH - back))
-        strings = np.ascontiguousarray(line[able, BACK - back:BACK - back + LENGTH])
-        _, first, which = np.unique(strings.view(f"V{LENGTH}").ravel(), return_index=True, return_inverse=True)
-        again = able[first[which] != np.arange(len(able))]
-        most[again] = back
-        least[again] = np.minimum(least[again], back)
+    for block in range(0, BACK + 1, OFFSETS):
+        backs = range(block, min(block + OFFSETS, BACK + 1))
+        for back, hashes in zip(backs, _window_hashes(line, backs)):
+            able = np.flatnonzero((n_left >= back) & (n_right >= LENGTH - back))
+            again = able[_not_first(line[:, BACK - back:BACK - back + LENGTH], hashes, able)]
+            most[again] = back
+            least[again] = np.minimum(least[again], back)
     for i in np.flatnonzero(most >= 0).tolist():
         yield group[i][1], int(most[i]), int(LENGTH - least[i])
 
 
+def _window_hashes(line: np.ndarray, backs: range) -> np.ndarray:
+    """For each offset a hash of the string of each row: differences of running sums, so no string is read twice."""
+    out = np.empty((len(backs), len(line)), np.uint64)
+    for first in range(0, len(line), 8192):
+        part = slice(first, first + 8192)
+        sums = np.zeros((len(line[part]), line.shape[1] + 1), np.uint64)
+        np.cumsum(_BYTES[line[part]] * _POWERS, axis=1, out=sums[:, 1:])
+        for k, back in enumerate(backs):
+            at = BACK - back
+            h = (sums[:, at + LENGTH] - sums[:, at]) * _INVERSE[at]
+            out[k, part] = (h ^ (h >> np.uint64(31))) * _MIX
+    return out
+
+
+def _not_first(strings: np.ndarray, hashes: np.ndarray, able: np.ndarray) -> np.ndarray:
+    """Of the rows ``able``, which have a string that an earlier one of them has. Hashes
+    propose, bytes decide: if any two strings share a hash only, the strings themselves are sorted."""
+    _, first, which = np.unique(hashes[able], return_index=True, return_inverse=True)
+    earlier = first[which]
+    later = np.flatnonzero(earlier != np.arange(len(able)))
+    for part in np.split(later, range(8192, len(later), 8192)):
+        if (strings[able[part]] != strings[able[earlier[part]]]).any():
+            whole = np.ascontiguousarray(strings[able]).view(f"V{LENGTH}").ravel()
+            _, first, which = np.unique(whole, return_index=True, return_inverse=True)
+            return first[which] != np.arange(len(able))
+    return earlier != np.arange(len(able))
+
+
 def _run_length(equal: np.ndarray) -> np.ndarray:
     """How many columns from the first on are all true, for every row."""
     return np.where(equal.all(axis=1), equal.shape[1], equal.argmin(axis=1))
 
 
+class Stretches:
+    """Covered stretches (id, mark, first byte and last byte + 1) on their way out."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, ids, marks, firsts, lasts) -> None:
+        part = np.array([ids, marks, firsts, lasts], np.int64).reshape(4, -1)
+        self.parts.append(part)
+        self.size += part.shape[1]
+
+    def batch(self) -> pa.RecordBatch:
+        ids, marks, firsts, lasts = np.concatenate(self.parts, axis=1)
+        self.parts, self.size = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))],
+                                          names=["id", "mark", "first", "last"])
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Covered stretches (id, mark, first byte and last byte + 1) of the suffixes of each range."""
+    """Covered stretches (id, mark, first byte and last byte + 1) of the suffixes of each range.
+
+    Of the places of one suffix only the first so far is kept; all others are covered
+    and go out at once, so a gram of any number of places needs memory for its different suffixes only.
+    """
     for _, rows in _rows_by_bucket(batches):
         runs, places = [], []
         while rows:
             _, common, rest, folded, ids, marks, inside = rows.pop()
-            lengths = np.frombuffer(common, np.uint8)
-            rest = pa.decompress(rest, int((WIDTH - lengths.astype(np.int64)).sum()), "zstd", asbytes=True)
-            runs.append((from_front_coded(lengths, np.frombuffer(rest, np.uint8)).tobytes(), common))
+            size = int((WIDTH - np.frombuffer(common, np.uint8).astype(np.int64)).sum())
+            runs.append(Run(common, pa.decompress(rest, size, "zstd", asbytes=True)))
             places.append((np.concatenate(([0], np.cumsum(np.frombuffer(folded, np.int32)))), np.frombuffer(ids, np.int64),
                            np.frombuffer(marks, np.int64), np.frombuffer(inside, np.int32)))
-        found: list[tuple[int, int, int, int]] = []
-
-        def cover(place: Place, before: int, after: int) -> None:
-            found.append((place[0], place[1], place[2] - before, place[2] + after))
-
-        def close(group: list[tuple[bytes, list[Place]]]) -> None:
-            firsts = []
-            for key, held in group:
-                first = min(held)
-                firsts.append((key, first))
-                for place in held:
-                    if place != first:
-                        cover(place, key[-2], key[-1])
-            if len(firsts) > 1:
-                for place, before, after in _covered(firsts):
-                    cover(place, before, after)
-
-        def flush() -> pa.RecordBatch:
-            columns = np.array(found, np.int64).reshape(-1, 4).T
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.array(columns[3].astype(np.int32))],
-                                              names=["id", "mark", "first", "last"])
-
-        group: list[tuple[bytes, list[Place]]] = []
+        found = Stretches()
+
+        def close(group: list[tuple[bytes, Place]]) -> None:
+            if len(group) > 1:
+                for place, before, after in _covered(group):
+                    found.add(place[0], place[1], place[2] - before, place[2] + after)
+
+        group: list[tuple[bytes, Place]] = []  # the different suffixes of one gram with their first places
         for key, common, run, k in merge_runs(runs):
             if common < GRAM and group:
                 close(group)
                 group = []
-                if len(found) > 10_000:
-                    yield flush()
-            ends, *fields = places[run]
+            ends, ids, marks, inside = places[run]
             part = slice(int(ends[k]), int(ends[k + 1]))
-            held = list(zip(*(f[part].tolist() for f in fields)))
+            own = ids[part], marks[part], inside[part].astype(np.int64)
+            before, after = key[-2], key[-1]
+            first: Place = (int(own[0][0]), int(own[1][0]), int(own[2][0]))  # places of a run are in order
+            found.add(own[0][1:], own[1][1:], own[2][1:] - before, own[2][1:] + after)
             if group and common == WIDTH:
-                group[-1][1].extend(held)
+                first, later = sorted((first, group[-1][1]))
+                found.add(later[0], later[1], later[2] - before, later[2] + after)
+                group[-1] = (key, first)
             else:
-                group.append((key, held))
-        if group:
-            close(group)
-        if found:
-            yield flush()
+                group.append((key, first))
+            if found.size > FLUSH:
+                yield found.batch()
+        close(group)
+        if found.size:
+            yield found.batch()
 
 
 def merged_stretches(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

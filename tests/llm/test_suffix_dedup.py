@@ -59,14 +59,22 @@ def test_edges(spark, edge_docs, no_docs):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.lists(st.binary(min_size=1, max_size=4).map(lambda b: (b * 200)[:suffix_dedup.WIDTH]), max_size=8).map(sorted), min_size=1, max_size=6))
-def test_loser_tree_merges_front_coded_runs(runs):
+@given(st.lists(st.lists(st.binary(min_size=1, max_size=4).map(lambda b: (b * 200)[:suffix_dedup.WIDTH]), max_size=8).map(sorted), min_size=1, max_size=6), st.integers(1, 4))
+def test_loser_tree_merges_front_coded_runs(runs, decoded):
+    before, suffix_dedup.DECODED = suffix_dedup.DECODED, decoded
+    try:
+        _check_merge(runs)
+    finally:
+        suffix_dedup.DECODED = before
+
+
+def _check_merge(runs):
     coded = []
     for run in runs:
         rows = np.frombuffer(b"".join(run), np.uint8).reshape(-1, suffix_dedup.WIDTH)
         common, rest = suffix_dedup.front_coded(rows) if len(rows) else (np.zeros(0, np.uint8), np.zeros(0, np.uint8))
         assert not len(rows) or (suffix_dedup.from_front_coded(common, rest) == rows).all()
-        coded.append((b"".join(run), common.tobytes()))
+        coded.append(suffix_dedup.Run(common.tobytes(), rest.tobytes()))
     out = list(suffix_dedup.merge_runs(coded))
     assert [key for key, *_ in out] == sorted(key for run in runs for key in run)
     assert all(runs[run][k] == key for key, _, run, k in out)
@@ -82,3 +90,40 @@ def test_merged_stretches(spans):
     a, b = suffix_dedup.merged_stretches(first, last)
     covered = {k for s, n in spans for k in range(s, s + n)}
     assert {k for s, e in zip(a, b) for k in range(s, e)} == covered and (a[1:] > b[:-1]).all()
+
+
+def _lines(n):
+    """Rows with many equal strings at many offsets."""
+    rnd = np.random.default_rng(n)
+    return rnd.choice(np.frombuffer(b"ab", np.uint8), (6, suffix_dedup.LENGTH + suffix_dedup.BACK))[rnd.integers(0, 6, n)]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_equal_strings_by_hash_and_by_bytes(collide):
+    """All but the first of equal strings at each offset, also where hashes of different strings agree."""
+    line, length, back = _lines(300), suffix_dedup.LENGTH, suffix_dedup.BACK
+    for offset in (0, 1, back):
+        (hashes,) = suffix_dedup._window_hashes(line, range(offset, offset + 1))
+        strings = line[:, back - offset:back - offset + length]
+        of = {}
+        for i, h in enumerate(hashes.tolist()):
+            assert of.setdefault(strings[i].tobytes(), h) == h  # the same string, the same hash, at any offset
+        able = np.arange(0, 300, 2)
+        seen, want = set(), []
+        for i in able:
+            want.append(strings[i].tobytes() in seen)
+            seen.add(strings[i].tobytes())
+        assert suffix_dedup._not_first(strings, hashes * np.uint64(not collide), able).tolist() == want
+
+
+def test_large_groups_like_small_ones(spark, monkeypatch):
+    """A gram with hundreds of different suffixes, and one place held by hundreds of documents."""
+    monkeypatch.setattr(suffix_dedup, "FLUSH", 7)
+    rnd = random.Random(5)
+    core = "".join(rnd.choice("abcdefgh ") for _ in range(60))
+    say = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    ends = [say(50) for _ in range(12)]
+    rows = [(i, say(rnd.randrange(5, 40)) + rnd.choice(ends) + core + rnd.choice(ends) + say(rnd.randrange(5, 40))) for i in range(150)]
+    rows += [(200 + i, rows[3][1]) for i in range(60)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == repeats(sorted(rows))
