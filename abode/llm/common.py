@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -14,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from abode.session import checkpoint_root
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One whole input table."""
@@ -21,15 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder that the session names in ``spark.checkpoint.dir``.
+    """The shared folder that the session names in ``spark.checkpoint.dir``; without one this raises.
 
-    Only a session without one (tests, a laptop) gets a temporary folder.
+    Tests and a laptop set one of their own (``SparkContext.setCheckpointDir``).
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="abode-checkpoint-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return checkpoint_root(spark)
 
 
 def stage(df: DataFrame) -> DataFrame:

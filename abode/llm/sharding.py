@@ -48,10 +48,8 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: int = 20, id_col
                    .withColumn("cut", F.floor(F.col("fraction") * buckets).cast("int"))
                    .drop("bucket", "rank", "src_rows"))
     sorted_rows = running_sum(placed, [], "cut", [F.col("fraction"), F.col("src"), *order], "one", "place")
-    place, total = F.col("place") - 1, F.lit(max(n, 1))
     shard = F.expr(f"(place - 1) * {shards} div {max(n, 1)}")
     first = F.expr(f"(((place - 1) * {shards} div {max(n, 1)}) * {max(n, 1)} + {shards - 1}) div {shards}")
-    del total
     return sorted_rows.select(
         F.col("id").alias(id_col), F.col("origin").alias(by), "size", F.col("crc").alias("text_crc32"),
-        shard.cast("int").alias("shard"), (place - first).cast("long").alias("slot"))
+        shard.cast("int").alias("shard"), (F.col("place") - 1 - first).cast("long").alias("slot"))
