@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from abode.llm import decontamination, mixing, ngram_join, quality, sharding
 from abode.llm.common import checkpoint_folder, table
+from abode.session import delete_path
 
 WEIGHTS, SHARE, REPEATS = (5, 2, 1), 1.5, 2
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -59,7 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``: id, source, size, checksum, shard and slot of every row of the mix.
 
     What a stage returns is written as Parquet to the shared checkpoint folder and
-    reread, so a lost executor costs no earlier stage.
+    reread, so a lost executor costs no earlier stage; only the last folder stays.
     """
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_folder(spark)}/corpus-{uuid.uuid4().hex}"
@@ -67,4 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+    for number in range(len(STAGES) - 1):
+        delete_path(spark, f"{folder}/{number}")
     return docs
