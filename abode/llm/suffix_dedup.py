@@ -47,6 +47,8 @@ _POWERS = np.array([pow(int(_MIX), k, 2**64) for k in range(LENGTH + BACK)], np.
 _INVERSE = np.array([pow(int(_MIX), -k, 2**64) for k in range(BACK + 1)], np.uint64)
 #: Offsets whose hashes are held at once, keys of a run that are decoded at once, and stretches that are held before they are sent on.
 OFFSETS, DECODED, FLUSH = 8, 1024, 10_000
+#: Places of a suffix that go out one by one; more go as arrays.
+SOME = 16
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -408,20 +410,27 @@ def _run_length(equal: np.ndarray) -> np.ndarray:
 
 
 class Stretches:
-    """Covered stretches (id, mark, first byte and last byte + 1) on their way out."""
+    """Covered stretches (id, mark, first byte and last byte + 1) on their way out: single ones, and many at once."""
 
     def __init__(self):
+        self.rows: list[tuple[int, int, int, int]] = []
         self.parts: list[np.ndarray] = []
-        self.size = 0
+        self.many = 0
 
-    def add(self, ids, marks, firsts, lasts) -> None:
-        part = np.array([ids, marks, firsts, lasts], np.int64).reshape(4, -1)
-        self.parts.append(part)
-        self.size += part.shape[1]
+    def add(self, place: Place, before: int, after: int) -> None:
+        self.rows.append((place[0], place[1], place[2] - before, place[2] + after))
+
+    def add_many(self, ids: np.ndarray, marks: np.ndarray, places: np.ndarray, before: int, after: int) -> None:
+        places = places.astype(np.int64)
+        self.parts.append(np.array([ids, marks, places - before, places + after], np.int64))
+        self.many += len(ids)
+
+    def __len__(self) -> int:
+        return len(self.rows) + self.many
 
     def batch(self) -> pa.RecordBatch:
-        ids, marks, firsts, lasts = np.concatenate(self.parts, axis=1)
-        self.parts, self.size = [], 0
+        ids, marks, firsts, lasts = np.concatenate([np.array(self.rows, np.int64).reshape(-1, 4).T, *self.parts], axis=1)
+        self.__init__()
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks), pa.array(firsts.astype(np.int32)), pa.array(lasts.astype(np.int32))],
                                           names=["id", "mark", "first", "last"])
 
@@ -438,14 +447,14 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             _, common, rest, folded, ids, marks, inside = rows.pop()
             size = int((WIDTH - np.frombuffer(common, np.uint8).astype(np.int64)).sum())
             runs.append(Run(common, pa.decompress(rest, size, "zstd", asbytes=True)))
-            places.append((np.concatenate(([0], np.cumsum(np.frombuffer(folded, np.int32)))), np.frombuffer(ids, np.int64),
+            places.append((np.concatenate(([0], np.cumsum(np.frombuffer(folded, np.int32)))).tolist(), np.frombuffer(ids, np.int64),
                            np.frombuffer(marks, np.int64), np.frombuffer(inside, np.int32)))
         found = Stretches()
 
         def close(group: list[tuple[bytes, Place]]) -> None:
             if len(group) > 1:
                 for place, before, after in _covered(group):
-                    found.add(place[0], place[1], place[2] - before, place[2] + after)
+                    found.add(place, before, after)
 
         group: list[tuple[bytes, Place]] = []  # the different suffixes of one gram with their first places
         for key, common, run, k in merge_runs(runs):
@@ -453,21 +462,23 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 close(group)
                 group = []
             ends, ids, marks, inside = places[run]
-            part = slice(int(ends[k]), int(ends[k + 1]))
-            own = ids[part], marks[part], inside[part].astype(np.int64)
-            before, after = key[-2], key[-1]
-            first: Place = (int(own[0][0]), int(own[1][0]), int(own[2][0]))  # places of a run are in order
-            found.add(own[0][1:], own[1][1:], own[2][1:] - before, own[2][1:] + after)
+            at, end = ends[k], ends[k + 1]
+            first: Place = (ids.item(at), marks.item(at), inside.item(at))  # places of a run are in order
+            if end - at > SOME:
+                found.add_many(ids[at + 1:end], marks[at + 1:end], inside[at + 1:end], key[-2], key[-1])
+            else:
+                for j in range(at + 1, end):
+                    found.add((ids.item(j), marks.item(j), inside.item(j)), key[-2], key[-1])
             if group and common == WIDTH:
                 first, later = sorted((first, group[-1][1]))
-                found.add(later[0], later[1], later[2] - before, later[2] + after)
+                found.add(later, key[-2], key[-1])
                 group[-1] = (key, first)
             else:
                 group.append((key, first))
-            if found.size > FLUSH:
+            if len(found) > FLUSH:
                 yield found.batch()
         close(group)
-        if found.size:
+        if len(found):
             yield found.batch()
 
 
