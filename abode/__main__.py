@@ -2,6 +2,8 @@
 
     python -m abode attributes --input feed1_db=... --input feed1_sheet=... ... --out OUT
     python -m abode measures   --input claims=... --input directory=... ... --out OUT --as-of 2025-04-01
+    python -m abode import     --input master=... --input history=... --out OUT --as-of 2025-04-01
+    python -m abode update     --input claims=... --input directory=... --input pcon_lookup=... --out OUT --as-of ...
     python -m abode provenance --master M --table-list L --tables-root R --population P --out OUT --as-of ...
 
 Inputs ending in ``.csv`` (or folders of CSV given with ``csv:`` prefix) are
@@ -53,6 +55,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     m.add_argument("--as-of", required=True)
     m.add_argument("--lenient", action="store_true", help="route gate offenders instead of stopping")
     m.add_argument("--replace-label", action="store_true", help="replace rows of the same FY label")
+    b = sub.add_parser("import", help="publish both cumulative masters in parts, for update")
+    b.add_argument("--input", action="append", default=[], help="name=path (master, history)")
+    b.add_argument("--out", required=True)
+    b.add_argument("--as-of", required=True)
+    u = sub.add_parser("update", help="annual measures on the masters published in parts; changed years only")
+    u.add_argument("--input", action="append", default=[], help="name=path (claims, directory, pcon_lookup)")
+    u.add_argument("--out", required=True)
+    u.add_argument("--as-of", required=True)
+    u.add_argument("--lenient", action="store_true", help="route gate offenders instead of stopping")
+    u.add_argument("--replace-label", action="store_true", help="replace rows of the same FY label")
+    u.add_argument("--reports", action="store_true", help="write both report CSVs of the whole masters")
     p = sub.add_parser("provenance", help="provenance extract (47 columns)")
     p.add_argument("--master", required=True)
     p.add_argument("--table-list", required=True)
@@ -73,6 +86,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             i["claims"], i["directory"], i["pcon_lookup"], i["previous_master"], i["previous_history"],
             args.out, dt.date.fromisoformat(args.as_of), strict=not args.lenient,
             replace_label=args.replace_label)
+    elif args.command == "import":
+        i = _inputs(spark, args.input)
+        result = runs.import_masters(i["master"], i["history"], args.out, dt.date.fromisoformat(args.as_of))
+    elif args.command == "update":
+        i, as_of = _inputs(spark, args.input), dt.date.fromisoformat(args.as_of)
+        result = runs.run_annual_update(i["claims"], i["directory"], i["pcon_lookup"], args.out, as_of,
+                                        strict=not args.lenient, replace_label=args.replace_label)
+        if args.reports:
+            result |= runs.write_reports(spark, args.out, as_of)
     else:
         tables = runs.load_listed_tables(
             spark, _read(spark, args.table_list),

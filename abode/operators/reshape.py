@@ -107,9 +107,12 @@ def resolve_wide(
     specs: Sequence[AttributeSpec],
     technologies: Sequence[str] = (),
     tech_attr: str = "RENEWABLES",
+    counts: bool = False,
 ) -> DataFrame:
     """One row per key with (value, TIMESTAMP_x, SOURCE_x) per attribute.
 
+    ``counts`` adds ``ROWS_x``, the key's observations of each attribute.
+
     Technologies give ``<T>`` ("Yes"/""), ``RENEWABLE_COUNT``,
     ``<T>_SOURCE`` ("" when absent) and ``<T>_TIMESTAMP`` (first by arrival).
     ``obs`` must already be filtered (``exclude_observations``).
@@ -119,6 +122,8 @@ def resolve_wide(
         payload = F.struct(("num" if s.numeric else "value"), "ts", "source")
         hit = F.col("attr") == s.name
         aggs.append(F.min_by(payload, F.when(hit, _order(s.policy))).alias(f"_{s.name}"))
+        if counts:
+            aggs.append(F.count_if(hit).alias(f"ROWS_{s.name}"))
     for t in technologies:
         hit = (F.col("attr") == tech_attr) & (F.col("value") == t)
         aggs.append(F.max(F.when(hit, 1).otherwise(0)).alias(f"_{t}_flag"))
@@ -141,6 +146,8 @@ def resolve_wide(
         cols.append(count.cast("int").alias("RENEWABLE_COUNT"))
         cols += [F.coalesce(F.col(f"_{t}_first.source"), F.lit("")).alias(f"{t}_SOURCE") for t in technologies]
         cols += [F.col(f"_{t}_first.ts").alias(f"{t}_TIMESTAMP") for t in technologies]
+    if counts:
+        cols += [F.col(f"ROWS_{s.name}") for s in specs]
     return grouped.select(*cols)
 
 

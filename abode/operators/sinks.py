@@ -4,7 +4,8 @@ Output names carry an ``as_of`` date passed in by the caller (never the
 clock inside a plan), so a re-run of the same day rewrites the same paths.
 Publishing writes new dated versions, takes the next publication number, which only
 one publisher can, and repoints ``CURRENT``; the master a plan reads is never
-overwritten by the same plan, and an earlier publication can be restored.
+overwritten by the same plan, and an earlier publication can be restored. A frame published
+in parts (``Parts``) writes only those that changed and keeps the folders of the others.
 """
 
 from __future__ import annotations
@@ -14,12 +15,19 @@ import datetime as _dt
 import io
 import json
 import uuid
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from abode.session import delete_path, setting
 
+_PART = "published_part"
+
 
 def write_attribute_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header, missing as ``NA``. Values are quoted only when needed
@@ -56,7 +64,69 @@ class PublishConflict(RuntimeError):
     """Another publisher was faster, or what is published is not what the caller has read."""
 
 
-def publish(frames: dict[str, DataFrame], root: str, as_of: _dt.date, expected: int | None = None) -> dict[str, str]:
+@dataclass(frozen=True)
+class Parts:
+    """A frame published in parts, one for each value of ``by`` (one in all without it).
+
+    Rows of ``df`` are written, each part sorted by ``order`` (missing values last), with
+    ``columns`` only if given. ``kept`` are folders of earlier publications by part: they
+    are published again without being read or written, before new rows of the same part.
+    """
+
+    df: DataFrame
+    by: str | None = None
+    order: Sequence[str] = ()
+    columns: Sequence[str] | None = None
+    kept: dict[str, list[str]] = field(default_factory=dict)
+
+
+#: What a publication says of a frame: its folder, or its schema and the folders of its parts.
+Version = str | dict
+
+
+def part_label(value: str | None) -> str:
+    """Name of the part that holds the rows with ``value``; missing and empty values have parts of their own."""
+    return "none" if value is None else f"is-{value}"
+
+
+def _label(by: str | None) -> Column:
+    value = F.lit(None).cast("string") if by is None else F.col(f"`{by}`").cast("string")
+    return F.when(value.isNull(), F.lit("none")).otherwise(F.concat(F.lit("is-"), value))
+
+
+def published_parts(version: Version | None) -> dict[str, list[str]]:
+    """Folders by part of a frame published in parts; none before its first publication."""
+    if isinstance(version, str):
+        raise ValueError(f"{version} is not published in parts")
+    return dict(version["parts"]) if version else {}
+
+
+def read_published(spark: SparkSession, version: Version, values: Iterable[str | None] | None = None) -> DataFrame:
+    """The rows of a published frame; of the parts of ``values`` only, if given."""
+    if isinstance(version, str):
+        return spark.read.parquet(version)
+    schema = T.StructType.fromJson(version["schema"])
+    labels = version["parts"] if values is None else [part_label(v) for v in values]
+    folders = [folder for label in labels for folder in version["parts"].get(label, [])]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def _write_parts(parts: Parts, folder: str) -> Version:
+    """Rows go to the folder of their part. They are sorted by part first, so a task writes few of them."""
+    spark, names = parts.df.sparkSession, list(parts.columns or parts.df.columns)
+    labelled = parts.df.withColumn(_PART, _label(parts.by))
+    labelled = labelled.orderBy(_PART, *[F.col(f"`{c}`").asc_nulls_last() for c in parts.order])
+    labelled.select(*[f"`{c}`" for c in names], _PART).write.partitionBy(_PART).parquet(folder)
+    fs, target = _file_system(spark, folder)
+    found = {label: list(folders) for label, folders in parts.kept.items()}
+    for status in fs.listStatus(target):
+        name, _, label = status.getPath().getName().partition("=")
+        if name == _PART:
+            found.setdefault(unquote(label), []).append(f"{folder}/{status.getPath().getName()}")
+    return {"schema": parts.df.select(*[f"`{c}`" for c in names]).schema.jsonValue(), "parts": dict(sorted(found.items()))}
+
+
+def publish(frames: dict[str, DataFrame | Parts], root: str, as_of: _dt.date, expected: int | None = None) -> dict[str, Version]:
     """Write a new version of every frame, then publish all of them at once.
 
     Versions have folders of their own (``<name>/version=<as_of>-<run>``), so
@@ -65,18 +135,24 @@ def publish(frames: dict[str, DataFrame], root: str, as_of: _dt.date, expected:
     from, the one at the start of this call unless given; if another publisher has taken the
     next number meanwhile, this one raises ``PublishConflict``, and what it wrote stays unpublished.
     """
-    spark = next(iter(frames.values())).sparkSession
+    first = next(iter(frames.values()))
+    spark = (first.df if isinstance(first, Parts) else first).sparkSession
     root = root.rstrip("/")
     base = publication_number(spark, root) if expected is None else expected
     run = uuid.uuid4().hex[:8]
-    targets = {name: f"{root}/{name}/version={as_of.isoformat()}-{run}" for name in frames}
+    targets: dict[str, Version] = {}
     for name, df in frames.items():
-        df.write.parquet(targets[name])
+        folder = f"{root}/{name}/version={as_of.isoformat()}-{run}"
+        if isinstance(df, Parts):
+            targets[name] = _write_parts(df, folder)
+        else:
+            df.write.parquet(folder)
+            targets[name] = folder
     _publish(spark, root, base, targets)
     return targets
 
 
-def restore(spark: SparkSession, root: str, number: int, expected: int | None = None) -> dict[str, str]:
+def restore(spark: SparkSession, root: str, number: int, expected: int | None = None) -> dict[str, Version]:
     """Publish the versions of publication ``number`` again, under the next number; nothing is rewritten."""
     root = root.rstrip("/")
     known = dict(publications(spark, root))
@@ -87,7 +163,7 @@ def restore(spark: SparkSession, root: str, number: int, expected: int | None =
     return known[number]
 
 
-def publications(spark: SparkSession, root: str) -> list[tuple[int, dict[str, str]]]:
+def publications(spark: SparkSession, root: str) -> list[tuple[int, dict[str, Version]]]:
     """All publications with the folders of their frames, oldest first."""
     return [(n, json.loads(_read_text(spark, f"{_log(root)}/{n:09d}"))) for n in _numbers(spark, root)]
 
@@ -97,8 +173,8 @@ def publication_number(spark: SparkSession, root: str) -> int:
     return max(_numbers(spark, root), default=0)
 
 
-def current_versions(spark: SparkSession, root: str) -> dict[str, str]:
-    """Folder of the published version of each frame; empty before the first publication."""
+def current_versions(spark: SparkSession, root: str) -> dict[str, Version]:
+    """Folder (or parts) of the published version of each frame; empty before the first publication."""
     number = publication_number(spark, root)
     return json.loads(_read_text(spark, f"{_log(root)}/{number:09d}")) if number else {}
 
@@ -107,7 +183,7 @@ def _log(root: str) -> str:
     return f"{root.rstrip('/')}/publications"
 
 
-def _publish(spark: SparkSession, root: str, base: int, targets: dict[str, str]) -> None:
+def _publish(spark: SparkSession, root: str, base: int, targets: dict[str, Version]) -> None:
     """Take number ``base`` + 1, which only one publisher can, then repoint ``CURRENT`` for other readers."""
     text = json.dumps(targets)
     if publication_number(spark, root) != base or not _put_text(spark, f"{_log(root)}/{base + 1:09d}", text, replace=False):

@@ -17,7 +17,7 @@ Plan shape (the point of the design):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from abode.functions import dates as D
@@ -217,12 +217,12 @@ def observations(feed1: DataFrame | None, feed2: DataFrame | None, warehouse: Da
     return out
 
 
-def resolve_attributes(obs: DataFrame) -> DataFrame:
+def resolve_attributes(obs: DataFrame, counts: bool = False) -> DataFrame:
     """One row per property with value, TIMESTAMP_x, SOURCE_x per attribute and
-    the technology matrix -- a single aggregation."""
+    the technology matrix -- a single aggregation. ``counts`` adds ROWS_x (``observe_duplicates``)."""
     specs = attribute_specs()
     kept = R.exclude_observations(obs, specs, "RENEWABLES", e1.TECHNOLOGY_EXCLUDED)
-    return R.resolve_wide(kept, specs, e1.TECHNOLOGIES, "RENEWABLES").withColumnRenamed("key", "UPRN")
+    return R.resolve_wide(kept, specs, e1.TECHNOLOGIES, "RENEWABLES", counts).withColumnRenamed("key", "UPRN")
 
 
 def attribute_table(wide: DataFrame, name: str) -> DataFrame:
@@ -290,3 +290,21 @@ def duplicate_report(observations: DataFrame) -> DataFrame:
     kept = R.exclude_observations(observations, attribute_specs()).where(F.col("attr") != "RENEWABLES")
     return kept.groupBy("attr").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")).withColumn(
         "n_duplicates", F.col("n_rows") - F.col("n_keys"))
+
+
+def observe_duplicates(wide: DataFrame) -> tuple[DataFrame, Observation]:
+    """(wide without ROWS_x, what its write observes): the numbers of ``duplicate_report`` come with the
+    one aggregation that resolves everything, without a scan, shuffle or distinct count of their own."""
+    names = [s.name for s in attribute_specs()]
+    seen = Observation("duplicates")
+    numbers = [n for a in names for n in (F.coalesce(F.sum(f"ROWS_{a}"), F.lit(0)).alias(f"rows_{a}"),
+                                          F.count_if(F.col(f"ROWS_{a}") > 0).alias(f"keys_{a}"))]
+    return wide.observe(seen, *numbers).drop(*[f"ROWS_{a}" for a in names]), seen
+
+
+def observed_duplicates(spark: SparkSession, seen: Observation) -> DataFrame:
+    """``duplicate_report`` of a write that has ended: a row for each attribute with observations."""
+    got = seen.get
+    rows = [(s.name, got[f"rows_{s.name}"], got[f"keys_{s.name}"], got[f"rows_{s.name}"] - got[f"keys_{s.name}"])
+            for s in attribute_specs() if got[f"rows_{s.name}"]]
+    return spark.createDataFrame(rows, "attr string, n_rows long, n_keys long, n_duplicates long")

@@ -9,6 +9,7 @@ worksheet, customer as the property lookup, lineitem as the feed-2 sheet.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -18,8 +19,10 @@ from abode.plans import measures as E2
 from abode.plans import oracle_rules as O
 from abode.plans.catalogue import (_LITERAL_PICK, _PHRASES, _WS, _case, _rules_sql, _squish_sql, _split_select,
                                    _tonum_sql, query, table)
+from abode.operators import sinks as S
+from abode.plans.runs import import_masters, refresh_published
 from abode.rules import e1, e2
-from abode.session import stage_table
+from abode.session import checkpoint_root, stage_table, staging
 from abode.sources.warehouse import warehouse_observations
 
 _TENURES = ["Owner occupied", "Private - Owner", "Private rented", "Local Authority", "Housing Association",
@@ -270,6 +273,13 @@ def _duplicates_before_resolution(spark, sf_dir):
     return E1.duplicate_report(_observed(spark, sf_dir))
 
 
+def _duplicates_observed(spark, sf_dir):
+    """Q-04 / A-06: the same numbers, observed by the write of the resolved rows."""
+    counted, seen = E1.observe_duplicates(E1.resolve_attributes(_observed(spark, sf_dir), counts=True))
+    stage_table(counted, "attribute-wide")
+    return E1.observed_duplicates(spark, seen)
+
+
 def _observations_sql() -> str:
     """CTEs up to ``keptobs``: keyed observations of all sources after exclusion."""
     region = ", ".join(f"'{r}'" for r in _WH_REGION)
@@ -353,10 +363,11 @@ SELECT *, CAST({data_count} AS INTEGER) AS DATA_COUNT FROM masterm"""
 query("attribute_master", _attribute_master_sql())(attribute_master)
 query("attribute_master_merged", _attribute_master_sql())(_attribute_master_merged)
 query("timestamped_master", _timestamped_master_sql())(_timestamped_master)
-query("duplicates_before_resolution",
-      f"WITH {_observations_sql()} SELECT attr, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT k) AS BIGINT) AS n_keys, "
-      "CAST(count(*) - count(DISTINCT k) AS BIGINT) AS n_duplicates FROM keptobs WHERE attr <> 'RENEWABLES' GROUP BY attr")(
-    _duplicates_before_resolution)
+_DUPLICATES_SQL = (
+    f"WITH {_observations_sql()} SELECT attr, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT k) AS BIGINT) AS n_keys, "
+    "CAST(count(*) - count(DISTINCT k) AS BIGINT) AS n_duplicates FROM keptobs WHERE attr <> 'RENEWABLES' GROUP BY attr")
+query("duplicates_before_resolution", _DUPLICATES_SQL)(_duplicates_before_resolution)
+query("duplicates_observed", _DUPLICATES_SQL)(_duplicates_observed)
 
 
 # -- annual claims cleaning (orders as one year's claims worksheet) -----------
@@ -467,17 +478,54 @@ def _new_rows_select(dialect: str) -> str:
     ])
 
 
-def _master_refresh(spark, sf_dir):
-    """K-13/K-14: re-geocode the cumulative master (new lookup wins, old value
-    kept when unmatched), append the new year, tidy addresses, sort."""
+def _refresh_inputs(spark, sf_dir):
+    """(previous master, rows of 1998 as those of the new year with their date, constituency lookup)."""
     orders = table(spark, sf_dir, "orders")
     prev = orders.where("o_orderdate < DATE'1998-01-01'").selectExpr(
         *_split_select(f"SELECT {_prev_master_select('spark')} FROM orders"))
     new = orders.where("o_orderdate >= DATE'1998-01-01'").selectExpr(
-        *_split_select(f"SELECT {_new_rows_select('spark')} FROM orders"))
+        *_split_select(f"SELECT {_new_rows_select('spark')} FROM orders"), "o_orderdate")
     names = table(spark, sf_dir, "nation").selectExpr(
         "concat('E140', lpad(CAST(n_nationkey AS STRING), 5, '0')) AS PCON24CD", "n_name AS PCON24NM", "n_nationkey AS seq")
-    return E2.refresh_master(prev, new, _C._geo_spark(spark, sf_dir), names)
+    return prev, new, names
+
+
+def _master_refresh(spark, sf_dir):
+    """K-13/K-14: re-geocode the cumulative master (new lookup wins, old value
+    kept when unmatched), append the new year, tidy addresses, sort."""
+    prev, new, names = _refresh_inputs(spark, sf_dir)
+    return E2.refresh_master(prev, new.drop("o_orderdate"), _C._geo_spark(spark, sf_dir), names)
+
+
+_HALF = "o_orderdate < DATE'1998-04-01'"
+
+
+def _published_years(spark, sf_dir):
+    """Both masters published in parts, then the new year in two halves: the first refresh rewrites the
+    years with other geography, the second one year, whose earlier rows it re-geocodes."""
+    prev, new, names = _refresh_inputs(spark, sf_dir)
+    geo, root, as_of = _C._geo_spark(spark, sf_dir), f"{checkpoint_root(spark)}/years-{uuid.uuid4().hex}", _CLAIMS_AS_OF
+    import_masters(prev, E2.history_columns(prev), root, as_of)
+    with staging(spark) as stage:
+        for half in (new.where(_HALF), new.where(f"NOT ({_HALF})")):
+            refresh_published(half.drop("o_orderdate"), geo, names, root, as_of, False, stage)
+    return S.current_versions(spark, root)
+
+
+def _master_refresh_years(spark, sf_dir):
+    """K-14 / SNK-06: a master in parts by year, of which a refresh writes those that change."""
+    return S.read_published(spark, _published_years(spark, sf_dir)["measures_master"])
+
+
+def _history_years(spark, sf_dir):
+    """K-15: the history so far as one part, each half year as one more folder."""
+    return S.read_published(spark, _published_years(spark, sf_dir)["measures_history"])
+
+
+def _history_years_sql() -> str:
+    cols = ", ".join(f'{src} AS "{dst}"' for dst, src in e2.HISTORY_COLUMNS.items())
+    return (f"SELECT {cols} FROM (SELECT {_prev_master_select('duck')} FROM orders WHERE o_orderdate < DATE '1998-01-01') "
+            f"UNION ALL SELECT {cols} FROM (SELECT {_new_rows_select('duck')} FROM orders WHERE o_orderdate >= DATE '1998-01-01')")
 
 
 def _title_expr_sql(col: str) -> str:
@@ -487,7 +535,8 @@ def _title_expr_sql(col: str) -> str:
     return _squish_sql(inner)
 
 
-def _master_refresh_sql() -> str:
+def _master_refresh_sql(twice: str = "false") -> str:
+    """``twice``: new rows that a second refresh has re-geocoded."""
     cols = e2.MASTER_COLUMNS
     geo_cols = ["LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME"]
     prev_out = ", ".join(f"coalesce(g.{c}, p.{c}) AS {c}" if c in geo_cols else f"p.{c}" for c in cols)
@@ -498,11 +547,14 @@ names AS (SELECT 'E140' || lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS PCON24C
 geon AS (SELECT g.pcds, g.LAUA_CODE, g.LAUA_NAME, g.PCON_CODE, n.PCON_NAME FROM geo g
          LEFT JOIN names n ON g.PCON_CODE IS NOT DISTINCT FROM n.PCON24CD),
 prev AS (SELECT {_prev_master_select('duck')} FROM orders WHERE o_orderdate < DATE '1998-01-01'),
-newr AS (SELECT {_new_rows_select('duck')} FROM orders WHERE o_orderdate >= DATE '1998-01-01'),
-prevr AS (SELECT {prev_out} FROM prev p LEFT JOIN geon g
+newr AS (SELECT {_new_rows_select('duck')}, {twice} AS twice FROM orders WHERE o_orderdate >= DATE '1998-01-01'),
+old AS (SELECT {', '.join(cols)} FROM prev UNION ALL SELECT {', '.join(cols)} FROM newr WHERE twice),
+prevr AS (SELECT {prev_out} FROM old p LEFT JOIN geon g
           ON lower(replace(p.POSTCODE, ' ', '')) IS NOT DISTINCT FROM g.pcds),
-u AS (SELECT {', '.join(cols)} FROM prevr UNION ALL SELECT {', '.join(cols)} FROM newr)
+u AS (SELECT {', '.join(cols)} FROM prevr UNION ALL SELECT {', '.join(cols)} FROM newr WHERE NOT twice)
 SELECT {tidy} FROM u"""
 
 
 query("master_refresh", _master_refresh_sql())(_master_refresh)
+query("master_refresh_years", _master_refresh_sql("o_orderdate < DATE '1998-04-01'"))(_master_refresh_years)
+query("history_years", _history_years_sql())(_history_years)

@@ -176,29 +176,71 @@ def append_and_tidy(previous: DataFrame, new: DataFrame) -> DataFrame:
     return out.withColumns({c: X.tidy_address(F.col(c).cast("string")) for c in e2.ADDRESS_COLUMNS})
 
 
-def refresh_master(previous: DataFrame, new: DataFrame, geography: DataFrame, pcon_lookup: DataFrame,
-                   replace_label: bool = False, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
-    """Re-geocode the cumulative master, append the new year, tidy, sort.
+#: Columns that a refresh takes from the postcode lookup.
+GEOGRAPHY_COLUMNS = ["LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME"]
 
-    The global sort samples its input first; ``stage`` (if given) writes the
-    joined rows once before that, so that the joins run once. New lookup values win; the old ones are the fallback (a district named
+
+def named_geography(geography: DataFrame, pcon_lookup: DataFrame) -> DataFrame:
+    """Postcode geography with constituency names."""
+    names = constituency_names(pcon_lookup)
+    return geography.join(names, geography["PCON_CODE"].eqNullSafe(names["PCON24CD"]), "left").select("pcds", *GEOGRAPHY_COLUMNS)
+
+
+def refreshed_rows(previous: DataFrame, new: DataFrame, geography: DataFrame, pcon_lookup: DataFrame,
+                   replace_label: bool = False) -> DataFrame:
+    """Previous rows re-geocoded, new rows appended, addresses tidied, with the sort key ``_add``.
+
+    New lookup values win; the old ones are the fallback (a district named
     "Unknown" therefore replaces an old name). ``replace_label`` removes
     rows of the same FY label first, making re-runs idempotent.
     """
-    names = constituency_names(pcon_lookup)
-    geo = geography.join(names, geography["PCON_CODE"].eqNullSafe(names["PCON24CD"]), "left") \
-                   .select("pcds", "LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME")
     prev = previous.withColumn("pcds", X.postcode_key("POSTCODE"))
-    prev = J.refresh_columns(prev, geo, {"pcds": "pcds"}, ["LAUA_CODE", "LAUA_NAME", "PCON_CODE", "PCON_NAME"])
+    prev = J.refresh_columns(prev, named_geography(geography, pcon_lookup), {"pcds": "pcds"}, GEOGRAPHY_COLUMNS)
     prev = prev.select(*e2.MASTER_COLUMNS)
     if replace_label:
         labels = new.select("FY").distinct()
         prev = prev.join(labels, "FY", "left_anti").select(*e2.MASTER_COLUMNS)
-    out = append_and_tidy(prev, new.select(*e2.MASTER_COLUMNS))
+    return append_and_tidy(prev, new.select(*e2.MASTER_COLUMNS))
+
+
+def refresh_master(previous: DataFrame, new: DataFrame, geography: DataFrame, pcon_lookup: DataFrame,
+                   replace_label: bool = False, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Re-geocode the cumulative master, append the new year, tidy, sort (``refreshed_rows``).
+
+    The global sort samples its input first; ``stage`` (if given) writes the
+    joined rows once before that, so that the joins run once.
+    """
+    out = refreshed_rows(previous, new, geography, pcon_lookup, replace_label)
     return sort_master(stage(out, "master") if stage else out)
 
 
+def changed_years(previous: DataFrame, new: DataFrame, geography: DataFrame, pcon_lookup: DataFrame) -> list[str | None]:
+    """FY labels, sorted, whose rows a refresh changes: those of new rows, and those in which a place
+    gets another geography, meets several lookup rows or has an untidy address.
+
+    Rows are first reduced to their different places by partial aggregation, so the join with the
+    lookup moves a row for each year and place. Labels are one for each year and come to the driver.
+    """
+    untidy = F.lit(False)
+    for c in e2.ADDRESS_COLUMNS:
+        untidy = untidy | ~F.col(c).cast("string").eqNullSafe(X.tidy_address(F.col(c).cast("string")))
+    places = previous.withColumn("pcds", X.postcode_key("POSTCODE")).groupBy("FY", "pcds", *GEOGRAPHY_COLUMNS).agg(
+        F.bool_or(untidy).alias("_untidy"))
+    found = named_geography(geography, pcon_lookup).groupBy("pcds").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.struct(*GEOGRAPHY_COLUMNS)).alias("_new"))
+    moved = F.col("_untidy") | (F.coalesce(F.col("_n"), F.lit(0)) > 1)
+    for c in GEOGRAPHY_COLUMNS:
+        moved = moved | (F.col(f"_new.{c}").isNotNull() & ~F.col(f"_new.{c}").eqNullSafe(F.col(c)))
+    years = J.lookup_join(places, found, "pcds", null_safe=True).where(moved).select("FY")
+    return sorted((r["FY"] for r in years.union(new.select("FY")).distinct().collect()), key=lambda y: (y is None, y))
+
+
+def history_columns(extract: DataFrame, *more: str) -> DataFrame:
+    """The report's columns of an extract, under the report's names, and ``more`` as they are."""
+    return extract.select(*[F.col(src).alias(dst) for dst, src in e2.HISTORY_COLUMNS.items()], *more)
+
+
 def append_history(history: DataFrame, new_extract: DataFrame) -> DataFrame:
     """Historic report: report-named columns, new year appended."""
-    renamed = new_extract.select(*[F.col(src).alias(dst) for dst, src in e2.HISTORY_COLUMNS.items()])
+    renamed = history_columns(new_extract)
     return history.unionByName(renamed, allowMissingColumns=True)

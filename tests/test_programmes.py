@@ -11,6 +11,7 @@ from abode.plans import measures as E2
 from abode.plans.provenance import joined_row_counts, provenance_extract, renewables_provenance
 from abode.rules import e1, e2
 from abode.sources.landed import HeaderError
+from abode.session import stage_table
 from abode.sources.warehouse import warehouse_observations
 
 K1, K2, K3, K4, K5, K6 = (100000000000 + i for i in range(1, 7))
@@ -366,6 +367,51 @@ def test_annual_runner(spark, claims, geo_inputs, scratch):
     assert again["master"] != paths["master"] and spark.read.parquet(paths["master"]).count() == spark.read.parquet(again["master"]).count()
 
 
+def test_annual_update(spark, claims, geo_inputs, scratch):
+    """The masters published in parts hold what the whole runner publishes, and so do the reports."""
+    from abode.operators import sinks as S
+    from abode.plans import runs
+
+    geo_dir = spark.createDataFrame([("BT1 1AA", "N09000003", "P1"), ("BT2 2BB", "N09000004", "P2"),
+                                     ("BT9 9ZZ", "N09000005", "P2")],
+                                    "pcds string, lad25cd string, pcon24cd string")
+    _, names = geo_inputs
+    cells = {c: None for c in e2.MASTER_COLUMNS}
+    rows = [cells | {"FY": "FY2021", "POSTCODE": "ZZ9 9ZZ", "STREET": "Far Road"},
+            cells | {"FY": "FY2122", "POSTCODE": "BT2 2BB", "LAUA_NAME": "Ards", "STREET": "near road ,"}]
+    prev = spark.createDataFrame([tuple(r[c] for c in e2.MASTER_COLUMNS) for r in rows], ", ".join(f"{c} string" for c in e2.MASTER_COLUMNS))
+    hist = spark.createDataFrame([("A", "B", "C", "D", "E", "F")], ", ".join(f"`{c}` string" for c in e2.HISTORY_COLUMNS))
+    raw = claims.select(*[F.col(v).alias(k) for k, v in e2.CLAIM_COLUMNS.items()])
+    day = dt.date(2025, 4, 1)
+    whole = runs.run_annual_measures(raw, geo_dir, names, prev, hist, f"{scratch}/whole", day)
+    runs.import_masters(prev, hist, f"{scratch}/parts", day)
+    paths = runs.run_annual_update(raw, geo_dir, names, f"{scratch}/parts", day)
+    reports = runs.write_reports(spark, f"{scratch}/parts", day)
+    text = lambda df: sorted(map(str, df.collect()))
+    read = lambda path: spark.read.option("header", "true").option("escape", '"').csv(path)
+    for name in ("master", "history"):
+        assert text(S.read_published(spark, paths[name])) == text(spark.read.parquet(whole[name]))
+        assert text(read(reports[f"{name}_report"])) == text(read(whole[f"{name}_report"]))
+    assert paths["years"] == ["FY2122", sorted({r.FY for r in spark.read.parquet(whole["cleaned"]).collect()})[0]]
+    assert text(read(paths["annual"])) == text(read(whole["annual"]))
+
+
+def test_duplicates_come_with_the_write(spark, e1_inputs):
+    """Observed numbers equal those of a separate count."""
+    obs = E1.observations(E1.clean_feed1(*e1_inputs[:3]), E1.clean_feed2(e1_inputs[3]), None)
+    obs = obs.union(obs.where("attr = 'PROPERTY_TENURE'"))
+    counted, seen = E1.observe_duplicates(E1.resolve_attributes(obs, counts=True))
+    assert counted.columns == E1.resolve_attributes(obs).columns
+    kept = stage_table(counted, "counted")
+    got = E1.observed_duplicates(spark, seen)
+    assert sorted(got.collect()) == sorted(E1.duplicate_report(obs).collect()) and got.count() > 5
+    assert sorted(map(str, kept.collect())) == sorted(map(str, E1.resolve_attributes(obs).collect()))
+    empty, seen = E1.observe_duplicates(E1.resolve_attributes(obs.limit(0), counts=True))
+    stage_table(empty, "counted")
+    assert E1.observed_duplicates(spark, seen).count() == 0
+
+
+
 def test_claims_invariants_on_driver_tables(spark):
     """Kept + blank-postcode rows = unmarked input; quarantine only holds singletons."""
     from abode.plans import catalogue_feeds as CF

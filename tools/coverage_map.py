@@ -33,7 +33,7 @@ MAP = {
     "SNK-03": (f"{O}/sinks.py `write_quoted_csv` + `dated_path`", "`sink_dated_csv`"),
     "SNK-04": (f"{P}/runs.py `run_annual_measures` (FY-labelled CSV); {O}/sinks.py `dated_path`", "`sink_dated_csv`, test_annual_runner"),
     "SNK-05": (f"{O}/sinks.py `write_quoted_csv(encoding=)`, `write_one_file`; both report CSVs of run_annual_measures", "`sink_encoded_csv`, `sink_one_file`, test_annual_runner"),
-    "SNK-06": (f"native `write.parquet`; {O}/sinks.py `publish`; cleaned claims of run_annual_measures", "`publish_versions`, test_annual_runner"),
+    "SNK-06": (f"native `write.parquet`; {O}/sinks.py `publish`, `Parts`; cleaned claims of run_annual_measures", "`publish_versions`, `master_refresh_years`, test_annual_runner"),
     "SNK-07": (f"{O}/sinks.py `publish` / `current_versions`", "`publish_versions`, test_publish_versions"),
     "P-01": (f"{S}/landed.py `normalise_headers`", "test_normalise_headers"),
     "P-02": ("native `withColumnsRenamed` (`land_claims`, `FEED1_SHEET_RENAMES`)", "test_programmes"),
@@ -144,13 +144,13 @@ MAP = {
     "K-11": (f"{P}/measures.py `explode_claim_measures`", "`annual_measure_rows`"),
     "K-12": (f"{P}/measures.py `postcode_geography`", "`postcode_geography`"),
     "K-13": (f"{P}/measures.py `annual_extract`, `department_extract`", "`annual_extract`, `department_extract`"),
-    "K-14": (f"{P}/measures.py `refresh_master`", "`master_refresh`"),
-    "K-15": (f"{P}/measures.py `append_history`", "`history_append`"),
+    "K-14": (f"{P}/measures.py `refresh_master`, `changed_years`; runs.py `refresh_published`", "`master_refresh`, `master_refresh_years`, test_only_changed_years_are_written"),
+    "K-15": (f"{P}/measures.py `append_history`; runs.py `refresh_published`", "`history_append`, `history_years`"),
     "K-16": (f"{O}/sinks.py `publish` (numbered, one publisher wins), `restore`", "`publish_versions`, test_publications, test_annual_runner"),
     "Q-01": (f"{O}/quality.py `gate`", "`quality_gate_counts`, `quality_gate_offenders`, `claims_offenders`"),
     "Q-02": (f"{P}/measures.py `geography_gate`", "`geography_offenders`"),
     "Q-03": (f"{O}/filters.py `split_blank_key`", "`quarantine_split`"),
-    "Q-04": (f"{P}/attributes.py `duplicate_report`", "`duplicates_before_resolution`"),
+    "Q-04": (f"{P}/attributes.py `duplicate_report`, `observe_duplicates`", "`duplicates_before_resolution`, `duplicates_observed`"),
     "Q-05": (f"{O}/joins.py `missing_from`; runs.py report", "`population_anti`, test_runners_end_to_end"),
     "Q-06": (f"{O}/quality.py `assert_unique`", "`unique_keys`"),
     "Q-07": (f"{O}/quality.py `check_columns`, called by run_attribute_resolution", "`column_drift`, test_runners_end_to_end"),
