@@ -93,6 +93,19 @@ def test_repeated_year_and_replacement(spark, scratch):
     assert S.read_published(spark, once["measures_history"]).count() == 2
 
 
+def test_command_line_import(spark, scratch):
+    from abode.__main__ import main
+
+    _master(spark, PREVIOUS).write.parquet(f"{scratch}/master")
+    spark.createDataFrame([], HISTORY).write.parquet(f"{scratch}/history")
+    result = main(["import", "--input", f"master={scratch}/master", "--input", f"history={scratch}/history",
+                   "--out", f"{scratch}/out", "--as-of", "2025-04-01"], spark=spark)
+    assert result == S.current_versions(spark, f"{scratch}/out")
+    assert _rows(S.read_published(spark, result["measures_master"])) == _rows(_master(spark, PREVIOUS))
+    with pytest.raises(S.PublishConflict):  # masters are imported once
+        runs.import_masters(_master(spark, PREVIOUS), spark.createDataFrame([], HISTORY), f"{scratch}/out", DAY)
+
+
 def test_restore_and_conflict(spark, scratch):
     _start(spark, scratch)
     new = _master(spark, [("FY2425", "BT1 1AA", "A Road", *ONE)])
