@@ -112,10 +112,15 @@ def read_published(spark: SparkSession, version: Version, values: Iterable[str |
 
 
 def _write_parts(parts: Parts, folder: str) -> Version:
-    """Rows go to the folder of their part. They are sorted by part first, so a task writes few of them."""
+    """Rows go to the folder of their part. With an order they are sorted by part first, so a task writes
+    few parts; rows that tie are told apart by their hash, so one place or year may fill many tasks. Without one
+    nothing is shuffled: a range of the part alone would be a single task for a whole year.
+    """
     spark, names = parts.df.sparkSession, list(parts.columns or parts.df.columns)
     labelled = parts.df.withColumn(_PART, _label(parts.by))
-    labelled = labelled.orderBy(_PART, *[F.col(f"`{c}`").asc_nulls_last() for c in parts.order])
+    if parts.order:
+        tie = F.xxhash64(*[f"`{c}`" for c in names])
+        labelled = labelled.orderBy(_PART, *[F.col(f"`{c}`").asc_nulls_last() for c in parts.order], tie)
     labelled.select(*[f"`{c}`" for c in names], _PART).write.partitionBy(_PART).parquet(folder)
     fs, target = _file_system(spark, folder)
     found = {label: list(folders) for label, folders in parts.kept.items()}

@@ -9,7 +9,7 @@ from abode.operators import sinks as S
 from abode.plans import measures as E2
 from abode.plans import runs
 from abode.rules import e2
-from abode.session import staging
+from abode.session import setting, staging
 
 DAY = dt.date(2025, 4, 1)
 MASTER = ", ".join(f"{c} string" for c in e2.MASTER_COLUMNS)
@@ -146,3 +146,14 @@ def test_a_frame_without_parts(spark, scratch):
     assert list(S.published_parts(now["b"])) == ["none"] and S.published_parts(None) == {}
     with pytest.raises(ValueError):
         S.published_parts(now["a"])
+
+
+def test_one_year_is_written_by_many_tasks(spark, scratch):
+    """No task gets a whole year: neither without an order, nor where a third of all rows tie."""
+    rows = spark.range(0, 60_000, 1, 4).selectExpr("id", "'FY1' AS FY", "if(id % 3 = 0, 'hot', concat('p', id)) AS place")
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+        now = S.publish({"plain": S.Parts(rows, "FY"), "sorted": S.Parts(rows, "FY", ("place",))}, scratch, DAY)
+    for name in ("plain", "sorted"):
+        (folder,) = S.published_parts(now[name])["is-FY1"]
+        sizes = [r["count"] for r in spark.read.parquet(folder).groupBy("_metadata.file_path").count().collect()]
+        assert sum(sizes) == 60_000 and len(sizes) >= 4 and max(sizes) <= 60_000 / 3
