@@ -183,12 +183,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     near = stage(_near(_places(keyed, entities.select("doc_key").distinct()), entities))
     terms = stage(_disclosing(docs.select(text.alias("text")), found.count(), entities, near, threshold, min_support).select("term").distinct())
     words = keyed.select("doc_key", F.explode(_words(F.col("text"))).alias("term"))
-    many = terms.count()
-    if many <= BROADCAST_TERMS:
-        terms = F.broadcast(terms)
-    elif many <= BROADCAST_HASHES:
-        words = words.join(F.broadcast(terms.select(F.xxhash64("term").alias("hash"))), F.xxhash64(words["term"]) == F.col("hash"), "left_semi")
-    held = stage(words.join(terms, "term", "left_semi").groupBy("doc_key").agg(F.collect_set("term").alias("terms")))
+    held = stage(_among(words, terms).groupBy("doc_key").agg(F.collect_set("term").alias("terms")))
     marked = (_outside(_places(keyed, held, lambda value: F.array_contains("terms", F.lower(value))).distinct(), entities)
               .groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", F.col("term").alias("value")))).alias("term")))
     return (found.join(marked, "doc_key", "left")
@@ -208,6 +203,21 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))), F.lower))
 
 
+def _hashed_among(words: DataFrame, terms: DataFrame, many: int) -> DataFrame:
+    """``words`` whose hash one of the ``many`` terms has; all words if a broadcast can't hold that many hashes."""
+    if many > BROADCAST_HASHES:
+        return words
+    return words.join(F.broadcast(terms.select(F.xxhash64("term").alias("hash"))), F.xxhash64(words["term"]) == F.col("hash"), "left_semi")
+
+
+def _among(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """``words`` that are one of ``terms`` (staged, each once)."""
+    many = terms.count()
+    if many <= BROADCAST_TERMS:
+        return words.join(F.broadcast(terms), "term", "left_semi")
+    return _hashed_among(words, terms, many).join(terms, "term", "left_semi")
+
+
 def _disclosing(texts: DataFrame, total: int, entities: DataFrame, near: DataFrame, threshold: float, min_support: int) -> DataFrame:
     """Pairs of entity and term that reach the threshold."""
     entity_docs = entities.select("entity", "doc_key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("entity_docs"))
@@ -222,10 +232,12 @@ def _disclosing(texts: DataFrame, total: int, entities: DataFrame, near: DataFra
                   .filter((information > 0) & (mutual(F.col("near_docs")) >= threshold * information)).drop("near_docs"))
     wanted = joint.select("term").distinct()
     words = texts.select(F.explode(_words(F.col("text"))).alias("term"))
-    if wanted.count() <= BROADCAST_TERMS:
-        counted = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
-    else:
+    many = wanted.count()
+    if many > BROADCAST_TERMS:
+        words = _hashed_among(words, wanted, many)
         counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("term_docs")).join(wanted, "term", "left_semi")
+    else:
+        counted = words.join(F.broadcast(wanted), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("term_docs"))
     reached = mutual(F.col("term_docs"))
     return (joint.join(counted, "term").filter(reached >= threshold * information)
             .select("entity", "term", (reached / information).alias("disclosure")))

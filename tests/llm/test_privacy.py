@@ -96,6 +96,21 @@ def test_terms_are_marked_in_whole_texts_of_all_documents(spark, monkeypatch, li
     assert not any("zanzibarix" in r.text.lower() for r in privacy.sanitise(docs).collect())
 
 
+def test_words_are_counted_after_a_cut_by_hash(spark, monkeypatch):
+    """Too many terms for a broadcast of their texts: words of other hashes stay out of the shuffle."""
+    docs = spark.createDataFrame([(f"zanzibarix common {i}",) for i in range(20)] + [("common zanzibarix zanzibarix",), (None,)], "text string")
+    entities = spark.createDataFrame([("email:a@b.de", i, i) for i in range(20)], "entity string, doc_key long, text_hash long")
+    near = spark.createDataFrame([("email:a@b.de", "zanzibarix", i, i) for i in range(20)], "entity string, term string, doc_key long, text_hash long")
+    args = docs, 1000, entities, near, 0.9, 1
+    want = privacy._disclosing(*args).collect()
+    monkeypatch.setattr(privacy, "BROADCAST_TERMS", 0)
+    cut = privacy._disclosing(*args)
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, (xxhash64(term" in plan
+    monkeypatch.setattr(privacy, "BROADCAST_HASHES", 0)
+    assert [r.term for r in want] == ["zanzibarix"] and cut.collect() == want == privacy._disclosing(*args).collect()
+
+
 def plain_terms(docs):
     """Spans of disclosing words by document, from sets of documents. ``docs`` are (id, text), ids and texts differ."""
     word = regex.compile(r"[\p{L}\p{M}\p{N}]+")
