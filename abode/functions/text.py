@@ -37,30 +37,31 @@ def lower_squish(c: Column | str) -> Column:
     return squish(F.lower(_col(c)))
 
 
-# The Unicode White_Space code points of WHITESPACE_CLASS, as a Spark SQL literal.
+# The Unicode White_Space code points of WHITESPACE_CLASS.
 _WS_CODEPOINTS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                   0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-_WS_LITERAL = "".join(f"\\u{cp:04X}" for cp in _WS_CODEPOINTS)
+_WS_CHARACTERS = "".join(map(chr, _WS_CODEPOINTS))
 
 
-def lower_trim_unicode(name: str) -> Column:
+def lower_trim_unicode(c: Column | str) -> Column:
     """lower + trim Unicode whitespace at both ends, without a regex.
 
     For a value only ever compared with a single word (a yes/no cell),
     ``lower_trim_unicode(c) == "yes"`` exactly when ``lower_squish(c) == "yes"``.
     """
-    return F.expr(f"TRIM(BOTH '{_WS_LITERAL}' FROM lower(`{name}`))")
+    return F.btrim(F.lower(_col(c)), F.lit(_WS_CHARACTERS))
 
 
-def is_word(name: str, word: str) -> Column:
-    """``lower_trim_unicode(name) == word`` for an ASCII word; a missing cell is not it.
+def is_word(c: Column | str, word: str) -> Column:
+    """``lower_trim_unicode(c) == word`` for an ASCII word; a missing cell is not it.
 
     A cell as long as the word can't have white space around it, and a shorter one can't
-    hold it, so only longer cells are trimmed.
+    hold it, so only longer cells are trimmed, and of all white space only if plain spaces aren't it.
     """
-    length = F.length(F.col(f"`{name}`"))
-    return (F.when(length == len(word), F.lower(F.col(f"`{name}`")) == word)
-            .when(length > len(word), lower_trim_unicode(name) == word).otherwise(F.lit(False)))
+    c = _col(c)
+    length, plain = F.length(c), F.lower(F.trim(c)) == word
+    return (F.when(length == len(word), F.lower(c) == word)
+            .when(length > len(word), plain | (F.lower(c).contains(word) & (lower_trim_unicode(c) == word))).otherwise(F.lit(False)))
 
 
 def is_blank(c: Column | str) -> Column:

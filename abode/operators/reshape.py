@@ -74,6 +74,37 @@ def to_observations(
     return exploded.select("key", "o.attr", "o.value", "o.num", "ts", "source", "source_rank", "seq")
 
 
+def to_observed_rows(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    attrs: dict[str, str],
+    names: Sequence[str],
+    source: str = "SOURCE",
+    rank: str = "source_rank",
+    seq: str = "seq",
+    numeric: dict[str, str] | None = None,
+    exclude: dict[str, Sequence] | None = None,
+) -> DataFrame:
+    """``to_observations`` with the observations of a row side by side: ``(key, ts, source, rank, seq)``
+    and a column for each of ``names``, missing where the row observes nothing of it.
+
+    A row stays one row, so what reads all attributes (``resolve_rows``, counts by key) moves and sorts it once
+    instead of once an attribute.
+    """
+    def said(name: str) -> Column:
+        if name in (numeric or {}):
+            return F.col(f"`{numeric[name]}`").cast("double")
+        if name not in attrs:
+            return F.lit(None).cast("string")
+        value, out = F.col(f"`{attrs[name]}`").cast("string"), (exclude or {}).get(name)
+        return F.when(~value.isin(list(out)), value) if out else value
+
+    return df.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(source).alias("source"), F.col(rank).alias("source_rank"),
+        F.col(seq).alias("seq"), *[said(n).alias(n) for n in names])
+
+
 @dataclass(frozen=True)
 class AttributeSpec:
     name: str                 # attribute name in the long frame
@@ -128,8 +159,11 @@ def resolve_wide(
         hit = (F.col("attr") == tech_attr) & (F.col("value") == t)
         aggs.append(F.max(F.when(hit, 1).otherwise(0)).alias(f"_{t}_flag"))
         aggs.append(F.min_by(F.struct("source", "ts"), F.when(hit, _order("first"))).alias(f"_{t}_first"))
-    grouped = obs.groupBy("key").agg(*aggs)
+    return _resolved(obs.groupBy("key").agg(*aggs), specs, technologies, counts)
 
+
+def _resolved(grouped: DataFrame, specs: Sequence[AttributeSpec], technologies: Sequence[str], counts: bool) -> DataFrame:
+    """The columns of ``resolve_wide`` from winners by key: structs ``_x``, ``_<T>_flag`` and ``_<T>_first``."""
     cols = [F.col("key")]
     for s in specs:
         v = "num" if s.numeric else "value"
@@ -151,6 +185,31 @@ def resolve_wide(
     return grouped.select(*cols)
 
 
+def resolve_rows(rows: DataFrame, specs: Sequence[AttributeSpec], technologies: Sequence[str] = (), tech_attr: str = "RENEWABLES",
+                 counts: bool = False) -> DataFrame:
+    """``resolve_wide`` of observations side by side (``to_observed_rows``): the same columns and rows.
+
+    One aggregation and one exchange. A winner is the smallest of one struct, order first, so a
+    row is compared once an attribute it has, not once for each attribute and observation.
+    """
+    def winner(hit: Column, order: list[Column], payload: list[Column]) -> Column:
+        return F.min(F.when(hit, F.struct(*order, *payload)))
+
+    by_date, landed = [F.isnull("ts").alias("tn"), (-F.unix_date("ts")).alias("t")], [F.col("source_rank").alias("r"), F.col("seq").alias("s")]
+    aggs = [F.max(F.coalesce(*[F.when(F.col(n).isNotNull(), 1) for n in (*(s.name for s in specs), *([tech_attr] if technologies else []))])).alias("_some")]
+    for s in specs:
+        value = F.col(s.name).alias("num" if s.numeric else "value")
+        order = by_date + landed if s.policy == "latest" else landed
+        aggs.append(winner(F.col(s.name).isNotNull(), order, [value, F.col("ts"), F.col("source")]).alias(f"_{s.name}"))
+        if counts:
+            aggs.append(F.count(s.name).alias(f"ROWS_{s.name}"))
+    for t in technologies:
+        aggs.append(winner(F.col(tech_attr) == t, landed, [F.col("source"), F.col("ts")]).alias(f"_{t}_first"))
+    grouped = rows.groupBy("key").agg(*aggs).where("_some = 1")  # a key without any observation is none
+    return _resolved(grouped.withColumns({f"_{t}_flag": F.when(F.col(f"_{t}_first").isNotNull(), 1).otherwise(0) for t in technologies}),
+                     specs, technologies, counts)
+
+
 def observation_state(obs: DataFrame, specs: Sequence[AttributeSpec], technologies: Sequence[str] = (), tech_attr: str = "RENEWABLES") -> DataFrame:
     """The observations that decide: the winner of every key and attribute, and the first
     of every key and technology.

@@ -17,7 +17,9 @@ Plan shape (the point of the design):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from abode.functions import dates as D
@@ -104,6 +106,18 @@ def fill_measure(df: DataFrame, measure: str = "MEASURE", second: str = "Non_ECO
     return df.withColumn(measure, F.when(fill, F.col(second)).otherwise(F.col(measure))).where(F.col(measure).isNotNull())
 
 
+def _classified(df: DataFrame, inputs: list[str], tables: list[tuple], columns: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """``df`` with the classes of rule ``tables`` over ``inputs``; ``columns`` gives what the rules read.
+
+    All tables are one function of a row's inputs. As columns of their own they
+    would be one generated method, too large for HotSpot to compile unless the session is set for it.
+    """
+    classes = F.transform(F.array(F.struct(*inputs)), lambda row: F.struct(*[
+        classify(rules, default, **columns(row)).alias(name) for name, rules, default in tables]))
+    df = df.withColumn("__classes", F.get(classes, F.lit(0)))
+    return df.withColumns({name: F.col(f"__classes.{name}") for name, *_ in tables}).drop("__classes")
+
+
 def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame) -> DataFrame:
     """Feed 1 (database extract + newer worksheet) -> classified rows.
 
@@ -123,9 +137,16 @@ def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame)
     sh = sh.withColumnsRenamed({k: v for k, v in FEED1_SHEET_RENAMES.items() if k in sh.columns})
     sh = sh.select("UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure", "POSTCODE",
                    D.year_start("FYEAR").alias("FYEAR_DATE"), (F.col("seq") + _SEQ_BLOCK).alias("seq"))
-    both = db.unionByName(sh, allowMissingColumns=True)
-    both = both.withColumns({"MEASURE": F.lower("MEASURE"), "Non_ECO_Measure": F.lower("Non_ECO_Measure")})
-    both = P.map_text(both, X.squish, ["UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure", "POSTCODE"])
+
+    def tidied(df: DataFrame) -> DataFrame:
+        """One function over an array of the texts, which keeps the generated code small."""
+        names = ["UPRN", "TIMESTAMP", "TENURE", "MEASURE", "Non_ECO_Measure"]
+        texts = [F.lower(c) if c in ("MEASURE", "Non_ECO_Measure") else F.col(c).cast("string") for c in names]
+        kept = [c for c in ("FYEAR_DATE", "seq") if c in df.columns]
+        tidy = df.select(F.transform(F.array(*texts), X.squish).alias("texts"), *kept)
+        return tidy.select(*[F.get("texts", F.lit(i)).alias(c) for i, c in enumerate(names)], *kept)
+
+    both = tidied(db).unionByName(tidied(sh), allowMissingColumns=True)
     both = fill_measure(both).withColumn("UPRN", to_key("UPRN")).where(F.col("UPRN").isNotNull())
     both = both.withColumns({"MEASURE": X.lower_squish("MEASURE"), "TENURE": X.lower_squish("TENURE")})
 
@@ -137,7 +158,7 @@ def clean_feed1(db_extract: DataFrame, sheet: DataFrame, uprn_lookup: DataFrame)
     out = D.with_dmy_dates(both, "TIMESTAMP", F.col("FYEAR_DATE"))
     out = out.withColumns({"SOURCE": F.lit(e1.SOURCE_FEED1),
                             "PROPERTY_TYPE_NAME": F.lit(e1.UNKNOWN), "PROPERTY_AGE_NAME": F.lit(e1.UNKNOWN)})
-    out = out.withColumns({name: classify(rules, default) for name, rules, default in FEED1_CLASSIFIERS})
+    out = _classified(out, ["MEASURE", "TENURE"], FEED1_CLASSIFIERS, lambda row: {c: row[c] for c in ("MEASURE", "TENURE")})
     return out.select("UPRN", "PCON_CODE", "TIMESTAMP", "YEAR", "SOURCE", "seq", *CATEGORY_COLUMNS)
 
 
@@ -149,21 +170,22 @@ def clean_feed2(sheet: DataFrame) -> DataFrame:
     without a declared header stops the run.
     """
     required = ["UPRN", "Master Completion Date", "Tenure", *e1.FEED2_FLAG_HEADERS, *e1.FEED2_NUMERIC_HEADERS.values(), "seq"]
-    df = _with_seq(require_columns(normalise_headers(sheet), required, "feed 2 worksheet"))
+    df = require_columns(normalise_headers(sheet), required, "feed 2 worksheet")
+    # Yes/no cells are only compared with "yes": each is looked at once, and the rules then compare a
+    # constant or nothing. One function over an array of like cells keeps the generated code small.
+    cells = F.array(*[F.col(f"`{h}`").cast("string") for h in e1.FEED2_FLAG_HEADERS])
+    numbers = F.array(*[F.col(f"`{src}`").cast("string") for src in e1.FEED2_NUMERIC_HEADERS.values()])
+    df = _with_seq(df.select("UPRN", "`Master Completion Date`", X.lower_squish(F.col("Tenure")).alias("tenure"), "seq",
+                             F.transform(cells, lambda c: X.is_word(c, "yes")).alias("said_yes"),
+                             F.transform(numbers, to_number).alias("numbers")))
     df = FL.drop_junk_keys(df, "UPRN", e1.JUNK_KEYS)
     df = df.withColumn("UPRN", to_key("UPRN"))
     df = D.with_iso_dates(df, "`Master Completion Date`")
-    flags = {h: flag_col for h in e1.FEED2_FLAG_HEADERS if (flag_col := e1.flag_name(h))}
-    # Yes/no cells are only compared with "yes": each is looked at once, without a
-    # regex, and the rules then compare a constant or nothing.
-    df = df.select(
-        "UPRN", "TIMESTAMP", "YEAR", "seq",
-        X.lower_squish(F.col("Tenure")).alias("tenure"),
-        *[F.when(X.is_word(h, "yes"), F.lit("yes")).alias(flags[h]) for h in e1.FEED2_FLAG_HEADERS],
-        *[to_number(F.col(f"`{src}`")).alias(name) for name, src in e1.FEED2_NUMERIC_HEADERS.items()])
+    df = df.withColumns({name: F.get("numbers", F.lit(i)) for i, name in enumerate(e1.FEED2_NUMERIC_HEADERS)})
     df = df.withColumns({"SOURCE": F.lit(e1.SOURCE_FEED2), "PROPERTY_TYPE_NAME": F.lit(e1.UNKNOWN),
                          "PROPERTY_AGE_NAME": F.lit(e1.UNKNOWN), "RIR_INS": F.lit(None).cast("string")})
-    df = df.withColumns({name: classify(rules, default) for name, rules, default in FEED2_CLASSIFIERS})
+    df = _classified(df, ["tenure", "said_yes"], FEED2_CLASSIFIERS, lambda row: {"tenure": row["tenure"]} | {
+        e1.flag_name(h): F.when(F.get(row["said_yes"], F.lit(i)), F.lit("yes")) for i, h in enumerate(e1.FEED2_FLAG_HEADERS)})
     return df.select("UPRN", "TIMESTAMP", "YEAR", "SOURCE", "seq", *CATEGORY_COLUMNS, *e1.FEED2_NUMERIC_HEADERS)
 
 
@@ -178,8 +200,12 @@ _FEED_ATTRS = {
 }
 
 
+#: Attributes whose values are numbers.
+NUMERIC = ("SAP_SCORE", "SAP_FUEL_BILL")
+
+
 def attribute_specs() -> list[R.AttributeSpec]:
-    return [R.AttributeSpec(name, out, policy, numeric=name in ("SAP_SCORE", "SAP_FUEL_BILL"),
+    return [R.AttributeSpec(name, out, policy, numeric=name in NUMERIC,
                             exclude=tuple(excl))
             for name, out, _code, _rule, excl, policy in e1.ATTRIBUTES]
 
@@ -189,11 +215,23 @@ def excluded_values() -> dict[str, tuple]:
     return {name: tuple(excl) for name, _out, _code, _rule, excl, _policy in e1.ATTRIBUTES} | {"RENEWABLES": e1.TECHNOLOGY_EXCLUDED}
 
 
-def observations(feed1: DataFrame | None, feed2: DataFrame | None, warehouse: DataFrame | None) -> DataFrame:
-    """Stack all sources into the long observation frame (one union). Values of
-    feeds that say nothing are left out before rows are made of them."""
+def observations(feed1: DataFrame | None, feed2: DataFrame | None, warehouse: DataFrame | None, long: bool = True) -> DataFrame:
+    """Stack all sources into one observation frame (one union). Values of
+    feeds that say nothing are left out before rows are made of them.
+
+    ``long``: a row for each observation. Otherwise those of a source's row stay side by side, in a column
+    for each attribute (``R.to_observed_rows``); resolution and ``duplicate_report`` read either."""
     parts = []
-    if warehouse is not None:
+    names = [s.name for s in attribute_specs()] + ["RENEWABLES"]
+    if warehouse is not None and not long:
+        own = warehouse.select(
+            "UPRN", "TIMESTAMP", "SOURCE", "seq", *[F.when(F.col("attr") == n, F.col("value")).alias(n) for n in names if n not in NUMERIC],
+            *[F.lit(None).cast("double").alias(n) for n in NUMERIC])
+        own = own.select(F.col("UPRN").cast("long").alias("UPRN"), F.col("TIMESTAMP").cast("date").alias("TIMESTAMP"), "SOURCE", F.col("seq").cast("long").alias("seq"),
+                         F.lit(e1.SOURCE_RANK[e1.SOURCE_WAREHOUSE]).alias("source_rank"), *names)
+        parts.append(R.to_observed_rows(own, "UPRN", "TIMESTAMP", {n: n for n in names if n not in NUMERIC}, names, numeric={n: n for n in NUMERIC},
+                                        exclude=excluded_values()))
+    elif warehouse is not None:
         parts.append(warehouse.select(
             F.col("UPRN").cast("long").alias("key"), "attr", F.col("value").cast("string").alias("value"),
             F.lit(None).cast("double").alias("num"), F.col("TIMESTAMP").cast("date").alias("ts"),
@@ -210,6 +248,11 @@ def observations(feed1: DataFrame | None, feed2: DataFrame | None, warehouse: Da
                 "_sap": F.coalesce("POST_SAP_SCORE", "PRE_SAP_SCORE"),
                 "_bill": F.coalesce("POST_FUEL_BILL", "PRE_FUEL_BILL")})
             numeric = {"SAP_SCORE": "_sap", "SAP_FUEL_BILL": "_bill"}
+        if not long:
+            for n in (n for n in NUMERIC if n not in numeric):
+                feed, numeric[n] = feed.withColumn(f"_no_{n}", F.lit(None).cast("double")), f"_no_{n}"
+            parts.append(R.to_observed_rows(feed, "UPRN", "TIMESTAMP", attrs, names, numeric=numeric, exclude=excluded_values()))
+            continue
         parts.append(R.to_observations(feed, "UPRN", "TIMESTAMP", attrs, source="SOURCE", numeric=numeric, exclude=excluded_values()))
     out = parts[0]
     for p in parts[1:]:
@@ -221,6 +264,8 @@ def resolve_attributes(obs: DataFrame, counts: bool = False) -> DataFrame:
     """One row per property with value, TIMESTAMP_x, SOURCE_x per attribute and
     the technology matrix -- a single aggregation. ``counts`` adds ROWS_x (``observe_duplicates``)."""
     specs = attribute_specs()
+    if "attr" not in obs.columns:  # side by side, what says nothing is missing already
+        return R.resolve_rows(obs, specs, e1.TECHNOLOGIES, "RENEWABLES", counts).withColumnRenamed("key", "UPRN")
     kept = R.exclude_observations(obs, specs, "RENEWABLES", e1.TECHNOLOGY_EXCLUDED)
     return R.resolve_wide(kept, specs, e1.TECHNOLOGIES, "RENEWABLES", counts).withColumnRenamed("key", "UPRN")
 
@@ -286,7 +331,17 @@ def duplicate_report(observations: DataFrame) -> DataFrame:
 
     Counted on what resolution reads: keyed observations after exclusion. The
     technology observations are not a table of their own and don't count.
+    Observations side by side are counted by key first, so a row meets one hash aggregation of plain
+    counts instead of one for each of its observations.
     """
+    if "attr" not in observations.columns:
+        names = [s.name for s in attribute_specs()]
+        by_key = observations.groupBy("key").agg(*[F.count(n).alias(n) for n in names])
+        total = by_key.agg(*[F.sum(n).alias(f"rows_{n}") for n in names], *[F.count_if(F.col(n) > 0).alias(f"keys_{n}") for n in names])
+        counted = total.select(F.explode(F.array(*[
+            F.struct(F.lit(n).alias("attr"), F.col(f"rows_{n}").alias("n_rows"), F.col(f"keys_{n}").alias("n_keys"),
+                     (F.col(f"rows_{n}") - F.col(f"keys_{n}")).alias("n_duplicates")) for n in names])).alias("o"))
+        return counted.select("o.*").where("n_rows > 0")
     kept = R.exclude_observations(observations, attribute_specs()).where(F.col("attr") != "RENEWABLES")
     return kept.groupBy("attr").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("key").alias("n_keys")).withColumn(
         "n_duplicates", F.col("n_rows") - F.col("n_keys"))
