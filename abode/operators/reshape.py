@@ -69,9 +69,9 @@ def to_observations(
     exploded = df.where(F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(source).alias("source"),
         F.col(rank).alias("source_rank"), F.col(seq).alias("seq"),
-        F.explode(F.array_compact(F.array(*arms))).alias("o"),
+        F.explode(F.array(*arms)).alias("o"),  # not compacted: Spark would repeat all cells in a filter below
     )
-    return exploded.select("key", "o.attr", "o.value", "o.num", "ts", "source", "source_rank", "seq")
+    return exploded.where("o IS NOT NULL").select("key", "o.attr", "o.value", "o.num", "ts", "source", "source_rank", "seq")
 
 
 def to_observed_rows(
