@@ -5,7 +5,10 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,10 +32,28 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return checkpoint_root(spark)
 
 
+#: With this setting the shuffle files of a query go when it has run, not when the driver happens to collect garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _releasing(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a slim frame in the shared checkpoint folder."""
+    """Cut the lineage of a slim frame in the shared checkpoint folder; shuffle files behind it go."""
     checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with _releasing(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)  # a new frame, so that the setting holds
 
 
 def partitions(df: DataFrame) -> int:
@@ -99,6 +120,35 @@ def as_bytes(texts: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in texts.cast(kind).to_pylist()]
 
 
+def split_by_range(hashes: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of ``ranges`` equal ranges of 64-bit hashes with the places of its members, in order."""
+    of = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    for bucket, part in zip(range(ranges), np.split(order, np.searchsorted(of[order], np.arange(1, ranges)))):
+        if len(part):
+            yield bucket, part
+
+
+def packed(values: np.ndarray, kind) -> bytes:
+    return np.ascontiguousarray(values, kind).tobytes()
+
+
+def by_range(rows: DataFrame, ranges: int) -> DataFrame:
+    """Rows of one ``bucket`` side by side in one task."""
+    return rows.repartition(ranges, "bucket").sortWithinPartitions("bucket")
+
+
+def rows_by_bucket(batches: Batches) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows of sorted batches, one bucket at a time; the first column is the bucket."""
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield tuple(column[k].as_py() for column in batch.columns)
+
+    for bucket, group in groupby(rows(), key=lambda r: r[0]):
+        yield bucket, list(group)
+
+
 def source_key(name: str) -> Column:
     """Group key that is never null; the null group sorts after every text."""
     return F.when(col(name).isNull(), F.lit("~")).otherwise(F.concat(F.lit("="), col(name).cast("string")))

@@ -10,7 +10,7 @@ import xxhash
 
 from abode.llm.common import as_bytes
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes hashed at once; the arrays then stay in the cache.
 _CHUNK = 1 << 17
 
@@ -33,13 +33,13 @@ def _hash_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
     lengths = np.diff(np.append(starts, len(data)))
-    powers = np.cumprod(np.full(int(lengths.max()), _MIX))
+    powers = np.cumprod(np.full(int(lengths.max()), MIX))
     place = np.arange(starts[0], len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
     sums = _VALUES[data[starts[0]:]]
     sums *= powers[place]
     sums = np.add.reduceat(sums, starts - starts[0])
     sums ^= sums >> np.uint64(32)
-    sums *= _MIX
+    sums *= MIX
     return starts, sums ^ (sums >> np.uint64(29))
 
 
@@ -80,10 +80,10 @@ def _mixed(words: np.ndarray, size: int) -> np.ndarray:
     out = np.zeros(max(0, len(words) - size + 1), np.uint64)
     for k in range(size):
         out ^= out >> np.uint64(29)
-        out *= _MIX
+        out *= MIX
         out += words[k:k + len(out)]
     out ^= out >> np.uint64(32)
-    out *= _MIX
+    out *= MIX
     out ^= out >> np.uint64(29)
     return out
 

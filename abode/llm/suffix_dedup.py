@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abode.llm.common import as_bytes, col, partitions, released
+from abode.llm.common import as_bytes, by_range, col, packed, partitions, released, rows_by_bucket, split_by_range
 
 LENGTH = 100
 GRAM = 32
@@ -116,22 +115,6 @@ def _groups(texts: list[bytes]) -> Iterator[slice]:
         yield slice(first, len(texts))
 
 
-def _in_ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-
-
-def _by_range(of: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each range with the places of its members, in order."""
-    order = np.argsort(of, kind="stable")
-    for bucket, part in zip(range(ranges), np.split(order, np.searchsorted(of[order], np.arange(1, ranges)))):
-        if len(part):
-            yield bucket, part
-
-
-def _packed(values: np.ndarray, kind) -> bytes:
-    return np.ascontiguousarray(values, kind).tobytes()
-
-
 def _anchor_rows(ranges: int):
     """Anchors of a batch, packed by range: high hash bits, ids as steps, places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,9 +129,9 @@ def _anchor_rows(ranges: int):
                 found.append((doc + part.start, places - np.concatenate(([0], ends[:-1]))[doc], hashes))
             doc, inside, hashes = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
             out = []
-            for bucket, part in _by_range(_in_ranges(hashes, ranges), ranges):
+            for bucket, part in split_by_range(hashes, ranges):
                 high = (hashes[part] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
-                out.append((bucket, high.tobytes(), _packed(np.diff(ids[doc[part]], prepend=0), np.int64), _packed(inside[part], np.int32)))
+                out.append((bucket, high.tobytes(), packed(np.diff(ids[doc[part]], prepend=0), np.int64), packed(inside[part], np.int32)))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
                                              names=["bucket", "hashes", "ids", "places"]) if out else _empty_anchor_rows()
 
@@ -159,20 +142,9 @@ def _empty_anchor_rows() -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int32(), pa.binary(), pa.binary(), pa.binary())], names=["bucket", "hashes", "ids", "places"])
 
 
-def _rows_by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of sorted batches, one bucket at a time."""
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield tuple(column[k].as_py() for column in batch.columns)
-
-    for bucket, group in groupby(rows(), key=lambda r: r[0]):
-        yield bucket, list(group)
-
-
 def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Id and place of each anchor whose gram occurs twice or more."""
-    for _, rows in _rows_by_bucket(batches):
+    for _, rows in rows_by_bucket(batches):
         high = np.concatenate([np.frombuffer(r[1], np.uint8) for r in rows]).reshape(-1, 6)
         whole = np.zeros((len(high), 8), np.uint8)
         whole[:, :6] = high
@@ -242,13 +214,13 @@ def _sorted_runs(ranges: int):
                 order = np.lexsort((x, marks[d], ids[d]))
                 order = order[np.argsort(keys[order].view(f"S{WIDTH}").ravel(), kind="stable")]
                 out = []
-                for bucket, part in _by_range(_in_ranges(gram[order], ranges), ranges):
+                for bucket, part in split_by_range(gram[order], ranges):
                     rows = order[part]
                     new = np.concatenate(([True], (keys[rows[1:]] != keys[rows[:-1]]).any(axis=1)))
                     common, rest = front_coded(keys[rows[new]])
                     folded = np.diff(np.append(np.flatnonzero(new), len(rows)))
-                    out.append((bucket, common.tobytes(), pa.compress(rest.tobytes(), "zstd", asbytes=True), _packed(folded, np.int32), _packed(ids[d[rows]], np.int64),
-                                _packed(marks[d[rows]], np.int64), _packed(x[rows], np.int32)))
+                    out.append((bucket, common.tobytes(), pa.compress(rest.tobytes(), "zstd", asbytes=True), packed(folded, np.int32), packed(ids[d[rows]], np.int64),
+                                packed(marks[d[rows]], np.int64), packed(x[rows], np.int32)))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*out), _RUN)], names=[n for n, _ in _RUN])
 
@@ -441,7 +413,7 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Of the places of one suffix only the first so far is kept; all others are covered
     and go out at once, so a gram of any number of places needs memory for its different suffixes only.
     """
-    for _, rows in _rows_by_bucket(batches):
+    for _, rows in rows_by_bucket(batches):
         runs, places = [], []
         while rows:
             _, common, rest, folded, ids, marks, inside = rows.pop()
@@ -511,13 +483,12 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ranges = RANGES_PER_PARTITION * partitions(docs)
     raw = F.coalesce(col(text_col).cast("binary"), F.lit(b""))
     texts = docs.select(_document_key(id_col).alias("id"), F.xxhash64(raw).alias("mark"), raw.alias("text"))
-    by_range = lambda df: df.repartition(ranges, "bucket").sortWithinPartitions("bucket")
-    found = by_range(texts.select("id", "text").mapInArrow(released(_anchor_rows(ranges)), "bucket int, hashes binary, ids binary, places binary"))
+    found = by_range(texts.select("id", "text").mapInArrow(released(_anchor_rows(ranges)), "bucket int, hashes binary, ids binary, places binary"), ranges)
     again = (found.mapInArrow(released(_repeated_anchors), "id long, place int")
              .groupBy("id").agg(F.collect_list("place").alias("places")))
     runs = (texts.join(again, "id").select("id", "mark", "text", "places")
             .mapInArrow(released(_sorted_runs(ranges)), "bucket int, common binary, rest binary, folded binary, ids binary, marks binary, places binary"))
-    stretches = (by_range(runs).mapInArrow(released(_merged), "id long, mark long, first int, last int")
+    stretches = (by_range(runs, ranges).mapInArrow(released(_merged), "id long, mark long, first int, last int")
                  .groupBy("id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("stretches")))
     return texts.join(stretches, "id", "left").select("id", "mark", "text", F.filter("stretches", lambda s: s["mark"] == F.col("mark")).alias("stretches"))
 

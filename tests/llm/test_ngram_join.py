@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,7 @@ from conftest import EDGE
 from abode.llm import ngram_join, queries
 from abode.llm import shingles as shingles_module
 from abode.llm.components import components as connected
-from abode.llm.shingles import shingle_sets, word_hashes
+from abode.llm.shingles import sequence_digest, shingle_sets, word_hashes
 
 
 def families(seed):
@@ -154,3 +155,61 @@ def test_same_row_stays_of_rows_that_agree_in_id_and_text(spark):
     for parts in (1, 3):
         frame = spark.createDataFrame(rows, "doc_id long, text string, extra string").repartition(parts, "extra")
         assert [tuple(r) for r in ngram_join.one_of_each(frame).collect()] == [(1, "one two three four five six", "a")]
+
+
+def test_fine_cells_tell_long_sets_apart():
+    """Never more than the shingles of one side only; more than the limit for long sets that differ, which 32 cells pass."""
+    rule, rnd, cells, limit = ngram_join.Similarity(5, 80), np.random.default_rng(3), [], []
+    some = lambda n: np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
+    base = some(9_000)
+    sets = [base, base[rnd.random(len(base)) < 0.95], np.union1d(base[:8_000], some(300)), some(9_000), some(8_000), some(5_000), some(600), some(400)]
+    cells = [ngram_join.fine_cells(s) for s in sets]
+    assert cells[-1] is None and all(len(s) / 8 <= len(c) <= len(s) / 4 for s, c in zip(sets[:-1], cells))
+    fine = ngram_join.Fine(cells)
+    for i, a in enumerate(sets):
+        got = fine.apart(i, np.arange(len(sets)))
+        for j, b in enumerate(sets):
+            least = ngram_join.least_apart(cells[i], cells[j])
+            assert least <= len(np.setxor1d(a, b)) and got[j] in (0, least)
+            if rule.similar(len(np.intersect1d(a, b)), len(a), len(b)):
+                assert got[j] == least or len(cells[i]) not in (len(cells[j]), 2 * len(cells[j]), len(cells[j]) // 2)
+    a, b = sets[0], sets[3]
+    limit = len(a) + len(b) - 2 * rule.least_common(len(a), len(b))
+    coarse = [np.bincount((s >> np.uint64(59)).astype(np.int64), minlength=ngram_join.CELLS) for s in (a, b)]
+    assert np.abs(coarse[0] - coarse[1]).sum() <= limit < fine.apart(0, np.array([3]))[0]
+
+
+def test_buckets_of_a_range():
+    """Pairs of small buckets and members of large ones, whatever batch they come from; a class once a bucket."""
+    rule, order = ngram_join.Similarity(3, 80), type("Order", (), {"value": (np.zeros(0, np.uint64), np.zeros(0, np.int32))})
+    text = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    many = [text("m", 30) + f" x{k}" for k in range(ngram_join.SMALL_BUCKET + 4)]
+    few = [text("f", 30), text("f", 30) + " y", text("f", 30), text("own", 30), text("f", 12), None, ""]
+    batches = [pa.RecordBatch.from_arrays([pa.array(b, pa.string())], names=["text"]) for b in (many[:9] + few[:2], many[9:] + few[2:], [None])]
+    rows = [r for b in ngram_join._prefix_rows(rule, order, 5)(iter(batches)) for r in b.to_pylist()]
+    rows = pa.RecordBatch.from_pylist(sorted(rows, key=lambda r: r["bucket"]))
+    met = [r for b in ngram_join._meetings(rule)(iter([rows])) for r in b.to_pylist()]
+    buckets = {}
+    for name, found in {sequence_digest(w): f for w, f in shingle_sets(pa.array(many + few), 3) if len(f)}.items():
+        for pos, token in enumerate(found[:rule.prefix(len(found))].view(np.int64).tolist()):
+            buckets.setdefault(token, []).append((name, len(found), pos))
+    large = {(t, *c, len(b)) for t, b in buckets.items() if len(b) > ngram_join.SMALL_BUCKET for c in b}
+    small = [(x, y) for b in buckets.values() if len(b) <= ngram_join.SMALL_BUCKET for x in b for y in b if x[0] < y[0]]
+    pairs = {(x[0], y[0]) for x, y in small if 100 * min(x[1], y[1]) >= 80 * max(x[1], y[1])
+             and min(x[2], y[2]) + min(x[1] - x[2], y[1] - y[2]) >= rule.least_common(x[1], y[1])}
+    assert large and pairs and len(pairs) < len({(x[0], y[0]) for x, y in small})
+    got = [tuple(r[k] for k in ("token", "cls", "n", "pos", "m")) for r in met if r["token"] is not None]
+    assert sorted(got) == sorted(large) and {(r["a"], r["b"]) for r in met if r["token"] is None} == pairs
+
+
+def test_staged_frames_leave_no_shuffle_files(spark):
+    from abode.llm.common import RELEASE, stage
+
+    files = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, setting = files(), spark.conf.get(RELEASE)
+    staged = stage(spark.range(5000).selectExpr("id % 1000 as k").groupBy("k").count())
+    end = time.time() + 20
+    while files() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(RELEASE) == setting and staged.count() == 1000
