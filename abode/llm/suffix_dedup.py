@@ -5,14 +5,19 @@ of the 32-byte gram with the least hash among those of a string, so equal
 strings have an anchor at the same place inside. The suffix at an anchor, with
 the bytes before it, shows all strings that have the anchor.
 
-1. Anchors whose gram occurs once are dropped; no string there repeats.
+1. Hashes of all grams are dealt by range, and a filter of those that occur twice
+   is made. Anchors whose gram occurs once are dropped; no string there repeats.
 2. Tasks sort the suffixes of the others into runs, fold equal ones, and
    exchange the runs front-coded and packed, dealt by range of the gram's hash.
 3. A loser tree merges the runs of a range. It knows the common prefix of each
    head with the last output and never compares inside it. Suffixes with one gram
    come out together; those that match an earlier one on both sides of the
    anchor over ``LENGTH`` bytes or more are covered.
-4. Covered stretches are joined back to their documents.
+4. Covered stretches are united by document and joined back to their documents.
+
+Steps 2 and 3 run for a slice of the ranges at a time, so that runs on disk stay
+in proportion to the texts however much of them repeats; a slice's shuffle files
+go before the next one starts.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abode.llm.common import as_bytes, by_range, col, packed, partitions, released, rows_by_bucket, split_by_range
+from abode.llm.common import as_bytes, by_range, col, packed, partitions, released, rows_by_bucket, split_by_range, stage
 
 LENGTH = 100
 GRAM = 32
@@ -39,6 +45,11 @@ CHUNK, RUN = 1 << 18, 50_000
 #: Bytes of texts laid out at once; one longer text goes alone.
 GROUP = 4 << 20
 RANGES_PER_PARTITION = 2
+#: Anchors in a slice, as a share of all, and bytes of its filter, which is broadcast.
+SLICE, FILTERS = 0.5, 32 << 20
+#: Bits of the filter for each gram; low bits of a hash that are not looked at when grams are counted (40 are).
+BITS, CUT = 10, np.uint64(24)
+_FACTORS = tuple(np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Random values of bytes, powers of an odd number and of its inverse, for hashes of strings at any offset.
 _BYTES = np.random.default_rng(7).integers(0, 2**64, 256, dtype=np.uint64)
@@ -115,45 +126,104 @@ def _groups(texts: list[bytes]) -> Iterator[slice]:
         yield slice(first, len(texts))
 
 
-def _anchor_rows(ranges: int):
-    """Anchors of a batch, packed by range: high hash bits, ids as steps, places."""
+def _batch_anchors(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place inside, and hash of the anchors of a batch, in order; mixed once more, as anchors have low hashes and ranges are to be even."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    for part in _groups(raw):
+        text, ends = _laid_out(raw[part])
+        places, hashes = anchors(text, ends)
+        doc = np.searchsorted(ends, places, side="right")
+        found.append((doc + part.start, places - np.concatenate(([0], ends[:-1]))[doc], hashes))
+    doc, inside, hashes = (np.concatenate(c) for c in zip(*found))
+    return doc, inside, hashes * _MIX
+
+
+def _gram_rows(ranges: int):
+    """Grams at the anchors of a batch by range, five bytes of the hash each: those that occur once, those that occur more often, and the number of anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            order = np.argsort(batch.column(0).to_numpy(), kind="stable")
-            ids, raw = batch.column(0).to_numpy()[order], as_bytes(batch.column(1))
-            raw, found = [raw[i] for i in order], []
-            for part in _groups(raw):
-                text, ends = _laid_out(raw[part])
-                places, hashes = anchors(text, ends)
-                doc = np.searchsorted(ends, places, side="right")
-                found.append((doc + part.start, places - np.concatenate(([0], ends[:-1]))[doc], hashes))
-            doc, inside, hashes = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            _, _, hashes = _batch_anchors(as_bytes(batch.column(0)))
+            grams, times = np.unique(hashes >> CUT, return_counts=True)
             out = []
-            for bucket, part in split_by_range(hashes, ranges):
-                high = (hashes[part] >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
-                out.append((bucket, high.tobytes(), packed(np.diff(ids[doc[part]], prepend=0), np.int64), packed(inside[part], np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                                             names=["bucket", "hashes", "ids", "places"]) if out else _empty_anchor_rows()
+            for bucket, part in split_by_range(grams << CUT, ranges):
+                once, high = times[part] == 1, grams[part].view(np.uint8).reshape(-1, 8)[:, :5]
+                out.append((bucket, high[once].tobytes(), high[~once].tobytes(), int(times[part].sum())))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, (_, kind) in enumerate(_GRAMS)], names=[n for n, _ in _GRAMS])
 
     return run
 
 
-def _empty_anchor_rows() -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([], k) for k in (pa.int32(), pa.binary(), pa.binary(), pa.binary())], names=["bucket", "hashes", "ids", "places"])
-
-
-def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Id and place of each anchor whose gram occurs twice or more."""
-    for _, rows in rows_by_bucket(batches):
-        high = np.concatenate([np.frombuffer(r[1], np.uint8) for r in rows]).reshape(-1, 6)
-        whole = np.zeros((len(high), 8), np.uint8)
-        whole[:, :6] = high
-        _, number, times = np.unique(whole.view(np.uint64).ravel(), return_inverse=True, return_counts=True)
-        again = times[number] > 1
-        ids = np.concatenate([np.cumsum(np.frombuffer(r[2], np.int64)) for r in rows])[again]
-        places = np.concatenate([np.frombuffer(r[3], np.int32) for r in rows])[again]
-        if len(ids):
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(places)], names=["id", "place"])
+_GRAMS = (("bucket", pa.int32()), ("once", pa.binary()), ("more", pa.binary()), ("anchors", pa.int64()))
+
+
+def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each range a filter of the grams that occur twice or more, and the number of their anchors and of all."""
+    def whole(parts: list[bytes]) -> np.ndarray:
+        high = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, 5)
+        out = np.zeros((len(high), 8), np.uint8)
+        out[:, :5] = high
+        return out.view(np.uint64).ravel()
+
+    for bucket, rows in rows_by_bucket(batches):
+        once, more = whole([r[1] for r in rows]), whole([r[2] for r in rows])
+        grams, times = np.unique(np.concatenate((once, more, more)), return_counts=True)
+        grams = grams[times > 1]
+        every = sum(r[3] for r in rows)
+        again = every - len(once) + int(np.isin(once, grams).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([GramFilter.piece(grams)], pa.binary()), pa.array([again], pa.int64()), pa.array([every], pa.int64())],
+                                         names=["bucket", "filter", "again", "anchors"])
+
+
+class GramFilter:
+    """A Bloom filter of grams that occur twice, in a piece for each range; ranges without a piece have none."""
+
+    def __init__(self, sizes: np.ndarray, bits: np.ndarray):
+        self.sizes, self.bits, self.starts = sizes, bits, np.cumsum(sizes) - sizes
+
+    @staticmethod
+    def whole(ranges: int, pieces: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """What a task needs, as arrays: workers read broadcasts without this module."""
+        sizes = np.zeros(ranges, np.uint64)
+        for bucket, piece in pieces.items():
+            sizes[bucket] = 8 * len(piece)
+        return sizes, np.frombuffer(b"".join(pieces[k] for k in sorted(pieces)), np.uint8)
+
+    @staticmethod
+    def _places(grams: np.ndarray, sizes) -> Iterator[np.ndarray]:
+        for factor in _FACTORS:
+            yield ((grams * factor) >> np.uint64(32)) * sizes >> np.uint64(32)
+
+    @classmethod
+    def piece(cls, grams: np.ndarray) -> bytes:
+        flags = np.zeros(-(-BITS * len(grams) // 64) * 64, bool)
+        for at in cls._places(grams, np.uint64(len(flags))):
+            flags[at] = True
+        return np.packbits(flags).tobytes()
+
+    def may_have(self, hashes: np.ndarray) -> np.ndarray:
+        of = ((hashes >> np.uint64(32)) * np.uint64(len(self.sizes)) >> np.uint64(32)).astype(np.int64)
+        hit = np.flatnonzero(self.sizes[of] > 0)
+        out, has = np.zeros(len(hashes), bool), np.ones(len(hit), bool)
+        for place in self._places(hashes[hit] >> CUT, self.sizes[of[hit]]):
+            at = place + self.starts[of[hit]]
+            has &= (self.bits[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 > 0
+        out[hit[has]] = True
+        return out
+
+
+def slices(ranges: list[tuple[int, int, int, int]]) -> list[list[int]]:
+    """Buckets in slices, of rows (bucket, bytes of filter, anchors that repeat, anchors): a slice
+    has ``SLICE`` of all anchors at most and filters of ``FILTERS`` bytes at most, or one bucket."""
+    out, size, held, every = [], 0, 0, sum(r[3] for r in ranges)
+    for bucket, filter_bytes, again, _ in sorted(ranges):
+        if not again:
+            continue
+        size, held = size + filter_bytes, held + again
+        if not out or size > FILTERS or held > SLICE * every:
+            out.append([])
+            size, held = filter_bytes, again
+        out[-1].append(bucket)
+    return out
 
 
 def _suffixes(text: np.ndarray, places: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -191,26 +261,22 @@ def from_front_coded(common: np.ndarray, rest: np.ndarray, width: int = WIDTH) -
 _RUN = (("bucket", pa.int32()), ("common", pa.binary()), ("rest", pa.binary()), ("folded", pa.binary()), ("ids", pa.binary()), ("marks", pa.binary()), ("places", pa.binary()))
 
 
-def _sorted_runs(ranges: int):
-    """Runs of suffixes at the given anchors, by range; equal suffixes folded with their places in order."""
+def _sorted_runs(ranges: int, repeated: Broadcast):
+    """Runs of suffixes at anchors whose gram may repeat, by range; equal suffixes folded with their places in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = GramFilter(*repeated.value)
         for batch in batches:
             ids, marks = (batch.column(c).to_numpy() for c in (0, 1))
             raw = as_bytes(batch.column(2))
-            sizes = np.array([len(t) for t in raw])
-            doc = np.repeat(np.arange(len(raw)), pc.list_value_length(batch.column(3)).to_numpy())
-            inside = batch.column(3).flatten().to_numpy().astype(np.int64)
-            order = np.lexsort((inside, doc))
-            doc, inside = doc[order], inside[order]
-            fits = inside + GRAM <= sizes[doc]  # rows may share an id but not a text
-            doc, inside = doc[fits], inside[fits]
+            doc, inside, hashes = _batch_anchors(raw)
+            again = wanted.may_have(hashes)
+            doc, inside, hashes = doc[again], inside[again], hashes[again]
             for first in range(0, len(doc), RUN):
-                d, x = doc[first:first + RUN], inside[first:first + RUN]
+                d, x, gram = doc[first:first + RUN], inside[first:first + RUN], hashes[first:first + RUN]
                 held = slice(d[0], d[-1] + 1)
                 text, ends = _laid_out(raw[held])
                 starts, at = np.concatenate(([0], ends[:-1])), d - d[0]
                 keys = _suffixes(text, x + starts[at], starts[at], ends[at])
-                gram = _gram_hash_of(keys[:, :GRAM])
                 order = np.lexsort((x, marks[d], ids[d]))
                 order = order[np.argsort(keys[order].view(f"S{WIDTH}").ravel(), kind="stable")]
                 out = []
@@ -227,10 +293,6 @@ def _sorted_runs(ranges: int):
     return run
 
 
-def _gram_hash_of(grams: np.ndarray) -> np.ndarray:
-    return _gram_hashes(np.ascontiguousarray(grams).ravel())[::GRAM] if len(grams) else np.zeros(0, np.uint64)
-
-
 def _common_from(a: bytes, b: bytes, known: int) -> int:
     """Length of the common prefix, of which ``known`` bytes need no look."""
     n = known
@@ -462,11 +524,32 @@ def merged_stretches(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, n
     return first[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(first) - 1)] if len(first) else reach
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Id and the united stretches of each mark, of rows with an id and stretches."""
+    for batch in batches:
+        flat = batch.column(1).flatten()
+        mark, first, last = (flat.field(c).to_numpy().astype(np.int64) for c in ("mark", "first", "last"))
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(1)).to_numpy())
+        order = np.lexsort((mark, row))
+        row, mark, first, last = row[order], mark[order], first[order], last[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (mark[1:] != mark[:-1])
+        text = (np.cumsum(new) - 1) << 32  # one line for all texts, far apart
+        first, last = merged_stretches(first + text, last + text)
+        of = first >> 32
+        fields = [pa.array(mark[new][of]), pa.array((first - (of << 32)).astype(np.int32)), pa.array((last - (of << 32)).astype(np.int32))]
+        ends = np.searchsorted(row[new][of], np.arange(batch.num_rows + 1)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, ["mark", "first", "last"]))], names=["id", "stretches"])
+
+
 def _document_key(id_col: str) -> Column:
     """Ids as long values; a null id comes before all others."""
     return F.coalesce(col(id_col).cast("long"), F.lit(-(2**63)))
 
 
+_STRETCHES = "id long, stretches array<struct<mark:long,first:int,last:int>>"
+
+
 def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id``, ``mark`` (hash of the text), ``text`` (bytes) and ``stretches`` (first byte, last byte + 1)
     of every row of ``docs``; stretches may overlap. Null where nothing repeats.
@@ -478,18 +561,24 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Texts below 100 bytes repeat nothing. Empty table: no rows.
 
     Memory: a task holds a batch of texts, a run of ``RUN`` suffixes, or one range
-    of runs. The same exchange of texts serves the runs and the result.
+    of runs. Disk: the grams' hashes, then the runs of a slice, then the texts once.
+    Stretches are staged.
     """
     ranges = RANGES_PER_PARTITION * partitions(docs)
     raw = F.coalesce(col(text_col).cast("binary"), F.lit(b""))
     texts = docs.select(_document_key(id_col).alias("id"), F.xxhash64(raw).alias("mark"), raw.alias("text"))
-    found = by_range(texts.select("id", "text").mapInArrow(released(_anchor_rows(ranges)), "bucket int, hashes binary, ids binary, places binary"), ranges)
-    again = (found.mapInArrow(released(_repeated_anchors), "id long, place int")
-             .groupBy("id").agg(F.collect_list("place").alias("places")))
-    runs = (texts.join(again, "id").select("id", "mark", "text", "places")
-            .mapInArrow(released(_sorted_runs(ranges)), "bucket int, common binary, rest binary, folded binary, ids binary, marks binary, places binary"))
-    stretches = (by_range(runs, ranges).mapInArrow(released(_merged), "id long, mark long, first int, last int")
-                 .groupBy("id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("stretches")))
+    spark = docs.sparkSession
+    grams = texts.select("text").mapInArrow(released(_gram_rows(ranges)), "bucket int, once binary, more binary, anchors long")
+    filters = stage(by_range(grams, ranges).mapInArrow(released(_filters), "bucket int, filter binary, again long, anchors long"))
+    found = spark.createDataFrame([], _STRETCHES)
+    for part in slices([tuple(r) for r in filters.select("bucket", F.length("filter"), "again", "anchors").collect()]):
+        pieces = filters.filter(F.col("bucket").between(part[0], part[-1])).select("bucket", "filter").collect()
+        repeated = spark.sparkContext.broadcast(GramFilter.whole(ranges, {r["bucket"]: bytes(r["filter"]) for r in pieces}))
+        runs = texts.mapInArrow(released(_sorted_runs(ranges, repeated)), "bucket int, common binary, rest binary, folded binary, ids binary, marks binary, places binary")
+        merged = (by_range(runs, len(part)).mapInArrow(released(_merged), "id long, mark long, first int, last int")
+                  .groupBy("id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("stretches")))
+        found = found.union(stage(merged.mapInArrow(released(_united), _STRETCHES)))
+    stretches = found.groupBy("id").agg(F.flatten(F.collect_list("stretches")).alias("stretches"))
     return texts.join(stretches, "id", "left").select("id", "mark", "text", F.filter("stretches", lambda s: s["mark"] == F.col("mark")).alias("stretches"))
 
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +128,48 @@ def test_large_groups_like_small_ones(spark, monkeypatch):
     rows += [(200 + i, rows[3][1]) for i in range(60)]
     got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == repeats(sorted(rows))
+
+
+def test_filter_has_every_repeated_gram():
+    """None is missed in the ranges that have a piece, few others pass, and nothing does elsewhere."""
+    rnd, ranges = np.random.default_rng(8), 7
+    grams = rnd.integers(0, 2**64, 20_000, dtype=np.uint64)
+    pieces = {b: suffix_dedup.GramFilter.piece(grams[part] >> suffix_dedup.CUT) for b, part in suffix_dedup.split_by_range(grams, ranges) if b not in (2, 5)}
+    pieces[5] = suffix_dedup.GramFilter.piece(grams[:0])
+    may = suffix_dedup.GramFilter(*suffix_dedup.GramFilter.whole(ranges, pieces)).may_have
+    of = {b: part for b, part in suffix_dedup.split_by_range(grams, ranges)}
+    assert all(may(grams[part]).all() == (b not in (2, 5)) and may(grams[part]).any() == (b not in (2, 5)) for b, part in of.items())
+    assert may(rnd.integers(0, 2**64, 20_000, dtype=np.uint64)).mean() < 0.05 and not len(may(grams[:0]))
+
+
+def test_slices_hold_all_that_repeats(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "FILTERS", 100)
+    rows = [(3, 40, 10, 100), (0, 40, 30, 100), (1, 0, 0, 100), (2, 40, 10, 100), (4, 10, 190, 200), (5, 300, 1, 100)]
+    assert suffix_dedup.slices(rows) == [[0, 2], [3, 4], [5]]
+    monkeypatch.setattr(suffix_dedup, "SLICE", 0.25)
+    assert suffix_dedup.slices(rows) == [[0, 2], [3], [4], [5]] and suffix_dedup.slices([(0, 0, 0, 9)]) == []
+
+
+def test_many_slices_match_brute_force_and_leave_no_runs(spark, monkeypatch):
+    """A slice for each range: the same result, and no slice's runs are left on disk when the next one starts."""
+    files = lambda: sum(f.length() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(
+        spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_"))
+    monkeypatch.setattr(suffix_dedup, "SLICE", 0)
+    rows, parts, left = planted(5), [], []
+    cut = suffix_dedup.slices
+    monkeypatch.setattr(suffix_dedup, "slices", lambda ranges: parts.extend(cut(ranges)) or parts)
+    before = files()
+    frame = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    end = time.time() + 20
+    while (left := files() - before) > 0 and time.time() < end:
+        time.sleep(0.2)
+    assert len(parts) > 8 and left <= 0
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in frame.collect()} == repeats(rows)
+
+
+def test_anchors_are_spread_over_the_ranges():
+    """Anchors are the least hashes near them; their ranges are even all the same."""
+    text = "".join(random.Random(2).choices("abcdefgh ", k=200_000)).encode()
+    _, _, hashes = suffix_dedup._batch_anchors([text])
+    held = [len(part) for _, part in suffix_dedup.split_by_range(hashes, 20)]
+    assert len(held) == 20 and max(held) < 2 * np.mean(held)
